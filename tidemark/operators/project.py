@@ -28,8 +28,9 @@ def column_casts(spec: DataFrame) -> list[tuple[str, str]]:
             col_or_null(spec, "NUMERIC_SCALE", "long"), col_or_null(spec, "CHARACTER_MAXIMUM_LENGTH", "long")))
     order = col_or_null(spec, "ORDINAL_POSITION", "long")
     named = spec.where(F.length(F.col("COLUMN_NAME")) > 0)
-    rows = (named.select("COLUMN_NAME", "cast_type", order.alias("_pos"))
-            .orderBy(F.col("_pos").asc_nulls_last()).collect())
+    rows = named.select("COLUMN_NAME", "cast_type", order.alias("_pos")).collect()
+    # A table's width is small: order it here rather than with a Spark sort.
+    rows.sort(key=lambda r: (r["_pos"] is None, r["_pos"] if r["_pos"] is not None else 0))
     return [(r["COLUMN_NAME"], r["cast_type"]) for r in rows]
 
 

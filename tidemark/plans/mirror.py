@@ -15,11 +15,11 @@ from dataclasses import dataclass, field
 from decimal import Decimal
 from typing import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..operators.aggregates import next_watermark
 from ..operators.joins import MARK, change_rows
 from ..operators.project import envelope
 from ..sources import paths
@@ -141,23 +141,33 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
         if delta is not None and high is None:
             high = delta.agg(F.max(spec.mark)).first()[0]
         snapshot = spec.snapshot(spark)
+        cached = None
         if mode == "full":
             rows = envelope(snapshot, version=spec.full_version)
             order = list(spec.full_order) if spec.ordered and spec.full_order else None
+            # Each file is sorted by key (row groups then skip by key range);
+            # a global order of a whole snapshot would shuffle all of it.
+            n = write_change(rows, root, spec.name, seq + 1, sort_within=order)
             new_mark = high if delta is not None else last
         elif mode == "delta":
             if delta is None:
                 raise ValueError("delta mode needs a delta table")
             rows = change_rows(delta, snapshot, delta_key=spec.delta_key, snap_key=spec.snap_key, mark=spec.mark,
                                low=last, high=high, latest_only=spec.latest_only, keep_mark=True)
+            observed = {"high_seen": F.max(MARK)}
             if spec.ordered:
-                rows = rows.orderBy(MARK, spec.snap_key)
-            rows = rows.drop(MARK)
-            order = None
-            new_mark = next_watermark(delta, spec.mark, last, high)
+                # The global (mark, key) order samples its input first; keep
+                # the change rows so the join is not computed twice.
+                cached = rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+            n = write_change(rows, root, spec.name, seq + 1, sort_by=[MARK, spec.snap_key] if spec.ordered else None,
+                             metrics=observed, drop=(MARK,))
+            # Every delta row in range gives at least one change row, so the
+            # largest mark written is the new high-water mark.
+            new_mark = observed["high_seen"] if observed["high_seen"] is not None else last
         else:
             raise ValueError(f"unknown mode {mode!r}")
-        n = write_change(rows, root, spec.name, seq + 1, sort_by=order)
+        if cached is not None:
+            cached.unpersist()
         if n > 0:
             seq += 1
         save_state(spark, root, spec.name, seq=seq, watermark=new_mark, watermark_type=mark_type,

@@ -31,27 +31,44 @@ def _publish(spark, staging: str, target: str) -> None:
     paths.delete(spark, old)
 
 
-def staged_write(df: DataFrame, target: str, *, sort_by=None, options: dict | None = None,
-                 validate: Callable[[DataFrame], None] | None = None, keep_empty: bool = False) -> int:
+def staged_write(df: DataFrame, target: str, *, sort_by=None, sort_within=None, options: dict | None = None,
+                 validate: Callable[[DataFrame], None] | None = None, keep_empty: bool = False,
+                 metrics: dict | None = None, drop: tuple = ()) -> int:
     """Write `df` as Parquet to a sibling staging folder, then swap it in.
 
     Returns the number of rows written. With zero rows nothing is published
     (unless `keep_empty`). `validate` sees the staged data before the swap and
-    may raise to discard it.
+    may raise to discard it. `sort_by` gives a global order (range shuffle);
+    `sort_within` sorts each output file only (no shuffle). `metrics` names
+    extra aggregate Columns observed during the same write (their values are
+    filled into the dict); `drop` lists helper columns removed after
+    observing and sorting.
     """
     spark = df.sparkSession
     target = target.rstrip("/")
     staging = f"{target}.__staging-{uuid.uuid4().hex[:12]}"
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    extra = [c.alias(k) for k, c in (metrics or {}).items()]
+    out = df
     if sort_by:
         out = out.orderBy(*sort_by)
+    elif sort_within:
+        out = out.sortWithinPartitions(*sort_within)
+    # Observed above the sort: a global sort first samples its input in a
+    # separate job, which would otherwise be counted too.
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"), *extra)
+    if drop:
+        out = out.drop(*drop)
     writer = out.write.mode("errorifexists").option("compression", "snappy")
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
     try:
         writer.parquet(staging)
-        rows = int(obs.get["rows"])
+        observed = obs.get
+        rows = int(observed["rows"])
+        if metrics is not None:
+            for k in metrics:
+                metrics[k] = observed.get(k)
         if validate is not None and rows > 0:
             validate(spark.read.parquet(staging))
     except Exception:
@@ -81,11 +98,12 @@ def sequence_dir(root: str, table: str, seq: int, digits: int = SEQUENCE_DIGITS)
     return f"{root.rstrip('/')}/{table}/seq={seq:0{digits}d}"
 
 
-def write_change(df: DataFrame, root: str, table: str, seq: int, *, sort_by=None,
-                 digits: int = SEQUENCE_DIGITS) -> int:
+def write_change(df: DataFrame, root: str, table: str, seq: int, *, sort_by=None, sort_within=None,
+                 metrics: dict | None = None, drop: tuple = (), digits: int = SEQUENCE_DIGITS) -> int:
     """Write one change set as `<root>/<table>/seq=<zero-padded seq>`.
 
     Re-running the same sequence replaces that one folder, so a retried run
     is idempotent. Zero rows publish nothing.
     """
-    return staged_write(df, sequence_dir(root, table, seq, digits), sort_by=sort_by)
+    return staged_write(df, sequence_dir(root, table, seq, digits), sort_by=sort_by, sort_within=sort_within,
+                        metrics=metrics, drop=drop)
