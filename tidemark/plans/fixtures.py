@@ -55,8 +55,7 @@ def pack_pages(items: DataFrame, page_of: Column, order: Column, fields: list[st
     item = F.struct(order.alias("_o"), F.struct(*[F.col(f) for f in fields]).alias("v"))
     pages = items.groupBy(page_of.alias("page_no")).agg(
         F.transform(F.array_sort(F.collect_list(item)), lambda x: x["v"]).alias("items"))
-    last = pages.select(F.max("page_no")).scalar()
-    link = F.when(F.col("page_no") < last, F.concat(F.lit(base_url), (F.col("page_no") + 1).cast("string")))
+    link = F.concat(F.lit(base_url), (F.col("page_no") + 1).cast("string"))
     return pages.select("page_no", F.to_json(F.struct(F.col("items").alias(list_key),
                                                        link.alias("continuationUri"))).alias("body"))
 

@@ -10,6 +10,7 @@ with no rows publishes nothing and keeps the sequence.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
 from dataclasses import dataclass, field
 from decimal import Decimal
@@ -18,15 +19,14 @@ from typing import Callable
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..operators.joins import MARK, change_rows
 from ..operators.project import envelope
 from ..sources import paths
-from ..sources.sinks import staged_write, write_change
+from ..sources.sinks import write_change
 
-STATE_SCHEMA = ("name string, last_sequence long, last_watermark string, watermark_type string, "
-                "watermark_column string, mode string, last_run_utc string")
+STATE_FIELDS = ("name", "last_sequence", "last_watermark", "watermark_type", "watermark_column", "mode",
+                "last_run_utc")
 
 
 @dataclass
@@ -63,7 +63,7 @@ class MirrorResult:
 
 
 def state_path(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/_state/{name}"
+    return f"{root.rstrip('/')}/_state/{name}.json"
 
 
 def _decode(text, type_name):
@@ -94,28 +94,33 @@ def _encode(value) -> str | None:
 
 
 def load_state(spark: SparkSession, root: str, name: str) -> dict:
-    """The saved state; missing or unreadable state starts from zero."""
-    path = state_path(root, name)
+    """The saved state; missing or unreadable state starts from zero.
+
+    The state is one small JSON document per table, replaced by
+    write-then-rename, so a reader sees the old or the new state, never a
+    partial one."""
+    zero = {"last_sequence": 0, "last_watermark": None}
+    try:
+        text = paths.read_text(spark, state_path(root, name))
+        d = json.loads(text) if text else None
+    except Exception:
+        return zero
+    if not isinstance(d, dict):
+        return zero
     try:
-        if not paths.exists(spark, path):
-            return {"last_sequence": 0, "last_watermark": None}
-        row = spark.read.parquet(path).first()
-    except (AnalysisException, Exception):
-        return {"last_sequence": 0, "last_watermark": None}
-    if row is None:
-        return {"last_sequence": 0, "last_watermark": None}
-    d = row.asDict()
-    d["last_watermark"] = _decode(d.get("last_watermark"), d.get("watermark_type"))
-    d["last_sequence"] = int(d.get("last_sequence") or 0)
+        d["last_watermark"] = _decode(d.get("last_watermark"), d.get("watermark_type"))
+        d["last_sequence"] = int(d.get("last_sequence") or 0)
+    except (TypeError, ValueError):
+        return zero
     return d
 
 
 def save_state(spark: SparkSession, root: str, name: str, *, seq: int, watermark, watermark_type: str | None,
                watermark_column: str | None, mode: str) -> None:
-    """Replace the state in one atomic folder swap."""
+    """Replace the state (only after the run's data is published)."""
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat() + "Z"
-    row = [(name, int(seq), _encode(watermark), watermark_type, watermark_column, mode, now)]
-    staged_write(spark.createDataFrame(row, STATE_SCHEMA).coalesce(1), state_path(root, name))
+    values = (name, int(seq), _encode(watermark), watermark_type, watermark_column, mode, now)
+    paths.write_text(spark, state_path(root, name), json.dumps(dict(zip(STATE_FIELDS, values)), indent=2))
 
 
 def choose_mode(spec: MirrorSpec, seq: int) -> str:

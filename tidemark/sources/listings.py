@@ -32,7 +32,10 @@ def flatten_pages(pages: DataFrame, list_field: str = DEFAULT_LIST_FIELD, *, pag
     only the one-row choice of the list name is a (scalar) subquery.
     """
     body = F.col(body_col)
-    chosen = pages.select(F.min_by(list_field_of(body, list_field), F.col(page_col))).scalar()
+    # Only the first page is parsed to choose the list: its number comes from
+    # a column-only aggregate, then that one page is read.
+    first_no = pages.select(F.min(page_col)).scalar()
+    chosen = pages.where(F.col(page_col) == first_no).select(list_field_of(body, list_field)).limit(1).scalar()
     fields = F.from_json(body, "map<string,string>")
     listed = F.when(chosen.isNotNull(), F.element_at(fields, chosen))
     items = (F.when(_is_json_array(listed), F.from_json(listed, "array<string>"))

@@ -51,3 +51,32 @@ def has_data_files(spark: SparkSession, path: str) -> bool:
         if not name.startswith((".", "_")):
             return True
     return False
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small text file: write a sibling, then rename it over."""
+    import uuid
+    p, fs = _fs(spark, path)
+    tmp = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.tmp-{uuid.uuid4().hex[:8]}")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(tmp, p):
+        fs.delete(tmp, False)
+        raise OSError(f"could not publish {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file's content, or None when it does not exist."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
