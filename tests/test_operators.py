@@ -214,3 +214,23 @@ def test_run_outcome(spark):
     log = spark.createDataFrame([("a", 3, None), ("b", 0, "err"), ("c", 2, None)], "name string, rows long, error string")
     r = A.run_outcome(log).first()
     assert (r.units, r.failed, r.any_failed, r.rows) == (3, 1, True, 5)
+
+
+def test_change_order_spreads_a_hot_key(spark):
+    from tidemark.operators.joins import MARK, change_order
+    o = load(spark, SF001, "orders")
+    li = load(spark, SF001, "lineitem")
+    hot = li.withColumn("l_orderkey", F.when(F.col("l_linenumber") <= 4, F.lit(7)).otherwise(F.col("l_orderkey")))
+    rows = J.change_rows(o, hot, delta_key="o_orderkey", snap_key="l_orderkey", mark="o_orderkey", keep_mark=True)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df, order = change_order(rows, "l_orderkey")
+        sizes = df.orderBy(*order).rdd.glom().map(len).collect()
+        plain = rows.orderBy(MARK, "l_orderkey").rdd.glom().map(len).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    hot_rows = rows.where("l_orderkey = 7").count()
+    assert max(plain) >= hot_rows  # without the tiebreak one task holds the hot key
+    assert max(sizes) < hot_rows / 2
+    ordered = [(r[MARK], r.l_orderkey) for r in df.orderBy(*order).select(MARK, "l_orderkey").collect()]
+    assert ordered == sorted(ordered)

@@ -68,6 +68,19 @@ def change_rows(delta: DataFrame, snapshot: DataFrame, *, delta_key: str, snap_k
     return out if keep_mark else out.drop(MARK)
 
 
+TIE = "__tie"
+
+
+def change_order(rows: DataFrame, snap_key: str) -> tuple[DataFrame, list[str]]:
+    """Global (mark, key) order for change rows, refined by a hash of the
+    whole row. Ties in (mark, key) have no required order; the hash lets the
+    range partitioner split a key that holds a large share of the rows
+    instead of sending all of them to one task. Returns the frame with the
+    helper column and the sort keys (drop `TIE` after sorting)."""
+    cols = [F.col(f"`{c}`") for c in rows.columns if c != MARK]
+    return rows.withColumn(TIE, F.xxhash64(*cols)), [MARK, snap_key, TIE]
+
+
 def columns_of(table_cols: DataFrame, view_cols: DataFrame, keys=("SCHEMA_NAME", "OBJECT_NAME")) -> DataFrame:
     """An object's table columns; only objects with none take their view
     columns. Adds `col_source` ('table' / 'view')."""

@@ -20,7 +20,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import MARK, change_rows
+from ..operators.joins import MARK, TIE, change_order, change_rows
 from ..operators.project import envelope
 from ..sources import paths
 from ..sources.sinks import write_change
@@ -160,12 +160,13 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
             rows = change_rows(delta, snapshot, delta_key=spec.delta_key, snap_key=spec.snap_key, mark=spec.mark,
                                low=last, high=high, latest_only=spec.latest_only, keep_mark=True)
             observed = {"high_seen": F.max(MARK)}
+            order = None
             if spec.ordered:
                 # The global (mark, key) order samples its input first; keep
                 # the change rows so the join is not computed twice.
+                rows, order = change_order(rows, spec.snap_key)
                 cached = rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-            n = write_change(rows, root, spec.name, seq + 1, sort_by=[MARK, spec.snap_key] if spec.ordered else None,
-                             metrics=observed, drop=(MARK,))
+            n = write_change(rows, root, spec.name, seq + 1, sort_by=order, metrics=observed, drop=(MARK, TIE))
             # Every delta row in range gives at least one change row, so the
             # largest mark written is the new high-water mark.
             new_mark = observed["high_seen"] if observed["high_seen"] is not None else last

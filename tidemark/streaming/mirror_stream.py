@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import MARK, change_rows
+from ..operators.joins import MARK, TIE, change_order, change_rows
 from ..plans.mirror import save_state
 from ..sources.sinks import write_change
 
@@ -41,13 +41,14 @@ def stream_mirror(spark: SparkSession, deltas: DataFrame, snapshot: DataFrame, *
         batch = batch.persist()
         try:
             rows = change_rows(batch, snapshot, delta_key=delta_key, snap_key=snap_key, mark=mark, keep_mark=True)
+            order = None
             if ordered:
-                rows = rows.orderBy(MARK, snap_key)
-            n = write_change(rows.drop(MARK), root, name, batch_id + 1)
+                rows, order = change_order(rows, snap_key)
+            observed = {"high_seen": F.max(MARK)}
+            n = write_change(rows, root, name, batch_id + 1, sort_by=order, metrics=observed, drop=(MARK, TIE))
             if n > 0:
-                high = batch.agg(F.max(mark)).first()[0]
-                save_state(spark, root, name, seq=batch_id + 1, watermark=high, watermark_type=mark_type,
-                           watermark_column=mark, mode="stream")
+                save_state(spark, root, name, seq=batch_id + 1, watermark=observed["high_seen"],
+                           watermark_type=mark_type, watermark_column=mark, mode="stream")
         finally:
             batch.unpersist()
 
