@@ -148,3 +148,20 @@ def test_catalog_without_counts_or_views(spark):
     entries = profile(spark, _objects(spark), count_tables=False, include_views=False)
     assert {r.object for r in entries.collect()} == {"orders", "region", "empty"}
     assert all(r.entry.row_count is None for r in entries.collect())
+
+
+def test_catalog_count_failure_is_unknown(spark, workdir):
+    objs = _objects(spark)
+    spark.range(3).write.parquet(f"{workdir}/gone")
+    bad = spark.read.parquet(f"{workdir}/gone")
+    paths.delete(spark, f"{workdir}/gone")  # files vanish after the frame is defined
+    objs[("s", "broken")] = ("table", bad)
+    entries = profile(spark, objs)
+    names = {r.object for r in entries.collect()}
+    assert "broken" not in names and {"orders", "region", "v"} <= names
+
+
+def test_corrupt_state_starts_from_zero(spark, workdir):
+    from tidemark.plans.mirror import state_path
+    paths.write_text(spark, state_path(workdir, "feed"), "{not json")
+    assert load_state(spark, workdir, "feed") == {"last_sequence": 0, "last_watermark": None}

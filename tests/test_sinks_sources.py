@@ -109,7 +109,7 @@ def test_flatten_pages_first_list_key_and_shapes(spark):
         '{"other": 5}',
     ])
     rows = flatten_pages(pages).orderBy("page_no", "item_pos").collect()
-    assert [r.item for r in rows] == ['{"id":1}', '{"id":2}', '{"id":3}', '{"id":4}', '{"other":5}']
+    assert [r.item for r in rows] == ['{"id":1}', '{"id":2}', '{"id":3}', '{"id":4}', '{"other": 5}']
     assert rows[0].next_link == "p2"
 
 
@@ -121,4 +121,4 @@ def test_flatten_pages_prefers_value(spark):
 def test_flatten_pages_list_name_from_first_page_only(spark):
     # The first page has no list at all: later pages are taken whole.
     pages = _pages(spark, ['{"n": 1}', '{"value": [{"x": 1}]}'])
-    assert [r.item for r in flatten_pages(pages).orderBy("page_no").collect()] == ['{"n":1}', '{"value":[{"x":1}]}']
+    assert [r.item for r in flatten_pages(pages).orderBy("page_no").collect()] == ['{"n": 1}', '{"value": [{"x": 1}]}']

@@ -47,20 +47,43 @@ def system_tables(spark: SparkSession, objects: dict) -> tuple[DataFrame, DataFr
             spark.createDataFrame(cols, RAW_COLUMNS))
 
 
+COUNTS = "schema string, object string, row_count long"
+
+
+def _count_part(schema: str, name: str, df: DataFrame) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(schema).alias("schema"), F.lit(name).alias("object"), "row_count")
+
+
 def object_counts(objects: dict) -> DataFrame:
-    """A1 keyed by (schema, object): one union job over the tables."""
-    parts = []
-    for (schema, name), spec in sorted(objects.items()):
-        if spec[0] != "table":
-            continue
-        parts.append(spec[1].agg(F.count(F.lit(1)).alias("row_count"))
-                     .select(F.lit(schema).alias("schema"), F.lit(name).alias("object"), "row_count"))
+    """A1 keyed by (schema, object): one union job over the tables (lazy)."""
+    parts = [_count_part(schema, name, spec[1]) for (schema, name), spec in sorted(objects.items())
+             if spec[0] == "table"]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def counted_objects(spark: SparkSession, objects: dict) -> DataFrame:
+    """A1 with failures isolated: all tables are counted in one job; if that
+    job fails, each table is counted on its own and a table whose count fails
+    gets an unknown (null) count instead of failing the catalog."""
+    try:
+        rows = [tuple(r) for r in object_counts(objects).collect()]
+    except Exception:
+        rows = []
+        for (schema, name), spec in sorted(objects.items()):
+            if spec[0] != "table":
+                continue
+            try:
+                n = _count_part(schema, name, spec[1]).first()["row_count"]
+            except Exception:
+                n = None
+            rows.append((schema, name, n))
+    return spark.createDataFrame(rows, COUNTS)
+
+
 def profile(spark: SparkSession, objects: dict, *, count_tables: bool = True, include_views: bool = True,
             map_types: bool = False) -> DataFrame:
     """E3 in Spark form: per-object catalog entries (see `catalog_entries`)."""
@@ -68,5 +91,5 @@ def profile(spark: SparkSession, objects: dict, *, count_tables: bool = True, in
     inv = inventory(tables, views)
     cols = normalise_columns(raw, keep=("SCHEMA_NAME", "OBJECT_NAME")) \
         .withColumnRenamed("SCHEMA_NAME", "schema").withColumnRenamed("OBJECT_NAME", "object")
-    counts = object_counts(objects) if count_tables else None
+    counts = counted_objects(spark, objects) if count_tables else None
     return catalog_entries(inv, cols, counts, include_views=include_views, map_types=map_types)
