@@ -165,3 +165,39 @@ def test_corrupt_state_starts_from_zero(spark, workdir):
     from tidemark.plans.mirror import state_path
     paths.write_text(spark, state_path(workdir, "feed"), "{not json")
     assert load_state(spark, workdir, "feed") == {"last_sequence": 0, "last_watermark": None}
+
+
+FULL_SQL = """SELECT 0 AS __watermark, 'u' AS __op, 0 AS __deleted, m.*
+FROM lineitem AS m ORDER BY m.l_orderkey, m.l_linenumber"""
+
+DELTA_SQL = """SELECT CASE WHEN m.l_orderkey IS NULL THEN 2 ELSE 4 END AS __rowMarker__, d.o_orderkey AS l_orderkey,
+  m.l_partkey, m.l_suppkey, m.l_linenumber, m.l_quantity, m.l_extendedprice, m.l_discount, m.l_tax,
+  m.l_returnflag, m.l_linestatus, m.l_shipdate
+FROM orders AS d LEFT JOIN lineitem AS m ON m.l_orderkey = d.o_orderkey
+WHERE d.o_orderkey > {WATERMARK} AND d.o_orderkey <= :high
+ORDER BY d.o_orderkey ASC, d.o_orderkey ASC"""
+
+
+def test_sql_folder_mirror_equals_dataframe_mirror(spark, workdir):
+    import json as _json
+    from tidemark.plans.mirror import specs_in_folder
+    from tidemark.sources.sql import statements_in
+    for t in ("orders", "lineitem"):
+        load(spark, SF001, t).createOrReplaceTempView(t)
+    folder = f"{workdir}/queries"
+    paths.write_text(spark, f"{folder}/feed/full.sql", FULL_SQL)
+    paths.write_text(spark, f"{folder}/feed/delta.sql", DELTA_SQL)
+    paths.write_text(spark, f"{folder}/feed/mirror.json",
+                     _json.dumps({"watermark_table": "orders", "watermark_column": "o_orderkey"}))
+    paths.write_text(spark, f"{folder}/a.sql", "SELECT o_orderkey AS PK1 FROM orders WHERE o_orderkey > {WM1}")
+    paths.write_text(spark, f"{folder}/_skip.sql", "SELECT 1")
+    assert statements_in(spark, folder) == {"a": "SELECT o_orderkey AS PK1 FROM orders WHERE o_orderkey > :wm1"}
+    (sql_feed,) = specs_in_folder(spark, folder)
+    for high in (300, 600, None):
+        r = mirror(spark, sql_feed, f"{workdir}/sql", high=high)
+        assert r.error is None, r.error
+    for high in (300, 600, None):
+        assert mirror(spark, spec(), f"{workdir}/df", high=high).error is None
+    a = read_changes(spark, f"{workdir}/sql", "feed")
+    b = read_changes(spark, f"{workdir}/df", "feed").select(*a.columns)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0

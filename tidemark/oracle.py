@@ -222,6 +222,7 @@ FROM j
 ORACLE = {
     "delta_change_rows": CHANGE_ROWS,
     "mirror_batch": MIRROR_BATCH,
+    "mirror_sql": MIRROR_BATCH,
     "mirror_stream": CHANGE_ROWS,
     "full_refresh_envelope": 'SELECT 0 AS "__watermark", \'u\' AS "__op", 0 AS "__deleted", * FROM customer',
     "conform_columns": CONFORM_COLUMNS,

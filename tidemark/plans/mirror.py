@@ -20,6 +20,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.aggregates import next_watermark
 from ..operators.joins import MARK, TIE, change_order, change_rows
 from ..operators.project import envelope
 from ..sources import paths
@@ -48,6 +49,43 @@ class MirrorSpec:
     latest_only: bool = False
     ordered: bool = True
     mode: str = "auto"
+    delta_sql: str | None = None
+    add_envelope: bool = True
+
+
+def sql_spec(name: str, *, full_sql: str | None = None, delta_sql: str | None = None,
+             mark_table: str | None = None, mark: str | None = None, snap_key: str | None = None,
+             **kw) -> MirrorSpec:
+    """A mirror defined by SQL over registered views, like a folder with
+    `full.sql` / `delta.sql`. The delta statement computes the change rows
+    itself and takes `:low` and `:high` (the saved and the fixed upper mark);
+    `mark_table.mark` is the rising request column."""
+    if full_sql is None and delta_sql is None:
+        raise ValueError("give full_sql, delta_sql or both")
+    snapshot = (lambda s: s.sql(full_sql)) if full_sql else None
+    delta = (lambda s: s.table(mark_table)) if mark_table else None
+    mode = kw.pop("mode", "auto" if full_sql else "delta")
+    return MirrorSpec(name=name, snapshot=snapshot, snap_key=snap_key or "", delta=delta, mark=mark,
+                      delta_sql=delta_sql, mode=mode, add_envelope=False, **kw)
+
+
+def specs_in_folder(spark: SparkSession, folder: str) -> list[MirrorSpec]:
+    """One SQL-defined spec per sub-folder holding `full.sql` and/or
+    `delta.sql`, plus `mirror.json` naming `watermark_table`,
+    `watermark_column` and optionally the snapshot key."""
+    from ..sources.sql import bind_placeholders
+    specs = []
+    for sub in paths.list_dirs(spark, folder):
+        base = f"{folder.rstrip('/')}/{sub}"
+        texts = {n: paths.read_text(spark, f"{base}/{n}") for n in ("full.sql", "delta.sql", "mirror.json")}
+        if not (texts["full.sql"] or texts["delta.sql"]):
+            continue
+        conf = json.loads(texts["mirror.json"]) if texts["mirror.json"] else {}
+        specs.append(sql_spec(sub, full_sql=texts["full.sql"] and bind_placeholders(texts["full.sql"].strip()),
+                              delta_sql=texts["delta.sql"] and bind_placeholders(texts["delta.sql"].strip()),
+                              mark_table=conf.get("watermark_table"), mark=conf.get("watermark_column"),
+                              snap_key=conf.get("snapshot_key")))
+    return specs
 
 
 @dataclass
@@ -145,15 +183,24 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
         mark_type = delta.schema[spec.mark].dataType.simpleString() if delta is not None else None
         if delta is not None and high is None:
             high = delta.agg(F.max(spec.mark)).first()[0]
-        snapshot = spec.snapshot(spark)
+        snapshot = spec.snapshot(spark) if spec.snapshot is not None else None
         cached = None
+        if mode == "full" and snapshot is None:
+            mode = res.mode = "delta"
         if mode == "full":
-            rows = envelope(snapshot, version=spec.full_version)
+            # A SQL full refresh carries its own envelope and ORDER BY.
+            rows = envelope(snapshot, version=spec.full_version) if spec.add_envelope else snapshot
             order = list(spec.full_order) if spec.ordered and spec.full_order else None
             # Each file is sorted by key (row groups then skip by key range);
             # a global order of a whole snapshot would shuffle all of it.
             n = write_change(rows, root, spec.name, seq + 1, sort_within=order)
             new_mark = high if delta is not None else last
+        elif mode == "delta" and spec.delta_sql is not None:
+            # The statement computes the change rows; its ORDER BY is kept.
+            args = {"low": 0 if last is None else last, "high": high}
+            rows = spark.sql(spec.delta_sql, args={k: v for k, v in args.items() if f":{k}" in spec.delta_sql})
+            n = write_change(rows, root, spec.name, seq + 1)
+            new_mark = (next_watermark(delta, spec.mark, last, high) if delta is not None else last)
         elif mode == "delta":
             if delta is None:
                 raise ValueError("delta mode needs a delta table")

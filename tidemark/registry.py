@@ -9,6 +9,7 @@ written, read back.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,9 +24,10 @@ from .functions.types import cast_type, file_type
 from .plans import fixtures as X
 from .plans.catalog import profile
 from .plans.export import export, export_all, read_run_log
-from .plans.mirror import MirrorSpec, mirror
+from .plans.mirror import MirrorSpec, mirror, specs_in_folder
 from .plans.report_copy import report_copy_plan
 from .session import scratch_dir
+from .sources import paths
 from .sources.catalog_doc import read_catalog, write_catalog
 from .sources.files import read_changes, read_columns
 from .sources.listings import flatten_pages
@@ -80,6 +82,36 @@ def mirror_batch(spark: SparkSession, sf: str) -> DataFrame:
     return read_changes(spark, root, spec.name)
 
 
+MIRROR_FULL_SQL = """SELECT 0 AS __watermark, 'u' AS __op, 0 AS __deleted, m.*
+FROM lineitem AS m ORDER BY m.l_orderkey, m.l_linenumber"""
+
+MIRROR_DELTA_SQL = """SELECT CASE WHEN m.l_orderkey IS NULL THEN 2 ELSE 4 END AS __rowMarker__,
+  d.o_orderkey AS l_orderkey, m.l_partkey, m.l_suppkey, m.l_linenumber, m.l_quantity, m.l_extendedprice,
+  m.l_discount, m.l_tax, m.l_returnflag, m.l_linestatus, m.l_shipdate
+FROM orders AS d LEFT JOIN lineitem AS m ON m.l_orderkey = d.o_orderkey
+WHERE d.o_orderkey > {WATERMARK} AND d.o_orderkey <= :high
+ORDER BY d.o_orderkey"""
+
+
+def mirror_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """T1-T3 driven by SQL files in a folder (full.sql, delta.sql with a
+    {WATERMARK} slot, mirror.json): the same runs as `mirror_batch`."""
+    register_views(spark, sf, ["orders", "lineitem"])
+    root = scratch_dir(spark, "mirror-sql")
+    folder = f"{root}/_queries"
+    paths.write_text(spark, f"{folder}/lineitem_feed/full.sql", MIRROR_FULL_SQL)
+    paths.write_text(spark, f"{folder}/lineitem_feed/delta.sql", MIRROR_DELTA_SQL)
+    paths.write_text(spark, f"{folder}/lineitem_feed/mirror.json",
+                     json.dumps({"watermark_table": "orders", "watermark_column": "o_orderkey"}))
+    (feed,) = specs_in_folder(spark, folder)
+    a, b, top = mirror_marks(spark, sf)
+    for high in (a, b, top, top):
+        res = mirror(spark, feed, root, high=high)
+        if res.error:
+            raise RuntimeError(res.error)
+    return read_changes(spark, root, feed.name)
+
+
 def mirror_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Delta files consumed by a streaming query, one file per batch;
     the change rows equal the batch result from mark 0."""
@@ -385,6 +417,7 @@ def copy_plan(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "delta_change_rows": delta_change_rows,
     "mirror_batch": mirror_batch,
+    "mirror_sql": mirror_sql,
     "mirror_stream": mirror_stream,
     "full_refresh_envelope": full_refresh_envelope,
     "conform_columns": conform_columns,

@@ -80,3 +80,11 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the plain files directly inside a folder, sorted."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isFile())
