@@ -97,25 +97,31 @@ def with_children(nodes: DataFrame, roots, *, id_col: str = "id", name_col: str
     (level 1); grandchildren are not followed. Duplicates across overlapping
     roots are kept. A root that matches nothing is an error.
 
-    `roots` is the caller's list; the matched roots (one row each) are the
-    only broadcast side.
+    Each node offers its id and its name as match keys (one equi-join, one
+    pass); the matched roots - at most one row per root the caller names -
+    are collected, checked, and joined back as a broadcast side of that
+    proven size. The nodes are read twice in all.
     """
     spark = nodes.sparkSession
     roots = list(roots)
-    asked = spark.createDataFrame([(i, r) for i, r in enumerate(roots)], "root_pos int, root string")
     node_cols = nodes.columns
-    by_id = asked.join(nodes, asked["root"] == nodes[id_col])
-    by_name = asked.join(nodes, asked["root"] == nodes[name_col])
-    hits = by_id.unionByName(by_name)
+    asked = spark.createDataFrame([(i, r) for i, r in enumerate(roots)], "root_pos int, root string")
+    keyed = nodes.select(F.explode(F.array_distinct(F.array(F.col(id_col).cast("string"),
+                                                            F.col(name_col).cast("string")))).alias("__match"),
+                         *[F.col(f"`{c}`") for c in node_cols])
+    hits = asked.join(keyed, asked["root"] == F.col("__match"))
     first = hits.groupBy("root_pos", "root").agg(
-        F.min_by(F.struct(*[F.col(c) for c in node_cols]), F.col(pos_col)).alias("n"))
-    first = first.select("root_pos", "root", *[F.col("n")[c].alias(c) for c in node_cols])
-    missing = asked.join(first, ["root_pos"], "left_anti").select("root").limit(1).collect()
+        F.min_by(F.struct(*[F.col(f"`{c}`") for c in node_cols]), F.col(pos_col)).alias("n"))
+    found = first.select("root_pos", "root", *[F.col("n")[c].alias(c) for c in node_cols])
+    rows = found.collect()
+    seen = {r["root_pos"] for r in rows}
+    missing = [r for i, r in enumerate(roots) if i not in seen]
     if missing:
-        raise ValueError(f"no domain found with identifier: {missing[0]['root']}")
-    top = F.broadcast(first.select("root_pos", "root", F.col(id_col).alias("__root_id")))
-    children = nodes.join(top, nodes[parent_col] == F.col("__root_id")).drop("__root_id")
-    return (first.withColumn("level", F.lit(0))
+        raise ValueError(f"no domain found with identifier: {missing[0]}")
+    top = spark.createDataFrame(rows, found.schema)
+    link = F.broadcast(top.select("root_pos", "root", F.col(id_col).alias("__root_id")))
+    children = nodes.join(link, nodes[parent_col] == F.col("__root_id")).drop("__root_id")
+    return (top.withColumn("level", F.lit(0))
             .unionByName(children.withColumn("level", F.lit(1))))
 
 

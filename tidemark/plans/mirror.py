@@ -16,7 +16,6 @@ from dataclasses import dataclass, field
 from decimal import Decimal
 from typing import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -184,7 +183,6 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
         if delta is not None and high is None:
             high = delta.agg(F.max(spec.mark)).first()[0]
         snapshot = spec.snapshot(spark) if spec.snapshot is not None else None
-        cached = None
         if mode == "full" and snapshot is None:
             mode = res.mode = "delta"
         if mode == "full":
@@ -209,18 +207,13 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
             observed = {"high_seen": F.max(MARK)}
             order = None
             if spec.ordered:
-                # The global (mark, key) order samples its input first; keep
-                # the change rows so the join is not computed twice.
                 rows, order = change_order(rows, spec.snap_key)
-                cached = rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
             n = write_change(rows, root, spec.name, seq + 1, sort_by=order, metrics=observed, drop=(MARK, TIE))
             # Every delta row in range gives at least one change row, so the
             # largest mark written is the new high-water mark.
             new_mark = observed["high_seen"] if observed["high_seen"] is not None else last
         else:
             raise ValueError(f"unknown mode {mode!r}")
-        if cached is not None:
-            cached.unpersist()
         if n > 0:
             seq += 1
         save_state(spark, root, spec.name, seq=seq, watermark=new_mark, watermark_type=mark_type,

@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from typing import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -50,7 +51,11 @@ def staged_write(df: DataFrame, target: str, *, sort_by=None, sort_within=None,
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     extra = [c.alias(k) for k, c in (metrics or {}).items()]
     out = df
+    cached = None
     if sort_by:
+        # A global sort first samples its input in a separate job; keep the
+        # input so it is computed once (spills to disk when large).
+        cached = out = out.persist(StorageLevel.MEMORY_AND_DISK)
         out = out.orderBy(*sort_by)
     elif sort_within:
         out = out.sortWithinPartitions(*sort_within)
@@ -74,6 +79,9 @@ def staged_write(df: DataFrame, target: str, *, sort_by=None, sort_within=None,
     except Exception:
         paths.delete(spark, staging)
         raise
+    finally:
+        if cached is not None:
+            cached.unpersist()
     if rows == 0 and not keep_empty:
         paths.delete(spark, staging)
         return 0
