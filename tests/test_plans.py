@@ -201,3 +201,17 @@ def test_sql_folder_mirror_equals_dataframe_mirror(spark, workdir):
     a = read_changes(spark, f"{workdir}/sql", "feed")
     b = read_changes(spark, f"{workdir}/df", "feed").select(*a.columns)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_export_folder_writes_metadata_and_mirror_log(spark, workdir):
+    import json as _json
+    from tidemark.plans.export import export_folder
+    from tidemark.plans.mirror import mirror_all
+    load(spark, SF001, "customer").createOrReplaceTempView("customer")
+    paths.write_text(spark, f"{workdir}/q/customers.sql", "SELECT c_custkey AS PK1 FROM customer")
+    (res,) = export_folder(spark, f"{workdir}/q", f"{workdir}/out")
+    meta = _json.loads(paths.read_text(spark, f"{workdir}/out/customers.metadata.json"))
+    assert meta["name"] == "customers" and meta["rows"] == res.rows > 0 and meta["error"] is None
+    results = mirror_all(spark, [spec(mode="delta")], f"{workdir}/m")
+    log = read_run_log(spark, f"{workdir}/m/_runs").collect()
+    assert [(r.name, r.rows) for r in log] == [("feed", results[0].rows)]

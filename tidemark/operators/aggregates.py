@@ -4,8 +4,6 @@ column maximum (A4), duplicate keys (A5), catalog totals (A7), run outcome
 
 from __future__ import annotations
 
-import re
-from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F

@@ -9,6 +9,7 @@ rows written from the write itself.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
 from dataclasses import dataclass
 
@@ -19,7 +20,7 @@ from ..fixed import ELAPSED_DECIMALS
 from ..operators.aggregates import assert_unique, max_tuple, pk_columns, wm_columns
 from ..sources import paths
 from ..sources.sinks import write_snapshot
-from ..sources.sql import query_source
+from ..sources.sql import query_source, statements_in
 
 RUN_LOG = T.StructType([
     T.StructField("name", T.StringType()),
@@ -93,15 +94,32 @@ def export(spark: SparkSession, name: str, sql: str, target: str, *, initial: tu
     return res
 
 
+def write_metadata(spark: SparkSession, out_dir: str, res: ExportResult) -> None:
+    """The run record of one export as `<out_dir>/<name>.metadata.json`, next
+    to its output, for callers that inspect results without reading Parquet."""
+    rec = dict(zip(RUN_LOG.fieldNames(), res.record()))
+    paths.write_text(spark, f"{out_dir}/{res.name}.metadata.json", json.dumps(rec, indent=2))
+
+
 def export_all(spark: SparkSession, statements: dict[str, str], out_dir: str, **kw) -> list[ExportResult]:
     """T5: every named statement independently, in sorted order; a failure
-    does not stop the rest. Each run is appended to the run log."""
+    does not stop the rest. Each run is appended to the run log and leaves a
+    metadata document next to its output."""
     out_dir = out_dir.rstrip("/")
-    results = [export(spark, name, statements[name], f"{out_dir}/{name}", **kw) for name in sorted(statements)]
+    results = []
+    for name in sorted(statements):
+        res = export(spark, name, statements[name], f"{out_dir}/{name}", **kw)
+        write_metadata(spark, out_dir, res)
+        results.append(res)
     append_run_log(spark, f"{out_dir}/_runs", results)
     return results
 
 
+def export_folder(spark: SparkSession, folder: str, out_dir: str, **kw) -> list[ExportResult]:
+    """T5 over the `*.sql` files of a folder (see `statements_in`)."""
+    return export_all(spark, statements_in(spark, folder), out_dir, **kw)
+
+
 def run_log_frame(spark: SparkSession, results) -> DataFrame:
     return spark.createDataFrame([r.record() for r in results], RUN_LOG)
 

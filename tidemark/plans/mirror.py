@@ -227,5 +227,10 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
 
 
 def mirror_all(spark: SparkSession, specs: list[MirrorSpec], root: str, **kw) -> list[MirrorResult]:
-    """Every table independently, in name order."""
-    return [mirror(spark, s, root, **kw) for s in sorted(specs, key=lambda s: s.name)]
+    """Every table independently, in name order; each run (failures too) is
+    appended to the run log under `<root>/_runs`."""
+    from .export import ExportResult, append_run_log
+    results = [mirror(spark, s, root, **kw) for s in sorted(specs, key=lambda s: s.name)]
+    append_run_log(spark, f"{root.rstrip('/')}/_runs",
+                   [ExportResult(name=r.name, rows=r.rows, elapsed=r.elapsed, error=r.error) for r in results])
+    return results

@@ -25,6 +25,22 @@ SCALE_CONFIGS = {
 }
 
 
+# Starting points for a large cluster reading ~100 TB (not applied by the
+# library; set them on the cluster's session). Inputs split into ~256 MB
+# tasks; shuffles start wide and AQE coalesces them to ~256 MB partitions, so
+# no task spills badly; skewed join partitions above 1 GB (5x the median) are
+# split; broadcasts stay under Spark's checked 64 MB limit.
+CLUSTER_HINTS = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tidemark",
                   extra: dict | None = None) -> SparkSession:
     builder = (
