@@ -215,3 +215,16 @@ def test_export_folder_writes_metadata_and_mirror_log(spark, workdir):
     results = mirror_all(spark, [spec(mode="delta")], f"{workdir}/m")
     log = read_run_log(spark, f"{workdir}/m/_runs").collect()
     assert [(r.name, r.rows) for r in log] == [("feed", results[0].rows)]
+
+
+def test_folder_without_full_or_delta_reruns_its_query(spark, workdir):
+    from tidemark.plans.mirror import specs_in_folder
+    load(spark, SF001, "region").createOrReplaceTempView("region")
+    folder = f"{workdir}/queries"
+    paths.write_text(spark, f"{folder}/regions/b.sql", "SELECT 'u' AS __op, r_regionkey FROM region")
+    paths.write_text(spark, f"{folder}/regions/query.sql", "SELECT 0 AS __watermark, r_regionkey FROM region")
+    (s,) = specs_in_folder(spark, folder)
+    first = mirror(spark, s, f"{workdir}/out")
+    second = mirror(spark, s, f"{workdir}/out")
+    assert (first.mode, first.seq, second.seq) == ("full", 1, 2)
+    assert read_changes(spark, f"{workdir}/out", "regions").columns[0] == "__watermark"

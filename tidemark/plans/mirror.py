@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import next_watermark
+from ..operators.filters import mark_range
 from ..operators.joins import MARK, TIE, change_order, change_rows
 from ..operators.project import envelope
 from ..sources import paths
@@ -77,13 +78,21 @@ def specs_in_folder(spark: SparkSession, folder: str) -> list[MirrorSpec]:
     for sub in paths.list_dirs(spark, folder):
         base = f"{folder.rstrip('/')}/{sub}"
         texts = {n: paths.read_text(spark, f"{base}/{n}") for n in ("full.sql", "delta.sql", "mirror.json")}
-        if not (texts["full.sql"] or texts["delta.sql"]):
-            continue
         conf = json.loads(texts["mirror.json"]) if texts["mirror.json"] else {}
-        specs.append(sql_spec(sub, full_sql=texts["full.sql"] and bind_placeholders(texts["full.sql"].strip()),
-                              delta_sql=texts["delta.sql"] and bind_placeholders(texts["delta.sql"].strip()),
-                              mark_table=conf.get("watermark_table"), mark=conf.get("watermark_column"),
-                              snap_key=conf.get("snapshot_key")))
+        common = dict(mark_table=conf.get("watermark_table"), mark=conf.get("watermark_column"),
+                      snap_key=conf.get("snapshot_key"))
+        if texts["full.sql"] or texts["delta.sql"]:
+            specs.append(sql_spec(sub, full_sql=texts["full.sql"] and bind_placeholders(texts["full.sql"].strip()),
+                                  delta_sql=texts["delta.sql"] and bind_placeholders(texts["delta.sql"].strip()),
+                                  **common))
+            continue
+        # No full or delta statement: query.sql, else the first *.sql, runs
+        # in full on every call.
+        names = [n for n in paths.list_files(spark, base) if n.lower().endswith(".sql")]
+        pick = "query.sql" if "query.sql" in names else (names[0] if names else None)
+        if pick is not None:
+            text = paths.read_text(spark, f"{base}/{pick}") or ""
+            specs.append(sql_spec(sub, full_sql=bind_placeholders(text.strip()), mode="full", **common))
     return specs
 
 
@@ -181,7 +190,11 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
         delta = spec.delta(spark) if spec.delta is not None else None
         mark_type = delta.schema[spec.mark].dataType.simpleString() if delta is not None else None
         if delta is not None and high is None:
-            high = delta.agg(F.max(spec.mark)).first()[0]
+            # Only marks above the saved one can raise it; the pushed filter
+            # lets an append-only table skip its old row groups.
+            high = delta.where(mark_range(delta[spec.mark], last)).agg(F.max(spec.mark)).first()[0]
+            if high is None:
+                high = last
         snapshot = spec.snapshot(spark) if spec.snapshot is not None else None
         if mode == "full" and snapshot is None:
             mode = res.mode = "delta"

@@ -6,14 +6,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators.joins import copy_plan, domain_workspaces, tagged_reports, with_children
+from ..session import work_root
 
 ORDER = ("root_pos", "level", "domain_pos", "ws_pos", "report_pos")
 
 
 def report_copy_plan(domains: DataFrame, workspaces: DataFrame, reports: DataFrame, target: DataFrame,
-                     roots, tags) -> DataFrame:
-    """One row per report to copy, in run order, with its action."""
+                     roots, tags, *, materialize: bool = True) -> DataFrame:
+    """One row per report to copy, in run order, with its action.
+
+    The copy plan reads the tagged reports twice (a per-name aggregate and
+    the join back). With `materialize`, they are checkpointed once to the
+    shared checkpoint folder, so the listing joins are not computed twice and
+    the lineage is cut (a lost executor does not recompute the listings)."""
     expanded = with_children(domains, roots)
     ws = domain_workspaces(expanded, workspaces)
     tagged = tagged_reports(ws, reports, tags).withColumnRenamed("id", "report_id")
+    if materialize:
+        work_root(tagged.sparkSession)  # makes sure a checkpoint folder is set
+        tagged = tagged.checkpoint(eager=True)
     return copy_plan(tagged, target, order_cols=ORDER)
