@@ -228,3 +228,21 @@ def test_folder_without_full_or_delta_reruns_its_query(spark, workdir):
     second = mirror(spark, s, f"{workdir}/out")
     assert (first.mode, first.seq, second.seq) == ("full", 1, 2)
     assert read_changes(spark, f"{workdir}/out", "regions").columns[0] == "__watermark"
+
+
+def test_conform_from_catalog(spark, workdir):
+    from tidemark.plans.catalog import conform_from_catalog
+    meta = spark.createDataFrame(
+        [("s", "t", "a", "NVARCHAR", 2, None, None, 2), ("s", "t", "b", "DECIMAL", None, 6, 2, 1)],
+        "schema string, object string, COLUMN_NAME string, DATA_TYPE string, CHARACTER_MAXIMUM_LENGTH long, "
+        "NUMERIC_PRECISION long, NUMERIC_SCALE long, ORDINAL_POSITION long").withColumn("IS_NULLABLE", F.lit("YES"))
+    objs = spark.createDataFrame([("s", "t", "table")], "schema string, object string, kind string")
+    counts = spark.createDataFrame([("s", "t", 1)], "schema string, object string, row_count long")
+    write_catalog(build_catalog(catalog_entries(objs, meta, counts), "2026-01-01T00:00:00"), f"{workdir}/cat")
+    cat = read_catalog(spark, f"{workdir}/cat")
+    out = conform_from_catalog(spark.createDataFrame([("xyz", 1.234)], "a string, b double"), cat, "s", "t")
+    assert out.columns == ["b", "a"]
+    r = out.first()
+    assert (str(r.b), r.a) == ("1.23", "xy")
+    with pytest.raises(ValueError):
+        conform_from_catalog(spark.range(1), cat, "s", "missing")

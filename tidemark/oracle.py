@@ -253,6 +253,7 @@ ORACLE = {
     "table_counts": f"SELECT object AS table_name, row_count FROM ({COUNTS}) WHERE row_count > 0",
     "top_n": "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 100",
     "catalog_flat": CATALOG_FLAT,
+    "catalog_conform": f"SELECT {LINEITEM_COLS} FROM lineitem",
     "catalog_totals": CATALOG_TOTALS,
     "column_fallback": """
         WITH t AS (SELECT doc_id, 'quality' AS "COLUMN_NAME", 1 AS "ORDINAL_POSITION", CAST(quality AS VARCHAR) AS value

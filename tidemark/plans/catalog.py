@@ -93,3 +93,19 @@ def profile(spark: SparkSession, objects: dict, *, count_tables: bool = True, in
         .withColumnRenamed("SCHEMA_NAME", "schema").withColumnRenamed("OBJECT_NAME", "object")
     counts = counted_objects(spark, objects) if count_tables else None
     return catalog_entries(inv, cols, counts, include_views=include_views, map_types=map_types)
+
+
+def catalog_columns(cat: DataFrame, schema: str, obj: str) -> DataFrame:
+    """The normalised column metadata of one catalogued object (table or
+    view), read from the catalog document."""
+    from ..operators.nested import flatten_catalog
+    flat = flatten_catalog(cat).where((F.col("schema") == schema) & (F.col("object") == obj))
+    return flat.where(F.col("COLUMN_NAME").isNotNull()).drop("schema", "kind", "object", "row_count", "access_ok")
+
+
+def conform_from_catalog(df: DataFrame, cat: DataFrame, schema: str, obj: str, **kw) -> DataFrame:
+    """P1 driven by the catalog: cast `df` to the declared types the catalog
+    holds for `schema.obj` (the Spark form of regenerating a CAST query per
+    catalogued table). No column metadata is an error."""
+    from ..operators.project import conform
+    return conform(df, catalog_columns(cat, schema, obj), **kw)

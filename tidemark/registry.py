@@ -22,7 +22,7 @@ from .operators.ordering import head
 from .operators.project import conform, envelope, normalise_columns
 from .functions.types import cast_type, file_type
 from .plans import fixtures as X
-from .plans.catalog import profile
+from .plans.catalog import conform_from_catalog, profile
 from .plans.export import export, export_all, read_run_log
 from .plans.mirror import MirrorSpec, mirror, specs_in_folder
 from .plans.report_copy import report_copy_plan
@@ -340,6 +340,15 @@ def catalog_file_types(spark: SparkSession, sf: str) -> DataFrame:
                 F.col("c.name").alias("COLUMN_NAME"), F.col("c.type").alias("file_type"))
 
 
+def catalog_conform(spark: SparkSession, sf: str) -> DataFrame:
+    """S9 + S10 + N2 + P2 + P1: profile the tables, write and read the
+    catalog document, then cast `lineitem` to the types it declares (the
+    Spark form of regenerating a CAST query from the catalog)."""
+    path = f"{scratch_dir(spark, 'catalog')}/catalog.json"
+    write_catalog(build_catalog(_catalog_entries(spark, sf), GENERATED_AT), path)
+    return conform_from_catalog(load(spark, sf, "lineitem"), read_catalog(spark, path), CATALOG_SCHEMA, "lineitem")
+
+
 def catalog_totals(spark: SparkSession, sf: str) -> DataFrame:
     """Schemas, tables and views in the catalog."""
     return A.catalog_totals(_catalog_entries(spark, sf))
@@ -439,6 +448,7 @@ QUERIES = {
     "table_counts": table_counts,
     "top_n": top_n,
     "catalog_flat": catalog_flat,
+    "catalog_conform": catalog_conform,
     "catalog_totals": catalog_totals,
     "column_fallback": column_fallback,
     "flatten_pages": flatten_order_pages,
