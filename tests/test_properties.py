@@ -3,7 +3,7 @@
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tidemark.operators.joins import change_rows
+from tidemark.operators.joins import change_rows, delta_key_bounds
 
 keys = st.one_of(st.none(), st.integers(0, 5))
 delta_rows = st.lists(st.tuples(st.integers(-1, 12), keys), max_size=12)
@@ -30,7 +30,9 @@ def test_change_rows_match_model(spark, delta, snap, low, high):
     d = spark.createDataFrame(delta, "mark int, key int")
     s = spark.createDataFrame(snap, "key int, pos int")
     want = model(delta, snap, low, high)
+    _, kmin, kmax = delta_key_bounds(d, delta_key="key", mark="mark", low=low, high=high)
     for strategy in ("split", "outer"):
-        got = change_rows(d, s, delta_key="key", snap_key="key", mark="mark", low=low, high=high,
-                          keep_mark=True, strategy=strategy)
-        assert sorted((tuple(r) for r in got.collect()), key=repr) == want
+        for bounds in (None, (kmin, kmax)):
+            got = change_rows(d, s, delta_key="key", snap_key="key", mark="mark", low=low, high=high,
+                              keep_mark=True, strategy=strategy, snap_bounds=bounds)
+            assert sorted((tuple(r) for r in got.collect()), key=repr) == want

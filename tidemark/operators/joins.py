@@ -20,9 +20,18 @@ from .filters import mark_range, with_any_tag
 MARK = "__mark"
 
 
+def delta_key_bounds(delta: DataFrame, *, delta_key: str, mark: str, low=None, high=None):
+    """(upper mark, smallest key, largest key) of the delta requests in
+    `(low, high]` in one small aggregate over the delta side; the upper mark
+    is `high` when given, else the largest mark above `low`."""
+    row = delta.where(mark_range(delta[mark], low, high)).agg(
+        F.max(mark).alias("hi"), F.min(delta_key).alias("kmin"), F.max(delta_key).alias("kmax")).first()
+    return (high if high is not None else row["hi"]), row["kmin"], row["kmax"]
+
+
 def change_rows(delta: DataFrame, snapshot: DataFrame, *, delta_key: str, snap_key: str, mark: str,
                 low=None, high=None, latest_only: bool = False, keep_mark: bool = False,
-                strategy: str = "split") -> DataFrame:
+                strategy: str = "split", snap_bounds: tuple | None = None) -> DataFrame:
     """J1 + P5: change rows for delta requests with `low < mark <= high`.
 
     Each delta row fans out to every snapshot row with its key (marker 4);
@@ -36,9 +45,19 @@ def change_rows(delta: DataFrame, snapshot: DataFrame, *, delta_key: str, snap_k
     without a shuffle) and can have skewed partitions split by AQE, which a
     left outer join cannot do for its right side. `strategy="outer"` is the
     literal left outer join.
+
+    `snap_bounds=(smallest, largest)` delta key (see `delta_key_bounds`)
+    limits the snapshot to that key range with literal predicates, which
+    reach the Parquet scan: on a snapshot clustered by key, row groups
+    outside the range are skipped, so a run reads the part of the snapshot
+    its requests can touch rather than all of it.
     Output: marker, key, the other snapshot columns (and `__mark` when
     `keep_mark`, for ordering by (mark, key)).
     """
+    if snap_bounds is not None:
+        lo, hi = snap_bounds
+        key = snapshot[snap_key]
+        snapshot = snapshot.where(key.between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False))
     d = delta.where(mark_range(delta[mark], low, high)).select(
         delta[mark].alias(MARK), delta[delta_key].alias("__dkey"))
     if latest_only:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators.aggregates import next_watermark
 from ..operators.filters import mark_range
-from ..operators.joins import MARK, TIE, change_order, change_rows
+from ..operators.joins import MARK, TIE, change_order, change_rows, delta_key_bounds
 from ..operators.project import envelope
 from ..sources import paths
 from ..sources.sinks import write_change
@@ -189,9 +189,16 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
         mode = res.mode = choose_mode(spec, seq)
         delta = spec.delta(spark) if spec.delta is not None else None
         mark_type = delta.schema[spec.mark].dataType.simpleString() if delta is not None else None
-        if delta is not None and high is None:
-            # Only marks above the saved one can raise it; the pushed filter
-            # lets an append-only table skip its old row groups.
+        bounds = None
+        if delta is not None and spec.delta_key:
+            # One small job over the delta side: the upper mark (only marks
+            # above the saved one can raise it, and the pushed filter lets an
+            # append-only table skip old row groups) and the key range of the
+            # requests in (last, high], used to prune the snapshot scan.
+            top, kmin, kmax = delta_key_bounds(delta, delta_key=spec.delta_key, mark=spec.mark, low=last, high=high)
+            high = top if top is not None else last
+            bounds = (kmin, kmax)
+        elif delta is not None and high is None:
             high = delta.where(mark_range(delta[spec.mark], last)).agg(F.max(spec.mark)).first()[0]
             if high is None:
                 high = last
@@ -216,7 +223,8 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
             if delta is None:
                 raise ValueError("delta mode needs a delta table")
             rows = change_rows(delta, snapshot, delta_key=spec.delta_key, snap_key=spec.snap_key, mark=spec.mark,
-                               low=last, high=high, latest_only=spec.latest_only, keep_mark=True)
+                               low=last, high=high, latest_only=spec.latest_only, keep_mark=True,
+                               snap_bounds=bounds)
             observed = {"high_seen": F.max(MARK)}
             order = None
             if spec.ordered:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import MARK, TIE, change_order, change_rows
+from ..operators.joins import MARK, TIE, change_order, change_rows, delta_key_bounds
 from ..plans.mirror import save_state
 from ..sources.sinks import write_change
 
@@ -40,7 +40,9 @@ def stream_mirror(spark: SparkSession, deltas: DataFrame, snapshot: DataFrame, *
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            rows = change_rows(batch, snapshot, delta_key=delta_key, snap_key=snap_key, mark=mark, keep_mark=True)
+            _, kmin, kmax = delta_key_bounds(batch, delta_key=delta_key, mark=mark)
+            rows = change_rows(batch, snapshot, delta_key=delta_key, snap_key=snap_key, mark=mark, keep_mark=True,
+                               snap_bounds=(kmin, kmax))
             order = None
             if ordered:
                 rows, order = change_order(rows, snap_key)
