@@ -246,3 +246,14 @@ def test_conform_from_catalog(spark, workdir):
     assert (str(r.b), r.a) == ("1.23", "xy")
     with pytest.raises(ValueError):
         conform_from_catalog(spark.range(1), cat, "s", "missing")
+
+
+def test_catalog_from_session(spark):
+    from tidemark.plans.catalog import catalog_objects_from_session
+    load(spark, SF001, "region").createOrReplaceTempView("tm_region_view")
+    objs = catalog_objects_from_session(spark, include_temporary=True)
+    assert objs[("default", "tm_region_view")][0] == "view"
+    entries = profile(spark, objs)
+    row = entries.where("object = 'tm_region_view'").first()
+    assert [c.COLUMN_NAME for c in row.entry.columns] == ["r_regionkey", "r_name"]
+    assert catalog_objects_from_session(spark, ["default"]) == {}  # temporary views left out by default

@@ -109,3 +109,46 @@ def conform_from_catalog(df: DataFrame, cat: DataFrame, schema: str, obj: str, *
     catalogued table). No column metadata is an error."""
     from ..operators.project import conform
     return conform(df, catalog_columns(cat, schema, obj), **kw)
+
+
+def _is_system(name: str) -> bool:
+    from ..fixed import SYSTEM_SCHEMA_NAMES, SYSTEM_SCHEMA_PREFIX
+    upper = (name or "").upper()
+    return upper.startswith(SYSTEM_SCHEMA_PREFIX) or upper in SYSTEM_SCHEMA_NAMES
+
+
+def catalog_objects_from_session(spark: SparkSession, databases=None, *, all_databases: bool = False,
+                                 default_database: str = "default", include_views: bool = True,
+                                 include_temporary: bool = False) -> dict:
+    """The objects of the session catalog, in the form `profile` takes.
+
+    Databases: all non-system ones (F3), an explicit list, or the default
+    one (F6). Tables and views come from `spark.catalog`; an object that
+    does not resolve is a table that is left out, or a view marked
+    unreadable (the access check). Only metadata is listed here; the row
+    counts run later as one job.
+    """
+    if all_databases:
+        names = sorted(d.name for d in spark.catalog.listDatabases() if not _is_system(d.name))
+    elif databases:
+        names = list(databases)
+    else:
+        names = [default_database]
+    objects = {}
+    for db in names:
+        for t in spark.catalog.listTables(db):
+            if t.isTemporary and not include_temporary:
+                continue
+            kind = "view" if (t.tableType or "").upper() in ("VIEW", "TEMPORARY") else "table"
+            if kind == "view" and not include_views:
+                continue
+            qualified = t.name if t.isTemporary else f"`{db}`.`{t.name}`"
+            try:
+                df = spark.table(qualified)
+                readable = True
+            except Exception:
+                if kind == "table":
+                    continue
+                df, readable = spark.range(0), False
+            objects[(db, t.name)] = (kind, df, readable) if kind == "view" else (kind, df)
+    return objects

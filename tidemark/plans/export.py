@@ -115,9 +115,16 @@ def export_all(spark: SparkSession, statements: dict[str, str], out_dir: str, **
     return results
 
 
-def export_folder(spark: SparkSession, folder: str, out_dir: str, **kw) -> list[ExportResult]:
-    """T5 over the `*.sql` files of a folder (see `statements_in`)."""
-    return export_all(spark, statements_in(spark, folder), out_dir, **kw)
+def export_folder(spark: SparkSession, folder: str, out_dir: str, names=None, **kw) -> list[ExportResult]:
+    """T5 over the `*.sql` files of a folder (see `statements_in`); `names`
+    picks some of them (an unknown name is an error)."""
+    statements = statements_in(spark, folder)
+    if names:
+        unknown = [n for n in names if n not in statements]
+        if unknown:
+            raise ValueError(f"query {unknown[0]!r} not found in {folder}")
+        statements = {n: statements[n] for n in names}
+    return export_all(spark, statements, out_dir, **kw)
 
 
 def run_log_frame(spark: SparkSession, results) -> DataFrame:
