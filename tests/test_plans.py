@@ -257,3 +257,24 @@ def test_catalog_from_session(spark):
     row = entries.where("object = 'tm_region_view'").first()
     assert [c.COLUMN_NAME for c in row.entry.columns] == ["r_regionkey", "r_name"]
     assert catalog_objects_from_session(spark, ["default"]) == {}  # temporary views left out by default
+
+
+def test_wall_clock_marks_ignore_session_time_zone(spark, workdir):
+    import datetime as dt
+    from tidemark.operators.filters import since
+    ev = load(spark, SF001, "events")
+    ts = sorted(r.ts for r in ev.select("ts").collect())
+    mid = ts[len(ts) // 2]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert since(ev, "ts", mid).count() == sum(1 for t in ts if t > mid)
+        assert since(ev, "ts").count() == len(ts)  # no saved mark: no lower bound on a timestamp
+        ev.createOrReplaceTempView("events")
+        target = f"{workdir}/ev"
+        first = export(spark, "ev", SQL, target, initial=("1900-01-01 00:00:00", -1))
+        second = export(spark, "ev", SQL, target)
+        assert first.error is None and first.rows == len(ts)
+        assert second.error is None and second.rows == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fixed import PK_PREFIX, WM_PREFIX
-from .filters import mark_range
+from .filters import mark_range, typed_lit
 
 
 def table_counts(spark: SparkSession, tables: dict) -> DataFrame:
@@ -38,8 +38,9 @@ def table_counts(spark: SparkSession, tables: dict) -> DataFrame:
 def watermark_after(df: DataFrame, mark: str, last=None, high=None) -> DataFrame:
     """A2 as a one-row frame: the largest mark above `last` (and at most
     `high`), or `last` when there is none."""
-    fallback = F.lit(last).cast(df.schema[mark].dataType)
-    return df.where(mark_range(df[mark], last, high)).agg(
+    dtype = df.schema[mark].dataType
+    fallback = typed_lit(last, dtype)
+    return df.where(mark_range(df[mark], last, high, dtype)).agg(
         F.coalesce(F.max(mark), fallback).alias("watermark"))
 
 

@@ -4,8 +4,11 @@ reach the Parquet scan as pushed filters where the column allows."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..fixed import SYSTEM_SCHEMA_NAMES, SYSTEM_SCHEMA_PREFIX
 
@@ -14,19 +17,38 @@ def _as_col(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)
 
 
-def mark_range(mark, low=None, high=None) -> Column:
-    """`low < mark <= high`; no saved low means 0. Rows at or below the saved
-    mark are never read again."""
+def typed_lit(value, dtype: T.DataType | None = None) -> Column:
+    """A literal of the column's own type. A wall-clock timestamp
+    (timestamp_ntz) is built from its text, so no time zone is applied on
+    the way (a Python datetime literal would be read in a zone)."""
+    if dtype is None:
+        return F.lit(value)
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, T.TimestampNTZType) and isinstance(value, dt.datetime):
+        return F.lit(value.replace(tzinfo=None).isoformat(sep=" ")).cast(dtype)
+    return F.lit(value).cast(dtype)
+
+
+def mark_range(mark, low=None, high=None, dtype: T.DataType | None = None) -> Column:
+    """`low < mark <= high`. No saved low means 0 for a numeric mark (rows at
+    or below the saved mark are never read again); a non-numeric mark
+    without a saved low has no lower bound. `dtype` is the mark's type, so
+    the bounds are literals of that type."""
     m = _as_col(mark)
-    cond = m > F.lit(0 if low is None else low)
+    if low is None:
+        numeric = dtype is None or isinstance(dtype, T.NumericType)
+        cond = (m > typed_lit(0, dtype)) if numeric else m.isNotNull()
+    else:
+        cond = m > typed_lit(low, dtype)
     if high is not None:
-        cond = cond & (m <= F.lit(high))
+        cond = cond & (m <= typed_lit(high, dtype))
     return cond
 
 
 def since(df: DataFrame, mark: str, low=None, high=None) -> DataFrame:
     """rows strictly above the saved watermark (and at most `high`)."""
-    return df.where(mark_range(df[mark], low, high))
+    return df.where(mark_range(df[mark], low, high, df.schema[mark].dataType))
 
 
 def non_system_schemas(schemas: DataFrame, col: str = "SCHEMA_NAME") -> DataFrame:

@@ -24,7 +24,7 @@ def delta_key_bounds(delta: DataFrame, *, delta_key: str, mark: str, low=None, h
     """(upper mark, smallest key, largest key) of the delta requests in
     `(low, high]` in one small aggregate over the delta side; the upper mark
     is `high` when given, else the largest mark above `low`."""
-    row = delta.where(mark_range(delta[mark], low, high)).agg(
+    row = delta.where(mark_range(delta[mark], low, high, delta.schema[mark].dataType)).agg(
         F.max(mark).alias("hi"), F.min(delta_key).alias("kmin"), F.max(delta_key).alias("kmax")).first()
     return (high if high is not None else row["hi"]), row["kmin"], row["kmax"]
 
@@ -58,7 +58,7 @@ def change_rows(delta: DataFrame, snapshot: DataFrame, *, delta_key: str, snap_k
         lo, hi = snap_bounds
         key = snapshot[snap_key]
         snapshot = snapshot.where(key.between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False))
-    d = delta.where(mark_range(delta[mark], low, high)).select(
+    d = delta.where(mark_range(delta[mark], low, high, delta.schema[mark].dataType)).select(
         delta[mark].alias(MARK), delta[delta_key].alias("__dkey"))
     if latest_only:
         d = d.groupBy("__dkey").agg(F.max(MARK).alias(MARK))

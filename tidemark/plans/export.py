@@ -20,7 +20,7 @@ from ..fixed import ELAPSED_DECIMALS
 from ..operators.aggregates import assert_unique, max_tuple, pk_columns, wm_columns
 from ..sources import paths
 from ..sources.sinks import write_snapshot
-from ..sources.sql import query_source, statements_in
+from ..sources.sql import bindable, query_source, statements_in
 
 RUN_LOG = T.StructType([
     T.StructField("name", T.StringType()),
@@ -44,33 +44,36 @@ class ExportResult:
         return (self.name, int(self.rows), round(self.elapsed, ELAPSED_DECIMALS), self.error, now)
 
 
-def previous_marks(spark: SparkSession, target: str) -> tuple | None:
-    """F2 input: the largest WM tuple of the previous output, or None."""
+def previous_marks(spark: SparkSession, target: str, with_types: bool = False):
+    """F2 input: the largest WM tuple of the previous output, or None (with
+    `with_types`, also the type names of the WM columns)."""
     if not paths.has_data_files(spark, target):
-        return None
+        return (None, None) if with_types else None
     prev = spark.read.parquet(target)
     cols = wm_columns(prev)
-    if not cols:
-        return None
-    row = max_tuple(prev, cols).first()
+    row = max_tuple(prev, cols).first() if cols else None
     if row is None or all(v is None for v in row):
-        return None
-    return tuple(row)
+        return (None, None) if with_types else None
+    types = tuple(prev.schema[c].dataType.simpleString() for c in cols)
+    return (tuple(row), types) if with_types else tuple(row)
 
 
-def mark_args(marks: tuple | None) -> dict:
-    """Named parameters wm1, wm2, ... for a WM tuple (typed literals)."""
+def mark_args(marks: tuple | None, types: tuple | None = None) -> dict:
+    """Named parameters wm1, wm2, ... for a WM tuple, bound as literals
+    (wall-clock timestamps as text, so no time zone shifts them)."""
     if marks is None:
         return {}
-    return {f"wm{i}": v for i, v in enumerate(marks, start=1)}
+    types = types or (None,) * len(marks)
+    return {f"wm{i}": bindable(v, t) for i, (v, t) in enumerate(zip(marks, types), start=1)}
 
 
 def incremental_query(spark: SparkSession, sql: str, target: str, initial: tuple | None = None,
                       args: dict | None = None) -> tuple[DataFrame, tuple | None]:
     """the statement with `:wmN` bound to the previous output's largest
     tuple (or `initial` on the first run)."""
-    marks = previous_marks(spark, target) or initial
-    bound = {**mark_args(marks), **(args or {})}
+    prev, types = previous_marks(spark, target, with_types=True)
+    marks = prev if prev is not None else initial
+    bound = {**mark_args(marks, types if prev is not None else None), **(args or {})}
     return query_source(spark, sql, bound or None), marks
 
 

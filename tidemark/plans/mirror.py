@@ -25,6 +25,7 @@ from ..operators.joins import MARK, TIE, change_order, change_rows, delta_key_bo
 from ..operators.project import envelope
 from ..sources import paths
 from ..sources.sinks import write_change
+from ..sources.sql import bindable
 
 STATE_FIELDS = ("name", "last_sequence", "last_watermark", "watermark_type", "watermark_column", "mode",
                 "last_run_utc")
@@ -199,7 +200,8 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
             high = top if top is not None else last
             bounds = (kmin, kmax)
         elif delta is not None and high is None:
-            high = delta.where(mark_range(delta[spec.mark], last)).agg(F.max(spec.mark)).first()[0]
+            high = delta.where(mark_range(delta[spec.mark], last, None, delta.schema[spec.mark].dataType)) \
+                .agg(F.max(spec.mark)).first()[0]
             if high is None:
                 high = last
         snapshot = spec.snapshot(spark) if spec.snapshot is not None else None
@@ -215,7 +217,8 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
             new_mark = high if delta is not None else last
         elif mode == "delta" and spec.delta_sql is not None:
             # The statement computes the change rows; its ORDER BY is kept.
-            args = {"low": 0 if last is None else last, "high": high}
+            args = {"low": bindable(0 if last is None else last, mark_type),
+                    "high": bindable(high, mark_type)}
             rows = spark.sql(spec.delta_sql, args={k: v for k, v in args.items() if f":{k}" in spec.delta_sql})
             n = write_change(rows, root, spec.name, seq + 1)
             new_mark = (next_watermark(delta, spec.mark, last, high) if delta is not None else last)

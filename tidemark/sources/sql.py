@@ -39,3 +39,13 @@ def statements_in(spark: SparkSession, folder: str) -> dict[str, str]:
         text = paths.read_text(spark, f"{folder.rstrip('/')}/{name}") or ""
         out[name[:-4]] = bind_placeholders(text.strip())
     return out
+
+
+def bindable(value, type_name: str | None = None):
+    """A parameter value that binds without a time-zone shift: a wall-clock
+    timestamp (timestamp_ntz) is passed as its text, which Spark coerces to
+    the compared column's type; other values pass as they are."""
+    import datetime as dt
+    if type_name == "timestamp_ntz" and isinstance(value, dt.datetime):
+        return value.replace(tzinfo=None).isoformat(sep=" ")
+    return value
