@@ -99,6 +99,19 @@ def duplicate_keys(df: DataFrame, pk: list[str] | None = None) -> DataFrame:
             .where(F.col("n") > 1))
 
 
+def key_summary(df: DataFrame, pk: list[str], name: str) -> DataFrame:
+    """A5 as a profile: distinct keys, keys occurring more than once, and
+    the rows carrying those keys, in one grouped aggregate (map-side partial
+    counts, so a hot key stays cheap)."""
+    per_key = df.groupBy(*[df[f"`{c}`"] for c in pk]).agg(F.count(F.lit(1)).alias("n"))
+    dup = F.col("n") > 1
+    return per_key.agg(
+        F.count(F.lit(1)).alias("key_count"),
+        F.count(F.when(dup, 1)).alias("duplicate_keys"),
+        F.coalesce(F.sum(F.when(dup, F.col("n"))), F.lit(0)).cast("long").alias("rows_in_duplicates"),
+    ).select(F.lit(name).alias("table_name"), "key_count", "duplicate_keys", "rows_in_duplicates")
+
+
 def assert_unique(df: DataFrame, pk: list[str] | None = None, examples: int = 5) -> None:
     """A5 as a check: raise with up to `examples` duplicate keys; no key
     columns means no check."""

@@ -219,6 +219,14 @@ SELECT pos, value, is_id, CASE WHEN is_id THEN NULL ELSE n END AS match_count,
 FROM j
 """
 
+_KEYS = {"lineitem": "l_orderkey, l_linenumber", "orders": "o_orderkey", "customer": "c_custkey",
+         "part": "p_partkey", "events": "event_id", "conversations": "conv_id, turn"}
+
+KEY_CHECK = " UNION ALL ".join(
+    f"""SELECT '{t}' AS table_name, count(*) AS key_count, count(*) FILTER (WHERE n > 1) AS duplicate_keys,
+        CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS rows_in_duplicates
+        FROM (SELECT count(*) AS n FROM {t} GROUP BY {k})""" for t, k in sorted(_KEYS.items()))
+
 ORACLE = {
     "delta_change_rows": CHANGE_ROWS,
     "mirror_batch": MIRROR_BATCH,
@@ -245,6 +253,8 @@ ORACLE = {
     "run_outcome": RUN_OUTCOME,
     "part_files": f"SELECT {LINEITEM_COLS} FROM lineitem",
     "next_watermark": "SELECT max(event_id) AS watermark FROM events WHERE event_id > 0",
+    "next_watermark_ts": "SELECT max(ts) AS watermark FROM events",
+    "key_check": KEY_CHECK,
     "max_column": "SELECT max(value) FILTER (WHERE NOT isnan(value)) AS max_value FROM events",
     "max_tuple": 'SELECT o_orderdate AS "WM1", o_orderkey AS "WM2" FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1',
     "duplicate_keys": """

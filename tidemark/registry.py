@@ -294,6 +294,24 @@ def duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
     return A.duplicate_keys(load(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"], "customer": ["c_custkey"],
+        "part": ["p_partkey"], "events": ["event_id"], "conversations": ["conv_id", "turn"]}
+
+
+def key_check(spark: SparkSession, sf: str) -> DataFrame:
+    """A5 over several tables: distinct keys, duplicate keys, rows in them."""
+    parts = [A.key_summary(load(spark, sf, t), KEYS[t], t) for t in sorted(KEYS)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def next_watermark_ts(spark: SparkSession, sf: str) -> DataFrame:
+    """A2 on a timestamp mark (no saved mark: no lower bound)."""
+    return A.watermark_after(load(spark, sf, "events"), "ts", None)
+
+
 def table_counts(spark: SparkSession, sf: str) -> DataFrame:
     """A1 + F4: all tables counted in one job, empty ones left out."""
     counts = A.table_counts(spark, {t: (lambda t=t: load(spark, sf, t)) for t in TABLES})
@@ -442,9 +460,11 @@ QUERIES = {
     "run_outcome": run_outcome,
     "part_files": part_files,
     "next_watermark": next_watermark,
+    "next_watermark_ts": next_watermark_ts,
     "max_column": max_column,
     "max_tuple": max_tuple,
     "duplicate_keys": duplicate_keys,
+    "key_check": key_check,
     "table_counts": table_counts,
     "top_n": top_n,
     "catalog_flat": catalog_flat,
