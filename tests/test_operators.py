@@ -232,3 +232,17 @@ def test_change_order_spreads_a_hot_key(spark):
     assert max(sizes) < hot_rows / 2
     ordered = [(r[MARK], r.l_orderkey) for r in df.orderBy(*order).select(MARK, "l_orderkey").collect()]
     assert ordered == sorted(ordered)
+
+
+def test_change_rows_bounds_on_wall_clock_keys(spark):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1, 12, 0, 0)
+    delta = spark.createDataFrame([(1, t0)], "mark long, key timestamp_ntz")
+    snap = spark.createDataFrame([(t0, "a"), (t0 + dt.timedelta(hours=9), "b")], "key timestamp_ntz, v string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        got = J.change_rows(delta, snap, delta_key="key", snap_key="key", mark="mark", snap_bounds=(t0, t0)).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert [(r["__rowMarker__"], r.v) for r in got] == [(4, "a")]

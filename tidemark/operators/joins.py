@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..fixed import MARKER_GONE, MARKER_PRESENT, ROW_MARKER_COL
 from ..functions.text import is_guid
-from .filters import mark_range, with_any_tag
+from .filters import mark_range, typed_lit, with_any_tag
 
 MARK = "__mark"
 
@@ -57,7 +58,9 @@ def change_rows(delta: DataFrame, snapshot: DataFrame, *, delta_key: str, snap_k
     if snap_bounds is not None:
         lo, hi = snap_bounds
         key = snapshot[snap_key]
-        snapshot = snapshot.where(key.between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False))
+        kt = snapshot.schema[snap_key].dataType
+        as_lit = (lambda v: typed_lit(v, kt)) if isinstance(kt, T.TimestampNTZType) else F.lit
+        snapshot = snapshot.where(key.between(as_lit(lo), as_lit(hi)) if lo is not None else F.lit(False))
     d = delta.where(mark_range(delta[mark], low, high, delta.schema[mark].dataType)).select(
         delta[mark].alias(MARK), delta[delta_key].alias("__dkey"))
     if latest_only:

@@ -217,6 +217,9 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
             new_mark = high if delta is not None else last
         elif mode == "delta" and spec.delta_sql is not None:
             # The statement computes the change rows; its ORDER BY is kept.
+            # Without a `:high` bound it may include requests that arrived
+            # after `high` was fixed; as the state records `high`, those are
+            # read again next time (at least once, never lost).
             args = {"low": bindable(0 if last is None else last, mark_type),
                     "high": bindable(high, mark_type)}
             rows = spark.sql(spec.delta_sql, args={k: v for k, v in args.items() if f":{k}" in spec.delta_sql})
