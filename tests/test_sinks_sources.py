@@ -122,3 +122,42 @@ def test_flatten_pages_list_name_from_first_page_only(spark):
     # The first page has no list at all: later pages are taken whole.
     pages = _pages(spark, ['{"n": 1}', '{"value": [{"x": 1}]}'])
     assert [r.item for r in flatten_pages(pages).orderBy("page_no").collect()] == ['{"n": 1}', '{"value": [{"x": 1}]}']
+
+
+class _Reader:
+    """Stands in for the JDBC reader: records options instead of connecting."""
+
+    def __init__(self, seen):
+        self.seen = seen
+
+    def format(self, f):
+        self.seen["format"] = f
+        return self
+
+    def option(self, k, v):
+        self.seen[k] = v
+        return self
+
+    def load(self):
+        return self.seen
+
+
+class _Session:
+    def __init__(self):
+        self.seen = {}
+        self.sparkContext = type("SC", (), {"defaultParallelism": 8})()
+
+    @property
+    def read(self):
+        return _Reader(self.seen)
+
+
+def test_jdbc_source_options():
+    from tidemark.sources.jdbc import jdbc_source
+    s = _Session()
+    opts = jdbc_source(s, "jdbc:x://h/db", "schema.t", partition_column="id", bounds=(1, 1000), num_partitions=4)
+    assert opts["format"] == "jdbc" and opts["dbtable"] == "schema.t" and opts["fetchsize"] == "50000"
+    assert (opts["partitionColumn"], opts["lowerBound"], opts["upperBound"], opts["numPartitions"]) == \
+        ("id", "1", "1000", "4")
+    plain = jdbc_source(_Session(), "jdbc:x://h/db", "(SELECT 1) q", fetchsize=10)
+    assert "partitionColumn" not in plain and plain["fetchsize"] == "10"
