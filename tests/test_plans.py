@@ -278,3 +278,15 @@ def test_wall_clock_marks_ignore_session_time_zone(spark, workdir):
         assert second.error is None and second.rows == 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_profile_scope_applies_before_counting(spark):
+    objs = _objects(spark)
+    objs[("SYS_X", "t")] = ("table", load(spark, SF001, "region"))
+    objs[("other", "t")] = ("table", load(spark, SF001, "region"))
+    all_user = {r.schema for r in profile(spark, objs, all_schemas=True).collect()}
+    assert all_user == {"s", "other"}
+    only = {r.schema for r in profile(spark, objs, schemas=["other"]).collect()}
+    assert only == {"other"}
+    with pytest.raises(ValueError):
+        profile(spark, objs, default_schema="none")

@@ -84,9 +84,30 @@ def counted_objects(spark: SparkSession, objects: dict) -> DataFrame:
     return spark.createDataFrame(rows, COUNTS)
 
 
+def in_scope(objects: dict, schemas=None, *, all_schemas: bool = False, default_schema: str | None = None) -> dict:
+    """F6 on the object list, before anything is counted: an explicit list of
+    schemas, all non-system schemas (F3), or one default schema."""
+    if all_schemas:
+        keep = lambda sch: not _is_system(sch)
+    elif schemas:
+        wanted = set(schemas)
+        keep = lambda sch: sch in wanted
+    elif default_schema is not None:
+        keep = lambda sch: sch == default_schema
+    else:
+        return dict(objects)
+    return {k: v for k, v in objects.items() if keep(k[0])}
+
+
 def profile(spark: SparkSession, objects: dict, *, count_tables: bool = True, include_views: bool = True,
-            map_types: bool = False) -> DataFrame:
-    """E3 in Spark form: per-object catalog entries (see `catalog_entries`)."""
+            map_types: bool = False, schemas=None, all_schemas: bool = False,
+            default_schema: str | None = None) -> DataFrame:
+    """E3 in Spark form: per-object catalog entries (see `catalog_entries`).
+    The schema scope is applied to the object list first, so out-of-scope
+    tables are never counted."""
+    objects = in_scope(objects, schemas, all_schemas=all_schemas, default_schema=default_schema)
+    if not objects:
+        raise ValueError("no objects in scope")
     tables, views, raw = system_tables(spark, objects)
     inv = inventory(tables, views)
     cols = normalise_columns(raw, keep=("SCHEMA_NAME", "OBJECT_NAME")) \

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from .operators import aggregates as A
 from .operators import joins as J
-from .operators.filters import in_schemas
 from .operators.nested import build_catalog, flatten_catalog
 from .operators.ordering import head
 from .operators.project import conform, envelope, normalise_columns
@@ -337,8 +336,7 @@ def catalog_objects(spark: SparkSession, sf: str) -> dict:
 
 
 def _catalog_entries(spark: SparkSession, sf: str, map_types: bool = False) -> DataFrame:
-    entries = profile(spark, catalog_objects(spark, sf), map_types=map_types)
-    return in_schemas(entries, "schema", all_schemas=True)
+    return profile(spark, catalog_objects(spark, sf), map_types=map_types, all_schemas=True)
 
 
 def catalog_flat(spark: SparkSession, sf: str) -> DataFrame:
