@@ -140,14 +140,15 @@ def _is_system(name: str) -> bool:
 
 def catalog_objects_from_session(spark: SparkSession, databases=None, *, all_databases: bool = False,
                                  default_database: str = "default", include_views: bool = True,
-                                 include_temporary: bool = False) -> dict:
+                                 include_temporary: bool = False, temporary_as: str = "view") -> dict:
     """The objects of the session catalog, in the form `profile` takes.
 
     Databases: all non-system ones (F3), an explicit list, or the default
     one (F6). Tables and views come from `spark.catalog`; an object that
     does not resolve is a table that is left out, or a view marked
     unreadable (the access check). Only metadata is listed here; the row
-    counts run later as one job.
+    counts run later as one job. Temporary views count as `temporary_as`
+    (e.g. "table" for Parquet folders registered as views).
     """
     if all_databases:
         names = sorted(d.name for d in spark.catalog.listDatabases() if not _is_system(d.name))
@@ -160,7 +161,10 @@ def catalog_objects_from_session(spark: SparkSession, databases=None, *, all_dat
         for t in spark.catalog.listTables(db):
             if t.isTemporary and not include_temporary:
                 continue
-            kind = "view" if (t.tableType or "").upper() in ("VIEW", "TEMPORARY") else "table"
+            if t.isTemporary:
+                kind = temporary_as
+            else:
+                kind = "view" if (t.tableType or "").upper() == "VIEW" else "table"
             if kind == "view" and not include_views:
                 continue
             qualified = t.name if t.isTemporary else f"`{db}`.`{t.name}`"
