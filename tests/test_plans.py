@@ -135,9 +135,14 @@ def test_catalog_round_trip(spark, workdir):
                                                                 ("view", "v")}
     doc = build_catalog(entries, "2026-01-01T00:00:00")
     write_catalog(doc, f"{workdir}/cat")
-    back = flatten_catalog(read_catalog(spark, f"{workdir}/cat"))
+    back = flatten_catalog(read_catalog(spark, f"{workdir}/cat", nested=True))
     direct = flatten_catalog(doc)
     assert back.count() == direct.count() and back.exceptAll(direct).count() == 0
+    write_catalog(entries, f"{workdir}/lines", "2026-01-01T00:00:00")  # one line per object
+    lines = read_catalog(spark, f"{workdir}/lines")
+    assert {r.generated_at for r in lines.collect()} == {"2026-01-01T00:00:00"}
+    per_object = flatten_catalog(lines)
+    assert per_object.count() == direct.count() and per_object.exceptAll(direct).count() == 0
     cols = [r.COLUMN_NAME for r in back.where("object = 'orders'").orderBy("ORDINAL_POSITION").collect()]
     assert cols == load(spark, SF001, "orders").columns
     types = entries.where("object = 'orders'").first().entry.pyarrow_cols
@@ -239,7 +244,7 @@ def test_conform_from_catalog(spark, workdir):
     objs = spark.createDataFrame([("s", "t", "table")], "schema string, object string, kind string")
     counts = spark.createDataFrame([("s", "t", 1)], "schema string, object string, row_count long")
     write_catalog(build_catalog(catalog_entries(objs, meta, counts), "2026-01-01T00:00:00"), f"{workdir}/cat")
-    cat = read_catalog(spark, f"{workdir}/cat")
+    cat = read_catalog(spark, f"{workdir}/cat", nested=True)
     out = conform_from_catalog(spark.createDataFrame([("xyz", 1.234)], "a string, b double"), cat, "s", "t")
     assert out.columns == ["b", "a"]
     r = out.first()

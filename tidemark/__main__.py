@@ -85,7 +85,10 @@ def _catalog(spark, a) -> int:
     entries = profile(spark, objects, include_views=a.views, map_types=a.map_types).persist()
     try:
         generated_at = dt.datetime.now().isoformat()
-        write_catalog(build_catalog(entries, generated_at, include_views=a.views), a.out)
+        if a.nested:
+            write_catalog(build_catalog(entries, generated_at, include_views=a.views), a.out)
+        else:
+            write_catalog(entries, a.out, generated_at)
         t = catalog_totals(entries).first()
         print(f"Done - wrote {a.out} (schemas={t.schemas}, tables={t.tables}, views={t.views})")
     finally:
@@ -128,6 +131,8 @@ def main(argv=None) -> int:
     c.add_argument("--all-databases", action="store_true")
     c.add_argument("--views", action="store_true")
     c.add_argument("--map-types", action="store_true")
+    c.add_argument("--nested", action="store_true",
+                   help="one nested document line per schema instead of one line per object")
 
     q = sub.add_parser("query", help="print the first rows of one statement")
     q.add_argument("sql", nargs="?")

@@ -60,8 +60,10 @@ def catalog_entries(objects: DataFrame, columns: DataFrame, counts: DataFrame |
 
 def build_catalog(entries: DataFrame, generated_at: str, include_views: bool = True) -> DataFrame:
     """N1 document form: one row per schema with maps name → entry for tables
-    and views, names sorted. A schema's map lives in one row, so this form is
-    for export (S9); the per-object `catalog_entries` is the scalable form."""
+    and views, names sorted, like the reference's single document. A
+    schema's map is built in one task, so its size is bounded by the objects
+    of one schema; the per-object `catalog_entries` (written one line each by
+    `write_catalog`) is the form that scales without such a bound."""
     def section(kind):
         item = F.when(F.col("kind") == kind, F.struct(F.col("object").alias("k"), F.col("entry").alias("v")))
         return F.map_from_entries(F.array_sort(F.collect_list(item)))
@@ -73,10 +75,15 @@ def build_catalog(entries: DataFrame, generated_at: str, include_views: bool = T
 
 def flatten_catalog(cat: DataFrame) -> DataFrame:
     """One row per schema, object, kind and column; an object without
-    columns gives one row with null column fields; the count may be unknown."""
-    def section(field, kind):
-        return cat.select("schema", F.explode(F.col(field)).alias("object", "entry")).withColumn("kind", F.lit(kind))
-    objs = section("tables", "table").unionByName(section("views", "view"))
+    columns gives one row with null column fields; the count may be unknown.
+    Takes per-object entries or the per-schema document."""
+    if "entry" in cat.columns:
+        objs = cat.select("schema", "kind", "object", "entry")
+    else:
+        def section(field, kind):
+            return (cat.select("schema", F.explode(F.col(field)).alias("object", "entry"))
+                    .withColumn("kind", F.lit(kind)))
+        objs = section("tables", "table").unionByName(section("views", "view"))
     flat = objs.select("schema", "kind", "object", F.col("entry.row_count").alias("row_count"),
                        F.col("entry.access_ok").alias("access_ok"),
                        F.explode_outer("entry.columns").alias("c"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .operators import aggregates as A
 from .operators import joins as J
-from .operators.nested import build_catalog, flatten_catalog
+from .operators.nested import flatten_catalog
 from .operators.ordering import head
 from .operators.project import conform, envelope, normalise_columns
 from .functions.types import cast_type, file_type
@@ -341,9 +341,9 @@ def _catalog_entries(spark: SparkSession, sf: str, map_types: bool = False) -> D
 
 def catalog_flat(spark: SparkSession, sf: str) -> DataFrame:
     """N3 + P6 + A1 + F4 + F6 + N1 + S9 + S10 + N2: profile the tables and a
-    view, build the nested document, write it, read it back and flatten."""
+    view, write the per-object catalog, read it back and flatten."""
     path = f"{scratch_dir(spark, 'catalog')}/catalog.json"
-    write_catalog(build_catalog(_catalog_entries(spark, sf), GENERATED_AT), path)
+    write_catalog(_catalog_entries(spark, sf), path, GENERATED_AT)
     flat = flatten_catalog(read_catalog(spark, path))
     return flat.select("schema", "kind", "object", "row_count", "IS_NULLABLE", "COLUMN_NAME", "ORDINAL_POSITION")
 
@@ -361,7 +361,7 @@ def catalog_conform(spark: SparkSession, sf: str) -> DataFrame:
     catalog document, then cast `lineitem` to the types it declares (the
     Spark form of regenerating a CAST query from the catalog)."""
     path = f"{scratch_dir(spark, 'catalog')}/catalog.json"
-    write_catalog(build_catalog(_catalog_entries(spark, sf), GENERATED_AT), path)
+    write_catalog(_catalog_entries(spark, sf), path, GENERATED_AT)
     return conform_from_catalog(load(spark, sf, "lineitem"), read_catalog(spark, path), CATALOG_SCHEMA, "lineitem")
 
 

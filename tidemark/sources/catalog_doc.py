@@ -32,11 +32,28 @@ CATALOG_DOC = T.StructType([
 ])
 
 
-def write_catalog(cat: DataFrame, path: str) -> None:
-    """JSON lines, one per schema, replacing the previous document."""
+CATALOG_ENTRY = T.StructType([
+    T.StructField("generated_at", T.StringType()),
+    T.StructField("schema", T.StringType()),
+    T.StructField("kind", T.StringType()),
+    T.StructField("object", T.StringType()),
+    T.StructField("entry", OBJECT_ENTRY),
+])
+
+
+def write_catalog(cat: DataFrame, path: str, generated_at: str | None = None) -> None:
+    """The catalog as JSON lines, replacing the previous one.
+
+    Per-object entries (schema, kind, object, entry) are written one line
+    each, in parallel, with `generated_at`; a per-schema document (from
+    `build_catalog`) is written one line per schema."""
+    if "entry" in cat.columns and "generated_at" not in cat.columns:
+        from pyspark.sql import functions as F
+        cat = cat.select(F.lit(generated_at).alias("generated_at"), "schema", "kind", "object", "entry")
     cat.write.mode("overwrite").json(path)
 
 
-def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """Read the document back with its declared schema (no inference)."""
-    return spark.read.schema(CATALOG_DOC).json(path)
+def read_catalog(spark: SparkSession, path: str, nested: bool = False) -> DataFrame:
+    """Read a catalog back with its declared schema (no inference):
+    per-object lines by default, or the per-schema document (`nested`)."""
+    return spark.read.schema(CATALOG_DOC if nested else CATALOG_ENTRY).json(path)
