@@ -295,3 +295,15 @@ def test_profile_scope_applies_before_counting(spark):
     assert only == {"other"}
     with pytest.raises(ValueError):
         profile(spark, objs, default_schema="none")
+
+
+def test_missing_tuple_position_binds_null(spark, workdir):
+    from tidemark.plans.export import mark_args
+    args = mark_args((5,), None, "SELECT * FROM t WHERE a > :wm1 OR :wm2 IS NULL OR b > :wm3")
+    assert args == {"wm1": 5, "wm2": None, "wm3": None}
+    load(spark, SF001, "orders").createOrReplaceTempView("orders")
+    target = f"{workdir}/o"
+    sql = "SELECT o_orderkey AS WM1, o_orderkey AS PK1 FROM orders WHERE o_orderkey > :wm1 OR :wm2 IS NOT NULL"
+    assert export(spark, "o", sql, target, initial=(-1, None)).error is None
+    again = export(spark, "o", sql, target)
+    assert again.error is None and again.rows == 0

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 import time
 from dataclasses import dataclass
 
@@ -58,13 +59,20 @@ def previous_marks(spark: SparkSession, target: str, with_types: bool = False):
     return (tuple(row), types) if with_types else tuple(row)
 
 
-def mark_args(marks: tuple | None, types: tuple | None = None) -> dict:
+_SLOT = re.compile(r":wm(\d+)\b", re.IGNORECASE)
+
+
+def mark_args(marks: tuple | None, types: tuple | None = None, sql: str | None = None) -> dict:
     """Named parameters wm1, wm2, ... for a WM tuple, bound as literals
-    (wall-clock timestamps as text, so no time zone shifts them)."""
+    (wall-clock timestamps as text, so no time zone shifts them). A slot of
+    the statement beyond the tuple's length is bound to NULL."""
     if marks is None:
         return {}
     types = types or (None,) * len(marks)
-    return {f"wm{i}": bindable(v, t) for i, (v, t) in enumerate(zip(marks, types), start=1)}
+    args = {f"wm{i}": bindable(v, t) for i, (v, t) in enumerate(zip(marks, types), start=1)}
+    for n in sorted({int(m) for m in _SLOT.findall(sql or "")}):
+        args.setdefault(f"wm{n}", None)
+    return args
 
 
 def incremental_query(spark: SparkSession, sql: str, target: str, initial: tuple | None = None,
@@ -73,7 +81,7 @@ def incremental_query(spark: SparkSession, sql: str, target: str, initial: tuple
     tuple (or `initial` on the first run)."""
     prev, types = previous_marks(spark, target, with_types=True)
     marks = prev if prev is not None else initial
-    bound = {**mark_args(marks, types if prev is not None else None), **(args or {})}
+    bound = {**mark_args(marks, types if prev is not None else None, sql), **(args or {})}
     return query_source(spark, sql, bound or None), marks
 
 
