@@ -59,7 +59,7 @@ def previous_marks(spark: SparkSession, target: str, with_types: bool = False):
     return (tuple(row), types) if with_types else tuple(row)
 
 
-_SLOT = re.compile(r":wm(\d+)\b", re.IGNORECASE)
+_SLOT = re.compile(r":wm(\d+)\b")
 
 
 def mark_args(marks: tuple | None, types: tuple | None = None, sql: str | None = None) -> dict:
