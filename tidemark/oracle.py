@@ -286,6 +286,10 @@ ORACLE = {
         WITH {REPORTS}, w AS (SELECT {guid(3, 's_suppkey')} AS wid, s_name AS workspace_name FROM supplier)
         SELECT r.workspace_id, w.workspace_name, r.report_pos, r.id, r."displayName"
         FROM r JOIN w ON w.wid = r.workspace_id WHERE r.tagged""",
+    "tagged_report_counts": f"""
+        WITH {REPORTS}, w AS (SELECT {guid(3, 's_suppkey')} AS wid, s_name AS workspace_name FROM supplier)
+        SELECT r.workspace_id, w.workspace_name, count(*) AS n_reports
+        FROM r JOIN w ON w.wid = r.workspace_id WHERE r.tagged GROUP BY r.workspace_id, w.workspace_name""",
     "unique_lookup": UNIQUE_LOOKUP,
     "copy_plan": COPY_PLAN,
 }

@@ -420,6 +420,12 @@ def tagged_reports(spark: SparkSession, sf: str) -> DataFrame:
     return r.select("workspace_id", "workspace_name", "report_pos", "id", "displayName")
 
 
+def tagged_report_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Tagged reports per workspace (workspaces without any drop out)."""
+    r = J.tagged_reports(X.workspaces(spark, sf), X.reports(spark, sf), TAG_CANDIDATES)
+    return A.count_by(r, "workspace_id", "workspace_name", alias="n_reports")
+
+
 def unique_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Ids pass, names must match exactly one report name."""
     p = load(spark, sf, "part")
@@ -474,6 +480,7 @@ QUERIES = {
     "domain_workspaces": domain_workspaces,
     "workspace_counts": workspace_counts,
     "tagged_reports": tagged_reports,
+    "tagged_report_counts": tagged_report_counts,
     "unique_lookup": unique_lookup,
     "copy_plan": copy_plan,
 }
