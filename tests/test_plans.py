@@ -307,3 +307,24 @@ def test_missing_tuple_position_binds_null(spark, workdir):
     assert export(spark, "o", sql, target, initial=(-1, None)).error is None
     again = export(spark, "o", sql, target)
     assert again.error is None and again.rows == 0
+
+
+def test_continuous_stream_picks_up_new_files(spark, workdir):
+    src = f"{workdir}/src"
+    o = load(spark, SF001, "orders")
+    o.where("o_orderkey < 500").coalesce(1).write.parquet(src)
+    q = stream_mirror(spark, delta_stream(spark, src), load(spark, SF001, "lineitem"), name="c", root=workdir,
+                      delta_key="o_orderkey", snap_key="l_orderkey", mark="o_orderkey",
+                      available_now=False, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        o.where("o_orderkey >= 500").coalesce(1).write.mode("append").parquet(src)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    seqs = sorted(r.seq for r in read_changes(spark, workdir, "c").select("seq").distinct().collect())
+    assert seqs == [1, 2]
+    streamed = read_changes(spark, workdir, "c").drop("seq")
+    batch = change_rows(o, load(spark, SF001, "lineitem"), delta_key="o_orderkey", snap_key="l_orderkey",
+                        mark="o_orderkey")
+    assert streamed.count() == batch.count() and streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
