@@ -36,3 +36,18 @@ def test_change_rows_match_model(spark, delta, snap, low, high):
             got = change_rows(d, s, delta_key="key", snap_key="key", mark="mark", low=low, high=high,
                               keep_mark=True, strategy=strategy, snap_bounds=bounds)
             assert sorted((tuple(r) for r in got.collect()), key=repr) == want
+
+
+small = st.one_of(st.none(), st.integers(0, 3))
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(small, small, small), max_size=10))
+def test_stepwise_tuple_max_equals_struct_max(spark, rows):
+    from tidemark.operators.aggregates import max_tuple, max_tuple_values
+    df = spark.createDataFrame(rows, "WM1 int, WM2 int, WM3 int")
+    got = max_tuple_values(df)
+    if not rows:
+        assert got is None
+    else:
+        assert got == tuple(max_tuple(df).first())

@@ -74,6 +74,28 @@ def max_tuple(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.agg(best).select(*[F.col("t")[c].alias(c) for c in cols])
 
 
+def max_tuple_values(df: DataFrame, cols: list[str] | None = None) -> tuple | None:
+    """A3 as Python values, column by column: the largest first value, then
+    the largest second value among rows with that first value (null-safe),
+    and so on. Equal to `max_tuple` (nulls lowest), but each step reads one
+    column and the equality filters reach the Parquet scan, so on a large
+    previous snapshot only the row groups that can hold the maximum are read
+    after the first step. None when the input is empty."""
+    cols = cols or wm_columns(df)
+    if not cols:
+        raise ValueError("no watermark columns")
+    scope = df
+    values = []
+    for i, c in enumerate(cols):
+        if i == 0 and scope.limit(1).count() == 0:
+            return None
+        col = df[f"`{c}`"]
+        v = scope.agg(F.max(col)).first()[0]
+        values.append(v)
+        scope = scope.where(col.eqNullSafe(typed_lit(v, df.schema[c].dataType)))
+    return tuple(values)
+
+
 def max_column(df: DataFrame, col: str, alias: str = "max_value") -> DataFrame:
     """A4: maximum of one column, missing values (null, NaN) skipped; null
     when nothing is left."""

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..fixed import ELAPSED_DECIMALS
-from ..operators.aggregates import assert_unique, max_tuple, pk_columns, wm_columns
+from ..operators.aggregates import assert_unique, max_tuple_values, pk_columns, wm_columns
 from ..sources import paths
 from ..sources.sinks import write_snapshot
 from ..sources.sql import bindable, query_source, statements_in
@@ -52,7 +52,7 @@ def previous_marks(spark: SparkSession, target: str, with_types: bool = False):
         return (None, None) if with_types else None
     prev = spark.read.parquet(target)
     cols = wm_columns(prev)
-    row = max_tuple(prev, cols).first() if cols else None
+    row = max_tuple_values(prev, cols) if cols else None
     if row is None or all(v is None for v in row):
         return (None, None) if with_types else None
     types = tuple(prev.schema[c].dataType.simpleString() for c in cols)
