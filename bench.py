@@ -39,6 +39,14 @@ def export_lineitem(spark, sf: str) -> int:
     return write_snapshot(df, f"{scratch_dir(spark, 'bench')}/lineitem")
 
 
+def _scale(sf_dir: str):
+    label = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        return float(label)
+    except ValueError:
+        return label
+
+
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
@@ -72,7 +80,7 @@ def main() -> None:
         "value": round(total, 3),
         "unit": "sec",
         "queries": {k: round(v, 3) for k, v in times.items()},
-        "sf": os.path.basename(sf.rstrip("/")).replace("sf", ""),
+        "sf": _scale(sf),
         "cpus": int(cpus),
         "method": f"best of {repeat} runs per query after a JVM warm-up",
         "export_rows": rows,
