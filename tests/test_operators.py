@@ -246,3 +246,26 @@ def test_change_rows_bounds_on_wall_clock_keys(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert [(r["__rowMarker__"], r.v) for r in got] == [(4, "a")]
+
+
+def test_salted_change_rows_equal_and_spread_a_hot_key(spark):
+    o = load(spark, SF001, "orders")
+    li = load(spark, SF001, "lineitem")
+    hot = li.withColumn("l_orderkey", F.when(F.col("l_linenumber") <= 4, F.lit(7)).otherwise(F.col("l_orderkey")))
+    kw = dict(delta_key="o_orderkey", snap_key="l_orderkey", mark="o_orderkey")
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plain = J.change_rows(o, hot, **kw)
+        salted = J.change_rows(o, hot, salt=8, **kw)
+        assert salted.count() == plain.count() and salted.exceptAll(plain).count() == 0
+        present = lambda df: df.where("__rowMarker__ = 4")
+        plain_sizes = present(plain).rdd.glom().map(len).collect()
+        salted_sizes = present(salted).rdd.glom().map(len).collect()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    hot_rows = hot.where("l_orderkey = 7").count()
+    assert max(plain_sizes) >= hot_rows
+    assert max(salted_sizes) < hot_rows / 2

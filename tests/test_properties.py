@@ -31,10 +31,10 @@ def test_change_rows_match_model(spark, delta, snap, low, high):
     s = spark.createDataFrame(snap, "key int, pos int")
     want = model(delta, snap, low, high)
     _, kmin, kmax = delta_key_bounds(d, delta_key="key", mark="mark", low=low, high=high)
-    for strategy in ("split", "outer"):
+    for strategy, salt in (("split", None), ("split", 3), ("outer", None)):
         for bounds in (None, (kmin, kmax)):
             got = change_rows(d, s, delta_key="key", snap_key="key", mark="mark", low=low, high=high,
-                              keep_mark=True, strategy=strategy, snap_bounds=bounds)
+                              keep_mark=True, strategy=strategy, snap_bounds=bounds, salt=salt)
             assert sorted((tuple(r) for r in got.collect()), key=repr) == want
 
 

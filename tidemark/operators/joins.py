@@ -32,7 +32,7 @@ def delta_key_bounds(delta: DataFrame, *, delta_key: str, mark: str, low=None, h
 
 def change_rows(delta: DataFrame, snapshot: DataFrame, *, delta_key: str, snap_key: str, mark: str,
                 low=None, high=None, latest_only: bool = False, keep_mark: bool = False,
-                strategy: str = "split", snap_bounds: tuple | None = None) -> DataFrame:
+                strategy: str = "split", snap_bounds: tuple | None = None, salt: int | None = None) -> DataFrame:
     """J1 + P5: change rows for delta requests with `low < mark <= high`.
 
     Each delta row fans out to every snapshot row with its key (marker 4);
@@ -52,6 +52,12 @@ def change_rows(delta: DataFrame, snapshot: DataFrame, *, delta_key: str, snap_k
     reach the Parquet scan: on a snapshot clustered by key, row groups
     outside the range are skipped, so a run reads the part of the snapshot
     its requests can touch rather than all of it.
+
+    `salt=S` splits hot keys without relying on AQE: each snapshot row gets
+    a salt in [0, S) from a hash of the row, each delta request is repeated
+    once per salt, and the present rows join on (key, salt), so one key's
+    snapshot rows spread over S tasks. The output is the same; the delta
+    side grows by the bounded factor S.
     Output: marker, key, the other snapshot columns (and `__mark` when
     `keep_mark`, for ordering by (mark, key)).
     """
@@ -74,7 +80,14 @@ def change_rows(delta: DataFrame, snapshot: DataFrame, *, delta_key: str, snap_k
             F.when(F.col("__skey").isNull(), F.lit(MARKER_GONE)).otherwise(F.lit(MARKER_PRESENT)).alias(ROW_MARKER_COL),
             F.col("__dkey").alias(snap_key), *[F.col(f"`{c}`") for c in others], F.col(MARK))
     elif strategy == "split":
-        present = s.join(d, F.col("__skey") == F.col("__dkey"), "inner").select(
+        if salt and salt > 1:
+            salted_s = s.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in s.columns]), F.lit(salt)))
+            salted_d = d.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
+            joined = salted_s.join(salted_d, (F.col("__skey") == F.col("__dkey")) &
+                                   (salted_s["__salt"] == salted_d["__salt"]), "inner")
+        else:
+            joined = s.join(d, F.col("__skey") == F.col("__dkey"), "inner")
+        present = joined.select(
             F.lit(MARKER_PRESENT).alias(ROW_MARKER_COL), F.col("__dkey").alias(snap_key),
             *[F.col(f"`{c}`") for c in others], F.col(MARK))
         wanted = d.select(F.col("__dkey").alias("__wkey")).distinct()

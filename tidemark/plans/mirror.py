@@ -52,6 +52,7 @@ class MirrorSpec:
     mode: str = "auto"
     delta_sql: str | None = None
     add_envelope: bool = True
+    salt: int | None = None
 
 
 def sql_spec(name: str, *, full_sql: str | None = None, delta_sql: str | None = None,
@@ -230,7 +231,7 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
                 raise ValueError("delta mode needs a delta table")
             rows = change_rows(delta, snapshot, delta_key=spec.delta_key, snap_key=spec.snap_key, mark=spec.mark,
                                low=last, high=high, latest_only=spec.latest_only, keep_mark=True,
-                               snap_bounds=bounds)
+                               snap_bounds=bounds, salt=spec.salt)
             observed = {"high_seen": F.max(MARK)}
             order = None
             if spec.ordered:
