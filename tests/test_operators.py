@@ -269,3 +269,19 @@ def test_salted_change_rows_equal_and_spread_a_hot_key(spark):
     hot_rows = hot.where("l_orderkey = 7").count()
     assert max(plain_sizes) >= hot_rows
     assert max(salted_sizes) < hot_rows / 2
+
+
+def test_names_with_slashes(spark):
+    from tidemark.operators.joins import change_order
+    df = spark.createDataFrame([(1, "ab", 7)], "`/1FB/CURKEY_GC` long, `MANDT` string, `/1FB/CS_UNIT` int")
+    spec = [{"COLUMN_NAME": "/1FB/CURKEY_GC", "DATA_TYPE": "INTEGER", "ORDINAL_POSITION": 1},
+            {"COLUMN_NAME": "MANDT", "DATA_TYPE": "NVARCHAR", "CHARACTER_MAXIMUM_LENGTH": 1, "ORDINAL_POSITION": 2}]
+    out = envelope(conform(df, spec))
+    assert out.columns == ["__watermark", "__op", "__deleted", "/1FB/CURKEY_GC", "MANDT"]
+    assert tuple(out.first())[3:] == (1, "a")
+    delta = spark.createDataFrame([(5, 1)], "`REQ/OUT` long, `REQ/IN` long")
+    rows = J.change_rows(delta, df, delta_key="REQ/IN", snap_key="/1FB/CURKEY_GC", mark="REQ/OUT",
+                         keep_mark=True, salt=2)
+    ordered, keys = change_order(rows, "/1FB/CURKEY_GC")
+    r = ordered.orderBy(*keys).first()
+    assert (r["__rowMarker__"], r["/1FB/CURKEY_GC"], r["/1FB/CS_UNIT"]) == (4, 1, 7)
