@@ -51,3 +51,40 @@ def test_stepwise_tuple_max_equals_struct_max(spark, rows):
         assert got is None
     else:
         assert got == tuple(max_tuple(df).first())
+
+
+import json  # noqa: E402
+
+from tidemark.sources.listings import flatten_pages  # noqa: E402
+
+item = st.fixed_dictionaries({"id": st.integers(0, 9)})
+value = st.one_of(st.integers(0, 9), st.lists(item, max_size=3))
+page = st.one_of(st.dictionaries(st.sampled_from(["value", "data", "n", "x"]), value, max_size=3),
+                 st.lists(item, max_size=3))
+
+
+def listing_model(pages):
+    first = pages[0] if pages else None
+    name = None
+    if isinstance(first, dict):
+        if isinstance(first.get("value"), list):
+            name = "value"
+        else:
+            name = next((k for k, v in first.items() if isinstance(v, list)), None)
+    out = []
+    for p in pages:
+        if isinstance(p, dict) and name and isinstance(p.get(name), list):
+            out += p[name]
+        elif isinstance(p, list):
+            out += p
+        elif isinstance(p, dict):
+            out.append(p)
+    return out
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(pages=st.lists(page, min_size=1, max_size=4))
+def test_flatten_pages_matches_model(spark, pages):
+    df = spark.createDataFrame([(i, json.dumps(p)) for i, p in enumerate(pages)], "page_no long, body string")
+    got = [json.loads(r.item) for r in flatten_pages(df).orderBy("page_no", "item_pos").collect()]
+    assert got == listing_model(pages)
