@@ -88,3 +88,37 @@ def test_flatten_pages_matches_model(spark, pages):
     df = spark.createDataFrame([(i, json.dumps(p)) for i, p in enumerate(pages)], "page_no long, body string")
     got = [json.loads(r.item) for r in flatten_pages(df).orderBy("page_no", "item_pos").collect()]
     assert got == listing_model(pages)
+
+
+from tidemark.operators.joins import copy_plan  # noqa: E402
+
+names = st.sampled_from(["a", "b", "c", "d"])
+
+
+def copy_model(reports, target):
+    first_target = {}
+    for pos, tid, name in sorted(target):
+        first_target.setdefault(name, tid)
+    made, out = set(), {}
+    for root_pos, report_pos, name in sorted(reports):
+        if name in first_target:
+            out[(root_pos, report_pos)] = ("update", first_target[name])
+        elif name in made:
+            out[(root_pos, report_pos)] = ("update", None)
+        else:
+            made.add(name)
+            out[(root_pos, report_pos)] = ("clone", None)
+    return out
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(reports=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 50), names), max_size=8,
+                        unique_by=lambda r: (r[0], r[1])),
+       target=st.lists(st.tuples(st.integers(0, 20), names), max_size=4, unique_by=lambda t: t[0]))
+def test_copy_plan_matches_sequential_model(spark, reports, target):
+    target = [(pos, f"t{pos}", name) for pos, name in target]
+    r = spark.createDataFrame(reports, "root_pos int, report_pos long, displayName string")
+    t = spark.createDataFrame(target, "pos long, id string, name string")
+    got = {(x.root_pos, x.report_pos): (x.action, x.target_report_id)
+           for x in copy_plan(r, t, order_cols=("root_pos", "report_pos")).collect()}
+    assert got == copy_model(reports, target)
