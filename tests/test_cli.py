@@ -43,3 +43,15 @@ def test_command_line_export_mirror_catalog_query():
 
     code, out, _ = run("query", "--tables", SF001, "--top", "3", "SELECT r_name FROM region ORDER BY r_name")
     assert code == 0 and out.splitlines() == ["r_name", "AFRICA", "AMERICA", "ASIA"]
+
+
+def test_catalog_nested_and_query_file_in_process(spark, workdir, capsys):
+    from tidemark.__main__ import main
+    from tidemark.sources.catalog_doc import read_catalog
+    assert main(["catalog", "--tables", SF001, "--out", f"{workdir}/nested", "--nested"]) == 0
+    doc = read_catalog(spark, f"{workdir}/nested", nested=True).collect()
+    assert len(doc) == 1 and len(doc[0].tables) == 14
+    sql_file = tempfile.mkdtemp(prefix="tidemark-cli-") + "/q.sql"
+    open(sql_file, "w").write("SELECT n_name FROM nation ORDER BY n_nationkey")
+    assert main(["query", "--tables", SF001, "--file", sql_file, "--top", "2"]) == 0
+    assert capsys.readouterr().out.splitlines()[-3:] == ["n_name", "NATION_0", "NATION_1"]
