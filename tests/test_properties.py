@@ -122,3 +122,32 @@ def test_copy_plan_matches_sequential_model(spark, reports, target):
     got = {(x.root_pos, x.report_pos): (x.action, x.target_report_id)
            for x in copy_plan(r, t, order_cols=("root_pos", "report_pos")).collect()}
     assert got == copy_model(reports, target)
+
+
+from tidemark.operators.joins import resolve_unique  # noqa: E402
+
+GUID = "12345678-1234-1234-1234-123456789abc"
+values = st.one_of(st.none(), st.sampled_from(["a", "b", "c", GUID]))
+
+
+def lookup_model(inputs, dim):
+    out = {}
+    for pos, v in inputs:
+        if v == GUID:
+            out[pos] = (True, None, v, None)
+            continue
+        ids = sorted(i for i, n in dim if n is not None and n == v)
+        n = len(ids)
+        out[pos] = (False, n, ids[0] if n == 1 else None, "no match" if n == 0 else ("ambiguous" if n > 1 else None))
+    return out
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(inputs=st.lists(values, max_size=6), dim=st.lists(st.sampled_from(["a", "b", None]), max_size=6))
+def test_resolve_unique_matches_model(spark, inputs, dim):
+    inputs = list(enumerate(inputs))
+    dim = [(f"id{i}", n) for i, n in enumerate(dim)]
+    got = {r.pos: (r.is_id, r.match_count, r.resolved_id, r.error) for r in resolve_unique(
+        spark.createDataFrame(inputs, "pos int, value string"),
+        spark.createDataFrame(dim, "id string, displayName string")).collect()}
+    assert got == lookup_model(inputs, dim)
