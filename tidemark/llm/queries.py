@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_dir
 from ..tables import load
+from .bpe import round_trip_digests
 from .sharding import assign_shards
+from .simhash import near_duplicates
 from .token_counts import count_tokens
 from .token_store import read_token_digests, write_token_store
 
@@ -25,6 +27,14 @@ def op2_token_store(spark: SparkSession, sf: str) -> DataFrame:
     return read_token_digests(spark, path)
 
 
+def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return round_trip_digests(spark, load(spark, sf, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+def op5_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(spark, load(spark, sf, "documents"), shingle=3, max_bits=2)
+
+
 def op6_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return assign_shards(load(spark, sf, "documents"), N_SHARDS)
 
@@ -35,6 +45,8 @@ def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op2_token_store": op2_token_store,
+    "op4_bpe": op4_bpe,
+    "op5_simhash": op5_simhash,
     "op6_sharding": op6_sharding,
     "op8_token_counts": op8_token_counts,
 }

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .workers import send_code
+
 OVERHEAD = 16
 CHUNKS = 128
 
@@ -53,6 +55,7 @@ def assign_shards(docs: DataFrame, n_shards: int, *, id_col: str = "doc_id", tex
     A null text has no bytes (size 16, crc of the empty string). Null ids
     share one key, hence one shard. Repeated rows each get a slot.
     """
+    send_code(docs.sparkSession)
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     # xxhash64 spreads consecutive ids; jump needs well mixed keys.
     key = F.xxhash64("doc_id")
@@ -76,6 +79,7 @@ def assign_shards(docs: DataFrame, n_shards: int, *, id_col: str = "doc_id", tex
 def write_shards(docs: DataFrame, path: str, n_shards: int, *, id_col: str = "doc_id", split: int = 16) -> None:
     """Writes the rows into one folder per shard (``shard=0`` ...), each shard
     by up to ``split`` tasks, so a shard never has to pass through one task."""
+    send_code(docs.sparkSession)
     shard = "__shard" if "shard" in docs.columns else "shard"
     key = F.xxhash64(F.col(id_col))
     (docs.withColumn(shard, _jump_column(n_shards)(key))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .pieces import PieceEncoder, load_tokenizer, read_spec
+from .workers import send_code
 
 BATCH_BYTES = 1 << 18
 
@@ -27,6 +28,7 @@ def count_tokens(spark: SparkSession, docs: DataFrame, tokenizer_path: str, *, l
     as the library does by default. A null or empty text has 0 bytes and 0
     tokens. One row per input row, whatever repeats.
     """
+    send_code(spark)
     spec = spark.sparkContext.broadcast(read_spec(tokenizer_path))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .pieces import PieceEncoder, load_tokenizer, read_spec
+from .workers import send_code
 
 TRAIN_DOCS = 1000
 TRAIN_BYTES = 1 << 14
@@ -91,6 +92,7 @@ def write_token_store(spark: SparkSession, docs: DataFrame, tokenizer_path: str,
     """Encodes every document (null text: empty), appends ``end_id`` and
     writes the store in ascending id order (null ids first, repeated ids next
     to each other). An empty table gives a store without blocks."""
+    send_code(spark)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     spec = spark.sparkContext.broadcast(read_spec(tokenizer_path))
     content = train_dictionary(d, spec, rule)
@@ -155,6 +157,7 @@ def _dictionary(spark: SparkSession, path: str) -> tuple[str, bytes]:
 def read_token_digests(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every stored document, from
     the decoded frames. ``start`` counts the ids of all documents before it."""
+    send_code(spark)
     sha, content = _dictionary(spark, path)
     shared = spark.sparkContext.broadcast(content)
 
@@ -200,6 +203,7 @@ def _block_starts(stored: DataFrame) -> DataFrame:
 def read_documents(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
     """``doc_id, ids`` of a few documents. Only blocks that hold one of them
     are opened, and only the frames asked for are decoded."""
+    send_code(spark)
     _, content = _dictionary(spark, path)
     shared = spark.sparkContext.broadcast(content)
     wanted = sorted(set(doc_ids))
