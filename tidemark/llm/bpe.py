@@ -19,7 +19,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .pieces import PieceEncoder, load_tokenizer, read_spec
+from .pieces import PieceEncoder, load_tokenizer, read_spec, worker_encoder
 from .transducer import Transducer, compile_transducer
 from .workers import send_code, send_file
 
@@ -172,7 +172,7 @@ def lexicon_encoder(spec: str, file_name: str, with_text: bool = False) -> Piece
             ids = look(p.encode())
             out.append(m.encode(p) if ids is None else ids)
         return [(ids, ",".join(map(str, ids))) for ids in out] if with_text else out
-    return PieceEncoder(encode, "keep", max_pieces=300_000)
+    return worker_encoder((spec, file_name, with_text), lambda: PieceEncoder(encode, "keep", max_pieces=300_000))
 
 
 def _prepare(spark: SparkSession, docs: DataFrame, tokenizer_path: str, one_in: int):

@@ -117,3 +117,14 @@ def load_tokenizer(spec: str):
 def read_spec(path: str) -> str:
     with open(path, encoding="utf-8") as f:
         return f.read()
+
+
+_ENCODERS: dict = {}
+
+
+def worker_encoder(key: tuple, make) -> PieceEncoder:
+    """One encoder per worker process and key: tasks that follow each other in
+    a worker share its table of pieces."""
+    if key not in _ENCODERS:
+        _ENCODERS[key] = make()
+    return _ENCODERS[key]

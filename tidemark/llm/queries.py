@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import scratch_dir
 from ..tables import load
 from .bpe import round_trip_digests
+from .decontaminate import find_contamination
+from .oracle import ORACLE  # noqa: F401
 from .sharding import assign_shards
 from .simhash import near_duplicates
 from .token_counts import count_tokens
@@ -27,6 +29,10 @@ def op2_token_store(spark: SparkSession, sf: str) -> DataFrame:
     return read_token_digests(spark, path)
 
 
+def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return find_contamination(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
+
+
 def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return round_trip_digests(spark, load(spark, sf, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -45,10 +51,9 @@ def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op2_token_store": op2_token_store,
+    "op3_decontaminate": op3_decontaminate,
     "op4_bpe": op4_bpe,
     "op5_simhash": op5_simhash,
     "op6_sharding": op6_sharding,
     "op8_token_counts": op8_token_counts,
 }
-
-ORACLE: dict[str, str] = {}

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .pieces import PieceEncoder, load_tokenizer, read_spec
+from .pieces import PieceEncoder, load_tokenizer, read_spec, worker_encoder
 from .workers import send_code
 
 BATCH_BYTES = 1 << 18
@@ -33,8 +33,8 @@ def count_tokens(spark: SparkSession, docs: DataFrame, tokenizer_path: str, *, l
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = load_tokenizer(spec.value)
-        enc = PieceEncoder(lambda ps: [len(e.ids) for e in tok.encode_batch_fast(ps, add_special_tokens=False)],
-                           rule, batch_bytes)
+        enc = worker_encoder(("lengths", spec.value, rule, batch_bytes), lambda: PieceEncoder(
+            lambda ps: [len(e.ids) for e in tok.encode_batch_fast(ps, add_special_tokens=False)], rule, batch_bytes))
         for b in batches:
             n = [sum(enc(t.as_py() or "")) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64())],

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .pieces import PieceEncoder, load_tokenizer, read_spec
+from .pieces import PieceEncoder, load_tokenizer, read_spec, worker_encoder
 from .workers import send_code
 
 TRAIN_DOCS = 1000
@@ -51,7 +51,7 @@ def _id_encoder(spec: str, rule: str) -> PieceEncoder:
 
     def encode(pieces):
         return [np.array(e.ids, dtype="<u4").tobytes() for e in tok.encode_batch_fast(pieces, add_special_tokens=False)]
-    return PieceEncoder(encode, rule)
+    return worker_encoder(("ids", spec, rule), lambda: PieceEncoder(encode, rule))
 
 
 def train_dictionary(docs: DataFrame, spec, rule: str, *, sample: int = TRAIN_DOCS,
