@@ -1,6 +1,8 @@
 """DuckDB SQL equal to the registered queries of this subpackage, where SQL
 can express them; the others are tested against brute force."""
 
+from .quality_rules import ALPHA, DELTA, MAX_REPEAT_PERCENT, MIN_WORDS, RULES
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 OP3 = f"""
@@ -26,6 +28,56 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_GRID = ", ".join(f"('{r.name}', {i}, {c}::DOUBLE)" for r in RULES for i, c in enumerate(r.cutoffs))
+_VALUES = " UNION ALL ".join(
+    f"SELECT doc_id, stratum, base_failed, '{r.name}' AS rule, {r.value} AS value FROM f WHERE n_words > 0 AND n_lines > 0"
+    for r in RULES)
+
+OP1 = f"""
+WITH t AS (SELECT doc_id, coalesce(lang, 'none') AS stratum, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT doc_id, stratum, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM t),
+runs AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, run) AS times
+  FROM (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS run
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) >= 8))),
+rep AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM runs WHERE times > 1) GROUP BY 1),
+f0 AS (
+  SELECT w.doc_id, stratum, len(w)::BIGINT AS n_words, len(lines) AS n_lines,
+         length(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+         length(regexp_replace(text, '[^\\p{{Lu}}]+', '', 'g'))::BIGINT AS n_upper,
+         length(regexp_replace(text, '[^!?]+', '', 'g'))::BIGINT AS n_marks,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN rep USING (doc_id)),
+f AS (SELECT *, n_words < {MIN_WORDS} OR n_repeat_words * 100 > n_words * {MAX_REPEAT_PERCENT} AS base_failed FROM f0),
+vals AS ({_VALUES}),
+grid AS (SELECT * FROM (VALUES {_GRID}) AS g(rule, step, cutoff)),
+good AS (SELECT doc_id, max(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY 1),
+lab AS (SELECT vals.*, quality = 1 AS good FROM vals JOIN good USING (doc_id) WHERE NOT base_failed),
+tallies AS (
+  SELECT stratum, rule, step, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (NOT good) AS n_bad,
+         count(*) FILTER (good AND value > cutoff) AS k, count(*) FILTER (NOT good AND value > cutoff) AS k_bad
+  FROM lab JOIN grid USING (rule) GROUP BY ALL),
+tested AS (
+  SELECT *, CASE WHEN k >= n * {ALPHA / len(RULES)!r} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda i:
+           exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({ALPHA / len(RULES)!r}) + (n - i) * ln(1 - {ALPHA / len(RULES)!r})))) END
+           AS p_value FROM tallies),
+proven AS (
+  SELECT *, min(p_value <= {DELTA!r} / ((SELECT count(DISTINCT stratum) FROM tallies) * {len(RULES)}))
+              OVER (PARTITION BY stratum, rule ORDER BY step ROWS UNBOUNDED PRECEDING) AS proven,
+         CASE WHEN n_bad > 0 THEN k_bad / n_bad ELSE 0 END - k / greatest(n, 1) AS gain FROM tested),
+best AS (
+  SELECT stratum, rule, cutoff FROM proven WHERE proven AND gain > 0
+  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, step) = 1),
+bad AS (SELECT DISTINCT doc_id FROM vals JOIN best USING (stratum, rule) WHERE value > cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM f
+"""
+
 ORACLE = {
+    "op1_quality_rules": OP1,
     "op3_decontaminate": OP3,
 }

@@ -9,6 +9,7 @@ from ..tables import load
 from .bpe import round_trip_digests
 from .decontaminate import find_contamination
 from .oracle import ORACLE  # noqa: F401
+from .quality_rules import apply_rules
 from .sharding import assign_shards
 from .simhash import near_duplicates
 from .token_counts import count_tokens
@@ -23,6 +24,11 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    out = apply_rules(spark, load(spark, sf, "documents"), load(spark, sf, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op2_token_store(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "op2")
     write_token_store(spark, load(spark, sf, "documents"), tokenizer("word_bpe_49k.json"), path, end_id=1, rule="drop")
@@ -50,6 +56,7 @@ def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_token_store": op2_token_store,
     "op3_decontaminate": op3_decontaminate,
     "op4_bpe": op4_bpe,
