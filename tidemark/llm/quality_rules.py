@@ -137,13 +137,13 @@ def select_cutoffs(labelled: DataFrame, rules=RULES, *, alpha: float = ALPHA, de
         sum((F.when(F.expr(r.value) > c, 1).otherwise(0) for c in r.cutoffs), F.lit(0)).alias("fails")) for r in rules])
     counts = (labelled.where("not base_failed").select("stratum", "good", F.inline(values))
               .groupBy("stratum", "rule", "fails").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")))
-    # A row with `fails` = f is rejected by cutoffs 0 .. f-1.
-    grid = [(r.name, i, c) for r in rules for i, c in enumerate(r.cutoffs)]
-    grid = labelled.sparkSession.createDataFrame(grid, "rule string, step int, cutoff double")
+    # A row over f cutoffs is over the f strictest, the last ones.
+    grid = [(r.name, i, c, len(r.cutoffs) - i) for r in rules for i, c in enumerate(r.cutoffs)]
+    grid = labelled.sparkSession.createDataFrame(grid, "rule string, step int, cutoff double, at_least int")
     totals = counts.groupBy("stratum", "rule").agg(F.sum("good").alias("n"), F.sum("bad").alias("n_bad"))
     n_strata = totals.agg(F.countDistinct("stratum").alias("n_strata"))
     at = (totals.join(grid, "rule").join(counts.select(F.col("stratum").alias("s"), F.col("rule").alias("r"), "fails", "good", "bad"),
-                                         (F.col("stratum") == F.col("s")) & (F.col("rule") == F.col("r")) & (F.col("fails") > F.col("step")), "left")
+                                         (F.col("stratum") == F.col("s")) & (F.col("rule") == F.col("r")) & (F.col("fails") >= F.col("at_least")), "left")
           .groupBy("stratum", "rule", "step", "cutoff", "n", "n_bad")
           .agg(F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("k"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k_bad")))
     lenient_first = Window.partitionBy("stratum", "rule").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
