@@ -9,6 +9,7 @@ from ..tables import load
 from .bpe import round_trip_digests
 from .decontaminate import find_contamination
 from .oracle import ORACLE  # noqa: F401
+from .pii import pii_report
 from .quality_rules import apply_rules
 from .sharding import assign_shards
 from .simhash import near_duplicates
@@ -55,6 +56,10 @@ def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return count_tokens(spark, load(spark, sf, "documents"), tokenizer("byte_bpe_50k.json"), limit=512, rule="keep")
 
 
+def op9_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii_report(load(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_store": op2_token_store,
@@ -63,4 +68,5 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_sharding": op6_sharding,
     "op8_token_counts": op8_token_counts,
+    "op9_pii": op9_pii,
 }
