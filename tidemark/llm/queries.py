@@ -8,8 +8,10 @@ from ..session import scratch_dir
 from ..tables import load
 from .bpe import round_trip_digests
 from .decontaminate import find_contamination
+from .language_id import identify_languages
 from .oracle import ORACLE  # noqa: F401
 from .pii import pii_report
+from .quality_classifier import score_quality
 from .quality_rules import apply_rules
 from .sharding import assign_shards
 from .simhash import near_duplicates
@@ -52,6 +54,10 @@ def op6_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return assign_shards(load(spark, sf, "documents"), N_SHARDS)
 
 
+def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return identify_languages(load(spark, sf, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return count_tokens(spark, load(spark, sf, "documents"), tokenizer("byte_bpe_50k.json"), limit=512, rule="keep")
 
@@ -60,6 +66,10 @@ def op9_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii_report(load(spark, sf, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    return score_quality(load(spark, sf, "documents"), load(spark, sf, "labels"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_store": op2_token_store,
@@ -67,6 +77,8 @@ QUERIES = {
     "op4_bpe": op4_bpe,
     "op5_simhash": op5_simhash,
     "op6_sharding": op6_sharding,
+    "op7_language_id": op7_language_id,
     "op8_token_counts": op8_token_counts,
     "op9_pii": op9_pii,
+    "op10_quality_classifier": op10_quality_classifier,
 }
