@@ -51,9 +51,10 @@ def has_letter(text: str | None) -> bool:
 def describe(text: str) -> np.ndarray:
     """Unit vector of square roots of n-gram counts, with a constant."""
     counts = np.zeros(1 << BITS)
-    for part in ngrams.chunks(ngrams.letters(text)):
+    for part in ngrams.chunks(text):
+        a = ngrams.letters(part)
         for n in (1, 2, 3):
-            counts += np.bincount(ngrams.ngrams(part, n, BITS), minlength=1 << BITS)
+            counts += np.bincount(ngrams.ngrams(a, n, BITS), minlength=1 << BITS)
     v = np.sqrt(counts)
     v /= np.linalg.norm(v) or 1.0
     return np.concatenate([v, [0.3]]).astype(np.float32)

@@ -9,6 +9,8 @@ _LETTERS[97:123] = np.arange(97, 123)
 _LETTERS[128:] = np.arange(128, 256)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_SHAPES = np.arange(256, dtype=np.uint8)
+_SHAPES[48:58], _SHAPES[65:91], _SHAPES[97:123], _SHAPES[9:14] = 57, 65, 97, 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _PRIME = 0x100000001B3
 _INVERSE = pow(_PRIME, -1, 1 << 64)
@@ -62,13 +64,28 @@ def words(a: np.ndarray, bits: int) -> np.ndarray:
         return ((h * _ODD) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def chunks(a: np.ndarray, size: int = _CHUNK):
-    """Pieces of a long byte array, cut at white space where there is any, so
-    that working memory stays bounded for very long texts."""
+def chunks(text: str, size: int = _CHUNK):
+    """Parts of a long text, cut at a space or line end where there is one, so
+    that working memory stays bounded."""
     at = 0
-    while len(a) - at > size:
-        gaps = np.flatnonzero(_SPACE[a[at:at + size]])
-        cut = at + (int(gaps[-1]) if len(gaps) and gaps[-1] > 0 else size)
-        yield a[at:cut]
+    while len(text) - at > size:
+        cut = max(text.rfind(" ", at + 1, at + size), text.rfind("\n", at + 1, at + size))
+        cut = cut if cut > at else at + size
+        yield text[at:cut]
         at = cut
-    yield a[at:]
+    yield text[at:]
+
+
+def shape(text: str) -> np.ndarray:
+    """The text as classes: one A for a run of capitals, a for other letters,
+    9 for digits, one space for white space; other characters stay, as one of
+    a run of equal ones (beyond ASCII: one mark)."""
+    code = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+    low = text.lower()
+    lower = np.frombuffer(low.encode("utf-32-le"), dtype="<u4") if len(low) == len(text) else code
+    out = np.where(code < 128, code, 97).astype(np.uint8)
+    out = _SHAPES[out]
+    out[code != lower] = 65
+    keep = np.ones(len(out), dtype=bool)
+    keep[1:] = out[1:] != out[:-1]
+    return out[keep]

@@ -1,9 +1,12 @@
 """Quality classifier on learned subword embeddings.
 
 Words and character n-grams are hashed to buckets; every bucket has a learned
-vector. A document is the average of the vectors of its words and n-grams, and
-a softmax layer on it gives the probability of good quality. Vectors and layer
-are trained together by stochastic gradient descent in numpy.
+vector. N-grams are taken from the text and from its shape (letters, digits
+and marks without their identity); a word that repeats the one before counts
+as a word of its own kind. A document is the average of the vectors of its
+words and n-grams, and a softmax layer on it gives the probability of good
+quality. Vectors and layer are trained together by stochastic gradient descent
+in numpy.
 """
 
 from __future__ import annotations
@@ -20,30 +23,35 @@ from . import ngrams
 from .sampling import id_remainder, sample_per_class
 from .workers import send_code
 
-PER_CLASS = 1200
+PER_CLASS = 800
 BITS = 12
 DIM = 10
-EPOCHS = 40
+EPOCHS = 12
+#: Averages of many vectors are small; inputs are scaled up to learn at a
+#: useful pace.
+SCALE = 30.0
 _ORDERS = (2, 3, 4)
-
-
-def buckets(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Word buckets and n-gram buckets of a whole text, in bounded parts."""
-    a = np.frombuffer(b" " + text.encode() + b" ", dtype=np.uint8)
-    for part in ngrams.chunks(a):
-        yield ngrams.words(part, BITS), np.concatenate([ngrams.ngrams(part, n, BITS) for n in _ORDERS])
+_SHAPE_ORDERS = (3, 4, 6)
+_REPEAT = 0
 
 
 def describe(text: str | None) -> np.ndarray:
-    """Weights of all buckets in the average: words make up one half, n-grams
-    the other (an empty text: all zero)."""
+    """Weights of all buckets in the average: words, n-grams and shape n-grams
+    make up a third each (an empty text: all zero)."""
     size = 1 << BITS
-    w, g = np.zeros(size), np.zeros(size)
-    if text:
-        for words, grams in buckets(text):
-            w += np.bincount(words, minlength=size)
-            g += np.bincount(grams, minlength=size)
-    return np.concatenate([w / max(1.0, w.sum()), g / max(1.0, g.sum())]).astype(np.float32) / 2
+    total = np.zeros((3, size))
+    for part in ngrams.chunks(text) if text else ():
+        a = np.frombuffer(b" " + part.encode() + b" ", dtype=np.uint8)
+        words = ngrams.words(a, BITS)
+        total[0] += np.bincount(words, minlength=size)
+        for n in _ORDERS:
+            total[1] += np.bincount(ngrams.ngrams(a, n, BITS), minlength=size)
+        shape = ngrams.shape(f" {part} ")
+        for n in _SHAPE_ORDERS:
+            total[2] += np.bincount(ngrams.ngrams(shape, n, BITS), minlength=size)
+        total[2, _REPEAT] += len(_SHAPE_ORDERS) * np.count_nonzero(words[1:] == words[:-1])
+    sums = np.maximum(total.sum(axis=1, keepdims=True), 1.0)
+    return (total / sums / 3).astype(np.float32).ravel()
 
 
 @dataclass
@@ -58,35 +66,33 @@ class QualityModel:
         return (z / z.sum(axis=1, keepdims=True))[:, 1].astype(np.float64)
 
 
-def train(x: np.ndarray, y: np.ndarray, weight: np.ndarray, *, dim: int = DIM, epochs: int = EPOCHS, batch: int = 16,
-          rate: float = 2.0, seed: int = 0) -> QualityModel:
+def train(x: np.ndarray, y: np.ndarray, weight: np.ndarray, *, dim: int = DIM, epochs: int = EPOCHS, batch: int = 32,
+          rate: float = 0.5, seed: int = 0) -> QualityModel:
     """Stochastic gradient descent on the weighted cross-entropy of classes
-    0 and 1; the rate falls linearly to zero."""
+    0 and 1, with bounded steps; the rate falls linearly to zero."""
     rng = np.random.default_rng(seed)
-    # Buckets that occur in every text about alike say little: scale by spread.
-    scale = 1.0 / (x.std(axis=0) + 1e-3)
     e = rng.normal(0, 0.1, (x.shape[1], dim)).astype(np.float32)
     u = rng.normal(0, 0.1, (dim, 2)).astype(np.float32)
     b = np.zeros(2, dtype=np.float32)
     target = np.eye(2, dtype=np.float32)[y]
-    steps, at = max(1, epochs * -(-len(x) // batch)), 0
+    steps, at = epochs * -(-len(x) // batch), 0
     for _ in range(epochs):
         order = rng.permutation(len(x))
         for k in range(0, len(x), batch):
             i = order[k:k + batch]
-            lr = rate * (1 - at / steps)
+            lr = np.float32(rate * (1 - at / steps))
             at += 1
-            xi = x[i] * scale
+            xi = x[i] * np.float32(SCALE)
             v = xi @ e
             z = v @ u + b
             z = np.exp(z - z.max(axis=1, keepdims=True))
             d = (z / z.sum(axis=1, keepdims=True) - target[i]) * weight[i, None] / len(i)
             ge, gu = xi.T @ (d @ u.T), v.T @ d
-            norm = max(1.0, float(np.sqrt((ge * ge).sum() + (gu * gu).sum())))
-            e -= (lr * 0.05 / norm) * ge
-            u -= (lr * 0.05 / norm) * gu
-            b -= (lr * 0.05) * d.sum(axis=0)
-    return QualityModel((e * scale[:, None]).astype(np.float32), u, b)
+            lr = lr / max(np.float32(1.0), np.sqrt((ge * ge).sum() + (gu * gu).sum()))
+            e -= lr * ge
+            u -= lr * gu
+            b -= lr * d.sum(axis=0)
+    return QualityModel((e * np.float32(SCALE)).astype(np.float32), u, b)
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
