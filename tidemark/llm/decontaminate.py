@@ -116,8 +116,8 @@ def short_runs(docs: DataFrame, items: DataFrame, keys: list[str], n: int) -> Da
 def find_contamination(docs: DataFrame, benchmark: DataFrame, *, k: int = K, window: int = WINDOW,
                        id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                        item_text_col: str = "text") -> DataFrame:
-    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` of
-    every document row.
+    """``doc_id, version, n_words, n_hit, n_items, items_sha256,
+    contaminated`` of every document row; ``version`` is a hash of the text.
 
     Null and empty texts have no words and no hits; an item without words
     occurs nowhere, an item without an id is not counted or listed. Rows that
@@ -148,5 +148,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, k: int = K, win
     out = rows.join(hits, rows["doc_id"].eqNullSafe(hits["hit_id"]) & (rows["version"] == hits["hit_version"]), "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     listed = F.coalesce("items", F.array().cast("array<string>"))
-    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"),
+    return out.select("doc_id", "version", "n_words", n_hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"),
                       F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                      **settings) -> DataFrame:
+    """The rows of ``docs`` without a shared window, all columns as they are."""
+    found = find_contamination(docs, benchmark, id_col=id_col, text_col=text_col, **settings).where("contaminated")
+    found = found.select(F.col("doc_id").alias("__hit_id"), F.col("version").alias("__hit_version")).distinct()
+    same = docs[id_col].eqNullSafe(found["__hit_id"]) & (F.xxhash64(docs[text_col]) == found["__hit_version"])
+    return docs.join(found, same, "left_anti")

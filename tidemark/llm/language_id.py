@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import ngrams
 from .sampling import id_remainder, sample_per_class
@@ -26,6 +27,7 @@ PER_LANGUAGE = 400
 SAMPLE = 4000
 BITS = 12
 UNDETERMINED = "und"
+MIN_SCORE = 0.25
 _BATCH = 256
 
 #: Families of closely related languages; any other language is its own.
@@ -223,3 +225,18 @@ def identify_languages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     d = docs.select(F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"),
                     F.coalesce(id_remainder(id_col, 4) == 2, F.lit(False)).alias("held_out"))
     return d.mapInArrow(predictor(docs, model), "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, *, min_score: float = MIN_SCORE, id_col: str = "doc_id", text_col: str = "text",
+                    lang_col: str = "lang", per_language: int = PER_LANGUAGE, sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs`` whose language is determined with at least
+    ``min_score``, all columns as they are. Where no document has a language
+    to learn from nothing can be judged, and only texts without letters go."""
+    model = fit_languages(docs, id_col=id_col, text_col=text_col, lang_col=lang_col, per_language=per_language, sample=sample)
+    if model is None:
+        return docs.where(F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
+    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("lang_pred", T.StringType()),
+                           T.StructField("score", T.DoubleType())])
+    rows = docs.select(F.col(text_col).alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.mapInArrow(predictor(docs, model), schema)
+    return rows.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)).select("row.*")

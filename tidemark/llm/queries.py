@@ -39,7 +39,7 @@ def op2_token_store(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
-    return find_contamination(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
+    return find_contamination(load(spark, sf, "documents"), load(spark, sf, "benchmark")).drop("version")
 
 
 def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:

@@ -140,3 +140,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, *, shingle: int = SHIN
     least = classes.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = classes.join(least, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, *, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+                     cap: int = CAP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component, all columns as they are: that of the
+    smallest id. Rows that repeat an id are one document, of which the row
+    with the smallest text hash stays. Rows without an id are only merged with
+    rows of equal text, and go if their component has an id."""
+    found = near_duplicates(spark, docs, shingle=shingle, max_bits=max_bits, cap=cap, id_col=id_col, text_col=text_col)
+    heads = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__head")).distinct()
+    kept = docs.join(heads, docs[id_col].eqNullSafe(heads["__head"]), "left_semi")
+    version = F.xxhash64(F.col(text_col))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = kept.groupBy(F.col(id_col).alias("__id"), F.when(F.col(id_col).isNull(), version).alias("__text"))
+    return one.agg(F.min_by(row, version).alias("row")).select("row.*")
