@@ -25,6 +25,7 @@ KINDS = ("email", "ip", "card", "phone")
 PRECISION = 0.95
 CONTEXT = 24
 _BLOCK = 64
+_TEXT_BLOCK = 4096
 
 # Each pattern finds what its plain form in the comment finds. Possessive
 # loops and the look-behind keep the search linear in very long runs; \G is
@@ -96,16 +97,13 @@ def _char_class(c: Column) -> Column:
     return (F.when(c.rlike(r"^\s?$"), 0).when(c.rlike(r"^\p{L}"), 1).when(c.rlike("^[0-9]"), 2).otherwise(3))
 
 
-def _describe(text: Column, c: Column) -> Column:
-    """A candidate with its features (small integers) and whether it passes
-    the checks of its kind."""
-    m, start, kind = c["m"], c["start"], c["kind"]
+def _describe(c: Column) -> Column:
+    """A candidate with its features, which are small integers."""
+    m, start, kind, left = c["m"], c["start"], c["kind"], c["left"]
     digits = F.regexp_replace(m, "[^0-9]", "")
     n = F.length(digits)
     luhn = F.when((n >= 12) & (n <= 19), F.when(_luhn(digits), 1).otherwise(0)).otherwise(0)
     parts = F.when(kind == KINDS.index("ip"), F.when(_parts_fit(m), 1).otherwise(0)).otherwise(0)
-    left = F.substr(text, F.greatest(start - CONTEXT, F.lit(0)) + 1, F.least(start, F.lit(CONTEXT)))
-    right = F.substr(text, c["end"] + 1, F.lit(1))
     has = lambda s: F.when(F.contains(m, F.lit(s)), 1).otherwise(0)
     values = (
         kind,
@@ -114,8 +112,8 @@ def _describe(text: Column, c: Column) -> Column:
         has(" ") + has("-") + has("."),
         F.when(F.startswith(m, F.lit("+")), 2).otherwise(0) + has("("),
         luhn, parts,
-        _char_class(F.substr(text, start, F.when(start > 0, F.lit(1)).otherwise(F.lit(0)))),
-        _char_class(right),
+        _char_class(F.right(left, F.lit(1))),
+        _char_class(c["right"]),
         F.when(left.rlike(_COUNTER_CUE), 2).when(left.rlike(_CUE), 1).otherwise(0))
     return F.struct(kind.alias("kind"), c["base"].alias("base"), start.alias("start"), c["end"].alias("end"),
                     *[v.cast("int").alias(f"f_{name}") for name, v in zip(FEATURES, values)])
@@ -123,33 +121,40 @@ def _describe(text: Column, c: Column) -> Column:
 
 def candidates(rows: DataFrame, keep: list[str]) -> DataFrame:
     """``keep, text, cands``: all candidates of each text (null: empty) in an
-    array, base matches with ``passed`` telling whether the checks hold."""
+    array. Context is what stands between a match and its generator's last
+    one, as far as ``CONTEXT`` characters: everything is cut from the pieces
+    between matches, so a long text is walked once, not once per match."""
     text = F.coalesce(F.col("text"), F.lit(""))
     cols = []
-    none_i, none_s = F.array().cast("array<int>"), F.array().cast("array<string>")
+    none_g, none_s = F.array().cast("array<struct<n:int,tail:string,head:string>>"), F.array().cast("array<string>")
+
+    def gap(s: Column) -> Column:
+        return F.struct(F.length(s).alias("n"), F.right(s, F.lit(CONTEXT)).alias("tail"), F.left(s, F.lit(1)).alias("head"))
+
     for j, (_, _, p, quick) in enumerate(_GENERATORS):
         maybe = F.col("text").rlike(quick)
-        cols.append(F.when(maybe, F.transform(F.split(F.col("text"), p, -1), lambda s: F.length(s))).otherwise(none_i).alias(f"gap_{j}"))
+        cols.append(F.when(maybe, F.transform(F.split(F.col("text"), p, -1), gap)).otherwise(none_g).alias(f"gap_{j}"))
         cols.append(F.when(maybe, F.regexp_extract_all(F.col("text"), F.lit(p), F.lit(0))).otherwise(none_s).alias(f"m_{j}"))
     d = rows.select(*keep, text.alias("text")).select(*keep, "text", *cols)
     n = len(_GENERATORS)
     # Text before a match plus the match itself; the sums are the ends.
 
     def advance(j: int) -> Column:
-        return F.transform(f"m_{j}", lambda m, i: F.get(f"gap_{j}", i) + F.length(m))
+        return F.transform(f"m_{j}", lambda m, i: F.get(f"gap_{j}", i)["n"] + F.length(m))
 
     def place(j: int, kind: str, base: bool) -> Column:
         def of(m: Column, i: Column) -> Column:
             end = F.get(f"end_{j}", i)
             return F.struct(F.lit(KINDS.index(kind)).alias("kind"), F.lit(base).alias("base"),
-                            (end - F.length(m)).alias("start"), end.alias("end"), m.alias("m"))
+                            (end - F.length(m)).alias("start"), end.alias("end"), m.alias("m"),
+                            F.get(f"gap_{j}", i)["tail"].alias("left"), F.get(f"gap_{j}", i + F.lit(1))["head"].alias("right"))
         return F.transform(f"m_{j}", of)
 
-    d = d.select(*keep, "text", *[f"m_{j}" for j in range(n)], *[advance(j).alias(f"end_{j}") for j in range(n)])
+    d = d.select(*keep, "text", *[f"{c}_{j}" for j in range(n) for c in ("m", "gap")], *[advance(j).alias(f"end_{j}") for j in range(n)])
     d = _starts([f"end_{j}" for j in range(n)], d)
     found = [place(j, kind, base) for j, (kind, base, _, _) in enumerate(_GENERATORS)]
     d = d.select(*keep, "text", F.concat(*found).alias("found"))
-    d = d.select(*keep, "text", F.transform("found", lambda c: _describe(F.col("text"), c)).alias("cands"))
+    d = d.select(*keep, "text", F.transform("found", _describe).alias("cands"))
     return d
 
 
@@ -252,13 +257,22 @@ def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", p
         return F.when(apart, F.concat(acc, F.array(s))).otherwise(F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(joined)))
 
     d = d.select("row", "text", F.when(F.size("spans") > 0, F.aggregate("spans", F.array().cast(span), merge)).alias("cuts"))
+    # Blocks of the text, so that a piece is cut from the blocks it touches.
+    blocks = F.regexp_extract_all(F.when(F.col("cuts").isNotNull(), F.col("text")), F.lit(f"(?s).{{1,{_TEXT_BLOCK}}}"), F.lit(0))
+    d = d.select("row", "cuts", F.length("text").alias("n"), blocks.alias("blocks"))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 
+    def between(begin: Column, end: Column) -> Column:
+        first = F.floor(begin / _TEXT_BLOCK).cast("int")
+        last = F.floor((end - 1) / _TEXT_BLOCK).cast("int")
+        joined = F.array_join(F.slice("blocks", first + 1, last - first + 1), "")
+        return F.when(end > begin, F.substr(joined, begin - first * _TEXT_BLOCK + 1, end - begin)).otherwise(F.lit(""))
+
     def piece(s: Column, i: Column) -> Column:
         begin = F.when(i > 0, F.get("cuts", i - 1)["end"]).otherwise(F.lit(0))
-        return F.concat(F.substr("text", begin + 1, s["start"] - begin), F.element_at(names, s["kind"] + 1))
+        return F.concat(between(begin, s["start"]), F.element_at(names, s["kind"] + 1))
 
     tail = F.element_at("cuts", -1)["end"]
-    clean = F.concat(F.array_join(F.transform("cuts", piece), ""), F.substr("text", tail + 1, F.length("text") - tail))
+    clean = F.concat(F.array_join(F.transform("cuts", piece), ""), between(tail, F.col("n")))
     new = F.when(F.col("cuts").isNull(), F.col("row")[text_col]).otherwise(clean)
     return d.select(*[new.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in columns])
