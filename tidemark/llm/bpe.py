@@ -11,8 +11,8 @@ import hashlib
 import heapq
 import json
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import pyarrow as pa
 from pyspark import SparkFiles
@@ -50,10 +50,14 @@ class Merger:
         self.library = load_tokenizer(spec)
         self.of_byte = [vocab[alphabet[b]] for b in range(256)]
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in doc["model"]["merges"]]
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        self.rank_of = {(vocab[a], vocab[b]): rank for rank, (a, b) in enumerate(pairs)}
+        self.joined = [vocab[a + b] for a, b in pairs]
+        self.no_rank = len(pairs)
         self.special = {t["content"]: t["id"] for t in doc["added_tokens"]}
         self.bytes_of: dict[int, bytes] = {i: bytes(back[c] for c in t) for t, i in vocab.items()}
         self.bytes_of.update({i: t.encode() for t, i in self.special.items()})
+        #: Array type that holds every id.
+        self.id_type = "H" if max(self.bytes_of, default=0) < 1 << 16 else "I"
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") \
             if self.special else None
 
@@ -69,41 +73,37 @@ class Merger:
         ids = [self.of_byte[b] for b in word]
         if len(ids) > _LONG:
             return self._merge_long(ids)
-        find = self.merges.get
-        ranks = [find(p) for p in zip(ids, ids[1:])]
-        while True:
-            best, at = None, -1
-            for i, r in enumerate(ranks):
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                return ids
-            ids[at:at + 2] = [best[1]]
+        rank, joined, none = self.rank_of.get, self.joined, self.no_rank
+        ranks = [rank(p, none) for p in zip(ids, ids[1:])]
+        while ranks and (best := min(ranks)) < none:
+            at = ranks.index(best)
+            ids[at:at + 2] = [joined[best]]
             del ranks[at]
             if at < len(ranks):
-                ranks[at] = find((ids[at], ids[at + 1]))
+                ranks[at] = rank((ids[at], ids[at + 1]), none)
             if at:
-                ranks[at - 1] = find((ids[at - 1], ids[at]))
+                ranks[at - 1] = rank((ids[at - 1], ids[at]), none)
+        return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap over a linked list: n log n for long words."""
-        n, find = len(ids), self.merges.get
+        n, rank, joined = len(ids), self.rank_of.get, self.joined
         right, left = list(range(1, n)) + [-1], list(range(-1, n - 1))
         heap = []
 
         def offer(i: int) -> None:
             j = right[i]
-            if j >= 0 and (m := find((ids[i], ids[j]))) is not None:
-                heapq.heappush(heap, (m[0], i, ids[i], ids[j], m[1]))
+            if j >= 0 and (r := rank((ids[i], ids[j]))) is not None:
+                heapq.heappush(heap, (r, i, ids[i], ids[j]))
 
         for i in range(n - 1):
             offer(i)
         while heap:
-            _, i, a, b, new = heapq.heappop(heap)
+            best, i, a, b = heapq.heappop(heap)
             j = right[i] if ids[i] == a else -1
             if j < 0 or ids[j] != b:
                 continue
-            ids[i], ids[j] = new, -1
+            ids[i], ids[j] = joined[best], -1
             right[i] = right[j]
             if right[j] >= 0:
                 left[right[j]] = i
@@ -157,10 +157,10 @@ def build_lexicon(docs: DataFrame, spec: str, one_in: int = ONE_IN, *, text_col:
     return compile_transducer({w: m.encode(w.decode()) for w in (b" " + r.word.encode() for r in rows) if len(w) <= 256})
 
 
-def lexicon_encoder(spec: str, file_name: str, with_text: bool = False) -> PieceEncoder:
+def lexicon_encoder(spec: str, file_name: str) -> PieceEncoder:
     """Encoder for a worker: looks a piece up in the mapped transducer and
-    merges what is not there. Values are id tuples, with ``with_text`` pairs
-    of the ids and their comma-joined decimal form."""
+    merges what is not there. Values are packed ids (see ``id_type``), which
+    leaves room for many known pieces."""
     m = merger(spec)
     if file_name not in _MAPPED:
         _MAPPED[file_name] = Transducer(SparkFiles.get(file_name))
@@ -170,9 +170,9 @@ def lexicon_encoder(spec: str, file_name: str, with_text: bool = False) -> Piece
         out = []
         for p in pieces:
             ids = look(p.encode())
-            out.append(m.encode(p) if ids is None else ids)
-        return [(ids, ",".join(map(str, ids))) for ids in out] if with_text else out
-    return worker_encoder((spec, file_name, with_text), lambda: PieceEncoder(encode, "keep", max_pieces=300_000))
+            out.append(array(m.id_type, m.encode(p) if ids is None else ids).tobytes())
+        return out
+    return worker_encoder((spec, file_name), lambda: PieceEncoder(encode, "keep"))
 
 
 def _prepare(spark: SparkSession, docs: DataFrame, tokenizer_path: str, one_in: int):
@@ -189,9 +189,9 @@ def encode_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str,
     spec, lexicon = _prepare(spark, d, tokenizer_path, one_in)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = lexicon_encoder(spec.value, lexicon)
+        m, enc = merger(spec.value), lexicon_encoder(spec.value, lexicon)
         for b in batches:
-            ids = [list(chain.from_iterable(enc(t.as_py() or ""))) for t in b.column(1)]
+            ids = [array(m.id_type, b"".join(enc(t.as_py() or ""))).tolist() for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
     return d.mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -218,15 +218,15 @@ def round_trip_digests(spark: SparkSession, docs: DataFrame, tokenizer_path: str
     spec, lexicon = _prepare(spark, d, tokenizer_path, one_in)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, enc = merger(spec.value), lexicon_encoder(spec.value, lexicon, with_text=True)
+        m, enc = merger(spec.value), lexicon_encoder(spec.value, lexicon)
+        decimal = [str(i) for i in range(max(m.bytes_of, default=0) + 1)]
         sha = lambda b: hashlib.sha256(b).hexdigest()
         for b in batches:
             counts, ids_sha, text_sha = [], [], []
             for t in b.column(1):
-                vals = enc(t.as_py() or "")
-                ids = list(chain.from_iterable([v[0] for v in vals]))
+                ids = array(m.id_type, b"".join(enc(t.as_py() or ""))).tolist()
                 counts.append(len(ids))
-                ids_sha.append(sha(",".join([v[1] for v in vals]).encode()))
+                ids_sha.append(sha(",".join([decimal[i] for i in ids]).encode()))
                 text_sha.append(sha(m.decode(ids).encode()))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
