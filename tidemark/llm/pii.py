@@ -56,26 +56,31 @@ def _starts(lens: list[str], rows: DataFrame) -> DataFrame:
     """Replaces array columns of lengths by their running sums, block by
     block, so that many matches in one text stay far from quadratic."""
     keep = [c for c in rows.columns if c not in lens]
-    add = lambda a, x: a + x
     zero = F.lit(0)
 
+    def total(c: str, first: Column, last: Column) -> Column:
+        # Slicing would walk the whole array each time.
+        return F.aggregate(F.sequence(first, last), zero, lambda a, i: a + F.get(c, i))
+
     def blocks(c: str) -> Column:
         n = F.ceil(F.size(c) / _BLOCK).cast("int")
-        sums = F.transform(F.sequence(zero, n - 1), lambda b: F.aggregate(F.slice(c, b * _BLOCK + 1, _BLOCK), zero, add))
+        sums = F.transform(F.sequence(zero, n - 1), lambda b: total(c, b * _BLOCK, F.least((b + 1) * _BLOCK, F.size(c)) - 1))
         return F.when(n > 0, sums).otherwise(F.array().cast("array<int>"))
 
     rows = rows.select(*keep, *lens, *[blocks(c).alias(f"{c}_block") for c in lens])
 
     def before(c: str) -> Column:
-        return F.transform(f"{c}_block", lambda _, b: F.aggregate(F.slice(f"{c}_block", F.lit(1), b), zero, add))
+        return F.transform(f"{c}_block", lambda x, b: total(f"{c}_block", zero, b) - x)
 
     rows = rows.select(*keep, *lens, *[before(c).alias(f"{c}_before") for c in lens])
 
     def running(c: str) -> Column:
         def end(_: Column, i: Column) -> Column:
             b = F.floor(i / _BLOCK).cast("int")
-            return F.get(f"{c}_before", b) + F.aggregate(F.slice(c, b * _BLOCK + 1, i - b * _BLOCK + 1), zero, add)
-        return F.transform(c, end)
+            return F.get(f"{c}_before", b) + total(c, b * _BLOCK, i)
+        # Naming the sums outside the lambda too keeps the optimizer from
+        # moving their computation into it, once per element.
+        return F.when(F.size(f"{c}_before") == 0, F.col(c)).otherwise(F.transform(c, end))
 
     return rows.select(*keep, *[running(c).alias(c) for c in lens])
 
@@ -265,7 +270,7 @@ def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", p
     def between(begin: Column, end: Column) -> Column:
         first = F.floor(begin / _TEXT_BLOCK).cast("int")
         last = F.floor((end - 1) / _TEXT_BLOCK).cast("int")
-        joined = F.array_join(F.slice("blocks", first + 1, last - first + 1), "")
+        joined = F.array_join(F.transform(F.sequence(first, last), lambda i: F.get("blocks", i)), "")
         return F.when(end > begin, F.substr(joined, begin - first * _TEXT_BLOCK + 1, end - begin)).otherwise(F.lit(""))
 
     def piece(s: Column, i: Column) -> Column:
