@@ -35,7 +35,7 @@ def run(df) -> None:
 def export_lineitem(spark, sf: str) -> int:
     """P1 + P4 + S4: conform lineitem to declared types, add the full-refresh
     envelope and land it as an atomically published snapshot."""
-    df = envelope(conform(load(spark, sf, "lineitem"), R.LINEITEM_SPEC), version=0)
+    df = envelope(conform(load(spark, sf, "lineitem"), R.LINEITEM_SPEC, on_long_text="truncate"), version=0)
     return write_snapshot(df, f"{scratch_dir(spark, 'bench')}/lineitem")
 
 

@@ -9,6 +9,10 @@ from conftest import SF001
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
+def lines(out):
+    return [x for x in out.splitlines() if x.startswith("{")]
+
+
 def run(*args):
     out = subprocess.run([sys.executable, "-m", "tidemark", "--master", "local[2]", *args], cwd=REPO,
                          capture_output=True, text=True, timeout=600)
@@ -29,20 +33,23 @@ def test_command_line_export_mirror_catalog_query():
                                                          "watermark_column": "o_orderkey"}))
 
     code, out, err = run("export", "--tables", SF001, "--queries", q, "--out", f"{work}/out")
-    assert code == 3 and "customers: OK" in out and "bad_keys: ERROR" in err
+    said = {x["statement"]: x for x in map(json.loads, lines(out))}
+    assert code == 3 and said["customers"]["published"] > 0 and "repeats" in said["bad_keys"]["failure"]
     code, out, _ = run("export", "--tables", SF001, "--queries", q, "--out", f"{work}/out", "--query", "customers")
-    assert code == 0 and "customers: OK" in out
+    assert code == 0 and [json.loads(x)["statement"] for x in lines(out)] == ["customers"]
 
     code, out, err = run("mirror", "--tables", SF001, "--queries", q, "--out", f"{work}/mirror")
-    assert code == 0 and "feed: OK - full, sequence 1" in out, err
+    said = json.loads(lines(out)[0])
+    assert code == 0 and (said["feed"], said["run"], said["sequence"]) == ("feed", "full", 1), err
     code, out, err = run("mirror", "--tables", SF001, "--queries", q, "--out", f"{work}/mirror")
-    assert code == 0 and "feed: OK - delta, sequence 1, 0 rows" in out, err
+    said = json.loads(lines(out)[0])
+    assert code == 0 and (said["run"], said["sequence"], said["change_rows"]) == ("delta", 1, 0), err
 
     code, out, err = run("catalog", "--tables", SF001, "--out", f"{work}/catalog.json")
-    assert code == 0 and "tables=14" in out, err
+    assert code == 0 and json.loads(lines(out)[0])["tables"] == 14, err
 
     code, out, _ = run("query", "--tables", SF001, "--top", "3", "SELECT r_name FROM region ORDER BY r_name")
-    assert code == 0 and out.splitlines() == ["r_name", "AFRICA", "AMERICA", "ASIA"]
+    assert code == 0 and [x.strip("| ") for x in out.splitlines() if x.startswith("|")] == ["r_name", "AFRICA", "AMERICA", "ASIA"]
 
 
 def test_catalog_nested_and_query_file_in_process(spark, workdir, capsys):
@@ -54,4 +61,5 @@ def test_catalog_nested_and_query_file_in_process(spark, workdir, capsys):
     sql_file = tempfile.mkdtemp(prefix="tidemark-cli-") + "/q.sql"
     open(sql_file, "w").write("SELECT n_name FROM nation ORDER BY n_nationkey")
     assert main(["query", "--tables", SF001, "--file", sql_file, "--top", "2"]) == 0
-    assert capsys.readouterr().out.splitlines()[-3:] == ["n_name", "NATION_0", "NATION_1"]
+    shown = [x.strip("| ") for x in capsys.readouterr().out.splitlines() if x.startswith("|")]
+    assert shown == ["n_name", "NATION_0", "NATION_1"]

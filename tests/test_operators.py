@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.types import cast_type, file_type, spark_type
 from tidemark.operators import aggregates as A
 from tidemark.operators import joins as J
-from tidemark.operators.filters import in_schemas, non_empty, non_system_schemas, since, with_any_tag
+from tidemark.fixed import SYSTEM_SCHEMA_NAMES, SYSTEM_SCHEMA_PREFIX
+from tidemark.operators.filters import in_schemas, mark_range, non_empty, non_system_schemas, since, with_any_tag
 from tidemark.operators.project import conform, envelope, normalise_columns
 from tidemark.tables import load
 
@@ -55,13 +56,22 @@ def test_conform_casts_cuts_and_orders(spark):
             {"COLUMN_NAME": "b", "DATA_TYPE": "NVARCHAR", "CHARACTER_MAXIMUM_LENGTH": 3, "ORDINAL_POSITION": 3},
             {"COLUMN_NAME": "a", "DATA_TYPE": "INTEGER", "ORDINAL_POSITION": 1},
             {"COLUMN_NAME": None, "DATA_TYPE": "INTEGER", "ORDINAL_POSITION": 4}]
-    out = conform(df, spec)
+    out = conform(df, spec, on_long_text="truncate")
     assert out.columns == ["a", "c", "b"]
     r = out.first()
     assert (r.a, float(r.c), r.b) == (12, 1.5, "abc")
     assert conform(df, spec, on_long_text="keep").first().b == "abcdef"
     with pytest.raises(Exception):
-        conform(df, spec, on_long_text="error").collect()
+        conform(df, spec).collect()
+    free = [{**d, "CHARACTER_MAXIMUM_LENGTH": None} for d in spec]
+    assert conform(df, free).first().b == "abcdef"
+
+
+def test_conform_keeps_undeclared_lengths_and_nested_columns(spark):
+    df = spark.createDataFrame([("x" * 9000, "yes", [1.5], True)], "a string, b string, c array<float>, d boolean")
+    spec = [{"COLUMN_NAME": n, "DATA_TYPE": t, "ORDINAL_POSITION": i} for i, (n, t) in enumerate(
+        (("a", "STRING"), ("b", "CHAR"), ("c", "ARRAY<FLOAT>"), ("d", "BOOLEAN")))]
+    assert tuple(conform(df, spec).first()) == ("x" * 9000, "yes", [1.5], True)
 
 
 def test_conform_bad_values(spark):
@@ -92,10 +102,11 @@ def test_envelope_and_normalise(spark):
 
 def test_filters(spark):
     df = spark.createDataFrame([(0,), (5,), (9,)], "m long")
-    assert [r.m for r in since(df, "m", None).collect()] == [5, 9]
+    assert [r.m for r in since(df, "m", None).collect()] == [0, 5, 9]
+    assert [r.m for r in df.where(mark_range("m", floor=0)).collect()] == [5, 9]
     assert [r.m for r in since(df, "m", 5).collect()] == [9]
     assert [r.m for r in since(df, "m", 0, 5).collect()] == [5]
-    schemas = spark.createDataFrame([("sys_x",), ("SYSTEM",), ("public",), ("sales",), ("A",)], "SCHEMA_NAME string")
+    schemas = spark.createDataFrame([(f"{SYSTEM_SCHEMA_PREFIX.lower()}_x",), *((n.lower(),) for n in SYSTEM_SCHEMA_NAMES), ("sales",), ("A",)], "SCHEMA_NAME string")
     assert [r[0] for r in non_system_schemas(schemas).collect()] == ["A", "sales"]
     assert in_schemas(schemas, schemas=["sales"]).count() == 1
     assert in_schemas(schemas, default_schema="A").count() == 1
@@ -193,11 +204,11 @@ def test_duplicate_keys(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (None, "b"), (None, "b"), (2, "c")], "PK1 long, PK_2 string")
     assert A.pk_columns(df) == ["PK1", "PK_2"]
     assert A.duplicate_keys(df).count() == 2
-    with pytest.raises(ValueError, match="duplicate"):
+    with pytest.raises(ValueError, match="repeats"):
         A.assert_unique(df)
     A.assert_unique(df.where("PK1 = 2"))
     A.assert_unique(spark.range(3).union(spark.range(3)))  # no key columns: no check
-    with pytest.raises(ValueError, match="missing key"):
+    with pytest.raises(ValueError, match="are not among"):
         A.duplicate_keys(df, ["nope"])
 
 
@@ -276,7 +287,7 @@ def test_names_with_slashes(spark):
     df = spark.createDataFrame([(1, "ab", 7)], "`/1FB/CURKEY_GC` long, `MANDT` string, `/1FB/CS_UNIT` int")
     spec = [{"COLUMN_NAME": "/1FB/CURKEY_GC", "DATA_TYPE": "INTEGER", "ORDINAL_POSITION": 1},
             {"COLUMN_NAME": "MANDT", "DATA_TYPE": "NVARCHAR", "CHARACTER_MAXIMUM_LENGTH": 1, "ORDINAL_POSITION": 2}]
-    out = envelope(conform(df, spec))
+    out = envelope(conform(df, spec, on_long_text="truncate"))
     assert out.columns == ["__watermark", "__op", "__deleted", "/1FB/CURKEY_GC", "MANDT"]
     assert tuple(out.first())[3:] == (1, "a")
     delta = spark.createDataFrame([(5, 1)], "`REQ/OUT` long, `REQ/IN` long")

@@ -1,3 +1,5 @@
+import time
+import json
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,6 +7,7 @@ from tidemark.operators.joins import change_rows
 from tidemark.operators.nested import build_catalog, catalog_entries, flatten_catalog
 from tidemark.plans.catalog import profile
 from tidemark.plans.export import export, export_all, previous_marks, read_run_log
+from tidemark.operators.filters import mark_range
 from tidemark.plans.mirror import MirrorSpec, load_state, mirror
 from tidemark.sources import paths
 from tidemark.sources.catalog_doc import read_catalog, write_catalog
@@ -72,8 +75,10 @@ def test_delta_file_is_ordered_by_mark_then_key(spark, workdir):
 
 def test_stream_equals_batch(spark, workdir):
     src = f"{workdir}/src"
-    load(spark, SF001, "orders").repartitionByRange(3, "o_orderkey").write.parquet(src)
-    q = stream_mirror(spark, delta_stream(spark, src, max_files_per_trigger=1), load(spark, SF001, "lineitem"),
+    for low, high in ((None, 400), (400, 900), (900, None)):
+        load(spark, SF001, "orders").where(mark_range("o_orderkey", low, high)).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)  # files are taken in order of their times
+    q = stream_mirror(spark, delta_stream(spark, src, max_files_per_trigger=1), lambda s: load(s, SF001, "lineitem"),
                       name="s", root=workdir, delta_key="o_orderkey", snap_key="l_orderkey", mark="o_orderkey")
     assert q.lastProgress is not None
     streamed = read_changes(spark, workdir, "s")
@@ -83,7 +88,7 @@ def test_stream_equals_batch(spark, workdir):
     s = streamed.drop("seq")
     assert s.count() == batch.count() and s.exceptAll(batch.select(*s.columns)).count() == 0
     # A second start finds nothing new and adds no sequence.
-    stream_mirror(spark, delta_stream(spark, src, max_files_per_trigger=1), load(spark, SF001, "lineitem"),
+    stream_mirror(spark, delta_stream(spark, src, max_files_per_trigger=1), lambda s: load(s, SF001, "lineitem"),
                   name="s", root=workdir, delta_key="o_orderkey", snap_key="l_orderkey", mark="o_orderkey")
     assert paths.list_dirs(spark, f"{workdir}/s") == [f"seq={i:010d}" for i in (1, 2, 3)]
     assert load_state(spark, workdir, "s")["last_sequence"] == 3
@@ -116,7 +121,7 @@ def test_export_folder_logs_failures_and_continues(spark, workdir):
                              "a_ok": "SELECT c_custkey AS PK1 FROM customer",
                              "c_bad": "SELECT nope FROM customer"}, workdir)
     assert [r.name for r in res] == ["a_ok", "b_dup", "c_bad"]
-    assert res[0].error is None and "duplicate" in res[1].error and res[2].error
+    assert res[0].error is None and "repeats" in res[1].error and res[2].error
     assert not paths.exists(spark, f"{workdir}/b_dup")
     log = {r.name: r for r in read_run_log(spark, f"{workdir}/_runs").collect()}
     assert log["a_ok"].rows == 1500 * 0 + load(spark, SF001, "customer").count() and log["c_bad"].error
@@ -166,10 +171,86 @@ def test_catalog_count_failure_is_unknown(spark, workdir):
     assert "broken" not in names and {"orders", "region", "v"} <= names
 
 
-def test_corrupt_state_starts_from_zero(spark, workdir):
-    from tidemark.plans.mirror import state_path
-    paths.write_text(spark, state_path(workdir, "feed"), "{not json")
+def test_the_newest_readable_state_counts(spark, workdir):
+    from tidemark.plans.mirror import KEEP_STATES, save_state, state_dir
     assert load_state(spark, workdir, "feed") == {"last_sequence": 0, "last_watermark": None}
+    for i in range(KEEP_STATES + 2):
+        save_state(spark, workdir, "feed", seq=i, watermark=f"00{i}", watermark_type="string", watermark_column="m", mode="delta")
+    names = paths.list_files(spark, state_dir(workdir, "feed"))
+    assert len([n for n in names if n.endswith(".json")]) == KEEP_STATES
+    paths.write_text(spark, f"{state_dir(workdir, 'feed')}/000000000099.json", "{not js")
+    st = load_state(spark, workdir, "feed")
+    assert (st["last_sequence"], st["last_watermark"]) == (KEEP_STATES + 1, f"00{KEEP_STATES + 1}")
+
+
+def test_a_feed_without_state_is_never_started_over(spark, workdir):
+    from tidemark.plans.mirror import state_dir
+    mirror(spark, spec(), workdir, high=100)
+    paths.delete(spark, state_dir(workdir, "feed"))
+    before = read_changes(spark, workdir, "feed").count()
+    assert "no readable state" in mirror(spark, spec(), workdir).error
+    assert read_changes(spark, workdir, "feed").count() == before
+
+
+def test_text_marks_keep_their_zeros(spark, workdir):
+    rows = [(f"{i:010d}", i) for i in range(1, 8)]
+    snap = spark.createDataFrame([(i, f"v{i}") for i in range(1, 8)], "k long, v string")
+    state = {"n": 3}
+    s = MirrorSpec(name="t", snapshot=lambda _: snap, snap_key="k", delta_key="k", mark="m", mode="delta",
+                   delta=lambda sp: sp.createDataFrame(rows[:state["n"]], "m string, k long"))
+    assert mirror(spark, s, workdir).rows == 3
+    state["n"] = 7
+    r = mirror(spark, s, workdir)
+    assert (r.rows, r.watermark, r.error) == (4, "0000000007", None)
+
+
+def test_marks_at_or_below_zero_are_read(spark, workdir):
+    delta = spark.createDataFrame([(-2, 1), (0, 2), (3, 3)], "m long, k long")
+    s = MirrorSpec(name="z", snapshot=lambda sp: sp.createDataFrame([(1,), (2,), (3,)], "k long"), snap_key="k", delta_key="k",
+                   mark="m", mode="delta", delta=lambda _: delta)
+    assert mirror(spark, s, workdir).rows == 3
+
+
+def test_folder_modes(spark, workdir):
+    """Full only repeats; delta only and full + delta go on by delta; a folder
+    without SQL is an error of its own."""
+    from tidemark.plans.mirror import mirror_all, specs_in_folder
+    load(spark, SF001, "orders").createOrReplaceTempView("orders")
+    full, delta = "SELECT o_orderkey FROM orders", "SELECT o_orderkey FROM orders WHERE o_orderkey > {WATERMARK} AND false"
+    settings = json.dumps({"watermark_table": "orders", "watermark_column": "o_orderkey"})
+    q = f"{workdir}/q"
+    for name, files in {"a": {"full.sql": full}, "b": {"delta.sql": delta, "mirror.json": settings},
+                        "c": {"full.sql": full, "delta.sql": delta}, "d": {"full.sql": full, "mirror.json": settings},
+                        "e": {"readme.txt": "-"}}.items():
+        for f, text in files.items():
+            paths.write_text(spark, f"{q}/{name}/{f}", text)
+    specs = specs_in_folder(spark, q)
+    first, second = ({r.name: r for r in mirror_all(spark, specs, f"{workdir}/out")} for _ in range(2))
+    assert [first[n].mode for n in "abcd"] == ["full", "delta", "full", "full"]
+    assert [second[n].mode for n in "abcd"] == ["full", "delta", "delta", "full"]
+    assert all(r[n].error is None for r in (first, second) for n in "abcd")
+    assert "no SQL statement" in first["e"].error
+
+
+def test_stream_goes_on_after_a_batch_feed_and_keeps_its_mark(spark, workdir):
+    r = mirror(spark, spec(), workdir, high=100)
+    before = spark.read.parquet(f"{workdir}/feed/seq=0000000001").count()
+    o, src = load(spark, SF001, "orders"), f"{workdir}/src"
+
+    def step(rows):
+        rows.write.mode("append").parquet(src)
+        stream_mirror(spark, delta_stream(spark, src), lambda s: load(s, SF001, "lineitem"), name="feed", root=workdir,
+                      delta_key="o_orderkey", snap_key="l_orderkey", mark="o_orderkey")
+        return load_state(spark, workdir, "feed")
+    one = step(o.where("o_orderkey > 100 and o_orderkey <= 500"))
+    assert (r.seq, one["last_sequence"], one["last_watermark"]) == (1, 2, 500)
+    late = step(o.where("o_orderkey between 90 and 300"))
+    assert (late["last_sequence"], late["last_watermark"]) == (2, 500)
+    assert spark.read.parquet(f"{workdir}/feed/seq=0000000001").count() == before
+    assert "written by the stream" in mirror(spark, spec(), workdir).error
+    with pytest.raises(ValueError, match="written by the stream"):
+        stream_mirror(spark, delta_stream(spark, src), lambda s: load(s, SF001, "lineitem"), name="feed", root=workdir,
+                      delta_key="o_orderkey", snap_key="l_orderkey", mark="o_orderkey", checkpoint=f"{workdir}/other")
 
 
 FULL_SQL = """SELECT 0 AS __watermark, 'u' AS __op, 0 AS __deleted, m.*
@@ -245,7 +326,8 @@ def test_conform_from_catalog(spark, workdir):
     counts = spark.createDataFrame([("s", "t", 1)], "schema string, object string, row_count long")
     write_catalog(build_catalog(catalog_entries(objs, meta, counts), "2026-01-01T00:00:00"), f"{workdir}/cat")
     cat = read_catalog(spark, f"{workdir}/cat", nested=True)
-    out = conform_from_catalog(spark.createDataFrame([("xyz", 1.234)], "a string, b double"), cat, "s", "t")
+    out = conform_from_catalog(spark.createDataFrame([("xyz", 1.234)], "a string, b double"), cat, "s", "t",
+                               on_long_text="truncate")
     assert out.columns == ["b", "a"]
     r = out.first()
     assert (str(r.b), r.a) == ("1.23", "xy")
@@ -313,7 +395,7 @@ def test_continuous_stream_picks_up_new_files(spark, workdir):
     src = f"{workdir}/src"
     o = load(spark, SF001, "orders")
     o.where("o_orderkey < 500").coalesce(1).write.parquet(src)
-    q = stream_mirror(spark, delta_stream(spark, src), load(spark, SF001, "lineitem"), name="c", root=workdir,
+    q = stream_mirror(spark, delta_stream(spark, src), lambda s: load(s, SF001, "lineitem"), name="c", root=workdir,
                       delta_key="o_orderkey", snap_key="l_orderkey", mark="o_orderkey",
                       available_now=False, processing_time="1 second")
     try:

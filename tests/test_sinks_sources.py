@@ -30,10 +30,32 @@ def test_failed_write_keeps_old_data(spark, workdir):
     with pytest.raises(Exception):
         write_snapshot(bad, target)
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == [0, 1, 2, 3, 4]
-    leftovers = [n for n in paths.list_dirs(spark, workdir) if "__staging" in n or "__old" in n]
+    leftovers = [n for n in paths.list_dirs(spark, workdir) if n.startswith("_")]
     assert leftovers == []
 
 
+def test_leftovers_of_a_killed_writer_are_hidden_and_cleared(spark, workdir):
+    from tidemark.sources.files import read_changes
+    from tidemark.sources.sinks import recover, write_change
+    assert write_change(spark.range(10), workdir, "t", 1) == 10
+    spark.range(7).write.parquet(f"{workdir}/t/_new-seq~0000000002--dead")
+    assert read_changes(spark, workdir, "t").count() == 10
+    # Killed between the two renames: the old data is put back.
+    paths.rename(spark, f"{workdir}/t/seq=0000000001", f"{workdir}/t/_old-seq~0000000001--dead")
+    recover(spark, f"{workdir}/t/seq=0000000001")
+    assert read_changes(spark, workdir, "t").count() == 10
+    assert write_change(spark.range(4), workdir, "t", 2) == 4
+    assert paths.list_dirs(spark, f"{workdir}/t") == ["seq=0000000001", "seq=0000000002"]
+
+
+def test_pages_that_are_no_json_are_one_item(spark):
+    from tidemark.sources.listings import flatten_pages
+    pages = spark.createDataFrame([(1, '{"value": [{"a": 1}, {"a": 2}]}'), (2, '{"value": [{"a": 3}'), (3, "<html>x</html>"), (4, " "),
+                                   (5, None), (6, "17")], "page_no int, body string")
+    got = [(r.page_no, r.item) for r in flatten_pages(pages).orderBy("page_no", "item_pos").collect()]
+    assert got == [(1, '{"a":1}'), (1, '{"a":2}'), (2, '{"value": [{"a": 3}'), (3, "<html>x</html>"), (6, "17")]
+
+
 def test_validation_discards_staged_output(spark, workdir):
     target = f"{workdir}/snap"
     write_snapshot(spark.range(2), target)

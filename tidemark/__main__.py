@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import json
 import sys
 
 from pyspark.sql import SparkSession
@@ -43,16 +44,16 @@ def register_folder(spark: SparkSession, folder: str) -> list[str]:
     return names
 
 
+def _report(**fields) -> None:
+    """One JSON line per unit of work; facts that do not apply are left out."""
+    print(json.dumps({k: v for k, v in fields.items() if v is not None}, default=str))
+
+
 def _export(spark, a) -> int:
     from .plans.export import export_folder
     results = export_folder(spark, a.queries, a.out, names=a.query or None)
     for r in results:
-        if r.error:
-            print(f"{r.name}: ERROR - {r.error}", file=sys.stderr)
-        elif r.rows == 0:
-            print(f"{r.name}: no rows returned; nothing written")
-        else:
-            print(f"{r.name}: OK - {r.rows:,} rows written ({r.elapsed:.2f}s)")
+        _report(statement=r.name, published=r.rows, seconds=r.elapsed, failure=r.error)
     return 3 if any(r.error for r in results) else 0
 
 
@@ -63,14 +64,12 @@ def _mirror(spark, a) -> int:
         specs = [s for s in specs if s.name in set(a.table)]
         missing = set(a.table) - {s.name for s in specs}
         if missing:
-            print(f"table folder {sorted(missing)[0]!r} not found under {a.queries}", file=sys.stderr)
+            _report(folder=a.queries, unknown_tables=sorted(missing))
             return 2
     results = mirror_all(spark, specs, a.out)
     for r in results:
-        if r.error:
-            print(f"{r.name}: ERROR - {r.error}", file=sys.stderr)
-        else:
-            print(f"{r.name}: OK - {r.mode}, sequence {r.seq}, {r.rows:,} rows written ({r.elapsed:.2f}s)")
+        _report(feed=r.name, run=r.mode, sequence=r.seq, change_rows=r.rows, mark=r.watermark, seconds=r.elapsed,
+                failure=r.error)
     return 3 if any(r.error for r in results) else 0
 
 
@@ -90,7 +89,7 @@ def _catalog(spark, a) -> int:
         else:
             write_catalog(entries, a.out, generated_at)
         t = catalog_totals(entries).first()
-        print(f"Done - wrote {a.out} (schemas={t.schemas}, tables={t.tables}, views={t.views})")
+        _report(catalog=a.out, **t.asDict())
     finally:
         entries.unpersist()
     return 0
@@ -101,12 +100,9 @@ def _query(spark, a) -> int:
     from .sources.sql import query_source
     sql = open(a.file, encoding="utf-8").read() if a.file else a.sql
     if not sql or not sql.strip():
-        print("no SQL supplied", file=sys.stderr)
+        _report(failure="give a statement or --file")
         return 2
-    df = head(query_source(spark, sql), a.top)
-    print("\t".join(df.columns))
-    for row in df.collect():  # at most --top rows
-        print("\t".join(str(v) for v in row))
+    head(query_source(spark, sql), a.top).show(a.top, truncate=False)
     return 0
 
 

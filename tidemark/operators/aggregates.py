@@ -116,7 +116,7 @@ def duplicate_keys(df: DataFrame, pk: list[str] | None = None) -> DataFrame:
     pk = pk if pk is not None else pk_columns(df)
     missing = [c for c in pk if c not in df.columns]
     if missing:
-        raise ValueError(f"missing key column {missing[0]!r} in query result")
+        raise ValueError(f"key columns {missing} are not among {df.columns}")
     return (df.groupBy(*[df[f"`{c}`"] for c in pk]).agg(F.count(F.lit(1)).alias("n"))
             .where(F.col("n") > 1))
 
@@ -143,7 +143,7 @@ def assert_unique(df: DataFrame, pk: list[str] | None = None, examples: int = 5)
     dups = duplicate_keys(df, pk).limit(examples).collect()
     if dups:
         shown = [tuple(r[c] for c in pk) for r in dups]
-        raise ValueError(f"duplicate key values detected: {shown}")
+        raise ValueError(f"key ({', '.join(pk)}) repeats, for example {shown}")
 
 
 def catalog_totals(entries: DataFrame, schema_col: str = "schema", kind_col: str = "kind") -> DataFrame:

@@ -30,17 +30,14 @@ def typed_lit(value, dtype: T.DataType | None = None) -> Column:
     return F.lit(value).cast(dtype)
 
 
-def mark_range(mark, low=None, high=None, dtype: T.DataType | None = None) -> Column:
-    """`low < mark <= high`. No saved low means 0 for a numeric mark (rows at
-    or below the saved mark are never read again); a non-numeric mark
-    without a saved low has no lower bound. `dtype` is the mark's type, so
-    the bounds are literals of that type."""
+def mark_range(mark, low=None, high=None, dtype: T.DataType | None = None, floor=None) -> Column:
+    """`low < mark <= high`: rows at or below the saved mark are never read
+    again. Without a saved low every row with a mark is in range; `floor`
+    (for example 0) then gives a lower bound where a source needs one.
+    `dtype` is the mark's type, so the bounds are literals of that type."""
     m = _as_col(mark)
-    if low is None:
-        numeric = dtype is None or isinstance(dtype, T.NumericType)
-        cond = (m > typed_lit(0, dtype)) if numeric else m.isNotNull()
-    else:
-        cond = m > typed_lit(low, dtype)
+    low = floor if low is None else low
+    cond = m.isNotNull() if low is None else m > typed_lit(low, dtype)
     if high is not None:
         cond = cond & (m <= typed_lit(high, dtype))
     return cond
@@ -52,7 +49,7 @@ def since(df: DataFrame, mark: str, low=None, high=None) -> DataFrame:
 
 
 def non_system_schemas(schemas: DataFrame, col: str = "SCHEMA_NAME") -> DataFrame:
-    """drop schemas starting with SYS (any case) or named SYSTEM / PUBLIC."""
+    """drop the system schemas (names and prefix in `fixed`), any case."""
     name = F.upper(F.col(col))
     return (schemas.where(~name.startswith(SYSTEM_SCHEMA_PREFIX) & ~name.isin(*SYSTEM_SCHEMA_NAMES))
             .orderBy(col))

@@ -152,7 +152,7 @@ def with_children(nodes: DataFrame, roots, *, id_col: str = "id", name_col: str
     seen = {r["root_pos"] for r in rows}
     missing = [r for i, r in enumerate(roots) if i not in seen]
     if missing:
-        raise ValueError(f"no domain found with identifier: {missing[0]}")
+        raise ValueError(f"{len(missing)} of {len(roots)} roots match no node by id or name: {missing}")
     top = spark.createDataFrame(rows, found.schema)
     link = F.broadcast(top.select("root_pos", "root", F.col(id_col).alias("__root_id")))
     children = nodes.join(link, nodes[parent_col] == F.col("__root_id")).drop("__root_id")
@@ -214,7 +214,12 @@ def copy_plan(reports: DataFrame, target: DataFrame, *, order_cols=("root_pos",
     One grouped aggregate per name (map-side partial, so a hot name is cheap)
     replaces per-report lookups, and the plan joins back on the name.
     """
-    order = F.struct(*[F.col(c) for c in order_cols])
+    # Reports at equal positions are told apart by their content, then by
+    # their place, so only one of them comes first.
+    ties = (F.xxhash64(*[F.col(f"`{c}`") for c in reports.columns]), F.monotonically_increasing_id())
+    wanted = reports.columns
+    reports = reports.withColumn("__tie", F.struct(*ties))
+    order = F.struct(*[F.col(c) for c in order_cols], F.col("__tie"))
     t = target.select(F.col(target_name).alias("__name"), F.col(target_id).cast("string").alias("__tid"),
                       F.col(target_pos).alias("__tpos"), F.lit(None).cast(reports.select(order.alias("o")).schema["o"].dataType).alias("__order"))
     r = reports.select(F.col(name_col).alias("__name"), F.lit(None).cast("string").alias("__tid"),
@@ -222,7 +227,7 @@ def copy_plan(reports: DataFrame, target: DataFrame, *, order_cols=("root_pos",
     per_name = t.unionByName(r).groupBy("__name").agg(
         F.min_by("__tid", "__tpos").alias("__existing"), F.min("__order").alias("__first"))
     j = reports.join(per_name, reports[name_col] == F.col("__name"), "left")
-    here = F.struct(*[j[c] for c in order_cols])
+    here = F.struct(*[j[c] for c in order_cols], j["__tie"])
     action = F.when(F.col("__existing").isNotNull() | (here > F.col("__first")), F.lit("update")).otherwise(F.lit("clone"))
-    return j.select(*[j[f"`{c}`"] for c in reports.columns], action.alias("action"),
+    return j.select(*[j[f"`{c}`"] for c in wanted], action.alias("action"),
                     F.col("__existing").alias("target_report_id"))

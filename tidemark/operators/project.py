@@ -19,24 +19,35 @@ def _spec_frame(df: DataFrame, column_spec) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, schema=COLUMN_META)
 
 
-def column_casts(spec: DataFrame) -> list[tuple[str, str]]:
-    """(name, cast type) per described column in metadata order; columns
-    without a name are skipped. One row per column of one table is collected."""
+def column_casts(spec: DataFrame) -> list[tuple[str, str | None, bool]]:
+    """(name, cast type, has a declared length) per described column in
+    metadata order; columns without a name are skipped. Nested and boolean
+    columns, for which there is no cast rule, have no cast type. One row per
+    column of one table is collected."""
     if "cast_type" not in spec.columns:
         spec = spec.withColumn("cast_type", cast_type(
             col_or_null(spec, "DATA_TYPE"), col_or_null(spec, "NUMERIC_PRECISION", "long"),
             col_or_null(spec, "NUMERIC_SCALE", "long"), col_or_null(spec, "CHARACTER_MAXIMUM_LENGTH", "long")))
     order = col_or_null(spec, "ORDINAL_POSITION", "long")
     named = spec.where(F.length(F.col("COLUMN_NAME")) > 0)
-    rows = named.select("COLUMN_NAME", "cast_type", order.alias("_pos")).collect()
+    length = col_or_null(spec, "CHARACTER_MAXIMUM_LENGTH", "long")
+    declared_type = F.upper(F.coalesce(col_or_null(spec, "DATA_TYPE"), F.lit("")))
+    as_is = declared_type.contains("<") | (declared_type == "BOOLEAN")
+    rows = named.select("COLUMN_NAME", F.when(~as_is, F.col("cast_type")).alias("cast_type"), order.alias("_pos"),
+                        (F.coalesce(length, F.lit(0)) > 0).alias("_bounded")).collect()
     # A table's width is small: order it here rather than with a Spark sort.
     rows.sort(key=lambda r: (r["_pos"] is None, r["_pos"] if r["_pos"] is not None else 0))
-    return [(r["COLUMN_NAME"], r["cast_type"]) for r in rows]
+    return [(r["COLUMN_NAME"], r["cast_type"], r["_bounded"]) for r in rows]
 
 
-def conform_column(c: Column, cast_type_name: str, on_error: str = "raise",
-                   on_long_text: str = "truncate") -> Column:
+def conform_column(c: Column, cast_type_name: str | None, on_error: str = "raise",
+                   on_long_text: str = "error", bounded: bool = True) -> Column:
+    """One column cast to its type. Only a declared (`bounded`) length limits
+    text: the length in the name of an undeclared type is a default."""
+    if cast_type_name is None:
+        return c
     dtype, max_len = spark_type(cast_type_name)
+    max_len = max_len if bounded else None
     if on_error == "raise":
         out = c.cast(dtype)
     elif on_error == "null":
@@ -48,11 +59,12 @@ def conform_column(c: Column, cast_type_name: str, on_error: str = "raise",
     return out
 
 
-def conform(df: DataFrame, column_spec, on_error: str = "raise", on_long_text: str = "truncate") -> DataFrame:
+def conform(df: DataFrame, column_spec, on_error: str = "raise", on_long_text: str = "error") -> DataFrame:
     """Every described column cast to its declared type, same name, in
-    metadata order. Text types are cut to their declared length by default
-    (Spark's cast to VARCHAR(n) would not cut). `on_error="null"` turns bad
-    values into null instead of failing the job.
+    metadata order. Text longer than its declared length fails the job;
+    `on_long_text="truncate"` cuts it and `"keep"` keeps it. Text without a
+    declared length, and nested and boolean columns, stay whole.
+    `on_error="null"` turns bad values into null instead of failing the job.
 
     `column_spec` is a metadata DataFrame (normalised as by
     `normalise_columns`, optionally with a `cast_type` column) or a list of
@@ -61,8 +73,8 @@ def conform(df: DataFrame, column_spec, on_error: str = "raise", on_long_text: s
     casts = column_casts(_spec_frame(df, column_spec))
     if not casts:
         raise ValueError("no column metadata: refusing to build a projection without declared columns")
-    return df.select(*[conform_column(df[f"`{name}`"], t, on_error, on_long_text).alias(name)
-                       for name, t in casts])
+    return df.select(*[conform_column(df[f"`{name}`"], t, on_error, on_long_text, bounded).alias(name)
+                       for name, t, bounded in casts])
 
 
 def envelope(df: DataFrame, version=0, op: str = OP_UPSERT, deleted: int = 0) -> DataFrame:

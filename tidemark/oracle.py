@@ -28,7 +28,7 @@ CHANGE_ROWS = f"""
 SELECT CASE WHEN l.l_orderkey IS NULL THEN 2 ELSE 4 END AS "__rowMarker__", o.o_orderkey AS l_orderkey,
        {LINEITEM_NOKEY}
 FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
-WHERE o.o_orderkey > 0
+WHERE o.o_orderkey IS NOT NULL
 """
 
 MIRROR_BATCH = f"""
@@ -227,7 +227,41 @@ KEY_CHECK = " UNION ALL ".join(
         CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS rows_in_duplicates
         FROM (SELECT count(*) AS n FROM {t} GROUP BY {k})""" for t, k in sorted(_KEYS.items()))
 
+MIRROR_STRING_MARK = """
+WITH m AS (SELECT min(o_orderkey) + (max(o_orderkey) - min(o_orderkey)) // 3 AS a,
+                  min(o_orderkey) + 2 * (max(o_orderkey) - min(o_orderkey)) // 3 AS b FROM orders),
+r AS (SELECT lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS request, o.*, lpad(CAST(a AS VARCHAR), 12, '0') AS a,
+             lpad(CAST(b AS VARCHAR), 12, '0') AS b FROM orders o CROSS JOIN m)
+SELECT CASE WHEN request <= a THEN 1 WHEN request <= b THEN 2 ELSE 3 END AS seq, 4 AS "__rowMarker__",
+       * EXCLUDE (request, a, b)
+FROM r
+"""
+
+CATALOG_FILE_TYPES = f"""
+WITH cols AS (
+  SELECT table_name AS object, column_name, CAST(ordinal_position AS INTEGER) AS pos, data_type
+  FROM information_schema.columns WHERE table_name IN ({_in(TABLES)}) GROUP BY ALL),
+counts AS ({COUNTS}),
+listed AS (
+  SELECT 'table' AS kind, c.* FROM cols c JOIN counts n ON n.object = c.object WHERE n.row_count > 0
+  UNION ALL
+  SELECT 'view', 'open_orders', v.c, v.p, c.data_type
+  FROM (VALUES ('o_orderkey', 1), ('o_custkey', 2), ('o_totalprice', 3)) v(c, p)
+  JOIN cols c ON c.object = 'orders' AND c.column_name = v.c)
+SELECT 'tpch' AS "schema", kind, object, pos AS "ORDINAL_POSITION", column_name AS "COLUMN_NAME",
+       CASE WHEN contains(data_type, 'INT') THEN 'int64'
+            WHEN contains(data_type, 'DOUBLE') OR contains(data_type, 'FLOAT') THEN 'float64'
+            WHEN contains(data_type, 'TIMESTAMP') OR contains(data_type, 'DATE') THEN 'timestamp'
+            ELSE 'large_string' END AS file_type
+FROM listed
+"""
+
 ORACLE = {
+    "mirror_then_stream": MIRROR_BATCH,
+    "mirror_string_mark": MIRROR_STRING_MARK,
+    "catalog_conform_documents": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+    "flatten_mixed_pages": "SELECT page_id AS page_no, 0 AS item_pos, html AS item FROM pages WHERE trim(html) <> ''",
+    "catalog_file_types": CATALOG_FILE_TYPES,
     "delta_change_rows": CHANGE_ROWS,
     "mirror_batch": MIRROR_BATCH,
     "mirror_sql": MIRROR_BATCH,

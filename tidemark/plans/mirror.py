@@ -53,6 +53,7 @@ class MirrorSpec:
     delta_sql: str | None = None
     add_envelope: bool = True
     salt: int | None = None
+    problem: str | None = None
 
 
 def sql_spec(name: str, *, full_sql: str | None = None, delta_sql: str | None = None,
@@ -95,6 +96,8 @@ def specs_in_folder(spark: SparkSession, folder: str) -> list[MirrorSpec]:
         if pick is not None:
             text = paths.read_text(spark, f"{base}/{pick}") or ""
             specs.append(sql_spec(sub, full_sql=bind_placeholders(text.strip()), mode="full", **common))
+        else:
+            specs.append(MirrorSpec(name=sub, snapshot=None, snap_key="", problem=f"{base} holds no SQL statement"))
     return specs
 
 
@@ -110,8 +113,11 @@ class MirrorResult:
     extra: dict = field(default_factory=dict)
 
 
-def state_path(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/_state/{name}.json"
+def state_dir(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/_state/{name}"
+
+
+KEEP_STATES = 5
 
 
 def _decode(text, type_name):
@@ -127,6 +133,10 @@ def _decode(text, type_name):
         return dt.datetime.fromisoformat(text)
     if type_name == "date":
         return dt.date.fromisoformat(text)
+    if type_name == "string":
+        return text
+    if type_name is not None:
+        raise ValueError(f"cannot read a mark of type {type_name}")
     try:
         return int(text)
     except ValueError:
@@ -141,34 +151,50 @@ def _encode(value) -> str | None:
     return str(value)
 
 
-def load_state(spark: SparkSession, root: str, name: str) -> dict:
-    """The saved state; missing or unreadable state starts from zero.
+def _states(spark: SparkSession, root: str, name: str) -> list[str]:
+    return [n for n in paths.list_files(spark, state_dir(root, name)) if n.endswith(".json")]
 
-    The state is one small JSON document per table, replaced by
-    write-then-rename, so a reader sees the old or the new state, never a
-    partial one."""
-    zero = {"last_sequence": 0, "last_watermark": None}
-    try:
-        text = paths.read_text(spark, state_path(root, name))
-        d = json.loads(text) if text else None
-    except Exception:
-        return zero
-    if not isinstance(d, dict):
-        return zero
-    try:
+
+def published_sequences(spark: SparkSession, root: str, name: str) -> list[int]:
+    return sorted(int(d[4:]) for d in paths.list_dirs(spark, f"{root.rstrip('/')}/{name}") if d.startswith("seq="))
+
+
+def load_state(spark: SparkSession, root: str, name: str) -> dict:
+    """The newest readable state; before the first run it starts from zero.
+
+    Every commit writes a new small JSON document and never touches the ones
+    before it, so a crash leaves the last state readable. A feed with
+    published sequences but no readable state is an error: starting over
+    would overwrite it."""
+    for n in reversed(_states(spark, root, name)):
+        try:
+            d = json.loads(paths.read_text(spark, f"{state_dir(root, name)}/{n}") or "")
+            if not isinstance(d, dict) or "last_sequence" not in d:
+                continue
+            seq = int(d["last_sequence"] or 0)
+        except ValueError:
+            continue
         d["last_watermark"] = _decode(d.get("last_watermark"), d.get("watermark_type"))
-        d["last_sequence"] = int(d.get("last_sequence") or 0)
-    except (TypeError, ValueError):
-        return zero
-    return d
+        d["last_sequence"] = seq
+        return d
+    seqs = published_sequences(spark, root, name)
+    if seqs:
+        raise RuntimeError(f"{name} has sequences up to {seqs[-1]} but no readable state in {state_dir(root, name)}")
+    return {"last_sequence": 0, "last_watermark": None}
 
 
 def save_state(spark: SparkSession, root: str, name: str, *, seq: int, watermark, watermark_type: str | None,
-               watermark_column: str | None, mode: str) -> None:
-    """Replace the state (only after the run's data is published)."""
+               watermark_column: str | None, mode: str, **more) -> None:
+    """Add a state (only after the run's data is published) and drop all
+    but the newest `KEEP_STATES`."""
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat() + "Z"
     values = (name, int(seq), _encode(watermark), watermark_type, watermark_column, mode, now)
-    paths.write_text(spark, state_path(root, name), json.dumps(dict(zip(STATE_FIELDS, values)), indent=2))
+    old = _states(spark, root, name)
+    number = int(old[-1].split(".")[0]) + 1 if old else 0
+    paths.write_text(spark, f"{state_dir(root, name)}/{number:012d}.json",
+                     json.dumps({**dict(zip(STATE_FIELDS, values)), **more}, indent=2))
+    for n in old[:max(0, len(old) + 1 - KEEP_STATES)]:
+        paths.delete(spark, f"{state_dir(root, name)}/{n}")
 
 
 def choose_mode(spec: MirrorSpec, seq: int) -> str:
@@ -176,7 +202,7 @@ def choose_mode(spec: MirrorSpec, seq: int) -> str:
         return spec.mode
     if seq == 0:
         return "full"
-    return "delta" if spec.delta is not None else "full"
+    return "delta" if spec.delta_sql is not None or (spec.delta is not None and spec.delta_key) else "full"
 
 
 def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> MirrorResult:
@@ -185,7 +211,11 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
     res = MirrorResult(name=spec.name)
     start = time.perf_counter()
     try:
+        if spec.problem:
+            raise ValueError(spec.problem)
         state = load_state(spark, root, spec.name)
+        if "writer" in state:
+            raise ValueError(f"{spec.name} is written by the stream with checkpoint {state['writer']}")
         seq = state["last_sequence"]
         last = state["last_watermark"]
         mode = res.mode = choose_mode(spec, seq)
@@ -208,6 +238,10 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
         snapshot = spec.snapshot(spark) if spec.snapshot is not None else None
         if mode == "full" and snapshot is None:
             mode = res.mode = "delta"
+        if not _states(spark, root, spec.name):
+            # From here on a feed without a state is a damaged one.
+            save_state(spark, root, spec.name, seq=0, watermark=None, watermark_type=mark_type,
+                       watermark_column=spec.mark, mode=mode)
         if mode == "full":
             # A SQL full refresh carries its own envelope and ORDER BY.
             rows = envelope(snapshot, version=spec.full_version) if spec.add_envelope else snapshot

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .operators import aggregates as A
 from .operators import joins as J
+from .operators.filters import mark_range
 from .operators.nested import flatten_catalog
 from .operators.ordering import head
 from .operators.project import conform, envelope, normalise_columns
@@ -112,17 +113,67 @@ def mirror_sql(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mirror_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Delta files consumed by a streaming query, one file per batch;
-    the change rows equal the batch result from mark 0."""
+    """Delta requests arrive in three rounds by mark, each consumed by
+    the restarted streaming query; the change rows equal the batch result."""
     root = scratch_dir(spark, "stream")
-    src = f"{root}/_source/orders"
-    load(spark, sf, "orders").repartitionByRange(3, "o_orderkey").write.parquet(src)
-    deltas = delta_stream(spark, src, max_files_per_trigger=1)
-    stream_mirror(spark, deltas, load(spark, sf, "lineitem"), name="lineitem_stream", root=root,
-                  delta_key="o_orderkey", snap_key="l_orderkey", mark="o_orderkey")
+    a, b, top = mirror_marks(spark, sf)
+    _stream_rounds(spark, sf, root, "lineitem_stream", (None, a, b, top))
     return read_changes(spark, root, "lineitem_stream").drop("seq")
 
 
+def _stream_rounds(spark: SparkSession, sf: str, root: str, name: str, marks: tuple) -> None:
+    """Appends the requests between successive marks to the source folder and
+    runs the stream after each."""
+    src, orders = f"{root}/_source/orders", load(spark, sf, "orders")
+    for low, high in zip(marks, marks[1:]):
+        orders.where(mark_range("o_orderkey", low, high)).write.mode("append").parquet(src)
+        stream_mirror(spark, delta_stream(spark, src), lambda s: load(s, sf, "lineitem"), name=name, root=root,
+                      delta_key="o_orderkey", snap_key="l_orderkey", mark="o_orderkey")
+
+
+def mirror_then_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """T1 + T7: a batch full run at mark a, then the stream goes on with the
+    same feed; the sequences equal those of `mirror_batch`."""
+    root = scratch_dir(spark, "mirror-stream")
+    spec = _mirror_spec(sf)
+    a, b, top = mirror_marks(spark, sf)
+    res = mirror(spark, spec, root, high=a)
+    if res.error:
+        raise RuntimeError(res.error)
+    _stream_rounds(spark, sf, root, spec.name, (a, b, top))
+    return read_changes(spark, root, spec.name)
+
+
+def mirror_string_mark(spark: SparkSession, sf: str) -> DataFrame:
+    """T1 with text marks (zero-padded request numbers): three delta runs
+    read every request once."""
+    root = scratch_dir(spark, "mirror-text")
+    def requests(s):
+        return load(s, sf, "orders").select(F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("request"), "o_orderkey")
+    spec = MirrorSpec(name="requests", snapshot=lambda s: load(s, sf, "orders"), snap_key="o_orderkey", delta=requests,
+                      delta_key="o_orderkey", mark="request", mode="delta")
+    for high in [str(m).rjust(12, "0") for m in mirror_marks(spark, sf)]:
+        res = mirror(spark, spec, root, high=high)
+        if res.error:
+            raise RuntimeError(res.error)
+    return read_changes(spark, root, spec.name)
+
+
+def catalog_conform_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """P1 on text without a declared length: all of it comes back."""
+    objects = {(CATALOG_SCHEMA, t): ("table", load(spark, sf, t)) for t in ("documents", "embeddings")}
+    path = f"{scratch_dir(spark, 'catalog')}/catalog.json"
+    write_catalog(profile(spark, objects, all_schemas=True), path, GENERATED_AT)
+    out = conform_from_catalog(load(spark, sf, "documents"), read_catalog(spark, path), CATALOG_SCHEMA, "documents")
+    return out.select("doc_id", "text", "lang", "source", "n_chars")
+
+
+def flatten_mixed_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """S8 on pages that are no JSON: each is one item, as it came."""
+    pages = load(spark, sf, "pages").select(F.col("page_id").alias("page_no"), F.col("html").alias("body"))
+    return flatten_pages(pages).select("page_no", "item_pos", "item")
+
+
 def full_refresh_envelope(spark: SparkSession, sf: str) -> DataFrame:
     """P4 + O1: the full-refresh form of a snapshot, ordered by key."""
     return envelope(load(spark, sf, "customer"), version=0).orderBy("c_custkey")
@@ -162,7 +213,7 @@ ORDERS_TRY_SPEC = [
 
 def conform_columns(spark: SparkSession, sf: str) -> DataFrame:
     """Declared casts, metadata order, text cut to its length."""
-    return conform(load(spark, sf, "lineitem"), LINEITEM_SPEC)
+    return conform(load(spark, sf, "lineitem"), LINEITEM_SPEC, on_long_text="truncate")
 
 
 def conform_decimal(spark: SparkSession, sf: str) -> DataFrame:
@@ -450,6 +501,11 @@ QUERIES = {
     "mirror_batch": mirror_batch,
     "mirror_sql": mirror_sql,
     "mirror_stream": mirror_stream,
+    "mirror_then_stream": mirror_then_stream,
+    "mirror_string_mark": mirror_string_mark,
+    "catalog_conform_documents": catalog_conform_documents,
+    "flatten_mixed_pages": flatten_mixed_pages,
+    "catalog_file_types": catalog_file_types,
     "full_refresh_envelope": full_refresh_envelope,
     "conform_columns": conform_columns,
     "conform_decimal": conform_decimal,

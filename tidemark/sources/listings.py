@@ -26,7 +26,8 @@ def flatten_pages(pages: DataFrame, list_field: str = DEFAULT_LIST_FIELD, *, pag
 
     The list's name is chosen on the first page only (smallest `page_no`) and
     used for all pages. A page holding that list yields its elements; a page
-    that is a bare array yields its elements; any other object is one item.
+    that is a bare array yields its elements; anything else that is not blank
+    (another object, a page that is cut off or no JSON at all) is one item.
     Items are JSON text, ready for `from_json` with a schema (list elements
     come back compact; a whole-page item is the page's own text).
     Each page is a row, so pages are processed in parallel without a shuffle;
@@ -41,7 +42,7 @@ def flatten_pages(pages: DataFrame, list_field: str = DEFAULT_LIST_FIELD, *, pag
     listed = F.when(chosen.isNotNull(), F.element_at(fields, chosen))
     items = (F.when(_is_json_array(listed), F.from_json(listed, "array<string>"))
              .when(_is_json_array(body), F.from_json(body, "array<string>"))
-             .when(fields.isNotNull(), F.array(body))
+             .when(F.length(F.trim(body)) > 0, F.array(body))
              .otherwise(F.array().cast("array<string>")))
     next_link = F.coalesce(*[fields[k] for k in NEXT_LINK_FIELDS])
     return pages.select(F.col(page_col), F.posexplode(items).alias("item_pos", "item"),

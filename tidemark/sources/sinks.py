@@ -18,11 +18,33 @@ from ..fixed import SEQUENCE_DIGITS
 from . import paths
 
 
+def _hidden(target: str, kind: str) -> tuple[str, str]:
+    """Folder beside the target and name prefix for its staged (`new`) or
+    replaced (`old`) data. Readers skip names that start with an underscore
+    and hold no equals sign."""
+    parent, _, name = target.rstrip("/").rpartition("/")
+    return parent, f"_{kind}-{name.replace('=', '~')}--"
+
+
+def recover(spark, target: str) -> None:
+    """Clears what a killed writer of this target left: if the target is gone
+    its replaced data goes back in place; staged data is dropped."""
+    for kind in ("old", "new"):
+        parent, prefix = _hidden(target, kind)
+        for name in paths.list_dirs(spark, parent):
+            if name.startswith(prefix):
+                if kind == "old" and not paths.exists(spark, target):
+                    paths.rename(spark, f"{parent}/{name}", target)
+                else:
+                    paths.delete(spark, f"{parent}/{name}")
+
+
 def _publish(spark, staging: str, target: str) -> None:
     if not paths.exists(spark, target):
         paths.rename(spark, staging, target)
         return
-    old = f"{target}.__old-{uuid.uuid4().hex[:8]}"
+    parent, prefix = _hidden(target, "old")
+    old = f"{parent}/{prefix}{uuid.uuid4().hex[:8]}"
     paths.rename(spark, target, old)
     try:
         paths.rename(spark, staging, target)
@@ -35,7 +57,8 @@ def _publish(spark, staging: str, target: str) -> None:
 def staged_write(df: DataFrame, target: str, *, sort_by=None, sort_within=None, options: dict | None = None,
                  validate: Callable[[DataFrame], None] | None = None, keep_empty: bool = False,
                  metrics: dict | None = None, drop: tuple = ()) -> int:
-    """Write `df` as Parquet to a sibling staging folder, then swap it in.
+    """Write `df` as Parquet to a hidden sibling folder, then swap it in. One
+    writer at a time may write a target; what a killed one left is cleared.
 
     Returns the number of rows written. With zero rows nothing is published
     (unless `keep_empty`). `validate` sees the staged data before the swap and
@@ -47,7 +70,9 @@ def staged_write(df: DataFrame, target: str, *, sort_by=None, sort_within=None,
     """
     spark = df.sparkSession
     target = target.rstrip("/")
-    staging = f"{target}.__staging-{uuid.uuid4().hex[:12]}"
+    recover(spark, target)
+    parent, prefix = _hidden(target, "new")
+    staging = f"{parent}/{prefix}{uuid.uuid4().hex[:12]}"
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     extra = [c.alias(k) for k, c in (metrics or {}).items()]
     out = df

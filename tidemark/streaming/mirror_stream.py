@@ -1,19 +1,23 @@
 """The mirror as a Structured Streaming query.
 
 New delta files are picked up by the file source; each micro-batch becomes
-one change set `seq = batchId + 1` written by the same sink as the batch
-mirror. The stream checkpoint replaces the saved watermark: a restarted
-query resumes after the last committed batch, and a replayed batch rewrites
-its own sequence folder, so the feed is exactly-once.
+one change set, numbered on from where the feed stood when the stream began,
+written by the same sink as the batch mirror. A restarted query resumes after
+the last committed batch. A replayed batch rewrites its own sequence folder,
+or, if its state was already saved, finds all its marks read and leaves the
+folder as it is, so the feed is exactly-once.
 """
 
 from __future__ import annotations
 
+from typing import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.filters import mark_range
 from ..operators.joins import MARK, TIE, change_order, change_rows, delta_key_bounds
-from ..plans.mirror import save_state
+from ..plans.mirror import load_state, published_sequences, save_state
 from ..sources.sinks import write_change
 
 
@@ -29,33 +33,55 @@ def delta_stream(spark: SparkSession, source_dir: str, *, schema=None, max_files
     return reader.parquet(source_dir)
 
 
-def stream_mirror(spark: SparkSession, deltas: DataFrame, snapshot: DataFrame, *, name: str, root: str,
-                  delta_key: str, snap_key: str, mark: str, ordered: bool = True,
+def stream_mirror(spark: SparkSession, deltas: DataFrame, snapshot: Callable[[SparkSession], DataFrame], *, name: str,
+                  root: str, delta_key: str, snap_key: str, mark: str, ordered: bool = True,
                   checkpoint: str | None = None, available_now: bool = True, processing_time: str | None = None):
     """Start the streaming mirror; returns the StreamingQuery (already
-    finished when `available_now`)."""
+    finished when `available_now`).
+
+    A new stream goes on after the feed's saved sequence and mark; the state
+    then names its checkpoint, and another writer of the feed is refused.
+    Requests at or below the saved mark are late and not read, so the mark
+    never falls. `snapshot` is called for every batch, which sees the data of
+    that moment.
+    """
     root = root.rstrip("/")
     mark_type = deltas.schema[mark].dataType.simpleString()
+    checkpoint = checkpoint or f"{root}/_checkpoints/{name}"
+    state = load_state(spark, root, name)
+    if state.get("writer") not in (None, checkpoint):
+        raise ValueError(f"{name} is written by the stream with checkpoint {state['writer']}")
+    if "writer" not in state:
+        beyond = [s for s in published_sequences(spark, root, name) if s > state["last_sequence"]]
+        if beyond:
+            raise ValueError(f"{name} has sequences {beyond} after its saved sequence {state['last_sequence']}")
+        state = {**state, "writer": checkpoint, "base": state["last_sequence"]}
+        save_state(spark, root, name, seq=state["last_sequence"], watermark=state["last_watermark"], watermark_type=mark_type,
+                   watermark_column=mark, mode="stream", writer=checkpoint, base=state["base"])
+    base = int(state["base"])
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        now = load_state(spark, root, name)
+        if now.get("writer") != checkpoint:
+            raise RuntimeError(f"{name} got another writer: {now.get('writer')}")
+        low, seq = now["last_watermark"], base + batch_id + 1
+        batch = batch.where(mark_range(batch[mark], low, None, batch.schema[mark].dataType)).persist()
         try:
-            _, kmin, kmax = delta_key_bounds(batch, delta_key=delta_key, mark=mark)
-            rows = change_rows(batch, snapshot, delta_key=delta_key, snap_key=snap_key, mark=mark, keep_mark=True,
-                               snap_bounds=(kmin, kmax))
+            _, kmin, kmax = delta_key_bounds(batch, delta_key=delta_key, mark=mark, low=low)
+            rows = change_rows(batch, snapshot(spark), delta_key=delta_key, snap_key=snap_key, mark=mark, low=low,
+                               keep_mark=True, snap_bounds=(kmin, kmax))
             order = None
             if ordered:
                 rows, order = change_order(rows, snap_key)
             observed = {"high_seen": F.max(MARK)}
-            n = write_change(rows, root, name, batch_id + 1, sort_by=order, metrics=observed, drop=(MARK, TIE))
+            n = write_change(rows, root, name, seq, sort_by=order, metrics=observed, drop=(MARK, TIE))
             if n > 0:
-                save_state(spark, root, name, seq=batch_id + 1, watermark=observed["high_seen"],
-                           watermark_type=mark_type, watermark_column=mark, mode="stream")
+                save_state(spark, root, name, seq=seq, watermark=observed["high_seen"], watermark_type=mark_type,
+                           watermark_column=mark, mode="stream", writer=checkpoint, base=base)
         finally:
             batch.unpersist()
 
-    writer = (deltas.writeStream.foreachBatch(one_batch)
-              .option("checkpointLocation", checkpoint or f"{root}/_checkpoints/{name}"))
+    writer = deltas.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
