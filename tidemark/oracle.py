@@ -6,7 +6,7 @@ their own names, and returns the same columns under the same names.
 
 from __future__ import annotations
 
-from .fixed import GUID_PATTERN
+from .fixed import GUID_PATTERN, SYSTEM_SCHEMA_NAMES, SYSTEM_SCHEMA_PREFIX
 from .plans import fixtures as X
 from .tables import TABLES
 from .registry import TAG_CANDIDATES
@@ -256,7 +256,26 @@ SELECT 'tpch' AS "schema", kind, object, pos AS "ORDINAL_POSITION", column_name
 FROM listed
 """
 
+SCHEMA_SCOPE = f"""
+WITH s AS (SELECT CASE WHEN n_nationkey % 3 = 0 THEN concat('{SYSTEM_SCHEMA_PREFIX.lower()}_', n_name) ELSE n_name END AS "SCHEMA_NAME",
+                  n_regionkey FROM nation),
+own AS (SELECT * FROM s WHERE NOT starts_with(upper("SCHEMA_NAME"), '{SYSTEM_SCHEMA_PREFIX}')
+          AND upper("SCHEMA_NAME") NOT IN ({_in(SYSTEM_SCHEMA_NAMES)})),
+u AS (SELECT 'all' AS scope, * FROM own UNION ALL SELECT 'all_by_scope', * FROM own
+      UNION ALL SELECT 'listed', * FROM s WHERE "SCHEMA_NAME" IN ('NATION_1', 'NATION_2', 'NATION_4')
+      UNION ALL SELECT 'default', * FROM s WHERE "SCHEMA_NAME" = 'NATION_5')
+SELECT *, CAST(row_number() OVER (PARTITION BY scope ORDER BY "SCHEMA_NAME", n_regionkey) AS INTEGER) AS place FROM u
+"""
+
+UNION_PARTS = """
+SELECT r_regionkey AS key, r_name AS name, 0 AS part_pos FROM region
+UNION ALL SELECT n_nationkey, n_name, 1 FROM nation
+UNION ALL SELECT s_suppkey, NULL, 2 FROM supplier
+"""
+
 ORACLE = {
+    "schema_scope": SCHEMA_SCOPE,
+    "union_parts": UNION_PARTS,
     "mirror_then_stream": MIRROR_BATCH,
     "mirror_string_mark": MIRROR_STRING_MARK,
     "catalog_conform_documents": "SELECT doc_id, text, lang, source, n_chars FROM documents",

@@ -10,15 +10,17 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .operators import aggregates as A
 from .operators import joins as J
-from .operators.filters import mark_range
+from .fixed import SYSTEM_SCHEMA_PREFIX
+from .operators.filters import in_schemas, mark_range, non_system_schemas
 from .operators.nested import flatten_catalog
-from .operators.ordering import head
+from .operators.ordering import head, ordered_metadata
 from .operators.project import conform, envelope, normalise_columns
 from .functions.types import cast_type, file_type
 from .plans import fixtures as X
@@ -30,7 +32,7 @@ from .session import scratch_dir
 from .sources import paths
 from .sources.catalog_doc import read_catalog, write_catalog
 from .sources.files import read_changes, read_columns
-from .sources.listings import flatten_pages
+from .sources.listings import flatten_pages, union_ordered
 from .sources.sinks import write_parts
 from .sources.sql import query_source
 from .streaming.mirror_stream import delta_stream, stream_mirror
@@ -436,6 +438,34 @@ def column_fallback(spark: SparkSession, sf: str) -> DataFrame:
     return J.columns_of(table_cols, view_cols, keys=("doc_id",))
 
 
+def _schemas(spark: SparkSession, sf: str) -> DataFrame:
+    """Schema names made of the nations', every third a system schema."""
+    n = load(spark, sf, "nation")
+    system = F.concat(F.lit(SYSTEM_SCHEMA_PREFIX.lower()), F.lit("_"), F.col("n_name"))
+    return n.select(F.when(F.col("n_nationkey") % 3 == 0, system).otherwise(F.col("n_name")).alias("SCHEMA_NAME"),
+                    "n_regionkey")
+
+
+def schema_scope(spark: SparkSession, sf: str) -> DataFrame:
+    """F3 + F6 + O2: schemas in scope when all are asked for, one by default,
+    or a list, in name order with their place in it."""
+    s = _schemas(spark, sf)
+    scopes = {"all": ordered_metadata(non_system_schemas(s), "SCHEMA_NAME"),
+              "all_by_scope": in_schemas(s, all_schemas=True),
+              "listed": in_schemas(s, schemas=["NATION_1", "NATION_2", "NATION_4"]),
+              "default": in_schemas(s, default_schema="NATION_5")}
+    place = Window.partitionBy("scope").orderBy("SCHEMA_NAME", "n_regionkey")
+    parts = [d.select(F.lit(k).alias("scope"), "SCHEMA_NAME", "n_regionkey") for k, d in scopes.items()]
+    return reduce(DataFrame.unionByName, parts).withColumn("place", F.row_number().over(place))
+
+
+def union_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Listings united by name, each row with the part it came from."""
+    return union_ordered([load(spark, sf, "region").select(F.col("r_regionkey").alias("key"), F.col("r_name").alias("name")),
+                          load(spark, sf, "nation").select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("key")),
+                          load(spark, sf, "supplier").select(F.col("s_suppkey").alias("key"))])
+
+
 # -- listings and report copy ------------------------------------------------
 
 def flatten_order_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -530,6 +560,8 @@ QUERIES = {
     "catalog_flat": catalog_flat,
     "catalog_conform": catalog_conform,
     "catalog_totals": catalog_totals,
+    "schema_scope": schema_scope,
+    "union_parts": union_parts,
     "column_fallback": column_fallback,
     "flatten_pages": flatten_order_pages,
     "domain_children": domain_children,
