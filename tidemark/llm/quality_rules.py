@@ -141,14 +141,14 @@ def select_cutoffs(labelled: DataFrame, rules=RULES, *, alpha: float = ALPHA, de
     grid = [(r.name, i, c, len(r.cutoffs) - i) for r in rules for i, c in enumerate(r.cutoffs)]
     grid = labelled.sparkSession.createDataFrame(grid, "rule string, step int, cutoff double, at_least int")
     totals = counts.groupBy("stratum", "rule").agg(F.sum("good").alias("n"), F.sum("bad").alias("n_bad"))
-    n_strata = totals.agg(F.countDistinct("stratum").alias("n_strata"))
+    n_strata = totals.agg(F.countDistinct("stratum")).scalar()
     at = (totals.join(grid, "rule").join(counts.select(F.col("stratum").alias("s"), F.col("rule").alias("r"), "fails", "good", "bad"),
                                          (F.col("stratum") == F.col("s")) & (F.col("rule") == F.col("r")) & (F.col("fails") >= F.col("at_least")), "left")
           .groupBy("stratum", "rule", "step", "cutoff", "n", "n_bad")
           .agg(F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("k"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k_bad")))
     lenient_first = Window.partitionBy("stratum", "rule").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    level = F.lit(delta) / (F.col("n_strata") * len(rules))
-    tested = (at.withColumn("n", F.col("n").cast("double")).join(F.broadcast(n_strata))
+    level = F.lit(delta) / (n_strata * len(rules))
+    tested = (at.withColumn("n", F.col("n").cast("double"))
               .withColumn("p_value", binomial_tail(F.col("k"), F.col("n"), per_rule))
               .withColumn("proven", F.min(F.col("p_value") <= level).over(lenient_first))
               .withColumn("gain", F.when(F.col("n_bad") > 0, F.col("k_bad") / F.col("n_bad")).otherwise(F.lit(0.0))
