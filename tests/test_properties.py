@@ -13,7 +13,7 @@ snap_rows = st.lists(st.tuples(keys, st.integers(0, 3)), max_size=15)
 def model(delta, snap, low, high):
     out = []
     for mark, key in delta:
-        if not (mark > (low or 0) and (high is None or mark <= high)):
+        if not ((low is None or mark > low) and (high is None or mark <= high)):
             continue
         hits = [s for s in snap if s[0] is not None and s[0] == key]
         if hits:
