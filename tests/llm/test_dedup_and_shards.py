@@ -92,6 +92,26 @@ def test_keep_one_of_each(spark, edge_docs, edge_rows):
     assert S.keep_one_of_each(spark, edge_docs.limit(0)).count() == 0
 
 
+def test_one_row_stays_of_each_component(spark):
+    r = random.Random(5)
+    a, b, c, d, e = (" ".join(f"w{r.randrange(10**6)}" for _ in range(40)) for _ in range(5))
+    rows = [(3, b), (5, a), (5, b.upper()), (5, c), (5, c), (None, d), (None, d.upper()), (None, a.upper()), (None, e), (9, e.upper())]
+    rows += [(7, f"text {i} of one id: " + " ".join(f"v{r.randrange(10**6)}" for _ in range(40))) for i in range(30)]
+    first = components([simhash(t) for _, t in rows])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [tuple(x) for x in S.keep_one_of_each(spark, docs).collect()]
+    group = {}
+    for (i, t), f in zip(rows, first):
+        group.setdefault(f, []).append((i, t))
+    mine = {row: f for f, members in group.items() for row in members}
+    assert sorted(mine[x] for x in kept) == sorted(group)
+    # Of each component stays the smallest id; without any id, one row.
+    none_last = lambda i: (i is None, i or 0)
+    assert all(none_last(i) == min(none_last(j) for j, _ in group[mine[i, t]]) for i, t in kept)
+    assert {(3, b), (5, a), (5, c), (9, e.upper())} <= set(kept) and len([i for i, _ in kept if i == 7]) == 30
+    assert len([i for i, _ in kept if i is None]) == 1
+
+
 def test_shards(spark, edge_docs, edge_rows, no_docs):
     got = sharding.assign_shards(edge_docs, 40, chunks=4).collect()
     assert sorted(((r.doc_id, r["size"], r.text_crc32) for r in got), key=str) == sorted(

@@ -54,15 +54,20 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return sum(1 << i for i in np.flatnonzero(2 * ones > n).tolist())
 
 
-def fingerprints(docs: DataFrame, *, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` (fingerprint as a signed long) of every row."""
+def fingerprints(docs: DataFrame, *, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text",
+                 version: bool = False) -> DataFrame:
+    """``doc_id, fp`` (fingerprint as a signed long) of every row, and with
+    ``version`` the hash of its text between them."""
+    names = ["doc_id", "version", "fp"] if version else ["doc_id", "fp"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             v = np.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(v)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *b.columns[2:], pa.array(v)], names=names)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, fp long")
+    hashed = [F.xxhash64(F.col(text_col)).alias("version")] if version else []
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *hashed).mapInArrow(
+        run, ", ".join(f"{n} long" for n in names))
 
 
 def _segments(fp: np.ndarray) -> list[np.ndarray]:
@@ -120,6 +125,23 @@ def links(fps: DataFrame, *, max_bits: int = MAX_BITS, cap: int = CAP) -> DataFr
     return pairs.union(crowd.join(stars, "near").where("fp <> a").select("a", F.col("fp").alias("b")))
 
 
+def _members(spark: SparkSession, docs: DataFrame, shingle: int, max_bits: int, cap: int, id_col: str, text_col: str,
+             version: bool) -> DataFrame:
+    """``fingerprints`` of every row with ``root``, which is one fingerprint of
+    its component and names no other, and ``component_id``."""
+    send_code(spark)
+    base = scratch_dir(spark, "simhash")
+    fingerprints(docs, shingle=shingle, id_col=id_col, text_col=text_col, version=version).write.parquet(f"{base}/documents")
+    rows = spark.read.schema(f"doc_id long, {'version long, ' if version else ''}fp long").parquet(f"{base}/documents")
+    rows.groupBy("fp").agg(F.min("doc_id").alias("rep")).write.parquet(f"{base}/fingerprints")
+    fps = spark.read.schema("fp long, rep long").parquet(f"{base}/fingerprints")
+    roots = connected_components(spark, links(fps, max_bits=max_bits, cap=cap), "a", "b")
+    classes = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    least = classes.groupBy("root").agg(F.min("rep").alias("component_id"))
+    named = classes.join(least, "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, *, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                     cap: int = CAP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every row.
@@ -129,29 +151,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, *, shingle: int = SHIN
     without words have fingerprint zero and link like any other. A null id
     never names a component unless all its members have none.
     """
-    send_code(spark)
-    base = scratch_dir(spark, "simhash")
-    fingerprints(docs, shingle=shingle, id_col=id_col, text_col=text_col).write.parquet(f"{base}/documents")
-    rows = spark.read.schema("doc_id long, fp long").parquet(f"{base}/documents")
-    rows.groupBy("fp").agg(F.min("doc_id").alias("rep")).write.parquet(f"{base}/fingerprints")
-    fps = spark.read.schema("fp long, rep long").parquet(f"{base}/fingerprints")
-    roots = connected_components(spark, links(fps, max_bits=max_bits, cap=cap), "a", "b")
-    classes = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    least = classes.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = classes.join(least, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    found = _members(spark, docs, shingle, max_bits, cap, id_col, text_col, version=False)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, *, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                      cap: int = CAP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component, all columns as they are: that of the
-    smallest id. Rows that repeat an id are one document, of which the row
-    with the smallest text hash stays. Rows without an id are only merged with
-    rows of equal text, and go if their component has an id."""
-    found = near_duplicates(spark, docs, shingle=shingle, max_bits=max_bits, cap=cap, id_col=id_col, text_col=text_col)
-    heads = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__head")).distinct()
-    kept = docs.join(heads, docs[id_col].eqNullSafe(heads["__head"]), "left_semi")
-    version = F.xxhash64(F.col(text_col))
+    smallest id, and of its rows that of the smallest text hash. Rows without
+    an id come after all ids. An id with texts in several components can stay
+    once in each; rows equal in id and text are one document."""
+    found = _members(spark, docs, shingle, max_bits, cap, id_col, text_col, version=True)
+    heads = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root")
+             .agg(F.min("doc_id").alias("__id"), F.min("version").alias("__version")))
+    doc_id, version = docs[id_col].cast("long"), F.xxhash64(docs[text_col])
+    kept = docs.join(heads, doc_id.eqNullSafe(heads["__id"]) & (version == heads["__version"]), "left_semi")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    one = kept.groupBy(F.col(id_col).alias("__id"), F.when(F.col(id_col).isNull(), version).alias("__text"))
+    version = F.xxhash64(F.col(text_col))
+    one = kept.groupBy(F.col(id_col).cast("long").alias("__id"), version.alias("__version"))
     return one.agg(F.min_by(row, version).alias("row")).select("row.*")
