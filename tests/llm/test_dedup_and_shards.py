@@ -61,6 +61,13 @@ def test_components_of_a_path_and_a_star(spark):
     assert connected_components(spark, none, "a", "b").count() == 0
 
 
+def test_components_of_an_ordered_path(spark):
+    n = 2000
+    path = spark.range(n - 1).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    got = connected_components(spark, path, "a", "b")
+    assert got.count() == n and got.where("root <> 0").count() == 0
+
+
 def _expected(rows):
     fps = [simhash(t) for _, t, *_ in rows]
     group = components(fps)

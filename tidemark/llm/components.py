@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from itertools import count
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 
-MAX_ROUNDS = 200
+
+def _place(node: Column, k: int) -> Column:
+    """What nodes are ordered by in round ``k``: the node itself, and in every
+    second round a hash of it that no two nodes share."""
+    return node if k % 2 else F.xxhash64(node, F.lit(k))
 
 
 def connected_components(spark: SparkSession, links: DataFrame, a: str, b: str) -> DataFrame:
     """``node, root`` for every node that has a link; ``root`` is the smallest
     node it reaches.
 
-    Every round moves each cluster to the smallest root next to it and then
-    follows one more step, so clusters merge in about log(n) rounds. A round
-    is written as a table in the shared folder and read back, which cuts the
+    Every round moves each cluster to the first root next to it and then
+    follows one more step, until no cluster moves. In odd rounds the smallest
+    root is first, which settles stars at once. In even rounds roots come in a
+    new random order, so that clusters merge in about log(n) rounds whatever
+    the nodes are called. The last root in a round's order that still has
+    another one next to it always vanishes, so the rounds end. A round is
+    written as a table in the shared folder and read back, which cuts the
     lineage and survives lost executors. Hot roots only ever meet a partial
     aggregation or the streamed side of a join.
     """
@@ -29,11 +39,13 @@ def connected_components(spark: SparkSession, links: DataFrame, a: str, b: str)
      .select(F.col("src").alias("node"), F.least("src", "m").alias("root"), F.lit(True).alias("moved"))
      .write.parquet(f"{base}/round-0"))
     labels = spark.read.schema(schema).parquet(f"{base}/round-0")
-    for k in range(1, MAX_ROUNDS):
+    for k in count(1):
+        first = lambda c: F.min_by(c, _place(F.col(c), k)).alias(c)
         near = (edges.join(labels.select(F.col("node").alias("dst"), F.col("root").alias("c")), "dst")
-                .groupBy(F.col("src").alias("node")).agg(F.min("c").alias("c")))
-        own = labels.select("node", "root").join(near, "node").select("node", "root", F.least("root", "c").alias("c"))
-        hook = own.groupBy("root").agg(F.min("c").alias("to"))
+                .groupBy(F.col("src").alias("node")).agg(first("c")))
+        c = F.when(_place(F.col("c"), k) < _place(F.col("root"), k), F.col("c")).otherwise(F.col("root"))
+        own = labels.select("node", "root").join(near, "node").select("node", "root", c.alias("to"))
+        hook = own.groupBy("root").agg(first("to"))
         # Where a cluster's goal is itself moving, go there at once.
         far = hook.select(F.col("root").alias("to"), F.col("to").alias("further"))
         hook = hook.join(far, "to", "left").select("root", F.coalesce("further", "to").alias("to"))
@@ -42,5 +54,5 @@ def connected_components(spark: SparkSession, links: DataFrame, a: str, b: str)
          .write.parquet(f"{base}/round-{k}"))
         labels = spark.read.schema(schema).parquet(f"{base}/round-{k}")
         if labels.where("moved").limit(1).count() == 0:
-            return labels.select("node", "root")
-    raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
+            least = labels.groupBy("root").agg(F.min("node").alias("least"))
+            return labels.join(least, "root").select("node", F.col("least").alias("root"))
