@@ -6,7 +6,7 @@ import pytest
 from brute import ids_crc32, sha
 from tokenizers import Tokenizer
 
-from tidemark.llm.bpe import Merger, decode_documents, encode_documents, round_trip_digests
+from tidemark.llm.bpe import Merger, decode_documents, encode_documents, frequent_words, round_trip_digests
 from tidemark.llm.pieces import PieceEncoder, read_spec
 from tidemark.llm.queries import tokenizer
 from tidemark.llm.token_counts import count_tokens
@@ -75,6 +75,14 @@ def test_round_trip(spark, edge_docs, edge_rows, no_docs):
     assert texts == {(d, t or "") for d, t, *_ in edge_rows if d is not None and d < 10}
 
 
+def test_words_that_reach_the_driver_are_bounded_in_bytes(spark):
+    texts = ["a" * 255 + " x", "a" * 256 + " x", "漢" * 85 + " x", "漢" * 86 + " x", "漢字" * 20_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.word for r in frequent_words(docs).collect()} == {"x", "a" * 255, "漢" * 85}
+    got = {r.doc_id: r.ids for r in encode_documents(spark, docs, BYTE).collect()}
+    assert got == {i: ids(BYTE, t) for i, t in enumerate(texts)}
+
+
 @pytest.mark.parametrize("block_docs", [3, 4096])
 def test_token_store(spark, workdir, edge_docs, edge_rows, block_docs):
     rows = [r for r in edge_rows if r[0] != 1 or r[1]]

@@ -26,6 +26,9 @@ from .workers import send_code, send_file
 #: A word is frequent if it makes up at least one in so many of all words, so
 #: a lexicon never has more words than this.
 ONE_IN = 1 << 17
+#: Longer words are merged where they occur, so the words that reach the
+#: driver have at most ONE_IN times so many bytes.
+MAX_WORD = 255
 _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 _LONG = 48
 
@@ -140,12 +143,13 @@ def merger(spec: str) -> Merger:
 
 
 def frequent_words(docs: DataFrame, one_in: int = ONE_IN, *, text_col: str = "text") -> DataFrame:
-    """``word, n``: space-separated words that make up at least one in
-    ``one_in`` of all words of all texts. There are at most ``one_in``."""
+    """``word, n``: space-separated words of at most ``MAX_WORD`` bytes that
+    make up at least one in ``one_in`` of all words of all texts. There are at
+    most ``one_in``."""
     words = docs.select(F.explode(F.split(F.col(text_col), " ")).alias("word"))
     n_words = docs.agg(F.coalesce(F.sum(F.length(text_col) - F.length(F.replace(text_col, F.lit(" "), F.lit(""))) + 1),
                                   F.lit(0)).alias("n")).first()["n"]
-    return (words.where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
+    return (words.where((F.col("word") != "") & (F.octet_length("word") <= MAX_WORD)).groupBy("word").agg(F.count("*").alias("n"))
             .where(F.col("n") * one_in >= n_words))
 
 
@@ -154,7 +158,7 @@ def build_lexicon(docs: DataFrame, spec: str, one_in: int = ONE_IN, *, text_col:
     it. An empty corpus gives an automaton without words."""
     m = merger(spec)
     rows = frequent_words(docs, one_in, text_col=text_col).select("word").collect()
-    return compile_transducer({w: m.encode(w.decode()) for w in (b" " + r.word.encode() for r in rows) if len(w) <= 256})
+    return compile_transducer({w: m.encode(w.decode()) for w in (b" " + r.word.encode() for r in rows)})
 
 
 def lexicon_encoder(spec: str, file_name: str) -> PieceEncoder:
