@@ -15,6 +15,7 @@ from .quality_classifier import score_quality
 from .quality_rules import apply_rules
 from .sharding import assign_shards
 from .simhash import near_duplicates
+from .spelling import spelling_variants
 from .token_counts import count_tokens
 from .token_store import read_token_digests, write_token_store
 
@@ -22,7 +23,7 @@ N_SHARDS = 40
 
 
 def tokenizer(name: str) -> str:
-    """Path of a public tokenizer file of the installed package."""
+    """Path of a tokenizer file of the installed package."""
     import public_tokenizers
     return public_tokenizers.path(name)
 
@@ -70,6 +71,10 @@ def op10_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return score_quality(load(spark, sf, "documents"), load(spark, sf, "labels"))
 
 
+def op11_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling_variants(spark, load(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_store": op2_token_store,
@@ -81,4 +86,5 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_pii": op9_pii,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_spelling": op11_spelling,
 }
