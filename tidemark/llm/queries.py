@@ -9,6 +9,7 @@ from ..tables import load
 from .bpe import round_trip_digests
 from .decontaminate import find_contamination
 from .language_id import identify_languages
+from .merkle import tamper_report
 from .oracle import ORACLE  # noqa: F401
 from .pii import pii_report
 from .quality_classifier import score_quality
@@ -75,6 +76,10 @@ def op11_spelling(spark: SparkSession, sf: str) -> DataFrame:
     return spelling_variants(spark, load(spark, sf, "documents"))
 
 
+def op12_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    return tamper_report(spark, load(spark, sf, "documents"), scratch_dir(spark, "op12"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_store": op2_token_store,
@@ -87,4 +92,5 @@ QUERIES = {
     "op9_pii": op9_pii,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_spelling": op11_spelling,
+    "op12_merkle": op12_merkle,
 }
