@@ -9,6 +9,7 @@ from ..tables import load
 from .bpe import round_trip_digests
 from .decontaminate import find_contamination
 from .language_id import identify_languages
+from .lm_scoring import score_texts
 from .merkle import tamper_report
 from .oracle import ORACLE  # noqa: F401
 from .pii import pii_report
@@ -80,6 +81,10 @@ def op12_merkle(spark: SparkSession, sf: str) -> DataFrame:
     return tamper_report(spark, load(spark, sf, "documents"), scratch_dir(spark, "op12"))
 
 
+def op13_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return score_texts(spark, load(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_store": op2_token_store,
@@ -93,4 +98,5 @@ QUERIES = {
     "op10_quality_classifier": op10_quality_classifier,
     "op11_spelling": op11_spelling,
     "op12_merkle": op12_merkle,
+    "op13_lm_scoring": op13_lm_scoring,
 }
