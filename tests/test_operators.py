@@ -282,6 +282,41 @@ def test_salted_change_rows_equal_and_spread_a_hot_key(spark):
     assert max(salted_sizes) < hot_rows / 2
 
 
+def test_staged_change_rows_scan_the_snapshot_once(spark, workdir, monkeypatch):
+    o, li = load(spark, SF001, "orders"), load(spark, SF001, "lineitem")
+    kw = dict(delta_key="o_orderkey", snap_key="l_orderkey", mark="o_orderkey")
+    plans = []
+    staged = J._staged
+    monkeypatch.setattr(J, "_staged", lambda df, path: plans.append(df._jdf.queryExecution().executedPlan().toString()) or staged(df, path))
+    rows = J.change_rows(o, li, stage=f"{workdir}/stage", **kw)
+    plans.append(rows._jdf.queryExecution().executedPlan().toString())
+    assert [sum("lineitem.parquet" in x for x in p.splitlines() if "FileScan" in x) for p in plans] == [1, 0, 0]
+    outer = J.change_rows(o, li, strategy="outer", **kw)
+    assert rows.count() == outer.count() and rows.exceptAll(outer).count() == 0
+
+
+def test_staged_change_rows_spread_a_hot_key(spark, workdir):
+    """A large delta is shuffled once, and one key with most of the rows is
+    split over tasks both where it is joined and where it is ordered."""
+    from tidemark.operators.joins import change_order
+    o, li = load(spark, SF001, "orders"), load(spark, SF001, "lineitem")
+    hot = li.withColumn("l_orderkey", F.when(F.col("l_linenumber") <= 4, F.lit(7)).otherwise(F.col("l_orderkey")))
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = J.change_rows(o, hot, delta_key="o_orderkey", snap_key="l_orderkey", mark="o_orderkey", keep_mark=True,
+                             salt=8, stage=f"{workdir}/stage")
+        ordered, keys = change_order(rows, "l_orderkey")
+        joined = spark.read.parquet(f"{workdir}/stage/present").groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+        sizes = ordered.orderBy(*keys).rdd.glom().map(len).collect()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    hot_rows = hot.where("l_orderkey = 7").count()
+    assert joined < hot_rows / 2 and max(sizes) < hot_rows / 2
+
+
 def test_names_with_slashes(spark):
     from tidemark.operators.joins import change_order
     df = spark.createDataFrame([(1, "ab", 7)], "`/1FB/CURKEY_GC` long, `MANDT` string, `/1FB/CS_UNIT` int")

@@ -27,6 +27,7 @@ def model(delta, snap, low, high):
 @given(delta=delta_rows, snap=snap_rows, low=st.one_of(st.none(), st.integers(0, 6)),
        high=st.one_of(st.none(), st.integers(3, 12)))
 def test_change_rows_match_model(spark, delta, snap, low, high):
+    from tidemark.session import scratch_dir
     d = spark.createDataFrame(delta, "mark int, key int")
     s = spark.createDataFrame(snap, "key int, pos int")
     want = model(delta, snap, low, high)
@@ -36,6 +37,9 @@ def test_change_rows_match_model(spark, delta, snap, low, high):
             got = change_rows(d, s, delta_key="key", snap_key="key", mark="mark", low=low, high=high,
                               keep_mark=True, strategy=strategy, snap_bounds=bounds, salt=salt)
             assert sorted((tuple(r) for r in got.collect()), key=repr) == want
+    got = change_rows(d, s, delta_key="key", snap_key="key", mark="mark", low=low, high=high, keep_mark=True,
+                      snap_bounds=(kmin, kmax), salt=3, stage=scratch_dir(spark, "stage"))
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == want
 
 
 small = st.one_of(st.none(), st.integers(0, 3))

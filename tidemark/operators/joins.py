@@ -32,7 +32,8 @@ def delta_key_bounds(delta: DataFrame, *, delta_key: str, mark: str, low=None, h
 
 def change_rows(delta: DataFrame, snapshot: DataFrame, *, delta_key: str, snap_key: str, mark: str,
                 low=None, high=None, latest_only: bool = False, keep_mark: bool = False,
-                strategy: str = "split", snap_bounds: tuple | None = None, salt: int | None = None) -> DataFrame:
+                strategy: str = "split", snap_bounds: tuple | None = None, salt: int | None = None,
+                stage: str | None = None) -> DataFrame:
     """J1 + P5: change rows for delta requests with `low < mark <= high`.
 
     Each delta row fans out to every snapshot row with its key (marker 4);
@@ -47,6 +48,15 @@ def change_rows(delta: DataFrame, snapshot: DataFrame, *, delta_key: str, snap_k
     left outer join cannot do for its right side. `strategy="outer"` is the
     literal left outer join.
 
+    `stage` names a fresh folder (on storage that all executors share). The
+    present rows are then written there once and the keys that were hit are
+    read back from them, one column of a change set, so the snapshot is
+    scanned, and where the delta is large shuffled, exactly once. What is
+    returned reads the staged rows alone: sampling it for a sort costs no
+    join, and a lost executor repeats none. The caller deletes the folder
+    when done. Without `stage` the result is lazy and scans the snapshot's
+    key column a second time.
+
     `snap_bounds=(smallest, largest)` delta key (see `delta_key_bounds`)
     limits the snapshot to that key range with literal predicates, which
     reach the Parquet scan: on a snapshot clustered by key, row groups
@@ -87,14 +97,20 @@ def change_rows(delta: DataFrame, snapshot: DataFrame, *, delta_key: str, snap_k
                                    (salted_s["__salt"] == salted_d["__salt"]), "inner")
         else:
             joined = s.join(d, F.col("__skey") == F.col("__dkey"), "inner")
-        present = joined.select(
-            F.lit(MARKER_PRESENT).alias(ROW_MARKER_COL), F.col("__dkey").alias(snap_key),
-            *[F.col(f"`{c}`") for c in others], F.col(MARK))
-        wanted = d.select(F.col("__dkey").alias("__wkey")).distinct()
-        hit = (s.select("__skey").join(wanted, F.col("__skey") == F.col("__wkey"), "left_semi")
-               .distinct())
+        present = joined.select(F.col("__dkey").alias(snap_key), *[F.col(f"`{c}`") for c in others], F.col(MARK))
+        if stage is not None:
+            present = _staged(present, f"{stage}/present")
+            hit = present.select(F.col(snap_key).alias("__skey")).distinct()
+        else:
+            wanted = d.select(F.col("__dkey").alias("__wkey")).distinct()
+            hit = (s.select("__skey").join(wanted, F.col("__skey") == F.col("__wkey"), "left_semi")
+                   .distinct())
+        present = present.select(F.lit(MARKER_PRESENT).alias(ROW_MARKER_COL), "*")
         types = dict(snapshot.dtypes)
-        gone = d.join(hit, F.col("__dkey") == F.col("__skey"), "left_anti").select(
+        absent = d.join(hit, F.col("__dkey") == F.col("__skey"), "left_anti")
+        if stage is not None:
+            absent = _staged(absent, f"{stage}/gone")
+        gone = absent.select(
             F.lit(MARKER_GONE).alias(ROW_MARKER_COL), F.col("__dkey").alias(snap_key),
             *[F.lit(None).cast(types[c]).alias(c) for c in others], F.col(MARK))
         out = present.unionByName(gone)
@@ -103,6 +119,12 @@ def change_rows(delta: DataFrame, snapshot: DataFrame, *, delta_key: str, snap_k
     return out if keep_mark else out.drop(MARK)
 
 
+def _staged(df: DataFrame, path: str) -> DataFrame:
+    """The rows, written as a table and read back."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 TIE = "__tie"
 
 

@@ -23,6 +23,7 @@ from ..operators.aggregates import next_watermark
 from ..operators.filters import mark_range
 from ..operators.joins import MARK, TIE, change_order, change_rows, delta_key_bounds
 from ..operators.project import envelope
+from ..session import scratch_dir
 from ..sources import paths
 from ..sources.sinks import write_change
 from ..sources.sql import bindable
@@ -263,14 +264,18 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
         elif mode == "delta":
             if delta is None:
                 raise ValueError("delta mode needs a delta table")
-            rows = change_rows(delta, snapshot, delta_key=spec.delta_key, snap_key=spec.snap_key, mark=spec.mark,
-                               low=last, high=high, latest_only=spec.latest_only, keep_mark=True,
-                               snap_bounds=bounds, salt=spec.salt)
             observed = {"high_seen": F.max(MARK)}
             order = None
-            if spec.ordered:
-                rows, order = change_order(rows, spec.snap_key)
-            n = write_change(rows, root, spec.name, seq + 1, sort_by=order, metrics=observed, drop=(MARK, TIE))
+            stage = scratch_dir(spark, "changes")
+            try:
+                rows = change_rows(delta, snapshot, delta_key=spec.delta_key, snap_key=spec.snap_key, mark=spec.mark,
+                                   low=last, high=high, latest_only=spec.latest_only, keep_mark=True,
+                                   snap_bounds=bounds, salt=spec.salt, stage=stage)
+                if spec.ordered:
+                    rows, order = change_order(rows, spec.snap_key)
+                n = write_change(rows, root, spec.name, seq + 1, sort_by=order, metrics=observed, drop=(MARK, TIE), stored=True)
+            finally:
+                paths.delete(spark, stage)
             # Every delta row in range gives at least one change row, so the
             # largest mark written is the new high-water mark.
             new_mark = observed["high_seen"] if observed["high_seen"] is not None else last

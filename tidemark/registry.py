@@ -53,10 +53,10 @@ def _roots():
 # -- change feed ------------------------------------------------------------
 
 def delta_change_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """F1 + J1 + P5: change rows of every delta request above the (unset,
-    hence 0) watermark."""
+    """F1 + J1 + P5: change rows of every delta request (no watermark is set,
+    so all are new), with one scan of the snapshot."""
     return J.change_rows(load(spark, sf, "orders"), load(spark, sf, "lineitem"), delta_key="o_orderkey",
-                         snap_key="l_orderkey", mark="o_orderkey")
+                         snap_key="l_orderkey", mark="o_orderkey", stage=scratch_dir(spark, "changes"))
 
 
 def _mirror_spec(sf: str) -> MirrorSpec:

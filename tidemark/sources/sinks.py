@@ -56,7 +56,7 @@ def _publish(spark, staging: str, target: str) -> None:
 
 def staged_write(df: DataFrame, target: str, *, sort_by=None, sort_within=None, options: dict | None = None,
                  validate: Callable[[DataFrame], None] | None = None, keep_empty: bool = False,
-                 metrics: dict | None = None, drop: tuple = ()) -> int:
+                 metrics: dict | None = None, drop: tuple = (), stored: bool = False) -> int:
     """Write `df` as Parquet to a hidden sibling folder, then swap it in. One
     writer at a time may write a target; what a killed one left is cleared.
 
@@ -66,7 +66,8 @@ def staged_write(df: DataFrame, target: str, *, sort_by=None, sort_within=None,
     `sort_within` sorts each output file only (no shuffle). `metrics` names
     extra aggregate Columns observed during the same write (their values are
     filled into the dict); `drop` lists helper columns removed after
-    observing and sorting.
+    observing and sorting. `stored` says that `df` only reads stored rows, so
+    that a global sort need not keep its input.
     """
     spark = df.sparkSession
     target = target.rstrip("/")
@@ -80,7 +81,8 @@ def staged_write(df: DataFrame, target: str, *, sort_by=None, sort_within=None,
     if sort_by:
         # A global sort first samples its input in a separate job; keep the
         # input so it is computed once (spills to disk when large).
-        cached = out = out.persist(StorageLevel.MEMORY_AND_DISK)
+        if not stored:
+            cached = out = out.persist(StorageLevel.MEMORY_AND_DISK)
         out = out.orderBy(*sort_by)
     elif sort_within:
         out = out.sortWithinPartitions(*sort_within)
@@ -132,11 +134,11 @@ def sequence_dir(root: str, table: str, seq: int, digits: int = SEQUENCE_DIGITS)
 
 
 def write_change(df: DataFrame, root: str, table: str, seq: int, *, sort_by=None, sort_within=None,
-                 metrics: dict | None = None, drop: tuple = (), digits: int = SEQUENCE_DIGITS) -> int:
+                 metrics: dict | None = None, drop: tuple = (), digits: int = SEQUENCE_DIGITS, stored: bool = False) -> int:
     """Write one change set as `<root>/<table>/seq=<zero-padded seq>`.
 
     Re-running the same sequence replaces that one folder, so a retried run
     is idempotent. Zero rows publish nothing.
     """
     return staged_write(df, sequence_dir(root, table, seq, digits), sort_by=sort_by, sort_within=sort_within,
-                        metrics=metrics, drop=drop)
+                        metrics=metrics, drop=drop, stored=stored)

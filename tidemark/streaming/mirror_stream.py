@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from ..operators.filters import mark_range
 from ..operators.joins import MARK, TIE, change_order, change_rows, delta_key_bounds
 from ..plans.mirror import load_state, published_sequences, save_state
+from ..session import scratch_dir
+from ..sources import paths
 from ..sources.sinks import write_change
 
 
@@ -66,20 +68,22 @@ def stream_mirror(spark: SparkSession, deltas: DataFrame, snapshot: Callable[[Sp
             raise RuntimeError(f"{name} got another writer: {now.get('writer')}")
         low, seq = now["last_watermark"], base + batch_id + 1
         batch = batch.where(mark_range(batch[mark], low, None, batch.schema[mark].dataType)).persist()
+        stage = scratch_dir(spark, "changes")
         try:
             _, kmin, kmax = delta_key_bounds(batch, delta_key=delta_key, mark=mark, low=low)
             rows = change_rows(batch, snapshot(spark), delta_key=delta_key, snap_key=snap_key, mark=mark, low=low,
-                               keep_mark=True, snap_bounds=(kmin, kmax))
+                               keep_mark=True, snap_bounds=(kmin, kmax), stage=stage)
             order = None
             if ordered:
                 rows, order = change_order(rows, snap_key)
             observed = {"high_seen": F.max(MARK)}
-            n = write_change(rows, root, name, seq, sort_by=order, metrics=observed, drop=(MARK, TIE))
+            n = write_change(rows, root, name, seq, sort_by=order, metrics=observed, drop=(MARK, TIE), stored=True)
             if n > 0:
                 save_state(spark, root, name, seq=seq, watermark=observed["high_seen"], watermark_type=mark_type,
                            watermark_column=mark, mode="stream", writer=checkpoint, base=base)
         finally:
             batch.unpersist()
+            paths.delete(spark, stage)
 
     writer = deltas.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
     if available_now:
