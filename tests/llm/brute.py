@@ -1,10 +1,11 @@
 """Plain single-process versions of the operators, to test against."""
 
 import hashlib
+import math
 import re
 import struct
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import xxhash
@@ -125,3 +126,138 @@ def ids_crc32(ids):
 
 def id_remainder(doc_id, n):
     return zlib.crc32(str(doc_id).encode()) % n
+
+
+def spelling(rows):
+    """``word, form, root, n, n_near, form_n`` of ``(id, text)`` rows, sorted."""
+    times = Counter()
+    for d, t in rows:
+        for run in re.findall("[A-Za-z\u00C0-\u00FF]+", t or ""):
+            run = ascii_lower(run)
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            if h % 97 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            if len(run) >= 5:
+                times[run] += 1
+    n = {w: k for w, k in times.items() if k >= 3}
+    return spelling_forms(n)
+
+
+def spelling_forms(n):
+    gaps, near = defaultdict(list), {w: set() for w in n}
+    for w in n:
+        for p in range(len(w)):
+            gaps[p, w[:p] + w[p + 1:]].append(w)
+    for (_, rest), ws in gaps.items():
+        for a in ws:
+            near[a].update(b for b in ws if b != a)
+            if rest in n:
+                near[a].add(rest)
+                near[rest].add(a)
+    form = {}
+    for w, others in near.items():
+        if others:
+            best = min(others, key=lambda x: (-n[x], x))
+            if n[best] >= 2 * n[w]:
+                form[w] = best
+    out = []
+    for w in n:
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, form.get(w), root, n[w], len(near[w]), n.get(form.get(w))))
+    return sorted(out)
+
+
+def merkle_field(v):
+    return "-" if v is None else f"{len(str(v).encode())}:{v}"
+
+
+def _levels(hs):
+    out = [hs]
+    while len(out[-1]) > 1:
+        out.append([sha("".join(out[-1][i:i + 3])) for i in range(0, len(out[-1]), 3)])
+    return out
+
+
+def _proof(levels, i):
+    out = []
+    for level in levels[:-1]:
+        run = level[i // 3 * 3:i // 3 * 3 + 3]
+        out.append(("".join(run[:i % 3]), "".join(run[i % 3 + 1:])))
+        i //= 3
+    return out
+
+
+def merkle(rows):
+    """``doc_id, leaf, subroot, root, proof_sha256, folded_root, verified`` of
+    ``(doc_id, source, lang, n_chars, text)`` rows."""
+    sources = defaultdict(list)
+    for d, source, lang, n, text in rows:
+        leaf = other = sha("".join(map(merkle_field, (d, source, lang, n, text))))
+        if d is not None and zlib.crc32(str(d).encode()) % 2 == 0 and text is not None:
+            other = sha("".join(map(merkle_field, (d, source, lang, n, text.replace("\n", "")))))
+        sources[source].append((d is not None, d or 0, leaf, other))
+    names = sorted(sources, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {s: _levels([x[2] for x in sorted(sources[s])]) for s in names}
+    top = _levels([trees[s][-1][0] for s in names])
+    out = []
+    for k, s in enumerate(names):
+        for i, (has, d, leaf, other) in enumerate(sorted(sources[s])):
+            path, h = _proof(trees[s], i) + _proof(top, k), other
+            for before, after in path:
+                h = sha(before + h + after)
+            out.append((d if has else None, leaf, trees[s][-1][0], top[-1][0], sha("".join(a + b for a, b in path)), h, h == top[-1][0]))
+    return out
+
+
+class Ppm:
+    """Byte trie with escapes by distinct bytes and symbol exclusion."""
+
+    def __init__(self, order):
+        self.order, self.seen, self.words = order, defaultdict(Counter), Counter()
+
+    def learn(self, text):
+        b = ascii_lower(text or "").encode()
+        self.words.update(b.split())
+        self.words[None] += 1
+        s = b"\xfe" * self.order + b + b"\xff"
+        for i in range(self.order, len(s)):
+            for k in range(self.order + 1):
+                self.seen[s[i - k:i]][s[i]] += 1
+
+    def log(self, context, byte):
+        x, out = 0.0, set()
+        while True:
+            here = {s: n for s, n in self.seen.get(context, {}).items() if s not in out}
+            total = sum(here.values()) + len(here)
+            if byte in here:
+                return x + math.log10(here[byte] / total)
+            if here:
+                x += math.log10(len(here) / total)
+                out |= set(here)
+            if not context:
+                return x - math.log10(256 - len(out))
+            context = context[1:]
+
+    def score(self, text):
+        b = ascii_lower(text or "").encode()
+        s = b"\xfe" * self.order + b + b"\xff"
+        return sum(self.log(s[i - self.order:i], s[i]) for i in range(self.order, len(s)))
+
+
+def lm(rows, order):
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base, score``."""
+    model = Ppm(order)
+    learned = lambda d: d is not None and id_remainder(d, 10) != 0
+    for d, t in rows:
+        if learned(d):
+            model.learn(t)
+    total, v = sum(model.words.values()), len(model.words)
+    out = []
+    for d, t in rows:
+        words = [*ascii_lower(t or "").encode().split(), None]
+        counts = [model.words.get(w, 0) for w in words]
+        out.append((d, d is not None and not learned(d), len(words), sum(c > 0 for c in counts), total,
+                    sum(math.log10((c + 0.1) / (total + 0.1 * (v + 1))) for c in counts), model.score(t)))
+    return out
