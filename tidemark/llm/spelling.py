@@ -5,7 +5,8 @@ in it. One inserted, deleted or replaced letter raises at most one of these
 counts by one (the surplus) and lowers at most one other (the deficit). Words
 are kept in a trie of successive counts; a search goes down it depth first and
 spends at most one surplus and one deficit, and the words at the leaves it
-reaches are verified letter by letter.
+reaches are verified letter by letter. A search only looks up, to larger
+vectors, and tells both words of what it finds.
 
 The top of the trie (every node with more than ``cap`` words) is a small set of
 vector prefixes that all tasks know. The nodes right below it are the buckets:
@@ -88,35 +89,47 @@ def is_near(a: str, b: str) -> bool:
     return a[i:] == b[i + 1:]
 
 
-def _budgets(level: int, step: int, surplus: int, deficit: int):
-    """What is left after a count differs by ``step``, None if it is spent.
-    A longer word can only have a surplus, a shorter one only a deficit."""
-    if level == 0:
-        return (1, 1) if step == 0 else (1, 0) if step > 0 else (0, 1)
-    if step == 0:
-        return surplus, deficit
-    if step > 0:
-        return (0, deficit) if surplus else None
-    return (surplus, 0) if deficit else None
+#: What a search can still spend, going from a word up to words whose vector is
+#: larger in order (or equal): of two near words just one finds the other.
+#: 0 start, 1 same length, 2 same length with a deficit due, 3 one letter more,
+#: 4 all spent. Keys are (state, difference of the counts).
+_SPEND = {(0, 0): 1, (0, 1): 3, (1, 0): 1, (1, 1): 2, (2, 0): 2, (2, -1): 4, (3, 0): 3, (3, 1): 4, (4, 0): 4}
+_STEPS = {state: [(step, to) for (of, step), to in _SPEND.items() if of == state] for state in range(5)}
 
 
-def reached(v: bytes, crowded: frozenset | set) -> tuple[list[bytes], bool]:
-    """Buckets that a word with this vector can have near words in, and
-    whether it reaches a crowded leaf."""
-    out, leaf, stack = [], False, [(b"", 1, 1)]
+def reached(v: bytes, crowded: frozenset | set) -> list[bytes]:
+    """Buckets that a word with this vector finds near words in."""
+    out, stack = [], [(b"", 0)]
     while stack:
-        node, surplus, deficit = stack.pop()
+        node, state = stack.pop()
         if node not in crowded:
             out.append(node)
-        elif len(node) == LEVELS:
-            leaf = True
-        else:
-            level = len(node)
-            for step in (-1, 0, 1):
-                left = _budgets(level, step, surplus, deficit)
-                if left is not None and 0 <= (c := v[level] + step) <= 255:
-                    stack.append((node + bytes((c,)), *left))
-    return out, leaf
+        elif (level := len(node)) < LEVELS:
+            for step, to in _STEPS[state]:
+                if 0 <= (c := v[level] + step) <= 255:
+                    stack.append((node + bytes((c,)), to))
+    return out
+
+
+def meets_crowd(v: bytes, crowded: frozenset | set) -> bool:
+    """Whether a crowded leaf is at most one surplus and one deficit away, in
+    any order."""
+    stack = [(b"", 1, 1)]
+    while stack:
+        node, surplus, deficit = stack.pop()
+        if node not in crowded:
+            continue
+        if len(node) == LEVELS:
+            return True
+        c = v[len(node)]
+        # The first level is the length, which is no letter of its own.
+        cost = 1 if node else 0
+        stack.append((node + bytes((c,)), surplus, deficit))
+        if surplus and c < 255:
+            stack.append((node + bytes((c + 1,)), surplus - cost, deficit))
+        if deficit and c:
+            stack.append((node + bytes((c - 1,)), surplus, deficit - cost))
+    return False
 
 
 def gap_keys(word: str) -> tuple[list[bytes], set[bytes]]:
@@ -146,16 +159,19 @@ def _router(crowded):
     """Rows for the buckets: one where a word lives, one for each it asks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = crowded.value
+        leaves = any(len(x) == LEVELS for x in known)
         for b in batches:
             rows: list[tuple] = []
+            routes: dict[bytes, tuple] = {}
             for w, n, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
                 packed = v in known
-                buckets, leaf = ([], True) if packed else reached(v, known)
                 if not packed:
-                    home = next(v[:d] for d in range(LEVELS + 1) if v[:d] not in known)
-                    rows.append((b"T" + home, False, w, n, v, False))
-                    rows += [(b"T" + x, True, w, n, v, False) for x in buckets]
-                if leaf:
+                    if (route := routes.get(v)) is None:
+                        home = next(v[:d] for d in range(LEVELS + 1) if v[:d] not in known)
+                        route = routes[v] = (b"T" + home, [b"T" + x for x in reached(v, known)])
+                    rows.append((route[0], False, w, n, v, False))
+                    rows += [(x, True, w, n, v, False) for x in route[1]]
+                if leaves and (packed or meets_crowd(v, known)):
                     same, other = gap_keys(w)
                     rows += [(k, True, w, n, v, packed) for k in (*same, *other)]
                 if len(rows) >= _FLUSH:
@@ -172,38 +188,59 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
                                       names=["bucket", "asks", "word", "n", "v", "packed"])
 
 
+class Leaf:
+    """Words of one leaf. Two near words share all letters before or all
+    letters after the shorter one's middle, so a larger leaf is looked up by
+    both halves."""
+
+    def __init__(self, words: list[tuple[str, int, bytes]]):
+        self.words, self.before, self.after = words, None, None
+        if len(words) > _LEAF:
+            self.before, self.after = {}, {}
+            for x in words:
+                w = x[0]
+                # As seen by a word of its own length, and by one with a letter less.
+                for cut in {len(w) // 2, (len(w) - 1) // 2}:
+                    self.before.setdefault(w[:cut], []).append(x)
+                for rest in {w[len(w) // 2:], w[(len(w) - 1) // 2 + 1:]}:
+                    self.after.setdefault(rest, []).append(x)
+
+    def candidates(self, w: str):
+        if self.before is None:
+            return self.words
+        half = len(w) // 2
+        first, last = self.before.get(w[:half], ()), self.after.get(w[half:], ())
+        return {*first, *last} if first and last else first or last
+
+
 def build_trie(words: list[tuple[str, int, bytes]], level: int):
     """Nested tables from counts to what lies below; few words, or words of
     one vector, are a leaf."""
     if len(words) <= _LEAF or level == LEVELS:
-        return words
+        return Leaf(words)
     below: dict = {}
     for w in words:
         below.setdefault(w[2][level], []).append(w)
     return {c: build_trie(ws, level + 1) for c, ws in below.items()}
 
 
-def search_trie(trie, v: bytes, prefix: bytes) -> list[tuple[str, int, bytes]]:
-    """Words at the leaves below ``prefix`` that the budget reaches."""
-    surplus = deficit = 1
-    for level, c in enumerate(prefix):
-        left = _budgets(level, c - v[level], surplus, deficit)
-        if left is None or abs(c - v[level]) > 1:
+def search_trie(trie, v: bytes, prefix: bytes) -> list[Leaf]:
+    """Leaves below ``prefix`` that a word with this vector reaches."""
+    state = 0
+    for c, mine in zip(prefix, v):
+        state = _SPEND.get((state, c - mine))
+        if state is None:
             return []
-        surplus, deficit = left
-    out, stack = [], [(trie, len(prefix), surplus, deficit)]
+    out, stack = [], [(trie, len(prefix), state)]
     while stack:
-        node, level, surplus, deficit = stack.pop()
-        if type(node) is list:
-            out += node
+        node, level, state = stack.pop()
+        if type(node) is Leaf:
+            out.append(node)
             continue
         c = v[level]
-        if (child := node.get(c)) is not None:
-            stack.append((child, level + 1, *_budgets(level, 0, surplus, deficit)))
-        if (surplus or not level) and (child := node.get(c + 1)) is not None:
-            stack.append((child, level + 1, *_budgets(level, 1, surplus, deficit)))
-        if (deficit or not level) and (child := node.get(c - 1)) is not None:
-            stack.append((child, level + 1, *_budgets(level, -1, surplus, deficit)))
+        for step, to in _STEPS[state]:
+            if (child := node.get(c + step)) is not None:
+                stack.append((child, level + 1, to))
     return out
 
 
@@ -229,6 +266,7 @@ def _answers(bucket: bytes, members) -> Iterator[tuple[str, int, int, str]]:
                 yield w, len(near), -n, x
         return
     words, trie, asked, found = [], None, None, []
+    here: dict[str, list] = {}
     for _, asks, w, n, v, _ in members:  # the words that live here come first
         if not asks:
             words.append((w, n, v))
@@ -239,10 +277,18 @@ def _answers(bucket: bytes, members) -> Iterator[tuple[str, int, int, str]]:
             trie = build_trie(words, len(bucket) - 1)
         if v != asked:
             asked, found = v, search_trie(trie, v, bucket[1:])
-        near = [(-x[1], x[0]) for x in found if is_near(w, x[0])]
+        near = [x for leaf in found for x in leaf.candidates(w) if is_near(w, x[0]) and (x[2], x[0]) > (v, w)]
         if near:
-            best, x = min(near)
+            best, x = min((-x[1], x[0]) for x in near)
             yield w, len(near), -best, x
+            for x, *_ in near:
+                if (mine := here.get(x)) is None:
+                    here[x] = [1, (-n, w)]
+                else:
+                    mine[0] += 1
+                    mine[1] = min(mine[1], (-n, w))
+    for w, (n_near, (minus, x)) in here.items():
+        yield w, n_near, -minus, x
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
