@@ -172,7 +172,8 @@ def test_catalog_count_failure_is_unknown(spark, workdir):
 
 
 def test_the_newest_readable_state_counts(spark, workdir):
-    from tidemark.plans.mirror import KEEP_STATES, save_state, state_dir
+    from tidemark.plans.mirror import save_state, state_dir
+    from tidemark.sources.feed_log import KEEP_STATES
     assert load_state(spark, workdir, "feed") == {"last_sequence": 0, "last_watermark": None}
     for i in range(KEEP_STATES + 2):
         save_state(spark, workdir, "feed", seq=i, watermark=f"00{i}", watermark_type="string", watermark_column="m", mode="delta")

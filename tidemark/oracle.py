@@ -44,6 +44,25 @@ FROM orders o CROSS JOIN m LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
 WHERE o.o_orderkey > m.a
 """
 
+_MARKS = """m AS (SELECT min(o_orderkey) + (max(o_orderkey) - min(o_orderkey)) // 3 AS a,
+                  min(o_orderkey) + 2 * (max(o_orderkey) - min(o_orderkey)) // 3 AS b FROM orders)"""
+
+MIRROR_POLL = f"""
+WITH {_MARKS}
+SELECT CASE WHEN o.o_orderkey <= m.a THEN 1 WHEN o.o_orderkey <= m.b THEN 2 ELSE 3 END AS seq,
+       CASE WHEN l.l_orderkey IS NULL THEN 2 ELSE 4 END AS "__rowMarker__", o.o_orderkey AS l_orderkey, {LINEITEM_NOKEY}
+FROM orders o CROSS JOIN m LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+WHERE o.o_orderkey IS NOT NULL
+"""
+
+CHANGES_RANGE = f"""
+WITH {_MARKS}
+SELECT CASE WHEN o.o_orderkey <= m.b THEN 2 ELSE 3 END AS seq,
+       CASE WHEN l.l_orderkey IS NULL THEN 2 ELSE 4 END AS "__rowMarker__", o.o_orderkey AS l_orderkey, {LINEITEM_NOKEY}
+FROM orders o CROSS JOIN m LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+WHERE o.o_orderkey > m.a
+"""
+
 CONFORM_COLUMNS = """
 SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS SMALLINT) AS l_linenumber,
        substring(CAST(l_partkey AS VARCHAR), 1, 3) AS l_partkey, CAST(l_quantity AS DOUBLE) AS l_quantity,
@@ -277,6 +296,8 @@ ORACLE = {
     "schema_scope": SCHEMA_SCOPE,
     "union_parts": UNION_PARTS,
     "mirror_then_stream": MIRROR_BATCH,
+    "mirror_poll": MIRROR_POLL,
+    "changes_range": CHANGES_RANGE,
     "mirror_string_mark": MIRROR_STRING_MARK,
     "catalog_conform_documents": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "flatten_mixed_pages": "SELECT page_id AS page_no, 0 AS item_pos, html AS item FROM pages WHERE trim(html) <> ''",

@@ -1,10 +1,12 @@
-"""Change-feed mirror (T1), its state table (T2) and empty runs.
+"""Change-feed mirror (T1), its state (T2) and empty runs.
 
 A run fixes the upper mark `high` first, reads delta requests with
 `last < mark <= high`, writes the change set as sequence `last_sequence + 1`
-and only then commits the new state. A failed run leaves the state alone, so
-the retry writes the same sequence again (replacing that one folder); a run
-with no rows publishes nothing and keeps the sequence.
+into a folder of its own and publishes it together with the new state in one
+step (see `sources.feed_log`). A failed run leaves the state alone, and so
+does one that another writer overtook: nothing of it is read, and the retry
+writes the same sequence again. A run with no rows publishes nothing and keeps
+the sequence.
 """
 
 from __future__ import annotations
@@ -24,8 +26,9 @@ from ..operators.filters import mark_range
 from ..operators.joins import MARK, TIE, change_order, change_rows, delta_key_bounds
 from ..operators.project import envelope
 from ..session import scratch_dir
-from ..sources import paths
-from ..sources.sinks import write_change
+from ..sources import feed_log, paths
+from ..sources.feed_log import state_dir
+from ..sources.sinks import discard_run, write_run
 from ..sources.sql import bindable
 
 STATE_FIELDS = ("name", "last_sequence", "last_watermark", "watermark_type", "watermark_column", "mode",
@@ -114,13 +117,6 @@ class MirrorResult:
     extra: dict = field(default_factory=dict)
 
 
-def state_dir(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/_state/{name}"
-
-
-KEEP_STATES = 5
-
-
 def _decode(text, type_name):
     if text is None:
         return None
@@ -144,6 +140,24 @@ def _decode(text, type_name):
         return text
 
 
+def _lowest(type_name: str | None):
+    """A value below all marks of a type (for text and dates: below all that
+    occur), so that a statement's `mark > :low` keeps every request."""
+    if type_name in ("timestamp", "timestamp_ntz"):
+        return "0001-01-01 00:00:00"
+    if type_name == "date":
+        return "0001-01-01"
+    if type_name == "string":
+        return ""
+    if type_name in ("double", "float"):
+        return float("-inf")
+    if type_name and type_name.startswith("decimal"):
+        precision, scale = (int(x) for x in type_name[8:-1].split(","))
+        return -Decimal(10) ** (precision - scale)
+    bits = {"tinyint": 8, "smallint": 16, "int": 32}.get(type_name, 64)
+    return -(1 << (bits - 1))
+
+
 def _encode(value) -> str | None:
     if value is None:
         return None
@@ -152,50 +166,50 @@ def _encode(value) -> str | None:
     return str(value)
 
 
-def _states(spark: SparkSession, root: str, name: str) -> list[str]:
-    return [n for n in paths.list_files(spark, state_dir(root, name)) if n.endswith(".json")]
-
-
 def published_sequences(spark: SparkSession, root: str, name: str) -> list[int]:
+    """Sequence folders of a feed, committed or not."""
     return sorted(int(d[4:]) for d in paths.list_dirs(spark, f"{root.rstrip('/')}/{name}") if d.startswith("seq="))
 
 
+def _state_of(log: feed_log.Log) -> dict:
+    d = dict(log.doc)
+    d["last_watermark"] = _decode(d.get("last_watermark"), d.get("watermark_type"))
+    d["last_sequence"] = int(d["last_sequence"] or 0)
+    return d
+
+
+def load_log(spark: SparkSession, root: str, name: str) -> feed_log.Log | None:
+    """The feed's log, None before its first run. A feed with sequence folders
+    but no readable state is an error: starting over would overwrite it."""
+    log = feed_log.read_log(spark, root, name)
+    if log is None and (seqs := published_sequences(spark, root, name)):
+        raise RuntimeError(f"{name} has sequences up to {seqs[-1]} but no readable state in {state_dir(root, name)}")
+    return log
+
+
 def load_state(spark: SparkSession, root: str, name: str) -> dict:
     """The newest readable state; before the first run it starts from zero.
 
-    Every commit writes a new small JSON document and never touches the ones
-    before it, so a crash leaves the last state readable. A feed with
-    published sequences but no readable state is an error: starting over
-    would overwrite it."""
-    for n in reversed(_states(spark, root, name)):
-        try:
-            d = json.loads(paths.read_text(spark, f"{state_dir(root, name)}/{n}") or "")
-            if not isinstance(d, dict) or "last_sequence" not in d:
-                continue
-            seq = int(d["last_sequence"] or 0)
-        except ValueError:
-            continue
-        d["last_watermark"] = _decode(d.get("last_watermark"), d.get("watermark_type"))
-        d["last_sequence"] = seq
-        return d
-    seqs = published_sequences(spark, root, name)
-    if seqs:
-        raise RuntimeError(f"{name} has sequences up to {seqs[-1]} but no readable state in {state_dir(root, name)}")
-    return {"last_sequence": 0, "last_watermark": None}
+    Every commit adds a small JSON document and never touches the ones before
+    it, so a crash leaves the last state readable."""
+    log = load_log(spark, root, name)
+    return _state_of(log) if log is not None else {"last_sequence": 0, "last_watermark": None}
 
 
 def save_state(spark: SparkSession, root: str, name: str, *, seq: int, watermark, watermark_type: str | None,
-               watermark_column: str | None, mode: str, **more) -> None:
-    """Add a state (only after the run's data is published) and drop all
-    but the newest `KEEP_STATES`."""
+               watermark_column: str | None, mode: str, after: feed_log.Log | None = None, run: str | None = None,
+               rows: int = 0, schema=None, **more) -> feed_log.Log:
+    """Add the state that follows `after` (default: the newest one), and
+    with `run` publish that run's folder as sequence `seq` in the same step.
+    A `feed_log.CommitConflict` means that another writer did so first."""
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat() + "Z"
     values = (name, int(seq), _encode(watermark), watermark_type, watermark_column, mode, now)
-    old = _states(spark, root, name)
-    number = int(old[-1].split(".")[0]) + 1 if old else 0
-    paths.write_text(spark, f"{state_dir(root, name)}/{number:012d}.json",
-                     json.dumps({**dict(zip(STATE_FIELDS, values)), **more}, indent=2))
-    for n in old[:max(0, len(old) + 1 - KEEP_STATES)]:
-        paths.delete(spark, f"{state_dir(root, name)}/{n}")
+    after = after if after is not None else feed_log.read_log(spark, root, name)
+    log = feed_log.commit(spark, root, name, after, {**dict(zip(STATE_FIELDS, values)), **more}, seq=int(seq), run=run,
+                          rows=rows, schema=schema)
+    if run is not None:
+        feed_log.drop_other_runs(spark, root, name, int(seq), run)
+    return log
 
 
 def choose_mode(spec: MirrorSpec, seq: int) -> str:
@@ -214,7 +228,8 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
     try:
         if spec.problem:
             raise ValueError(spec.problem)
-        state = load_state(spark, root, spec.name)
+        log = load_log(spark, root, spec.name)
+        state = _state_of(log) if log is not None else {"last_sequence": 0, "last_watermark": None}
         if "writer" in state:
             raise ValueError(f"{spec.name} is written by the stream with checkpoint {state['writer']}")
         seq = state["last_sequence"]
@@ -239,27 +254,28 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
         snapshot = spec.snapshot(spark) if spec.snapshot is not None else None
         if mode == "full" and snapshot is None:
             mode = res.mode = "delta"
-        if not _states(spark, root, spec.name):
+        if log is None:
             # From here on a feed without a state is a damaged one.
-            save_state(spark, root, spec.name, seq=0, watermark=None, watermark_type=mark_type,
-                       watermark_column=spec.mark, mode=mode)
+            log = save_state(spark, root, spec.name, seq=0, watermark=None, watermark_type=mark_type,
+                             watermark_column=spec.mark, mode=mode)
         if mode == "full":
             # A SQL full refresh carries its own envelope and ORDER BY.
             rows = envelope(snapshot, version=spec.full_version) if spec.add_envelope else snapshot
             order = list(spec.full_order) if spec.ordered and spec.full_order else None
             # Each file is sorted by key (row groups then skip by key range);
             # a global order of a whole snapshot would shuffle all of it.
-            n = write_change(rows, root, spec.name, seq + 1, sort_within=order)
+            n, run = write_run(rows, root, spec.name, seq + 1, sort_within=order)
             new_mark = high if delta is not None else last
         elif mode == "delta" and spec.delta_sql is not None:
             # The statement computes the change rows; its ORDER BY is kept.
             # Without a `:high` bound it may include requests that arrived
             # after `high` was fixed; as the state records `high`, those are
             # read again next time (at least once, never lost).
-            args = {"low": bindable(0 if last is None else last, mark_type),
+            # Without a saved mark `:low` is the lowest value of the mark's type.
+            args = {"low": bindable(last if last is not None else _lowest(mark_type), mark_type),
                     "high": bindable(high, mark_type)}
             rows = spark.sql(spec.delta_sql, args={k: v for k, v in args.items() if f":{k}" in spec.delta_sql})
-            n = write_change(rows, root, spec.name, seq + 1)
+            n, run = write_run(rows, root, spec.name, seq + 1)
             new_mark = (next_watermark(delta, spec.mark, last, high) if delta is not None else last)
         elif mode == "delta":
             if delta is None:
@@ -273,7 +289,9 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
                                    snap_bounds=bounds, salt=spec.salt, stage=stage)
                 if spec.ordered:
                     rows, order = change_order(rows, spec.snap_key)
-                n = write_change(rows, root, spec.name, seq + 1, sort_by=order, metrics=observed, drop=(MARK, TIE), stored=True)
+                rows_out = rows.drop(MARK, TIE)
+                n, run = write_run(rows, root, spec.name, seq + 1, sort_by=order, metrics=observed, drop=(MARK, TIE), stored=True)
+                rows = rows_out
             finally:
                 paths.delete(spark, stage)
             # Every delta row in range gives at least one change row, so the
@@ -283,8 +301,13 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
             raise ValueError(f"unknown mode {mode!r}")
         if n > 0:
             seq += 1
-        save_state(spark, root, spec.name, seq=seq, watermark=new_mark, watermark_type=mark_type,
-                   watermark_column=spec.mark, mode=mode)
+        try:
+            save_state(spark, root, spec.name, seq=seq, watermark=new_mark, watermark_type=mark_type,
+                       watermark_column=spec.mark, mode=mode, after=log, run=run, rows=n, schema=rows.schema)
+        except feed_log.CommitConflict:
+            if run is not None:
+                discard_run(spark, root, spec.name, seq, run)
+            raise
         res.seq, res.rows, res.watermark = seq, n, new_mark
     except Exception as exc:  # one table's failure is reported, not raised
         res.error = f"{type(exc).__name__}: {exc}"

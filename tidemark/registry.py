@@ -36,6 +36,7 @@ from .sources.listings import flatten_pages, union_ordered
 from .sources.sinks import write_parts
 from .sources.sql import query_source
 from .streaming.mirror_stream import delta_stream, stream_mirror
+from .streaming.poll import poll_mirror
 from .tables import TABLES, load, register_views, table_path
 
 # Parameters of the registered queries (caller inputs in the reference).
@@ -146,6 +147,30 @@ def mirror_then_stream(spark: SparkSession, sf: str) -> DataFrame:
     return read_changes(spark, root, spec.name)
 
 
+def mirror_poll(spark: SparkSession, sf: str) -> DataFrame:
+    """The request table is polled as it grows to the marks a, b and its
+    maximum, and once more with nothing new; each poll that finds requests
+    becomes one sequence."""
+    root = scratch_dir(spark, "mirror-poll")
+    spec = _mirror_spec(sf)
+    a, b, top = mirror_marks(spark, sf)
+    for high in (a, b, top, top):
+        poll_mirror(spark, spec, root, high=high)
+    return read_changes(spark, root, spec.name)
+
+
+def changes_range(spark: SparkSession, sf: str) -> DataFrame:
+    """The sequences after the first of a feed, read by number: the full
+    refresh's folder is not listed, nor are its columns in the result."""
+    root = scratch_dir(spark, "mirror-range")
+    spec = _mirror_spec(sf)
+    for high in mirror_marks(spark, sf):
+        res = mirror(spark, spec, root, high=high)
+        if res.error:
+            raise RuntimeError(res.error)
+    return read_changes(spark, root, spec.name, low=1, high=3)
+
+
 def mirror_string_mark(spark: SparkSession, sf: str) -> DataFrame:
     """T1 with text marks (zero-padded request numbers): three delta runs
     read every request once."""
@@ -532,6 +557,8 @@ QUERIES = {
     "mirror_sql": mirror_sql,
     "mirror_stream": mirror_stream,
     "mirror_then_stream": mirror_then_stream,
+    "mirror_poll": mirror_poll,
+    "changes_range": changes_range,
     "mirror_string_mark": mirror_string_mark,
     "catalog_conform_documents": catalog_conform_documents,
     "flatten_mixed_pages": flatten_mixed_pages,

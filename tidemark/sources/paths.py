@@ -23,6 +23,13 @@ def delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def delete_empty(spark: SparkSession, path: str) -> None:
+    """Delete a folder if nothing is in it."""
+    p, fs = _fs(spark, path)
+    if fs.exists(p) and not len(fs.listStatus(p)):
+        fs.delete(p, False)
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> None:
     s, fs = _fs(spark, src)
     d, _ = _fs(spark, dst)
@@ -70,6 +77,39 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"could not publish {path}")
 
 
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file only if there is none of that name; False if
+    there is. The file appears whole or not at all: it is written under a
+    name of its own and renamed without overwriting, which HDFS and most
+    object-store connectors do as one step. (A local disk checks and renames in two.)"""
+    import uuid
+
+    from py4j.protocol import Py4JJavaError
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    p, fs = _fs(spark, path)
+    p = fs.makeQualified(p)
+    if fs.exists(p):
+        return False
+    tmp = hadoop.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex[:8]}")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    context = hadoop.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration())
+    no_overwrite = spark._sc._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        context.rename(tmp, p, no_overwrite)
+        return True
+    except Py4JJavaError as exc:
+        if "FileAlreadyExistsException" not in exc.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        if fs.exists(tmp):
+            fs.delete(tmp, False)
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """A small text file's content, or None when it does not exist."""
     p, fs = _fs(spark, path)

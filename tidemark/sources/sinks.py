@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..fixed import SEQUENCE_DIGITS
 from . import paths
+from .feed_log import run_dir, sequence_dir
 
 
 def _hidden(target: str, kind: str) -> tuple[str, str]:
@@ -74,6 +75,21 @@ def staged_write(df: DataFrame, target: str, *, sort_by=None, sort_within=None,
     recover(spark, target)
     parent, prefix = _hidden(target, "new")
     staging = f"{parent}/{prefix}{uuid.uuid4().hex[:12]}"
+    rows = _write(df, staging, sort_by=sort_by, sort_within=sort_within, options=options, validate=validate, metrics=metrics,
+                  drop=drop, stored=stored)
+    if rows == 0 and not keep_empty:
+        paths.delete(spark, staging)
+        return 0
+    _publish(spark, staging, target)
+    return rows
+
+
+def _write(df: DataFrame, folder: str, *, sort_by=None, sort_within=None, options: dict | None = None,
+           validate: Callable[[DataFrame], None] | None = None, metrics: dict | None = None, drop: tuple = (),
+           stored: bool = False) -> int:
+    """The write of `staged_write` into a folder that nobody reads yet; a
+    failed one is deleted."""
+    spark = df.sparkSession
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     extra = [c.alias(k) for k, c in (metrics or {}).items()]
     out = df
@@ -95,24 +111,20 @@ def staged_write(df: DataFrame, target: str, *, sort_by=None, sort_within=None,
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
     try:
-        writer.parquet(staging)
+        writer.parquet(folder)
         observed = obs.get
         rows = int(observed["rows"])
         if metrics is not None:
             for k in metrics:
                 metrics[k] = observed.get(k)
         if validate is not None and rows > 0:
-            validate(spark.read.parquet(staging))
+            validate(spark.read.parquet(folder))
     except Exception:
-        paths.delete(spark, staging)
+        paths.delete(spark, folder)
         raise
     finally:
         if cached is not None:
             cached.unpersist()
-    if rows == 0 and not keep_empty:
-        paths.delete(spark, staging)
-        return 0
-    _publish(spark, staging, target)
     return rows
 
 
@@ -129,10 +141,6 @@ def write_parts(df: DataFrame, path: str, rows_per_file: int) -> int:
     return staged_write(df, path, options={"maxRecordsPerFile": str(rows_per_file)})
 
 
-def sequence_dir(root: str, table: str, seq: int, digits: int = SEQUENCE_DIGITS) -> str:
-    return f"{root.rstrip('/')}/{table}/seq={seq:0{digits}d}"
-
-
 def write_change(df: DataFrame, root: str, table: str, seq: int, *, sort_by=None, sort_within=None,
                  metrics: dict | None = None, drop: tuple = (), digits: int = SEQUENCE_DIGITS, stored: bool = False) -> int:
     """Write one change set as `<root>/<table>/seq=<zero-padded seq>`.
@@ -142,3 +150,25 @@ def write_change(df: DataFrame, root: str, table: str, seq: int, *, sort_by=None
     """
     return staged_write(df, sequence_dir(root, table, seq, digits), sort_by=sort_by, sort_within=sort_within,
                         metrics=metrics, drop=drop, stored=stored)
+
+
+def write_run(df: DataFrame, root: str, table: str, seq: int, *, sort_by=None, sort_within=None, metrics: dict | None = None,
+              drop: tuple = (), stored: bool = False) -> tuple[int, str | None]:
+    """S6 with a commit log: write one change set into a folder of its own and
+    return its rows and its run id (none for zero rows, which leave nothing).
+    `feed_log.commit` publishes it; until then no reader sees it."""
+    run = uuid.uuid4().hex[:12]
+    rows = 0
+    try:
+        rows = _write(df, run_dir(root, table, seq, run), sort_by=sort_by, sort_within=sort_within, metrics=metrics, drop=drop,
+                      stored=stored)
+    finally:
+        if rows == 0:
+            discard_run(df.sparkSession, root, table, seq, run)
+    return (rows, run) if rows else (0, None)
+
+
+def discard_run(spark, root: str, table: str, seq: int, run: str) -> None:
+    """Deletes what a run wrote that will not be published."""
+    paths.delete(spark, run_dir(root, table, seq, run))
+    paths.delete_empty(spark, sequence_dir(root, table, seq))

@@ -2,10 +2,10 @@
 
 New delta files are picked up by the file source; each micro-batch becomes
 one change set, numbered on from where the feed stood when the stream began,
-written by the same sink as the batch mirror. A restarted query resumes after
-the last committed batch. A replayed batch rewrites its own sequence folder,
-or, if its state was already saved, finds all its marks read and leaves the
-folder as it is, so the feed is exactly-once.
+written and published as the batch mirror does. A restarted query resumes
+after the last committed batch. A replayed batch either was not published,
+and is written again, or finds all its marks read and adds nothing, so the
+feed is exactly-once.
 """
 
 from __future__ import annotations
@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 
 from ..operators.filters import mark_range
 from ..operators.joins import MARK, TIE, change_order, change_rows, delta_key_bounds
-from ..plans.mirror import load_state, published_sequences, save_state
+from ..plans.mirror import load_log, load_state, save_state
 from ..session import scratch_dir
-from ..sources import paths
-from ..sources.sinks import write_change
+from ..sources import feed_log, paths
+from ..sources.sinks import discard_run, write_run
 
 
 def delta_stream(spark: SparkSession, source_dir: str, *, schema=None, max_files_per_trigger: int | None = None,
@@ -37,7 +37,8 @@ def delta_stream(spark: SparkSession, source_dir: str, *, schema=None, max_files
 
 def stream_mirror(spark: SparkSession, deltas: DataFrame, snapshot: Callable[[SparkSession], DataFrame], *, name: str,
                   root: str, delta_key: str, snap_key: str, mark: str, ordered: bool = True,
-                  checkpoint: str | None = None, available_now: bool = True, processing_time: str | None = None):
+                  checkpoint: str | None = None, available_now: bool = True, processing_time: str | None = None,
+                  requests: Callable[[DataFrame], DataFrame] | None = None, mark_type: str | None = None):
     """Start the streaming mirror; returns the StreamingQuery (already
     finished when `available_now`).
 
@@ -45,28 +46,27 @@ def stream_mirror(spark: SparkSession, deltas: DataFrame, snapshot: Callable[[Sp
     then names its checkpoint, and another writer of the feed is refused.
     Requests at or below the saved mark are late and not read, so the mark
     never falls. `snapshot` is called for every batch, which sees the data of
-    that moment.
+    that moment. `requests` turns a micro-batch into the delta requests it
+    stands for, whose mark has `mark_type` (default: the batch itself).
     """
     root = root.rstrip("/")
-    mark_type = deltas.schema[mark].dataType.simpleString()
+    mark_type = mark_type or deltas.schema[mark].dataType.simpleString()
     checkpoint = checkpoint or f"{root}/_checkpoints/{name}"
     state = load_state(spark, root, name)
     if state.get("writer") not in (None, checkpoint):
         raise ValueError(f"{name} is written by the stream with checkpoint {state['writer']}")
     if "writer" not in state:
-        beyond = [s for s in published_sequences(spark, root, name) if s > state["last_sequence"]]
-        if beyond:
-            raise ValueError(f"{name} has sequences {beyond} after its saved sequence {state['last_sequence']}")
         state = {**state, "writer": checkpoint, "base": state["last_sequence"]}
         save_state(spark, root, name, seq=state["last_sequence"], watermark=state["last_watermark"], watermark_type=mark_type,
                    watermark_column=mark, mode="stream", writer=checkpoint, base=state["base"])
     base = int(state["base"])
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        now = load_state(spark, root, name)
+        log, now = load_log(spark, root, name), load_state(spark, root, name)
         if now.get("writer") != checkpoint:
             raise RuntimeError(f"{name} got another writer: {now.get('writer')}")
         low, seq = now["last_watermark"], base + batch_id + 1
+        batch = requests(batch) if requests is not None else batch
         batch = batch.where(mark_range(batch[mark], low, None, batch.schema[mark].dataType)).persist()
         stage = scratch_dir(spark, "changes")
         try:
@@ -77,10 +77,15 @@ def stream_mirror(spark: SparkSession, deltas: DataFrame, snapshot: Callable[[Sp
             if ordered:
                 rows, order = change_order(rows, snap_key)
             observed = {"high_seen": F.max(MARK)}
-            n = write_change(rows, root, name, seq, sort_by=order, metrics=observed, drop=(MARK, TIE), stored=True)
+            n, run = write_run(rows, root, name, seq, sort_by=order, metrics=observed, drop=(MARK, TIE), stored=True)
             if n > 0:
-                save_state(spark, root, name, seq=seq, watermark=observed["high_seen"], watermark_type=mark_type,
-                           watermark_column=mark, mode="stream", writer=checkpoint, base=base)
+                try:
+                    save_state(spark, root, name, seq=seq, watermark=observed["high_seen"], watermark_type=mark_type,
+                               watermark_column=mark, mode="stream", after=log, run=run, rows=n,
+                               schema=rows.drop(MARK, TIE).schema, writer=checkpoint, base=base)
+                except feed_log.CommitConflict:
+                    discard_run(spark, root, name, seq, run)
+                    raise
         finally:
             batch.unpersist()
             paths.delete(spark, stage)
