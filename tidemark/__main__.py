@@ -1,7 +1,7 @@
 """Command line for spark-submit: export, mirror, catalog and query.
 
-    spark-submit -m tidemark export  --tables DIR --queries DIR --out DIR [--query NAME ...]
-    spark-submit -m tidemark mirror  --tables DIR --queries DIR --out DIR [--table NAME ...]
+    spark-submit -m tidemark export  --tables DIR --queries DIR --out DIR [--query NAME ...] [--initial NAME=MARK ...] [--parallel N]
+    spark-submit -m tidemark mirror  --tables DIR --queries DIR --out DIR [--table NAME ...] [--parallel N]
     spark-submit -m tidemark catalog --tables DIR --out PATH [--database DB ...] [--views] [--map-types]
     spark-submit -m tidemark query   --tables DIR --top N "SELECT ..."
 
@@ -50,8 +50,12 @@ def _report(**fields) -> None:
 
 
 def _export(spark, a) -> int:
-    from .plans.export import export_folder
-    results = export_folder(spark, a.queries, a.out, names=a.query or None)
+    from .plans.export import export_folder, typed_marks
+    marks = {}
+    for text in a.initial or []:
+        name, _, values = text.partition("=")
+        marks[name] = typed_marks([int(v) if v.lstrip("-").isdigit() else v for v in values.split(",")])
+    results = export_folder(spark, a.queries, a.out, names=a.query or None, initial=marks, parallel=a.parallel)
     for r in results:
         _report(statement=r.name, published=r.rows, seconds=r.elapsed, failure=r.error)
     return 3 if any(r.error for r in results) else 0
@@ -66,7 +70,7 @@ def _mirror(spark, a) -> int:
         if missing:
             _report(folder=a.queries, unknown_tables=sorted(missing))
             return 2
-    results = mirror_all(spark, specs, a.out)
+    results = mirror_all(spark, specs, a.out, parallel=a.parallel)
     for r in results:
         _report(feed=r.name, run=r.mode, sequence=r.seq, change_rows=r.rows, mark=r.watermark, seconds=r.elapsed,
                 failure=r.error)
@@ -116,11 +120,17 @@ def main(argv=None) -> int:
     e.add_argument("--out", required=True)
     e.add_argument("--query", action="append", help="only this statement (repeatable)")
 
+    e.add_argument("--initial", action="append", metavar="NAME=MARK[,MARK...]",
+                   help="marks of a statement's first run (repeatable; also initial.json in the folder)")
+
     m = sub.add_parser("mirror", help="one change-feed step per table folder")
     m.add_argument("--queries", required=True)
     m.add_argument("--out", required=True)
     m.add_argument("--table", action="append", help="only this table folder (repeatable)")
 
+    for units in (e, m):
+        units.add_argument("--parallel", type=int, default=1, help="units of work at a time")
+
     c = sub.add_parser("catalog", help="profile databases into a catalog document")
     c.add_argument("--out", required=True)
     c.add_argument("--database", action="append")

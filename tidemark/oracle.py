@@ -197,8 +197,7 @@ WITH {DOMAINS}, {REPORTS},
 t AS (SELECT ew.root_pos, ew.root, ew.level, ew.domain_pos, ew.ws_pos, ew.id AS workspace_id, r.report_pos,
              r.id AS report_id, r."displayName"
       FROM ew JOIN r ON r.workspace_id = ew.id WHERE r.tagged),
-target AS (SELECT p_partkey AS pos, {guid(7, 'p_partkey')} AS id, concat(p_name, ' ', p_brand) AS name
-           FROM part WHERE p_partkey % 97 = 0),
+target AS (SELECT p_partkey AS pos, {guid(7, 'p_partkey')} AS id, concat(p_name, ' Brand#', p_size) AS name FROM part),
 tfirst AS (SELECT name, arg_min(id, pos) AS tid FROM target GROUP BY name),
 ranked AS (SELECT t.*, row_number() OVER (PARTITION BY t."displayName"
                                           ORDER BY root_pos, level, domain_pos, ws_pos, report_pos) AS rn FROM t)
@@ -276,14 +275,36 @@ FROM listed
 """
 
 SCHEMA_SCOPE = f"""
-WITH s AS (SELECT CASE WHEN n_nationkey % 3 = 0 THEN concat('{SYSTEM_SCHEMA_PREFIX.lower()}_', n_name) ELSE n_name END AS "SCHEMA_NAME",
-                  n_regionkey FROM nation),
+WITH s AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN concat('{SYSTEM_SCHEMA_PREFIX.lower()}_', c_name) ELSE c_name END AS "SCHEMA_NAME",
+                  c_nationkey FROM customer),
 own AS (SELECT * FROM s WHERE NOT starts_with(upper("SCHEMA_NAME"), '{SYSTEM_SCHEMA_PREFIX}')
-          AND upper("SCHEMA_NAME") NOT IN ({_in(SYSTEM_SCHEMA_NAMES)})),
-u AS (SELECT 'all' AS scope, * FROM own UNION ALL SELECT 'all_by_scope', * FROM own
-      UNION ALL SELECT 'listed', * FROM s WHERE "SCHEMA_NAME" IN ('NATION_1', 'NATION_2', 'NATION_4')
-      UNION ALL SELECT 'default', * FROM s WHERE "SCHEMA_NAME" = 'NATION_5')
-SELECT *, CAST(row_number() OVER (PARTITION BY scope ORDER BY "SCHEMA_NAME", n_regionkey) AS INTEGER) AS place FROM u
+          AND upper("SCHEMA_NAME") NOT IN ({_in(SYSTEM_SCHEMA_NAMES)}))
+SELECT 'all' AS scope, * FROM own UNION ALL SELECT 'all_by_scope', * FROM own
+UNION ALL SELECT 'listed', * FROM s WHERE "SCHEMA_NAME" IN ('Customer#000000001', 'Customer#000000002', 'Customer#000000004')
+UNION ALL SELECT 'default', * FROM s WHERE "SCHEMA_NAME" = 'Customer#000000005'
+"""
+
+COPY_PLAN_NAMED = f"""
+WITH {DOMAINS}, {REPORTS},
+t AS (SELECT ew.root_pos, ew.level, ew.domain_pos, ew.ws_pos, ew.id AS workspace_id, r.report_pos,
+             r.id AS report_id, r."displayName"
+      FROM ew JOIN r ON r.workspace_id = ew.id WHERE r.tagged),
+ws AS (SELECT {guid(3, 's_suppkey')} AS wid FROM supplier WHERE s_name = 'Supplier#000000001'),
+tfirst AS (SELECT "displayName" AS name, arg_min(id, report_pos) AS tid FROM r JOIN ws ON r.workspace_id = wid GROUP BY 1),
+ranked AS (SELECT t.*, row_number() OVER (PARTITION BY t."displayName"
+                                          ORDER BY root_pos, level, domain_pos, ws_pos, report_pos) AS rn FROM t)
+SELECT root_pos, level, ws_pos, workspace_id, report_pos, report_id, ranked."displayName",
+       CASE WHEN tf.tid IS NOT NULL OR rn > 1 THEN 'update' ELSE 'clone' END AS action, tf.tid AS target_report_id,
+       (SELECT wid FROM ws) AS target_workspace_id
+FROM ranked LEFT JOIN tfirst tf ON tf.name = ranked."displayName"
+"""
+
+LISTING_CHAIN = """
+WITH p AS (SELECT CAST(floor(o_orderkey / 100) AS BIGINT) AS n, CAST(count(*) AS INTEGER) AS n_items FROM orders GROUP BY 1),
+e AS (SELECT min(n) AS last FROM p WHERE n + 1 NOT IN (SELECT n FROM p)), f AS (SELECT min(n) AS first, max(n) AS top FROM p)
+SELECT concat('orders?page=', n) AS url, CASE WHEN n <= last THEN n - first END AS place,
+       CASE WHEN n <= last THEN 'page' ELSE 'unreached' END AS status, CAST(1 AS BIGINT) AS copies, n_items FROM p, e, f
+UNION ALL SELECT concat('orders?page=', last + 1), last + 1 - first, 'missing', 0, NULL FROM e, f WHERE last < top
 """
 
 UNION_PARTS = """
@@ -323,6 +344,13 @@ ORACLE = {
     "export_snapshot": """
         SELECT o_orderkey AS "PK1", o_orderdate AS "WM1", o_orderkey AS "WM2", o_custkey, o_orderstatus, o_totalprice
         FROM orders""",
+    "export_increment": f"""
+        WITH {_MARKS} SELECT o_orderkey AS "PK1", CAST(floor(o_orderkey / 1000) AS BIGINT) AS "WM1", o_orderkey AS "WM2", o_custkey
+        FROM orders, m WHERE o_orderkey > a""",
+    "export_folder_twice": """
+        SELECT 'events' AS name, count(*) AS "rows", false AS failed FROM events
+        UNION ALL SELECT 'orders', count(*), false FROM orders
+        UNION ALL SELECT 'events', 0, false UNION ALL SELECT 'orders', 0, false""",
     "export_runs": EXPORT_RUNS,
     "run_outcome": RUN_OUTCOME,
     "part_files": f"SELECT {LINEITEM_COLS} FROM lineitem",
@@ -337,6 +365,7 @@ ORACLE = {
     "table_counts": f"SELECT object AS table_name, row_count FROM ({COUNTS}) WHERE row_count > 0",
     "top_n": "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 100",
     "catalog_flat": CATALOG_FLAT,
+    "catalog_nested": CATALOG_FLAT,
     "catalog_conform": f"SELECT {LINEITEM_COLS} FROM lineitem",
     "catalog_totals": CATALOG_TOTALS,
     "column_fallback": """
@@ -366,4 +395,7 @@ ORACLE = {
         FROM r JOIN w ON w.wid = r.workspace_id WHERE r.tagged GROUP BY r.workspace_id, w.workspace_name""",
     "unique_lookup": UNIQUE_LOOKUP,
     "copy_plan": COPY_PLAN,
+    "copy_plan_named": COPY_PLAN_NAMED,
+    "listing_chain": LISTING_CHAIN,
+    "sorted_snapshot": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS out_of_order, CAST(0 AS BIGINT) AS overlaps FROM lineitem",
 }

@@ -1,18 +1,21 @@
 """Catalog profiling (E3): inventory → columns → counts → entries → document.
 
 The objects and their column lists are metadata (bounded by the number of
-objects and their width); the row counts are one distributed job over all
+objects and their width); the row counts are distributed jobs over groups of
 tables.
 """
 
 from __future__ import annotations
 
+from functools import partial, reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.nested import catalog_entries, inventory
 from ..operators.project import normalise_columns
+from .units import run_units
 
 RAW_COLUMNS = ("SCHEMA_NAME string, OBJECT_NAME string, COLUMN_NAME string, DATA_TYPE_NAME string, "
                "LENGTH long, PRECISION long, SCALE long, NULLABLE boolean, POSITION long")
@@ -57,31 +60,49 @@ def _count_part(schema: str, name: str, df: DataFrame) -> DataFrame:
 
 def object_counts(objects: dict) -> DataFrame:
     """A1 keyed by (schema, object): one union job over the tables (lazy)."""
-    parts = [_count_part(schema, name, spec[1]) for (schema, name), spec in sorted(objects.items())
-             if spec[0] == "table"]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _union_of_counts([(k, spec[1]) for k, spec in sorted(objects.items()) if spec[0] == "table"])
 
 
-def counted_objects(spark: SparkSession, objects: dict) -> DataFrame:
-    """A1 with failures isolated: all tables are counted in one job; if that
-    job fails, each table is counted on its own and a table whose count fails
-    gets an unknown (null) count instead of failing the catalog."""
-    try:
-        rows = [tuple(r) for r in object_counts(objects).collect()]
-    except Exception:
-        rows = []
-        for (schema, name), spec in sorted(objects.items()):
-            if spec[0] != "table":
-                continue
-            try:
-                n = _count_part(schema, name, spec[1]).first()["row_count"]
-            except Exception:
-                n = None
-            rows.append((schema, name, n))
-    return spark.createDataFrame(rows, COUNTS)
+def _union_of_counts(tables: list) -> DataFrame:
+    return reduce(DataFrame.unionByName, [_count_part(schema, name, df) for (schema, name), df in tables])
+
+
+#: Tables counted by one job, and jobs at a time.
+COUNT_GROUP = 32
+COUNT_JOBS = 4
+
+
+def count_tables(spark: SparkSession, tables: dict, *, group: int = COUNT_GROUP, jobs: int = COUNT_JOBS) -> list[tuple]:
+    """A1: (schema, object, rows) of (schema, object) -> DataFrame, or a
+    function that builds one. Tables are counted in groups of fixed size, a few
+    groups at a time, so the plan of a job never grows with the number of
+    tables. A count reads no column: Parquet gives it from its footers. If a
+    group fails, its tables are counted one by one, and one that fails by
+    itself has an unknown (null) count."""
+    def build(df) -> DataFrame:
+        return df if isinstance(df, DataFrame) else df()
+
+    def one(key, df):
+        try:
+            return (*key, _count_part(*key, build(df)).first()["row_count"])
+        except Exception:
+            return (*key, None)
+
+    def together(some):
+        try:
+            return [tuple(r) for r in _union_of_counts([(k, build(df)) for k, df in some]).collect()]
+        except Exception:
+            return [one(k, df) for k, df in some]
+
+    listed = sorted(tables.items())
+    groups = [listed[i:i + group] for i in range(0, len(listed), group)]
+    return [r for rows in run_units(spark, [partial(together, g) for g in groups], jobs) for r in rows]
+
+
+def counted_objects(spark: SparkSession, objects: dict, *, group: int = COUNT_GROUP, jobs: int = COUNT_JOBS) -> DataFrame:
+    """A1 for the catalog: the counts of its tables (see `count_tables`)."""
+    tables = {k: spec[1] for k, spec in objects.items() if spec[0] == "table"}
+    return spark.createDataFrame(count_tables(spark, tables, group=group, jobs=jobs), COUNTS)
 
 
 def in_scope(objects: dict, schemas=None, *, all_schemas: bool = False, default_schema: str | None = None) -> dict:

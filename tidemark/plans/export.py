@@ -13,6 +13,7 @@ import json
 import re
 import time
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -22,6 +23,7 @@ from ..operators.aggregates import assert_unique, max_tuple_values, pk_columns,
 from ..sources import paths
 from ..sources.sinks import write_snapshot
 from ..sources.sql import bindable, query_source, statements_in
+from .units import run_units
 
 RUN_LOG = T.StructType([
     T.StructField("name", T.StringType()),
@@ -112,30 +114,64 @@ def write_metadata(spark: SparkSession, out_dir: str, res: ExportResult) -> None
     paths.write_text(spark, f"{out_dir}/{res.name}.metadata.json", json.dumps(rec, indent=2))
 
 
-def export_all(spark: SparkSession, statements: dict[str, str], out_dir: str, **kw) -> list[ExportResult]:
-    """T5: every named statement independently, in sorted order; a failure
-    does not stop the rest. Each run is appended to the run log and leaves a
-    metadata document next to its output."""
+def export_all(spark: SparkSession, statements: dict[str, str], out_dir: str, *, initial: dict | tuple | None = None,
+               parallel: int = 1, **kw) -> list[ExportResult]:
+    """T5: every named statement independently, up to `parallel` at a time; a
+    failure does not stop the rest. `initial` is the first run's tuple, one for
+    all or by statement name. Each run, in name order, is appended to the run
+    log and leaves a metadata document next to its output."""
     out_dir = out_dir.rstrip("/")
-    results = []
-    for name in sorted(statements):
-        res = export(spark, name, statements[name], f"{out_dir}/{name}", **kw)
+    unknown = set(initial) - set(statements) if isinstance(initial, dict) else ()
+    if unknown:
+        raise ValueError(f"initial marks for {sorted(unknown)}, but the statements are {sorted(statements)}")
+
+    def unit(name: str) -> ExportResult:
+        first = initial.get(name) if isinstance(initial, dict) else initial
+        res = export(spark, name, statements[name], f"{out_dir}/{name}", initial=first, **kw)
         write_metadata(spark, out_dir, res)
-        results.append(res)
+        return res
+
+    results = run_units(spark, [partial(unit, n) for n in sorted(statements)], parallel)
     append_run_log(spark, f"{out_dir}/_runs", results)
     return results
 
 
-def export_folder(spark: SparkSession, folder: str, out_dir: str, names=None, **kw) -> list[ExportResult]:
+def read_initial_marks(spark: SparkSession, folder: str) -> dict:
+    """First tuples of a folder's statements: its `initial.json`, a list of
+    values by statement name (see `typed_marks`); none if there is no file."""
+    text = paths.read_text(spark, f"{folder.rstrip('/')}/initial.json")
+    return {name: typed_marks(values) for name, values in json.loads(text).items()} if text else {}
+
+
+def typed_marks(values: list) -> tuple:
+    """Marks as they come from text or JSON: numbers and null as they are,
+    text that reads as an ISO date or time as that, other text as text."""
+    def typed(v):
+        if isinstance(v, str):
+            for kind in (dt.date, dt.datetime):
+                try:
+                    return kind.fromisoformat(v)
+                except ValueError:
+                    pass
+        return v
+    return tuple(typed(v) for v in values)
+
+
+def export_folder(spark: SparkSession, folder: str, out_dir: str, names=None, *, initial: dict | None = None,
+                  **kw) -> list[ExportResult]:
     """T5 over the `*.sql` files of a folder (see `statements_in`); `names`
-    picks some of them (an unknown name is an error)."""
+    picks some of them (an unknown name is an error). First tuples come from
+    `initial` and, for other statements, from the folder's `initial.json`."""
     statements = statements_in(spark, folder)
+    marks = {n: m for n, m in read_initial_marks(spark, folder).items() if n in statements}
+    marks.update(initial or {})
     if names:
         unknown = [n for n in names if n not in statements]
         if unknown:
             raise ValueError(f"query {unknown[0]!r} not found in {folder}")
         statements = {n: statements[n] for n in names}
-    return export_all(spark, statements, out_dir, **kw)
+        marks = {n: m for n, m in marks.items() if n in statements}
+    return export_all(spark, statements, out_dir, initial=marks, **kw)
 
 
 def run_log_frame(spark: SparkSession, results) -> DataFrame:

@@ -7,7 +7,7 @@ follows theirs:
 - supplier → workspaces, one per supplier, in its nation's domain;
 - distinct (supplier, part) pairs of lineitem → reports, named after the
   part, tagged with its brand and type (untagged for every 5th part);
-- part → the target workspace's existing reports, and synthetic column
+- part → the target workspace's existing reports (one each), and synthetic column
   metadata for the declared-type rules;
 - orders → JSON listing pages of 100 orders each.
 """
@@ -102,10 +102,11 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def target_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target workspace's reports: one per part, named with a brand made of
+    its size, so a name is there already for some of the reports to copy."""
     p = load(spark, sf_dir, "part")
-    return p.where(F.col("p_partkey") % 97 == 0).select(
-        F.col("p_partkey").alias("pos"), guid(TARGET, F.col("p_partkey")).alias("id"),
-        report_name(F.col("p_name"), F.col("p_brand")).alias("name"))
+    return p.select(F.col("p_partkey").alias("pos"), guid(TARGET, F.col("p_partkey")).alias("id"),
+                    report_name(F.col("p_name"), F.concat(F.lit("Brand#"), F.col("p_size").cast("string"))).alias("name"))
 
 
 ORDER_ITEM = "id long, custkey long, status string, totalprice double"
@@ -122,6 +123,16 @@ def order_pages(spark: SparkSession, sf_dir: str, page_size: int = 100, list_key
     return pages.select("page_no", F.when(F.col("page_no") % 3 == 2, bare).otherwise(F.col("body")).alias("body"))
 
 
+def order_listing(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
+    """(url, body): orders as pages that each name the next; the last names none."""
+    o = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("custkey"))
+    pages = pack_pages(o, F.floor(F.col("id") / page_size).cast("long"), F.col("id"), ["id", "custkey"], "value", "orders?page=")
+    last = F.col("page_no") == pages.select(F.max("page_no")).scalar()
+    bare = F.to_json(F.struct(F.from_json(F.get_json_object("body", "$.value"), "array<struct<id:long,custkey:long>>").alias("value")))
+    return pages.select(F.concat(F.lit("orders?page="), F.col("page_no").cast("string")).alias("url"),
+                        F.when(last, bare).otherwise(F.col("body")).alias("body"))
+
+
 def column_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw, system-table-like column metadata, one row per part, with the
     alias fields a catalog source may use (name / type in different fields,

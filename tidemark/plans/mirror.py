@@ -16,6 +16,7 @@ import json
 import time
 from dataclasses import dataclass, field
 from decimal import Decimal
+from functools import partial
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,7 @@ from ..sources import feed_log, paths
 from ..sources.feed_log import state_dir
 from ..sources.sinks import discard_run, write_run
 from ..sources.sql import bindable
+from .units import run_units
 
 STATE_FIELDS = ("name", "last_sequence", "last_watermark", "watermark_type", "watermark_column", "mode",
                 "last_run_utc")
@@ -316,11 +318,12 @@ def mirror(spark: SparkSession, spec: MirrorSpec, root: str, *, high=None) -> Mi
     return res
 
 
-def mirror_all(spark: SparkSession, specs: list[MirrorSpec], root: str, **kw) -> list[MirrorResult]:
-    """Every table independently, in name order; each run (failures too) is
-    appended to the run log under `<root>/_runs`."""
+def mirror_all(spark: SparkSession, specs: list[MirrorSpec], root: str, *, parallel: int = 1, **kw) -> list[MirrorResult]:
+    """Every table independently, up to `parallel` at a time; each run
+    (failures too) is appended, in name order, to the run log under
+    `<root>/_runs`."""
     from .export import ExportResult, append_run_log
-    results = [mirror(spark, s, root, **kw) for s in sorted(specs, key=lambda s: s.name)]
+    results = run_units(spark, [partial(mirror, spark, s, root, **kw) for s in sorted(specs, key=lambda s: s.name)], parallel)
     append_run_log(spark, f"{root.rstrip('/')}/_runs",
                    [ExportResult(name=r.name, rows=r.rows, elapsed=r.elapsed, error=r.error) for r in results])
     return results

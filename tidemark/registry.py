@@ -20,17 +20,18 @@ from .operators import joins as J
 from .fixed import SYSTEM_SCHEMA_PREFIX
 from .operators.filters import in_schemas, mark_range, non_system_schemas
 from .operators.nested import flatten_catalog
-from .operators.ordering import head, ordered_metadata
+from .operators.ordering import head, ordered_metadata, sorted_files
 from .operators.project import conform, envelope, normalise_columns
 from .functions.types import cast_type, file_type
 from .plans import fixtures as X
-from .plans.catalog import conform_from_catalog, profile
-from .plans.export import export, export_all, read_run_log
+from .plans.catalog import conform_from_catalog, count_tables, profile
+from .plans.export import export, export_all, export_folder, read_run_log
 from .plans.mirror import MirrorSpec, mirror, specs_in_folder
 from .plans.report_copy import report_copy_plan
 from .session import scratch_dir
 from .sources import paths
-from .sources.catalog_doc import read_catalog, write_catalog
+from .sources.catalog_doc import read_catalog, read_document, write_catalog, write_document
+from .sources.chains import follow_pages
 from .sources.files import read_changes, read_columns
 from .sources.listings import flatten_pages, union_ordered
 from .sources.sinks import write_parts
@@ -315,6 +316,47 @@ def export_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+INCREMENT_SQL = ("SELECT o_orderkey AS PK1, CAST(floor(o_orderkey / 1000) AS BIGINT) AS WM1, o_orderkey AS WM2, o_custkey "
+                 "FROM orders_so_far WHERE floor(o_orderkey / 1000) > :wm1 "
+                 "OR (floor(o_orderkey / 1000) = :wm1 AND o_orderkey > :wm2)")
+
+
+def export_increment(spark: SparkSession, sf: str) -> DataFrame:
+    """T4 + F2 with a second run that finds rows: the table grows after the
+    first export, and the second replaces the snapshot by the rows above the
+    largest (WM1, WM2) of the first."""
+    orders, (a, _, _) = load(spark, sf, "orders"), mirror_marks(spark, sf)
+    target = f"{scratch_dir(spark, 'increment')}/orders"
+    for rows in (orders.where(F.col("o_orderkey") <= a), orders):
+        rows.createOrReplaceTempView("orders_so_far")
+        res = export(spark, "orders", INCREMENT_SQL, target, initial=(-1, -1))
+        if res.error:
+            raise RuntimeError(res.error)
+    return spark.read.parquet(target)
+
+
+FOLDER_FILES = {
+    "orders.sql": "SELECT o_orderkey AS PK1, o_orderdate AS WM1, o_orderkey AS WM2 FROM orders "
+                  "WHERE o_orderdate > {WM1} OR (o_orderdate = {WM1} AND o_orderkey > {WM2})",
+    "events.sql": "SELECT event_id AS PK1, event_id AS WM1, value FROM events WHERE event_id > {WM1}",
+    "initial.json": json.dumps({"orders": ["1900-01-01T00:00:00", -1], "events": [-1]}),
+}
+
+
+def export_folder_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """T5 over a folder of SQL files whose first tuples stand in its
+    initial.json, two statements at a time; a second run finds nothing new.
+    Returns the run log."""
+    register_views(spark, sf, ["orders", "events"])
+    root = scratch_dir(spark, "sql-folder")
+    for name, text in FOLDER_FILES.items():
+        paths.write_text(spark, f"{root}/queries/{name}", text)
+    for _ in range(2):
+        export_folder(spark, f"{root}/queries", f"{root}/out", parallel=2)
+    log = read_run_log(spark, f"{root}/out/_runs")
+    return log.select("name", "rows", F.col("error").isNotNull().alias("failed"))
+
+
 EXPORT_FOLDER = {
     "customers": "SELECT c_custkey AS PK_CUST, c_name, c_acctbal FROM customer",
     "lineitem_keys": "SELECT l_orderkey AS PK1, l_linenumber AS PK2, l_quantity FROM lineitem",
@@ -390,8 +432,9 @@ def next_watermark_ts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def table_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """A1 + F4: all tables counted in one job, empty ones left out."""
-    counts = A.table_counts(spark, {t: (lambda t=t: load(spark, sf, t)) for t in TABLES})
+    """A1 + F4: all tables counted in groups, empty ones left out."""
+    rows = count_tables(spark, {(CATALOG_SCHEMA, t): (lambda t=t: load(spark, sf, t)) for t in TABLES})
+    counts = spark.createDataFrame([(name, n) for _, name, n in rows], "table_name string, row_count long")
     return counts.where(F.col("row_count") > 0)
 
 
@@ -426,6 +469,15 @@ def catalog_flat(spark: SparkSession, sf: str) -> DataFrame:
     return flat.select("schema", "kind", "object", "row_count", "IS_NULLABLE", "COLUMN_NAME", "ORDINAL_POSITION")
 
 
+def catalog_nested(spark: SparkSession, sf: str) -> DataFrame:
+    """N1 + S9 + S10 + N2 in the nested form: the catalog as one JSON document
+    (schemas, their tables and views), written in ordered parts and read back."""
+    path = f"{scratch_dir(spark, 'catalog')}/document"
+    write_document(_catalog_entries(spark, sf), path, GENERATED_AT)
+    flat = flatten_catalog(read_document(spark, path))
+    return flat.select("schema", "kind", "object", "row_count", "IS_NULLABLE", "COLUMN_NAME", "ORDINAL_POSITION")
+
+
 def catalog_file_types(spark: SparkSession, sf: str) -> DataFrame:
     """N1 with map_types: the file type of every catalogued column."""
     e = _catalog_entries(spark, sf, map_types=True)
@@ -464,24 +516,40 @@ def column_fallback(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _schemas(spark: SparkSession, sf: str) -> DataFrame:
-    """Schema names made of the nations', every third a system schema."""
-    n = load(spark, sf, "nation")
-    system = F.concat(F.lit(SYSTEM_SCHEMA_PREFIX.lower()), F.lit("_"), F.col("n_name"))
-    return n.select(F.when(F.col("n_nationkey") % 3 == 0, system).otherwise(F.col("n_name")).alias("SCHEMA_NAME"),
-                    "n_regionkey")
+    """Schema names made of the customers', every third a system schema."""
+    c = load(spark, sf, "customer")
+    system = F.concat(F.lit(SYSTEM_SCHEMA_PREFIX.lower()), F.lit("_"), F.col("c_name"))
+    return c.select(F.when(F.col("c_custkey") % 3 == 0, system).otherwise(F.col("c_name")).alias("SCHEMA_NAME"),
+                    "c_nationkey")
 
 
 def schema_scope(spark: SparkSession, sf: str) -> DataFrame:
     """F3 + F6 + O2: schemas in scope when all are asked for, one by default,
-    or a list, in name order with their place in it."""
+    or a list."""
     s = _schemas(spark, sf)
     scopes = {"all": ordered_metadata(non_system_schemas(s), "SCHEMA_NAME"),
               "all_by_scope": in_schemas(s, all_schemas=True),
-              "listed": in_schemas(s, schemas=["NATION_1", "NATION_2", "NATION_4"]),
-              "default": in_schemas(s, default_schema="NATION_5")}
-    place = Window.partitionBy("scope").orderBy("SCHEMA_NAME", "n_regionkey")
-    parts = [d.select(F.lit(k).alias("scope"), "SCHEMA_NAME", "n_regionkey") for k, d in scopes.items()]
-    return reduce(DataFrame.unionByName, parts).withColumn("place", F.row_number().over(place))
+              "listed": in_schemas(s, schemas=["Customer#000000001", "Customer#000000002", "Customer#000000004"]),
+              "default": in_schemas(s, default_schema="Customer#000000005")}
+    parts = [d.select(F.lit(k).alias("scope"), "SCHEMA_NAME", "c_nationkey") for k, d in scopes.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def sorted_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """O1: lineitem written in key order, and what its files then show: rows
+    that stand before a smaller key in their file, and files whose keys
+    overlap (none of either)."""
+    keys, path = ["l_orderkey", "l_linenumber"], f"{scratch_dir(spark, 'sorted')}/lineitem"
+    sorted_files(load(spark, sf, "lineitem"), keys).write.parquet(path)
+    rows = spark.read.parquet(path).select(F.struct(*keys).alias("k"), F.col("_metadata.file_name").alias("f"),
+                                           F.col("_metadata.row_index").alias("i"))
+    after = F.lead("k").over(Window.partitionBy("f").orderBy("i"))
+    files = rows.withColumn("after", after).groupBy("f").agg(
+        F.count("*").alias("n"), F.count_if(F.col("after") < F.col("k")).alias("bad"), F.min("k").alias("lo"), F.max("k").alias("hi"))
+    # One row per file; keys may repeat across the edge of two files.
+    gap = F.lead("lo").over(Window.orderBy("lo", "hi"))
+    return files.withColumn("next", gap).agg(
+        F.sum("n").alias("n_rows"), F.sum("bad").alias("out_of_order"), F.count_if(F.col("next") < F.col("hi")).alias("overlaps"))
 
 
 def union_parts(spark: SparkSession, sf: str) -> DataFrame:
@@ -551,6 +619,25 @@ def copy_plan(spark: SparkSession, sf: str) -> DataFrame:
                        "displayName", "action", "target_report_id")
 
 
+def copy_plan_named(spark: SparkSession, sf: str) -> DataFrame:
+    """E4 with J6: the target workspace is given by name, and the reports it
+    already has are found in the listing of all workspaces' reports."""
+    reports = X.reports(spark, sf)
+    listed = reports.select("workspace_id", F.col("report_pos").alias("pos"), "id", F.col("displayName").alias("name"))
+    plan = report_copy_plan(X.domains(spark, sf), X.workspaces(spark, sf), reports, listed, _roots(), TAG_CANDIDATES,
+                            target_workspace="Supplier#000000001")
+    return plan.select("root_pos", "level", "ws_pos", "workspace_id", "report_pos", "report_id", "displayName", "action",
+                       "target_report_id", "target_workspace_id")
+
+
+def listing_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """The pages of a listing put in order by following their links."""
+    pages = X.order_listing(spark, sf)
+    first = pages.select(F.min(F.regexp_extract("url", r"(\d+)$", 1).cast("long"))).first()[0]
+    rows = follow_pages(spark, pages, f"orders?page={first}")
+    return rows.select("url", "place", "status", "copies", F.json_array_length(F.get_json_object("body", "$.value")).alias("n_items"))
+
+
 QUERIES = {
     "delta_change_rows": delta_change_rows,
     "mirror_batch": mirror_batch,
@@ -573,6 +660,8 @@ QUERIES = {
     "query_source_positional": query_source_positional,
     "read_pruned": read_pruned,
     "export_snapshot": export_snapshot,
+    "export_increment": export_increment,
+    "export_folder_twice": export_folder_twice,
     "export_runs": export_runs,
     "run_outcome": run_outcome,
     "part_files": part_files,
@@ -585,6 +674,7 @@ QUERIES = {
     "table_counts": table_counts,
     "top_n": top_n,
     "catalog_flat": catalog_flat,
+    "catalog_nested": catalog_nested,
     "catalog_conform": catalog_conform,
     "catalog_totals": catalog_totals,
     "schema_scope": schema_scope,
@@ -598,4 +688,7 @@ QUERIES = {
     "tagged_report_counts": tagged_report_counts,
     "unique_lookup": unique_lookup,
     "copy_plan": copy_plan,
+    "copy_plan_named": copy_plan_named,
+    "listing_chain": listing_chain,
+    "sorted_snapshot": sorted_snapshot,
 }
