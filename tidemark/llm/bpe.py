@@ -11,9 +11,9 @@ import hashlib
 import heapq
 import json
 import re
-from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +30,10 @@ ONE_IN = 1 << 17
 #: driver have at most ONE_IN times so many bytes.
 MAX_WORD = 255
 _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
+#: The same where all other characters are letters of the Latin blocks.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_LATIN = re.compile(rf"[\x00-\x7f{_LETTERS}]*")
+_LATIN_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+", re.ASCII)
 _LONG = 48
 
 
@@ -60,7 +64,18 @@ class Merger:
         self.bytes_of: dict[int, bytes] = {i: bytes(back[c] for c in t) for t, i in vocab.items()}
         self.bytes_of.update({i: t.encode() for t, i in self.special.items()})
         #: Array type that holds every id.
-        self.id_type = "H" if max(self.bytes_of, default=0) < 1 << 16 else "I"
+        self.id_type = np.dtype("<u2" if max(self.bytes_of, default=0) < 1 << 16 else "<u4")
+        # The same tables as arrays: ids of bytes, and pairs sorted by number
+        # with their ranks. Rank `no_rank` stands for a pair that never joins.
+        self.byte_ids = np.array(self.of_byte, dtype=np.int64)
+        number = np.array([(a << 32) | b for a, b in self.rank_of] or [-1], dtype=np.int64)
+        at = np.argsort(number)
+        self.pair_keys = number[at]
+        self.pair_ranks = np.array([*self.rank_of.values()] or [0], dtype=np.int64)[at]
+        self.joined_ids = np.array([*self.joined, 0], dtype=np.int64)
+        self.token_bytes = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of, default=0) + 1)]
+        #: Decimal digits and a comma of every id, in eight bytes filled up with zeros.
+        self.decimals = np.array([f"{i},".encode() for i in range(len(self.token_bytes))], dtype="S8").view("<u8")
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") \
             if self.special else None
 
@@ -68,6 +83,8 @@ class Merger:
         """Words the pre-tokenizer makes of a piece without special tokens."""
         if text.isascii():
             return [w.encode() for w in _ASCII_WORDS.findall(text)]
+        if _LATIN.fullmatch(text):
+            return [w.encode() for w in _LATIN_WORDS.findall(text)]
         return [text[a:b].encode() for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
     def merge(self, word: bytes) -> list[int]:
@@ -115,6 +132,70 @@ class Merger:
                 offer(left[i])
         return [x for x in ids if x >= 0]
 
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        pair = (a << 32) | b
+        at = np.minimum(np.searchsorted(self.pair_keys, pair), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == pair, self.pair_ranks[at], self.no_rank)
+
+    def merge_many(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of many words, by the rule of ``merge``. Words of one
+        length are the rows of a table; every round joins one pair in each row,
+        so rows stay equally long, and a row without a pair to join is done."""
+        out: list[bytes] = [b""] * len(words)
+        by_length: dict[int, list[int]] = {}
+        for i, w in enumerate(words):
+            by_length.setdefault(len(w), []).append(i)
+        for n, places in by_length.items():
+            if n > _LONG or len(places) < 8:
+                for i in places:
+                    out[i] = np.array(self.merge(words[i]), dtype=self.id_type).tobytes()
+                continue
+            row = np.array(places)
+            ids = self.byte_ids[np.frombuffer(b"".join([words[i] for i in places]), dtype=np.uint8)].reshape(-1, n)
+            ranks = self._ranks(ids[:, :-1], ids[:, 1:])
+            while len(row):
+                m = ids.shape[1]
+                best = ranks.min(axis=1) if m > 1 else np.full(len(row), self.no_rank)
+                done = best == self.no_rank
+                if done.any():
+                    size = m * self.id_type.itemsize
+                    raw = ids[done].astype(self.id_type).tobytes()
+                    for k, i in enumerate(row[done].tolist()):
+                        out[i] = raw[k * size:(k + 1) * size]
+                    row, ids, ranks, best = row[~done], ids[~done], ranks[~done], best[~done]
+                    if not len(row):
+                        break
+                at = ranks.argmin(axis=1)
+                every = np.arange(len(row))
+                cols = np.arange(m - 1)
+                ids = np.take_along_axis(ids, cols + (cols > at[:, None]), 1)
+                ids[every, at] = self.joined_ids[best]
+                if m > 2:
+                    cols = cols[:-1]
+                    ranks = np.take_along_axis(ranks, cols + (cols >= at[:, None]), 1)
+                    left, right = at > 0, at < m - 2
+                    r, c = every[left], at[left]
+                    ranks[r, c - 1] = self._ranks(ids[r, c - 1], ids[r, c])
+                    r, c = every[right], at[right]
+                    ranks[r, c] = self._ranks(ids[r, c], ids[r, c + 1])
+        return out
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of pieces; each different word in them is merged once."""
+        words: dict[bytes, int] = {}
+        plans = []
+        cut = self.cut if self.cut and self.cut.search("\n".join(texts)) else None
+        for t in texts:
+            plan = []
+            for part in cut.split(t) if cut else (t,):
+                if part in self.special:
+                    plan.append(self.special[part].to_bytes(self.id_type.itemsize, "little"))
+                elif part:
+                    plan += [words.setdefault(w, len(words)) for w in self.words(part)]
+            plans.append(plan)
+        packed = self.merge_many(list(words))
+        return [b"".join([x if type(x) is bytes else packed[x] for x in plan]) for plan in plans]
+
     def encode(self, text: str) -> tuple[int, ...]:
         out: list[int] = []
         for part in self.cut.split(text) if self.cut else [text]:
@@ -128,8 +209,17 @@ class Merger:
     def decode(self, ids) -> str:
         """The text of ids; special tokens are kept, ids without a token are
         skipped, broken UTF-8 becomes the replacement character."""
-        table = self.bytes_of
-        return b"".join([table[i] for i in ids if i in table]).decode("utf-8", "replace")
+        table = self.token_bytes
+        return b"".join([table[i] for i in ids if 0 <= i < len(table)]).decode("utf-8", "replace")
+
+    def digests(self, packed: bytes) -> tuple[int, str, str]:
+        """Number of ids, and sha256 of their decimals joined by commas and of
+        their text."""
+        ids = np.frombuffer(packed, self.id_type)
+        digits = self.decimals[ids].view(np.uint8)
+        digits = digits[digits != 0][:-1].tobytes()
+        text = b"".join(map(self.token_bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        return len(ids), hashlib.sha256(digits).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
 
 
 _MERGERS: dict[int, Merger] = {}
@@ -168,13 +258,15 @@ def lexicon_encoder(spec: str, file_name: str) -> PieceEncoder:
     m = merger(spec)
     if file_name not in _MAPPED:
         _MAPPED[file_name] = Transducer(SparkFiles.get(file_name))
-    look = _MAPPED[file_name].get
+    lexicon = _MAPPED[file_name]
+    ids, start = np.frombuffer(lexicon.ids, dtype="<u4"), lexicon.id_start
 
     def encode(pieces):
-        out = []
-        for p in pieces:
-            ids = look(p.encode())
-            out.append(array(m.id_type, m.encode(p) if ids is None else ids).tobytes())
+        places = lexicon.places([p.encode() for p in pieces]).tolist()
+        out = [None if k < 0 else ids[start[k]:start[k + 1]].astype(m.id_type).tobytes() for k in places]
+        rest = [i for i, v in enumerate(out) if v is None]
+        for i, v in zip(rest, m.encode_many([pieces[i] for i in rest])):
+            out[i] = v
         return out
     return worker_encoder((spec, file_name), lambda: PieceEncoder(encode, "keep"))
 
@@ -195,7 +287,7 @@ def encode_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, enc = merger(spec.value), lexicon_encoder(spec.value, lexicon)
         for b in batches:
-            ids = [array(m.id_type, b"".join(enc(t.as_py() or ""))).tolist() for t in b.column(1)]
+            ids = [np.frombuffer(b"".join(v), m.id_type).tolist() for v in enc.many([t or "" for t in b.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
     return d.mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -217,21 +309,21 @@ def decode_documents(spark: SparkSession, encoded: DataFrame, tokenizer_path: st
 def round_trip_digests(spark: SparkSession, docs: DataFrame, tokenizer_path: str, *, one_in: int = ONE_IN,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row: encodes
-    the whole text (null: empty), decodes the ids, and returns digests."""
+    the whole text (null: empty), decodes the ids, and returns digests. Very
+    long texts and words, repeated rows and other columns of any name are
+    fine; an empty table gives no rows. Ids must be integers (or cast to them)."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     spec, lexicon = _prepare(spark, d, tokenizer_path, one_in)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, enc = merger(spec.value), lexicon_encoder(spec.value, lexicon)
-        decimal = [str(i) for i in range(max(m.bytes_of, default=0) + 1)]
-        sha = lambda b: hashlib.sha256(b).hexdigest()
         for b in batches:
             counts, ids_sha, text_sha = [], [], []
-            for t in b.column(1):
-                ids = array(m.id_type, b"".join(enc(t.as_py() or ""))).tolist()
-                counts.append(len(ids))
-                ids_sha.append(sha(",".join([decimal[i] for i in ids]).encode()))
-                text_sha.append(sha(m.decode(ids).encode()))
+            for v in enc.many([t or "" for t in b.column(1).to_pylist()]):
+                n, ids, text = m.digests(b"".join(v))
+                counts.append(n)
+                ids_sha.append(ids)
+                text_sha.append(text)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

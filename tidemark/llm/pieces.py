@@ -8,18 +8,22 @@ Two boundary rules, each exact for its kind of tokenizer:
           always ends a token there, and nothing looks further left.
 ``drop``  tokenizers that drop white space. A text can be cut at white space.
 
-Pieces of a text repeat a lot, so an encoder keeps a bounded table of the
-pieces it has met; what does not fit is encoded again each time.
+Pieces repeat a lot, so an encoder keeps the pieces it has met lately in two
+tables of bounded size: a young one that fills, and the one before it. A full
+young table takes the old one's place, and pieces found in the old table move
+up, so frequent pieces stay for ever and rare ones make room.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 _SPACE_BEFORE_SPACE = re.compile(r"\s ")
 #: Separators that Python counts as white space and tokenizers do not.
 _ODD = re.compile("[\x1c-\x1f\x85]")
 
+#: Pieces of both tables together.
 MAX_PIECES = 800_000
 MAX_KEY = 48
 
@@ -48,53 +52,97 @@ def cut_drop(text: str) -> list[str]:
     return text.split() if _ODD.search(text) is None else [text]
 
 
+class _Recent:
+    """The values of the pieces met lately."""
+
+    def __init__(self, most: int):
+        self.half, self.young, self.old = max(1, most // 2), {}, {}
+
+    def keep(self, piece: str, value) -> None:
+        if len(piece) <= MAX_KEY:
+            if len(self.young) >= self.half:
+                self.old, self.young = self.young, {}
+            self.young[piece] = value
+
+    def values(self, pieces: list[str], learn) -> list:
+        """Values of pieces; ``learn(list of distinct pieces)`` gives those of
+        the unknown ones."""
+        vals = list(map(self.young.get, pieces))
+        if None in vals:
+            gaps = [i for i, v in enumerate(vals) if v is None]
+            missing = dict.fromkeys([pieces[i] for i in gaps])
+            found = {p: v for p in missing if (v := self.old.get(p)) is not None}
+            unknown = [p for p in missing if p not in found]
+            if unknown:
+                found.update(zip(unknown, learn(unknown)))
+            for i in gaps:
+                vals[i] = found[pieces[i]]
+            for p, v in found.items():
+                self.keep(p, v)
+        return vals
+
+
 class PieceEncoder:
     """Turns texts into lists of per-piece values.
 
-    ``encode(list of piece texts) -> list of values`` is called with the
-    distinct unknown pieces of a text, in batches of about ``batch_bytes``.
+    Texts are taken in batches of about ``batch_bytes``: short texts come
+    together in one, long texts are split over several at piece boundaries.
+    ``encode(list of piece texts) -> list of values`` is called once for the
+    distinct unknown pieces of a batch.
     """
 
-    def __init__(self, encode, rule: str, batch_bytes: int = 1 << 18, max_pieces: int = MAX_PIECES):
-        self.encode, self.rule, self.batch_bytes, self.max_pieces = encode, rule, batch_bytes, max_pieces
-        self.first: dict = {}
-        self.known: dict = {}
-
-    def _learn(self, pieces, lead: str, table: dict) -> dict:
-        fresh: dict = {}
-        batch, size = [], 0
-        for p in pieces:
-            batch.append(p)
-            size += len(p) + 1
-            if size >= self.batch_bytes:
-                fresh.update(zip(batch, self.encode([lead + b for b in batch])))
-                batch, size = [], 0
-        if batch:
-            fresh.update(zip(batch, self.encode([lead + b for b in batch])))
-        room = self.max_pieces - len(table)
-        if room > 0:
-            for p, v in fresh.items():
-                if len(p) <= MAX_KEY:
-                    table[p] = v
-        return fresh
-
-    def _values(self, pieces: list[str], lead: str, table: dict) -> list:
-        vals = list(map(table.get, pieces))
-        if None in vals:
-            missing = dict.fromkeys(p for p, v in zip(pieces, vals) if v is None)
-            fresh = self._learn(missing, lead, table)
-            vals = [fresh[p] if v is None else v for p, v in zip(pieces, vals)]
-        return vals
+    def __init__(self, encode, rule: str, batch_bytes: int = 1 << 21, max_pieces: int = MAX_PIECES):
+        self.encode, self.rule, self.batch_bytes = encode, rule, batch_bytes
+        self.first, self.rest = _Recent(max_pieces // 8), _Recent(max_pieces)
+
+    def batches(self, texts: list[str]) -> Iterator[tuple[list, list[str], list]]:
+        """``(texts whose first piece is here with that piece, other pieces,
+        (text, first place, end) of each text in them)``."""
+        firsts, pieces, spans, size = [], [], [], 0
+        for i, t in enumerate(texts):
+            if not t:
+                continue
+            cut = cut_drop(t) if self.rule == "drop" else cut_keep(t)
+            n = len(t) if t.isascii() else len(t.encode())
+            at = 0
+            if self.rule == "keep":
+                at = 1
+                if cut[0]:
+                    firsts.append((i, cut[0]))
+            while True:
+                room = self.batch_bytes - size
+                if n <= room or at >= len(cut):
+                    end, used = len(cut), n
+                else:
+                    end, used = at, 0
+                    while end < len(cut) and used < room:
+                        used += len(cut[end].encode()) + 1
+                        end += 1
+                spans.append((i, len(pieces), len(pieces) + end - at))
+                pieces += cut[at:end]
+                size, n, at = size + used, max(0, n - used), end
+                if size >= self.batch_bytes or at < len(cut):
+                    yield firsts, pieces, spans
+                    firsts, pieces, spans, size = [], [], [], 0
+                if at >= len(cut):
+                    break
+        if spans:
+            yield firsts, pieces, spans
+
+    def many(self, texts: list[str]) -> list[list]:
+        """Values of the pieces of every text, in order (empty text: none)."""
+        out: list[list] = [[] for _ in texts]
+        lead = "" if self.rule == "drop" else " "
+        for firsts, pieces, spans in self.batches(texts):
+            for (i, _), v in zip(firsts, self.first.values([p for _, p in firsts], self.encode)):
+                out[i].append(v)
+            vals = self.rest.values(pieces, lambda ps: self.encode([lead + p for p in ps] if lead else ps))
+            for i, a, z in spans:
+                out[i] += vals[a:z]
+        return out
 
     def __call__(self, text: str) -> list:
-        """Values of the pieces of a text, in order (empty text: none)."""
-        if not text:
-            return []
-        if self.rule == "drop":
-            return self._values(cut_drop(text), "", self.known)
-        pieces = cut_keep(text)
-        out = self._values(pieces[:1], "", self.first) if pieces[0] else []
-        return out + self._values(pieces[1:], " ", self.known)
+        return self.many([text])[0]
 
 
 _LOADED: dict = {}

@@ -1,8 +1,9 @@
 """Token counts without token ids.
 
-Texts are encoded in Arrow functions that return lengths only. Long texts are
-split at boundaries where the tokenizer always splits; the distinct unknown
-pieces go to the tokenizers library in batches of about equal bytes.
+Texts are encoded in Arrow functions that return lengths only. They are taken in
+batches of equal bytes, short texts together and long ones split where the
+tokenizer always splits, and the distinct unknown pieces of a batch go to the
+tokenizers library in one call.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from .pieces import PieceEncoder, load_tokenizer, read_spec, worker_encoder
 from .workers import send_code
 
-BATCH_BYTES = 1 << 18
+BATCH_BYTES = 1 << 20
 
 
 def count_tokens(spark: SparkSession, docs: DataFrame, tokenizer_path: str, *, limit: int = 512, rule: str = "keep",
@@ -26,7 +27,9 @@ def count_tokens(spark: SparkSession, docs: DataFrame, tokenizer_path: str, *, l
     Counts equal those of encoding the whole text at once: no special tokens
     are added, no truncation, and special strings inside a text are handled
     as the library does by default. A null or empty text has 0 bytes and 0
-    tokens. One row per input row, whatever repeats.
+    tokens. One row per input row, whatever repeats; an empty table gives no
+    rows. Very long texts take several batches. Other columns may have any
+    name. Ids must be integers (or cast to them).
     """
     send_code(spark)
     spec = spark.sparkContext.broadcast(read_spec(tokenizer_path))
@@ -36,7 +39,7 @@ def count_tokens(spark: SparkSession, docs: DataFrame, tokenizer_path: str, *, l
         enc = worker_encoder(("lengths", spec.value, rule, batch_bytes), lambda: PieceEncoder(
             lambda ps: [len(e.ids) for e in tok.encode_batch_fast(ps, add_special_tokens=False)], rule, batch_bytes))
         for b in batches:
-            n = [sum(enc(t.as_py() or "")) for t in b.column(1)]
+            n = [sum(v) for v in enc.many([t or "" for t in b.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64())],
                                              names=["doc_id", "n_bytes", "n_tokens"])
 

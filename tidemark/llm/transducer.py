@@ -122,6 +122,11 @@ class Transducer:
             if name == "labels":
                 self.labels_at = at
         self.n_states = len(self.final)
+        # State and label of every arc as one number; arcs are stored in that order.
+        arcs = np.diff(np.frombuffer(self.arc_start, dtype="<u4").astype(np.int64))
+        self.arc_keys = (np.repeat(np.arange(self.n_states, dtype=np.int64), arcs) << 8) | np.frombuffer(self.labels, dtype=np.uint8)
+        self.arc_targets, self.arc_outputs = (np.frombuffer(x, dtype="<u4") for x in (self.targets, self.outputs))
+        self.final_states = np.frombuffer(self.final, dtype=np.uint8)
 
     def place(self, word: bytes) -> int:
         """Place of a word in the sorted list, -1 if it is not there."""
@@ -135,6 +140,30 @@ class Transducer:
             state = targets[arc]
         return out if self.final[state] else -1
 
+    def places(self, words: list[bytes]) -> np.ndarray:
+        """``place`` of many words: they all take their next arc together, and
+        those without one drop out."""
+        out = np.full(len(words), -1, dtype=np.int64)
+        if not len(self.arc_keys):
+            return out
+        size = np.array([len(w) for w in words], dtype=np.int64)
+        letters = np.frombuffer(b"".join(words), dtype=np.uint8).astype(np.int64)
+        at = np.cumsum(size) - size
+        live, state, sums, step = np.arange(len(words)), np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64), 0
+        while len(live):
+            ended = size[live] == step
+            if ended.any():
+                e, s = live[ended], state[ended]
+                out[e] = np.where(self.final_states[s] > 0, sums[ended], -1)
+                live, state, sums = live[~ended], state[~ended], sums[~ended]
+            key = (state << 8) | letters[at[live] + step]
+            arc = np.minimum(np.searchsorted(self.arc_keys, key), len(self.arc_keys) - 1)
+            found = self.arc_keys[arc] == key
+            arc, live = arc[found], live[found]
+            state, sums = self.arc_targets[arc].astype(np.int64), sums[found] + self.arc_outputs[arc]
+            step += 1
+        return out
+
     def get(self, word: bytes) -> tuple[int, ...] | None:
         """Ids of a word, None if it is not there."""
         k = self.place(word)
