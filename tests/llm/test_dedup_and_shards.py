@@ -149,3 +149,36 @@ def test_written_shards_hold_every_row_once(spark, workdir, edge_docs):
     want = sharding.assign_shards(edge_docs, 5).groupBy("shard").count()
     got = back.groupBy(F.col("__shard").alias("shard")).count()
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_repeated_id_is_numbered_by_many_tasks(spark):
+    """A third of the rows share an id, a third of those all of the row."""
+    rows = [(i, f"text {i}") for i in range(2000)] + [(7, f"other {i}") for i in range(700)] + [(7, "same")] * 300
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = sharding.assign_shards(d, 8, chunks=16)
+    got = out.collect()
+    hot = {r.shard for r in got if r.doc_id == 7}
+    assert len(got) == len(rows) and len(hot) == 1
+    for shard in range(8):
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
+    assert sum(r.doc_id == 7 and r.text_crc32 == zlib.crc32(b"same") for r in got) == 300
+
+
+def test_shard_files_of_a_repeated_id(spark, workdir):
+    rows = [(i, f"text {i}") for i in range(600)] + [(7, "same")] * 300
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    sharding.write_shards(d, workdir, 4, split=8)
+    back = spark.read.parquet(workdir)
+    assert sorted((r.doc_id, r.text) for r in back.collect()) == sorted(rows)
+    assert back.groupBy("doc_id").agg(F.countDistinct("shard").alias("n")).where("n > 1").count() == 0
+    files = [r["count"] for r in back.where("doc_id = 7").groupBy(F.input_file_name()).count().collect()]
+    assert len(files) >= 4 and max(files) < 150
+
+
+def test_of_rows_equal_in_id_and_text_the_smallest_stays(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, s, {"k": s}) for s in ("b", "a", None, "c")] + [(2, text, "a", None), (3, text + " and more of it all", "z", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, m map<string,string>").repartition(4)
+    kept = S.keep_one_of_each(spark, docs).collect()
+    assert [(r.doc_id, r.source) for r in kept if r.doc_id == 1] == [(1, None)] and kept[0].m in ({"k": None}, None)
+    assert 2 not in {r.doc_id for r in kept}

@@ -26,7 +26,7 @@ def tail(k, n, p):
 
 
 def test_binomial_tail(spark):
-    cases = [(0, 10), (0, 1000), (3, 2000), (100, 20_000), (15_000, 2_000_000), (50, 100)]
+    cases = [(0, 10), (0, 1000), (3, 2000), (100, 20_000), (15_000, 2_000_000), (19_800, 2_000_000), (19_850, 2_000_000), (50, 100)]
     df = spark.createDataFrame([(float(k), float(n)) for k, n in cases], "k double, n double")
     for r in df.select("k", "n", Q.binomial_tail(F.col("k"), F.col("n"), 0.01).alias("t")).collect():
         want = tail(int(r.k), int(r.n), 0.01) if r.k < r.n * 0.01 else 1.0
@@ -35,6 +35,7 @@ def test_binomial_tail(spark):
 
 def test_a_truncated_tail_is_bounded_from_above(spark, monkeypatch):
     monkeypatch.setattr(Q, "TAIL_TERMS", 3)
+    monkeypatch.setattr(Q, "TAIL_PER_ROOT", 0)
     df = spark.createDataFrame([(80.0, 10_000.0)], "k double, n double")
     t = df.select(Q.binomial_tail(F.col("k"), F.col("n"), 0.01)).first()[0]
     assert tail(80, 10_000, 0.01) <= t <= 4 * tail(80, 10_000, 0.01)
@@ -64,6 +65,52 @@ def test_cutoffs_are_proven_per_stratum(spark):
     assert got == {("x", "symbols_per_word"): 0.8}
 
 
+def _labelled_texts():
+    """Three languages: rules are proven in `x`; in `y` too many good texts
+    look bad; in `z` one good text has a thousand rows."""
+    r = random.Random(3)
+    plain = lambda: " ".join(f"w{r.randrange(10**9)}" for _ in range(30))
+    bad = lambda: " ".join(f"##{r.randrange(10**9)}%%" for _ in range(30))
+    rows = [("x", plain(), 1) for _ in range(1500)] + [("x", bad(), 0) for _ in range(200)]
+    rows += [("y", plain() if i % 3 else bad(), 1) for i in range(1500)] + [("y", bad(), 0) for _ in range(200)]
+    rows += [("z", "the same text again " * 2 + " ".join(map(str, range(25))), 1)] * 1500 + [("z", bad(), 0) for _ in range(200)]
+    docs = [(i, t, s) for i, (s, t, _) in enumerate(rows)]
+    labels = [(i, q) for i, (_, _, q) in enumerate(rows)] + [(0, 0), (1, None)]
+    # Ids without a label.
+    return docs + [(9_999_999, bad(), "x"), (9_999_998, None, "x")], labels
+
+
+def test_rules_equal_their_sql_where_cutoffs_are_active(spark):
+    import duckdb
+    import pandas as pd
+
+    from tidemark.llm.oracle import ORACLE
+    docs, labels = _labelled_texts()
+    d = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    out = Q.apply_rules(spark, d, spark.createDataFrame(labels, "doc_id long, quality int"))
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(docs, columns=["doc_id", "text", "lang"]).astype({"doc_id": "Int64"}))
+    con.register("labels", pd.DataFrame(labels, columns=["doc_id", "quality"]).astype({"quality": "Int64"}))
+    cols = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    want = con.execute(f"SELECT {', '.join(cols)} FROM ({ORACLE['op1_quality_rules']}) WHERE doc_id IS NOT NULL").fetchall()
+    got = [tuple(r) for r in out.where("doc_id is not null").select(*cols).collect()]
+    assert sorted(got) == sorted(want)
+    kept = {s: out.where(F.col("stratum") == s).agg(F.count_if(~F.col("kept") & ~F.col("base_failed"))).first()[0] for s in "xyz"}
+    assert kept["x"] >= 200 and kept["y"] == kept["z"] == 0
+
+
+def test_copies_of_a_labelled_text_are_one_trial(spark):
+    """A thousand rows of one good text prove no cutoff, whether they have ids
+    of their own or share one."""
+    docs, labels = _labelled_texts()
+    z = [t for _, t, s in docs if s == "z"]
+    docs += [(8_000_000, z[0], "z")] * 1000 + [docs[0], (None, z[0], None)]
+    labels += [(8_000_000, 1)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    out = Q.apply_rules(spark, d, spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert {r.stratum for r in out.where("size(rejected_by) > 0").select("stratum").distinct().collect()} == {"x"}
+
+
 # -- decontamination -----------------------------------------------------------
 
 def _benchmark(spark, texts):

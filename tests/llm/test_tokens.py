@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from brute import ids_crc32, sha
 from tokenizers import Tokenizer
@@ -45,6 +46,52 @@ def test_merger_equals_library_and_decodes_back():
     assert m.decode(broken) == tok.decode(broken, skip_special_tokens=False)
 
 
+def test_many_words_merge_as_one_by_one():
+    m, r = Merger(read_spec(BYTE)), random.Random(4)
+    words = ["".join(r.choice("aeinrst hxq'é漢") for _ in range(r.randint(1, 60))).encode() for _ in range(3000)]
+    words += [bytes(r.randrange(256) for _ in range(r.randint(1, 9))) for _ in range(2000)] + [b"a" * n for n in range(1, 70)]
+    want = [m.merge(w) for w in words]
+    assert [np.frombuffer(x, m.id_type).tolist() for x in m.merge_many(words)] == want
+    texts = odd_texts(500, 3) + ["".join(r.choice("aéßÿĀɏ×÷.,'7 \n") for _ in range(r.randint(1, 12))) for _ in range(500)]
+    tok = Tokenizer.from_file(BYTE)
+    for t, x in zip(texts, m.encode_many(texts)):
+        ids = tok.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(x, m.id_type).tolist() == ids
+        assert m.digests(x) == (len(ids), sha(",".join(map(str, ids))), sha(tok.decode(ids, skip_special_tokens=False)))
+    assert m.merge_many([]) == [] and m.digests(b"") == (0, sha(""), sha(""))
+
+
+@pytest.mark.parametrize("rule", ["keep", "drop"])
+def test_batches_are_balanced_by_bytes(rule):
+    """Short texts share a batch, long ones are split, and no batch is larger
+    than its size and one piece."""
+    r = random.Random(9)
+    texts = [" ".join("né" * r.randint(1, 6) for _ in range(r.choice([1, 5, 3000]))) for _ in range(60)] + ["", " "]
+    enc = PieceEncoder(lambda ps: ps, rule, batch_bytes=4000)
+    sizes = [sum(len(p.encode()) + 1 for p in [*pieces, *(f for _, f in firsts)]) for firsts, pieces, _ in enc.batches(texts)]
+    assert len(sizes) > 10 and max(sizes) <= 4000 + 60 and min(sizes[:-1]) >= 4000 - 60 * 2
+    assert sum(sizes) <= sum(len(t.encode()) + 2 for t in texts)
+
+
+def test_frequent_pieces_stay_known():
+    """New pieces come without end; those that keep coming back are encoded a
+    bounded number of times, and the tables stay within their size."""
+    asked = []
+    enc = PieceEncoder(lambda ps: asked.extend(ps) or ps, "drop", batch_bytes=1, max_pieces=20)
+    for i in range(500):
+        assert enc(f"the rare{i} of") == ["the", f"rare{i}", "of"]
+    assert asked.count("the") == 1 and asked.count("of") == 1
+    assert len(enc.rest.young) + len(enc.rest.old) <= 22
+
+
+def test_slices_are_spread_over_a_document():
+    from tidemark.llm.token_store import _slices
+    ids = b"".join(i.to_bytes(4, "little") for i in range(1000))
+    part = np.frombuffer(_slices(ids, 400), "<u4")
+    assert len(part) == 100 and part[0] == 0 and part[-1] == 999 and _slices(ids, 4000) == ids
+    assert (np.diff(part) > 1).sum() == 3
+
+
 def test_transducer_is_exact_and_shares_suffixes(tmp_path):
     words = {w.encode(): tuple(range(i % 4)) for i, w in enumerate(
         [f"{a}{b}" for a in ("", "re", "un", "über", "漢") for b in ("do", "doing", "done", "make", "making", "")])}
@@ -54,8 +101,11 @@ def test_transducer_is_exact_and_shares_suffixes(tmp_path):
         assert {w: t.get(w) for w in words} == words
         assert all(t.get(w + x) is None for w in words for x in (b"x", b"\xff") if w + x not in words)
         assert [t.place(w) for w in sorted(words)] == list(range(len(words)))
+        asked = [*words, b"redoX", b"x", b"reundo", "über".encode()[:2], b""]
+        assert t.places(asked).tolist() == [t.place(w) for w in asked]
         assert t.n_states < sum(map(len, words)) / 2
-    assert Transducer(compile_transducer({})).get(b"a") is None
+    none = Transducer(compile_transducer({}))
+    assert none.get(b"a") is None and none.places([b"a", b""]).tolist() == [-1, -1]
 
 
 def test_counts(spark, edge_docs, edge_rows, no_docs):
@@ -115,3 +165,20 @@ def test_a_dictionary_is_trained_where_samples_allow_it(spark):
     docs = load(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
     spec = spark.sparkContext.broadcast(read_spec(WORD))
     assert train_dictionary(docs, spec, "drop")[:4] == b"\x37\xa4\x30\xec"
+
+
+def test_a_repeated_id_fills_many_ranges(spark, workdir):
+    """A third of the rows share an id: no range holds them all, and the store
+    still counts up in id order."""
+    rows = [(i, f"text number {i}") for i in range(1000)] + [(500, f"other {i % 3}") for i in range(500)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_token_store(spark, d, WORD, workdir, end_id=1)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [len(r.doc_ids) for r in spark.read.parquet(f"{workdir}/blocks").collect()]
+    assert len(sizes) >= 6 and max(sizes) < 400
+    got = [tuple(r) for r in read_token_digests(spark, workdir).orderBy("start").collect()]
+    assert [g[0] for g in got] == sorted(i for i, _ in rows)
+    assert sorted((g[0], g[2]) for g in got) == sorted((i, len(ids(WORD, t)) + 1) for i, t in rows)

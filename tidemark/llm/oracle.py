@@ -30,7 +30,7 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 _GRID = ", ".join(f"('{r.name}', {i}, {c}::DOUBLE)" for r in RULES for i, c in enumerate(r.cutoffs))
 _VALUES = " UNION ALL ".join(
-    f"SELECT doc_id, stratum, base_failed, '{r.name}' AS rule, {r.value} AS value FROM f WHERE n_words > 0 AND n_lines > 0"
+    f"SELECT doc_id, stratum, text, base_failed, '{r.name}' AS rule, {r.value} AS value FROM f WHERE n_words > 0 AND n_lines > 0"
     for r in RULES)
 
 OP1 = f"""
@@ -45,7 +45,7 @@ runs AS (
 rep AS (
   SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM runs WHERE times > 1) GROUP BY 1),
 f0 AS (
-  SELECT w.doc_id, stratum, len(w)::BIGINT AS n_words, len(lines) AS n_lines,
+  SELECT w.doc_id, stratum, text, len(w)::BIGINT AS n_words, len(lines) AS n_lines,
          length(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
          length(regexp_replace(text, '[^\\p{{Lu}}]+', '', 'g'))::BIGINT AS n_upper,
@@ -56,7 +56,7 @@ f AS (SELECT *, n_words < {MIN_WORDS} OR n_repeat_words * 100 > n_words * {MAX_R
 vals AS ({_VALUES}),
 grid AS (SELECT * FROM (VALUES {_GRID}) AS g(rule, step, cutoff)),
 good AS (SELECT doc_id, max(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY 1),
-lab AS (SELECT vals.*, quality = 1 AS good FROM vals JOIN good USING (doc_id) WHERE NOT base_failed),
+lab AS (SELECT stratum, text, rule, value, max(quality) = 1 AS good FROM vals JOIN good USING (doc_id) WHERE NOT base_failed GROUP BY ALL),
 tallies AS (
   SELECT stratum, rule, step, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (NOT good) AS n_bad,
          count(*) FILTER (good AND value > cutoff) AS k, count(*) FILTER (NOT good AND value > cutoff) AS k_bad

@@ -31,8 +31,9 @@ DELTA = 0.05
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 REPEAT_WINDOW = 8
-#: Terms of a binomial tail summed one by one; a bound of the rest is added.
-TAIL_TERMS = 5000
+#: Terms of a binomial tail that are always summed one by one, and how many
+#: more for each square root of a trial (see ``binomial_tail``).
+TAIL_TERMS, TAIL_PER_ROOT = 2000, 64
 
 _SPACE = r"\x20\x09-\x0D"
 
@@ -61,19 +62,20 @@ def _length_without(text: Column, pattern: str) -> Column:
 
 
 def features(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """``doc_id, stratum``, the features and ``base_failed`` of every row. A
-    null text has no words. A null stratum is the stratum ``none``."""
+    """``doc_id, stratum, text_sha256``, the features and ``base_failed`` of
+    every row. A null text has no words. A null stratum is the stratum ``none``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(f"[^{_SPACE}]"))
     d = docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(F.col(stratum_col).cast("string"), F.lit("none")).alias("stratum"),
+        F.sha2(text, 256).alias("text_sha256"),
         F.transform(F.regexp_extract_all(text, F.lit(f"[^{_SPACE}]+"), F.lit(0)), lambda w: F.xxhash64(w)).alias("h"),
         lines.alias("lines"),
         _length_without(text, f"[{_SPACE}]+").alias("word_chars"),
         _length_without(text, "[^#*$%&|<>]+").alias("n_symbols"),
         _length_without(text, r"[^\p{Lu}]+").alias("n_upper"),
         _length_without(text, "[^!?]+").alias("n_marks"))
-    other = ["doc_id", "stratum", "word_chars", "n_symbols", "n_upper", "n_marks"]
+    other = ["doc_id", "stratum", "text_sha256", "word_chars", "n_symbols", "n_upper", "n_marks"]
     n_lines = F.size("lines").cast("long")
     d = d.select(*other, "h", n_lines.alias("n_lines"), (n_lines - F.size(F.array_distinct("lines"))).alias("n_dup_lines"))
     other += ["n_lines", "n_dup_lines"]
@@ -109,8 +111,9 @@ def log_gamma(x: Column) -> Column:
 
 def binomial_tail(k: Column, n: Column, p: float) -> Column:
     """P(X <= k) for X ~ Binomial(n, p), 1 where k is not below n * p. Exact up
-    to rounding; terms beyond ``TAIL_TERMS`` are replaced by a bound from
-    above."""
+    to rounding at any size: where k is a standard deviation or more below
+    n * p, the terms after the summed ones add less than 2 ** -53 of the sum;
+    closer to n * p the result is above 0.1 and the rest is bounded from above."""
     top = (log_gamma(n + 1.0) - log_gamma(k + 1.0) - log_gamma(n - k + 1.0)
            + k * math.log(p) + (n - k) * math.log1p(-p))
     odds = (1 - p) / p
@@ -119,7 +122,7 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
         t = acc["t"] * (k - j) * odds / (n - k + j + 1.0)
         return F.struct(t.alias("t"), (acc["s"] + t).alias("s"))
 
-    used = F.least(k, F.lit(float(TAIL_TERMS))).cast("int")
+    used = F.least(k, TAIL_TERMS + F.ceil(F.sqrt(n) * TAIL_PER_ROOT)).cast("int")
     start = F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s"))
     # Step j multiplies by (k - j) / (n - k + j + 1): the last one is 0.
     acc = F.aggregate(F.sequence(F.lit(0), used), start, step)
@@ -165,14 +168,19 @@ def apply_rules(spark: SparkSession, docs: DataFrame, labels: DataFrame, rules=R
     the base ones, in order) and ``kept`` of every document row.
 
     Labels without a verdict are not used; a document with several labels is
-    good if one says so. Without labels only the base rules apply.
+    good if one says so. A labelled text is one trial of its stratum however
+    many rows or ids have it (good if one of them is), as copies of a text are
+    no independent examples. Without labels only the base rules apply. Repeated
+    rows each come back, very long texts and other columns of any name are
+    fine, and an empty table gives no rows.
     """
     path = scratch_dir(spark, "quality-rules")
     features(docs, id_col=id_col, text_col=text_col, stratum_col=stratum_col).write.parquet(path)
     rows = spark.read.parquet(path)
     marks = labels.select(F.col(id_col).alias("doc_id"), F.expr(good).alias("good")).where("good is not null")
     marks = marks.groupBy("doc_id").agg(F.max("good").alias("good"))
-    cutoffs = select_cutoffs(rows.join(marks, "doc_id"), rules, alpha=alpha, delta=delta)
+    trials = (rows.join(marks, "doc_id").groupBy(*[c for c in rows.columns if c != "doc_id"]).agg(F.max("good").alias("good")))
+    cutoffs = select_cutoffs(trials, rules, alpha=alpha, delta=delta)
     by_stratum = cutoffs.groupBy(F.col("stratum").alias("of")).agg(
         *[F.max(F.when(F.col("rule") == r.name, F.col("cutoff"))).alias(f"cut_{i}") for i, r in enumerate(rules)])
     joined = rows.join(by_stratum, rows["stratum"] == by_stratum["of"], "left")

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_dir
 from . import golay
@@ -160,13 +161,28 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, *, shingle: int = SHI
     """One row of each component, all columns as they are: that of the
     smallest id, and of its rows that of the smallest text hash. Rows without
     an id come after all ids. An id with texts in several components can stay
-    once in each; rows equal in id and text are one document."""
+    once in each; rows equal in id and text are one document, of which the
+    smallest by all its columns stays (columns that have no order, such as
+    maps, do not count). Null, empty and very long texts are fine, columns may
+    have any name, and an empty table stays empty."""
     found = _members(spark, docs, shingle, max_bits, cap, id_col, text_col, version=True)
     heads = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root")
              .agg(F.min("doc_id").alias("__id"), F.min("version").alias("__version")))
     doc_id, version = docs[id_col].cast("long"), F.xxhash64(docs[text_col])
-    kept = docs.join(heads, doc_id.eqNullSafe(heads["__id"]) & (version == heads["__version"]), "left_semi")
+
+    def of(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        return rows.join(keys, doc_id.eqNullSafe(keys["__id"]) & (version == keys["__version"]), how)
+    # Only rows whose id and text repeat have to meet; texts of others stay where they are.
+    repeated = (found.groupBy(F.col("doc_id").alias("__id"), F.col("version").alias("__version"))
+                .agg(F.count("*").alias("__n")).where("__n > 1").select("__id", "__version"))
+    kept = of(docs, heads, "left_semi")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    version = F.xxhash64(F.col(text_col))
-    one = kept.groupBy(F.col(id_col).cast("long").alias("__id"), version.alias("__version"))
-    return one.agg(F.min_by(row, version).alias("row")).select("row.*")
+    order = F.struct(*[F.col(f"`{f.name}`") for f in docs.schema.fields if not _unordered(f.dataType)])
+    once = of(kept, repeated, "left_anti")
+    one = (of(kept, repeated, "left_semi").groupBy(F.col(id_col).cast("long").alias("__id"), F.xxhash64(F.col(text_col)).alias("__version"))
+           .agg(F.min_by(row, order).alias("row")).select("row.*"))
+    return once.unionByName(one)
+
+
+def _unordered(t: T.DataType) -> bool:
+    return "map<" in t.simpleString() or "variant" in t.simpleString()

@@ -54,10 +54,21 @@ def _id_encoder(spec: str, rule: str) -> PieceEncoder:
     return worker_encoder(("ids", spec, rule), lambda: PieceEncoder(encode, rule))
 
 
+def _slices(ids: bytes, most: int, n: int = 4) -> bytes:
+    """At most ``most`` bytes of serialized ids: all of them, or slices of
+    whole ids spread evenly from the first to the last."""
+    if len(ids) <= most:
+        return ids
+    size = most // n // 4 * 4
+    step = (len(ids) - size) // 4 / (n - 1)
+    return b"".join(ids[int(k * step) * 4:int(k * step) * 4 + size] for k in range(n))
+
+
 def train_dictionary(docs: DataFrame, spec, rule: str, *, sample: int = TRAIN_DOCS,
                      sample_bytes: int = TRAIN_BYTES, dict_bytes: int = DICT_BYTES) -> bytes:
     """Shared dictionary from about ``sample`` documents picked by id hash,
-    at most ``sample_bytes`` of serialized ids from each. Too few or too small
+    at most ``sample_bytes`` of serialized ids from each, spread over the whole
+    document. Too few or too small
     samples to train on give their bytes as a raw dictionary, no text at all
     an empty one."""
     n = docs.count()
@@ -67,7 +78,7 @@ def train_dictionary(docs: DataFrame, spec, rule: str, *, sample: int = TRAIN_DO
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _id_encoder(spec.value, rule)
         for b in batches:
-            out = [b"".join(enc(t.as_py() or ""))[:sample_bytes] for t in b.column(1)]
+            out = [_slices(b"".join(v), sample_bytes) for v in enc.many([t or "" for t in b.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["ids"])
 
     import zstandard
@@ -122,10 +133,10 @@ def write_token_store(spark: SparkSession, docs: DataFrame, tokenizer_path: str,
                 names=["part", "block", "dictionary", "doc_ids", "n_tokens", "offsets", "payload"])
 
         for b in batches:
-            for i, t in zip(b.column(0), b.column(1)):
-                raw = b"".join(enc(t.as_py() or "")) + end
+            for i, v in zip(b.column(0).to_pylist(), enc.many([t or "" for t in b.column(1).to_pylist()])):
+                raw = b"".join(v) + end
                 frame = packer.compress(raw)
-                ids.append(i.as_py())
+                ids.append(i)
                 counts.append(len(raw) // 4)
                 offsets.append(offsets[-1] + len(frame))
                 frames.append(frame)
@@ -136,7 +147,9 @@ def write_token_store(spark: SparkSession, docs: DataFrame, tokenizer_path: str,
         if ids:
             yield flush()
 
-    (d.repartitionByRange("doc_id").sortWithinPartitions("doc_id").mapInArrow(blocks, BLOCK_SCHEMA)
+    # The order of equal ids is free, so ranges may cut between them.
+    ranged = d.select("*", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"))
+    (ranged.repartitionByRange("doc_id", "hash", "row").select("doc_id", "text").sortWithinPartitions("doc_id").mapInArrow(blocks, BLOCK_SCHEMA)
      .write.mode("overwrite").parquet(f"{path}/blocks"))
 
 
