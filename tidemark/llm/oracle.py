@@ -1,7 +1,9 @@
 """DuckDB SQL equal to the registered queries of this subpackage, where SQL
 can express them; the others are tested against brute force."""
 
+from .merkle import FIELDS
 from .quality_rules import ALPHA, DELTA, MAX_REPEAT_PERCENT, MIN_WORDS, RULES
+from .spelling import MIN_COUNT, MIN_LETTERS, ONE_IN
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -77,7 +79,111 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM f
 """
 
+
+
+def _crc_table() -> list[int]:
+    """CRC-32 of each half byte, by its polynomial."""
+    out = []
+    for x in range(16):
+        for _ in range(4):
+            x = x >> 1 ^ (0xEDB88320 if x & 1 else 0)
+        out.append(x)
+    return out
+
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of a text: half bytes of its hex form, lower
+    half of each byte first."""
+    digits = f"hex(encode({text}))"
+    halves = (f"list_transform(range(0, length({digits})), lambda i: "
+              f"strpos('0123456789ABCDEF', substr({digits}, i - i % 2 + 2 - i % 2, 1)) - 1)")
+    return (f"xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, ({halves})::BIGINT[]), "
+            f"lambda a, x: xor(a >> 4, ({_crc_table()}::BIGINT[])[(xor(a, x) & 15) + 1])))")
+
+
+OP11 = f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, run, count(*) AS times FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[a-z\u00c0-\u00ff]{{{MIN_LETTERS},}}')) AS run
+    FROM documents) GROUP BY ALL),
+hashed AS (SELECT run, times, {_crc32("id || ':' || run")} AS h FROM runs),
+words AS MATERIALIZED (
+  SELECT word, sum(times)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % {ONE_IN} = 0 THEN substring(run, 1, (h % length(run))::INT) || substring(run, (h % length(run))::INT + 2)
+                ELSE run END AS word, times FROM hashed)
+  WHERE length(word) >= {MIN_LETTERS} GROUP BY 1 HAVING sum(times) >= {MIN_COUNT}),
+gaps AS MATERIALIZED (
+  SELECT word, p, substring(word, 1, p::INT) || substring(word, p::INT + 2) AS rest
+  FROM (SELECT word, unnest(range(0, length(word))) AS p FROM words)),
+one_more AS (SELECT DISTINCT g.word AS a, w.word AS b FROM gaps g JOIN words w ON w.word = g.rest),
+near AS (
+  SELECT a.word AS word, b.word AS other FROM gaps a JOIN gaps b ON a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+  UNION ALL SELECT a, b FROM one_more UNION ALL SELECT b, a FROM one_more),
+ranked AS (
+  SELECT near.word, other, w.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+         row_number() OVER (PARTITION BY near.word ORDER BY w.n DESC, other) AS place
+  FROM near JOIN words w ON w.word = other),
+forms AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 2 * w.n THEN other END AS form,
+         CASE WHEN other_n >= 2 * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN (SELECT * FROM ranked WHERE place = 1) r ON r.word = w.word),
+way AS (
+  SELECT word, word AS stop FROM forms
+  UNION ALL SELECT way.word, f.form FROM way JOIN forms f ON f.word = way.stop WHERE f.form IS NOT NULL),
+ends AS (SELECT way.word, stop AS root FROM way JOIN forms f ON f.word = stop WHERE f.form IS NULL)
+SELECT forms.word, form, root, n, n_near, form_n FROM forms JOIN ends ON ends.word = forms.word
+"""
+
+
+def _field(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+
+
+def _tree(name: str, leaves: str, levels: int) -> str:
+    """CTEs for the levels above ``leaves`` (tree, i, h, n): ``<name>_top``
+    (tree, h) and, for every level, what stands beside a node in its run."""
+    out = [f"{name}_0 AS MATERIALIZED ({leaves})"]
+    for k in range(levels):
+        out.append(f"{name}_{k + 1} AS MATERIALIZED (SELECT tree, i // 3 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h, (n + 2) // 3 AS n "
+                   f"FROM {name}_{k} WHERE n > 1 GROUP BY tree, i // 3, n)")
+        run = "OVER (PARTITION BY tree, i // 3 ORDER BY i)"
+        out.append(f"{name}_beside_{k} AS MATERIALIZED (SELECT tree, i, coalesce(lag(h, 2) {run}, '') || coalesce(lag(h) {run}, '') AS a, "
+                   f"coalesce(lead(h) {run}, '') || coalesce(lead(h, 2) {run}, '') AS b FROM {name}_{k} WHERE n > 1)")
+    out.append(f"{name}_top AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT tree, h FROM {name}_{k} WHERE n = 1" for k in range(levels + 1)) + ")")
+    return ",\n".join(out)
+
+
+def _walk(name: str, start: str, tree: str, levels: int) -> str:
+    """CTEs that take rows with ``tree, i, h, proof`` up a tree."""
+    out = [f"{name}_0 AS MATERIALIZED ({start})"]
+    for k in range(levels):
+        out.append(f"{name}_{k + 1} AS MATERIALIZED (SELECT w.* REPLACE (w.i // 3 AS i, CASE WHEN s.i IS NULL THEN w.h ELSE sha256(s.a || w.h || s.b) END AS h, "
+                   f"w.proof || coalesce(s.a || s.b, '') AS proof) FROM {name}_{k} w LEFT JOIN {tree}_beside_{k} s ON s.tree = w.tree AND s.i = w.i)")
+    return ",\n".join(out)
+
+
+#: Levels that the SQL goes up: enough for 3 ** _LEVELS rows in a source, or sources.
+_LEVELS = 14
+OP12 = f"""
+WITH d AS (
+  SELECT *, CASE WHEN {_crc32("doc_id::VARCHAR")} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS retext FROM documents),
+leaves AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, sha256({" || ".join(_field(c) for c in FIELDS)}) AS leaf,
+         sha256({" || ".join(_field("retext" if c == "text" else c) for c in FIELDS)}) AS other FROM d),
+placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+{_tree("t", "SELECT tree, i, leaf AS h, n FROM placed", _LEVELS)},
+{_tree("u", "SELECT 0 AS tree, row_number() OVER (ORDER BY tree) - 1 AS i, h, count(*) OVER () AS n FROM t_top", _LEVELS)},
+{_walk("v", "SELECT tree, i, other AS h, '' AS proof, doc_id, leaf FROM placed", "t", _LEVELS)},
+{_walk("w", f"SELECT 0 AS tree, p.i, v.h, v.proof, doc_id, leaf, p.h AS subroot FROM v_{_LEVELS} v "
+            "JOIN (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS i FROM t_top) p ON p.tree = v.tree", "u", _LEVELS)}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, w.h AS folded_root, w.h = root AS verified
+FROM w_{_LEVELS} w, (SELECT h AS root FROM u_top) r
+"""
+
 ORACLE = {
     "op1_quality_rules": OP1,
     "op3_decontaminate": OP3,
+    "op11_spelling": OP11,
+    "op12_merkle": OP12,
 }
