@@ -183,3 +183,56 @@ def test_jdbc_source_options():
         ("id", "1", "1000", "4")
     plain = jdbc_source(_Session(), "jdbc:x://h/db", "(SELECT 1) q", fetchsize=10)
     assert "partitionColumn" not in plain and plain["fetchsize"] == "10"
+
+
+KEYS_BY_KIND = {
+    "text": "concat('o\\'', lpad(cast(v * v as string), 12, 'x'))",
+    "date": "date_add(date'2020-01-01', cast(v / 3 as int))",
+    "decimal": "cast(pow(v, 3) / 7 as decimal(20, 4))",
+    "long": "v * v - 1000",
+    "timestamp": "timestampadd(SECOND, v, timestamp'2020-01-01')",
+}
+
+
+@pytest.mark.parametrize("kind", sorted(KEYS_BY_KIND))
+def test_ranges_of_any_key_are_disjoint_and_complete(spark, kind):
+    """Skewed keys with nulls, quotes and a hot key: every row meets one predicate."""
+    from tidemark.sources.jdbc import key_bounds, range_predicates
+    rows = spark.range(2000).selectExpr("id", "if(id % 3 = 0, 77, id) AS v").selectExpr(
+        "id", f"CASE WHEN id % 50 <> 0 THEN {KEYS_BY_KIND[kind]} END AS k")
+    bounds = key_bounds(rows, "k", 8)
+    assert 4 <= len(bounds) <= 7 and bounds == sorted(bounds)
+    preds = range_predicates("k", bounds)
+    hits = rows.select("id", *[F.coalesce(F.expr(p), F.lit(False)).cast("int").alias(f"p{i}") for i, p in enumerate(preds)])
+    assert hits.where(" + ".join(f"p{i}" for i in range(len(preds))) + " <> 1").count() == 0
+    assert max(rows.where(p).count() for p in preds) < 1400 and range_predicates("k", []) == ["1 = 1"]
+
+
+def test_text_ranges_hold_in_another_order(spark):
+    """A database that orders text without regard to case."""
+    from tidemark.sources.jdbc import range_predicates
+    rows = spark.createDataFrame([(w,) for w in ("B", "a", "Z", "c", "b", "M", "z", "A", None)], "k string")
+    preds = [p.replace("k ", "lower(k) ").replace("'B'", "'b'").replace("'M'", "'m'") for p in range_predicates("k", ["B", "M", "a", "c"])]
+    assert sum(rows.where(p).count() for p in preds) == 9
+
+
+def test_database_tables_become_views():
+    from tidemark.__main__ import jdbc_tables
+    from tidemark.sources.jdbc import register_jdbc_views
+    assert jdbc_tables(["s.orders:id", "o=s.other"]) == {"orders": {"table": "s.orders", "partition_column": "id"}, "o": {"table": "s.other"}}
+    made, calls = [], []
+
+    class Frame:
+        def createOrReplaceTempView(self, name):
+            made.append(name)
+
+    class Reader:
+        def jdbc(self, url, table, predicates=None, properties=None):
+            calls.append((url, table, predicates, properties["fetchsize"]))
+            return Frame()
+
+    class Session:
+        read = Reader()
+    names = register_jdbc_views(Session(), "jdbc:x", {"t": {"table": "s.t", "predicates": ["1 = 1"]}, "u": {"predicates": ["k > 1"]}}, fetchsize=7)
+    assert names == ["t", "u"] == made
+    assert calls == [("jdbc:x", "s.t", ["1 = 1"], "7"), ("jdbc:x", "u", ["k > 1"], "7")]

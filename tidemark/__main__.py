@@ -7,8 +7,9 @@
 
 `--tables` registers every Parquet table of a folder (a `name.parquet` file
 or a `name/` folder) as a view under its name; tables already in the
-session catalog can be used directly. Exit status 3 means that a unit of
-work failed (the others still ran).
+session catalog can be used directly, and `--jdbc URL --jdbc-table TABLE`
+registers tables of a database. Exit status 3 means that a unit of work
+failed (the others still ran).
 """
 
 from __future__ import annotations
@@ -44,6 +45,17 @@ def register_folder(spark: SparkSession, folder: str) -> list[str]:
     return names
 
 
+def jdbc_tables(texts: list[str]) -> dict[str, dict]:
+    """`[VIEW=]TABLE[:KEY]` texts as options by view; a view's default name is
+    the last part of the table's."""
+    out = {}
+    for text in texts:
+        view, _, table = text.rpartition("=")
+        table, _, key = table.partition(":")
+        out[view or table.rpartition(".")[2]] = {"table": table, **({"partition_column": key} if key else {})}
+    return out
+
+
 def _report(**fields) -> None:
     """One JSON line per unit of work; facts that do not apply are left out."""
     print(json.dumps({k: v for k, v in fields.items() if v is not None}, default=str))
@@ -148,10 +160,17 @@ def main(argv=None) -> int:
     for sp in (e, m, c, q):
         sp.add_argument("--tables", help="folder of Parquet tables to register as views")
 
+        sp.add_argument("--jdbc", metavar="URL", help="database whose tables are registered as views")
+        sp.add_argument("--jdbc-table", action="append", metavar="[VIEW=]TABLE[:KEY]",
+                        help="a table of that database (repeatable), read in ranges of KEY")
+
     a = p.parse_args(argv)
     spark = _session(a.master)
     if a.tables:
         register_folder(spark, a.tables)
+    if a.jdbc:
+        from .sources.jdbc import register_jdbc_views
+        register_jdbc_views(spark, a.jdbc, jdbc_tables(a.jdbc_table or []))
     return {"export": _export, "mirror": _mirror, "catalog": _catalog, "query": _query}[a.command](spark, a)
 
 
