@@ -77,11 +77,13 @@ def test_frequent_pieces_stay_known():
     """New pieces come without end; those that keep coming back are encoded a
     bounded number of times, and the tables stay within their size."""
     asked = []
-    enc = PieceEncoder(lambda ps: asked.extend(ps) or ps, "drop", batch_bytes=1, max_pieces=20)
+    enc = PieceEncoder(lambda ps: asked.extend(ps) or ps, "drop", batch_bytes=1, max_pieces=40)
     for i in range(500):
-        assert enc(f"the rare{i} of") == ["the", f"rare{i}", "of"]
-    assert asked.count("the") == 1 and asked.count("of") == 1
-    assert len(enc.rest.young) + len(enc.rest.old) <= 22
+        late = ["late"] if i > 100 else []
+        assert enc(" ".join(["the", f"rare{i}", "of", *late])) == ["the", f"rare{i}", "of", *late]
+    assert asked.count("the") == asked.count("of") == asked.count("late") == 1
+    known = enc.rest
+    assert len(known.first) + len(known.young) + len(known.old) <= 40 and "late" not in known.first
 
 
 def test_slices_are_spread_over_a_document():
@@ -92,6 +94,14 @@ def test_slices_are_spread_over_a_document():
     assert (np.diff(part) > 1).sum() == 3
 
 
+def test_pieces_encoded_together_are_as_one_by_one():
+    from tidemark.llm.token_store import _id_encoder
+    enc, tok = _id_encoder(read_spec(WORD), "drop"), Tokenizer.from_file(WORD)
+    pieces = [p for t in odd_texts(3000, 5) for p in t.split()] + ["x" * 5000]
+    for p, v in zip(pieces, enc.encode(pieces)):
+        assert np.frombuffer(v, "<u4").tolist() == tok.encode(p, add_special_tokens=False).ids, p
+
+
 def test_transducer_is_exact_and_shares_suffixes(tmp_path):
     words = {w.encode(): tuple(range(i % 4)) for i, w in enumerate(
         [f"{a}{b}" for a in ("", "re", "un", "über", "漢") for b in ("do", "doing", "done", "make", "making", "")])}
@@ -167,9 +177,11 @@ def test_a_dictionary_is_trained_where_samples_allow_it(spark):
     assert train_dictionary(docs, spec, "drop")[:4] == b"\x37\xa4\x30\xec"
 
 
-def test_a_repeated_id_fills_many_ranges(spark, workdir):
+def test_a_repeated_id_fills_many_ranges(spark, workdir, monkeypatch):
     """A third of the rows share an id: no range holds them all, and the store
     still counts up in id order."""
+    from tidemark.llm import token_store
+    monkeypatch.setattr(token_store, "train_dictionary", lambda *a, **kw: b"")
     rows = [(i, f"text number {i}") for i in range(1000)] + [(500, f"other {i % 3}") for i in range(500)]
     d = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")

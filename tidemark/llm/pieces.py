@@ -8,10 +8,11 @@ Two boundary rules, each exact for its kind of tokenizer:
           always ends a token there, and nothing looks further left.
 ``drop``  tokenizers that drop white space. A text can be cut at white space.
 
-Pieces repeat a lot, so an encoder keeps the pieces it has met lately in two
-tables of bounded size: a young one that fills, and the one before it. A full
-young table takes the old one's place, and pieces found in the old table move
-up, so frequent pieces stay for ever and rare ones make room.
+Pieces repeat a lot, so an encoder keeps those it has met, in tables of bounded
+size. The first pieces stay for ever; nearly all frequent ones are among them.
+Later ones go to a young table. When it is full it takes the place of an old
+one, and pieces found in the old table move up, so pieces that become frequent
+later stay known and rare ones make room.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ _SPACE_BEFORE_SPACE = re.compile(r"\s ")
 #: Separators that Python counts as white space and tokenizers do not.
 _ODD = re.compile("[\x1c-\x1f\x85]")
 
-#: Pieces of both tables together.
+#: Pieces of all tables together.
 MAX_PIECES = 800_000
 MAX_KEY = 48
 
@@ -52,33 +53,45 @@ def cut_drop(text: str) -> list[str]:
     return text.split() if _ODD.search(text) is None else [text]
 
 
-class _Recent:
-    """The values of the pieces met lately."""
+class _Known:
+    """The values of pieces met before."""
 
     def __init__(self, most: int):
-        self.half, self.young, self.old = max(1, most // 2), {}, {}
+        self.turn = max(1, most // 8)
+        self.stay = max(0, most - 2 * self.turn)
+        self.first, self.young, self.old = {}, {}, {}
 
     def keep(self, piece: str, value) -> None:
-        if len(piece) <= MAX_KEY:
-            if len(self.young) >= self.half:
-                self.old, self.young = self.young, {}
-            self.young[piece] = value
+        if len(piece) > MAX_KEY:
+            return
+        if len(self.first) < self.stay:
+            self.first[piece] = value
+            return
+        if len(self.young) >= self.turn:
+            self.old, self.young = self.young, {}
+        self.young[piece] = value
 
     def values(self, pieces: list[str], learn) -> list:
         """Values of pieces; ``learn(list of distinct pieces)`` gives those of
         the unknown ones."""
-        vals = list(map(self.young.get, pieces))
+        vals = list(map(self.first.get, pieces))
         if None in vals:
             gaps = [i for i, v in enumerate(vals) if v is None]
-            missing = dict.fromkeys([pieces[i] for i in gaps])
-            found = {p: v for p in missing if (v := self.old.get(p)) is not None}
-            unknown = [p for p in missing if p not in found]
+            found, unknown, young, old = {}, [], self.young.get, self.old.get
+            for p in dict.fromkeys([pieces[i] for i in gaps]):
+                if (v := young(p)) is not None:
+                    found[p] = v
+                elif (v := old(p)) is not None:
+                    found[p] = v
+                    self.keep(p, v)
+                else:
+                    unknown.append(p)
             if unknown:
-                found.update(zip(unknown, learn(unknown)))
+                for p, v in zip(unknown, learn(unknown)):
+                    found[p] = v
+                    self.keep(p, v)
             for i in gaps:
                 vals[i] = found[pieces[i]]
-            for p, v in found.items():
-                self.keep(p, v)
         return vals
 
 
@@ -93,7 +106,7 @@ class PieceEncoder:
 
     def __init__(self, encode, rule: str, batch_bytes: int = 1 << 21, max_pieces: int = MAX_PIECES):
         self.encode, self.rule, self.batch_bytes = encode, rule, batch_bytes
-        self.first, self.rest = _Recent(max_pieces // 8), _Recent(max_pieces)
+        self.first, self.rest = _Known(max_pieces // 8), _Known(max_pieces)
 
     def batches(self, texts: list[str]) -> Iterator[tuple[list, list[str], list]]:
         """``(texts whose first piece is here with that piece, other pieces,

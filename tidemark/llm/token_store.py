@@ -40,6 +40,7 @@ DICT_BYTES = 1 << 16
 BLOCK_BYTES = 4 << 20
 BLOCK_DOCS = 4096
 LEVEL = 3
+_TOGETHER = 256
 
 BLOCK_SCHEMA = ("part int, block int, dictionary string, doc_ids array<bigint>, n_tokens array<bigint>, "
                 "offsets array<bigint>, payload binary")
@@ -50,7 +51,19 @@ def _id_encoder(spec: str, rule: str) -> PieceEncoder:
     tok = load_tokenizer(spec)
 
     def encode(pieces):
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in tok.encode_batch_fast(pieces, add_special_tokens=False)]
+        if rule != "drop":
+            return [np.array(e.ids, dtype="<u4").tobytes() for e in tok.encode_batch_fast(pieces, add_special_tokens=False)]
+        # White space is dropped, so pieces can go together, and a token
+        # belongs to the piece that its place in the text falls into.
+        out = []
+        for at in range(0, len(pieces), _TOGETHER):
+            some = pieces[at:at + _TOGETHER]
+            e = tok.encode(" ".join(some), add_special_tokens=False)
+            size = np.array([len(p) + 1 for p in some])
+            cut = np.searchsorted(np.array([o[0] for o in e.offsets], dtype=np.int64), np.cumsum(size) - size).tolist()
+            raw = np.array(e.ids, dtype="<u4").tobytes()
+            out += [raw[4 * i:4 * j] for i, j in zip(cut, [*cut[1:], len(e.ids)])]
+        return out
     return worker_encoder(("ids", spec, rule), lambda: PieceEncoder(encode, rule))
 
 
