@@ -170,18 +170,11 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, *, shingle: int = SHI
              .agg(F.min("doc_id").alias("__id"), F.min("version").alias("__version")))
     doc_id, version = docs[id_col].cast("long"), F.xxhash64(docs[text_col])
 
-    def of(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-        return rows.join(keys, doc_id.eqNullSafe(keys["__id"]) & (version == keys["__version"]), how)
-    # Only rows whose id and text repeat have to meet; texts of others stay where they are.
-    repeated = (found.groupBy(F.col("doc_id").alias("__id"), F.col("version").alias("__version"))
-                .agg(F.count("*").alias("__n")).where("__n > 1").select("__id", "__version"))
-    kept = of(docs, heads, "left_semi")
+    kept = docs.join(heads, doc_id.eqNullSafe(heads["__id"]) & (version == heads["__version"]), "left_semi")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     order = F.struct(*[F.col(f"`{f.name}`") for f in docs.schema.fields if not _unordered(f.dataType)])
-    once = of(kept, repeated, "left_anti")
-    one = (of(kept, repeated, "left_semi").groupBy(F.col(id_col).cast("long").alias("__id"), F.xxhash64(F.col(text_col)).alias("__version"))
-           .agg(F.min_by(row, order).alias("row")).select("row.*"))
-    return once.unionByName(one)
+    one = kept.groupBy(F.col(id_col).cast("long").alias("__id"), F.xxhash64(F.col(text_col)).alias("__version"))
+    return one.agg(F.min_by(row, order).alias("row")).select("row.*")
 
 
 def _unordered(t: T.DataType) -> bool:
