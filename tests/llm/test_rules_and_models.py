@@ -141,6 +141,28 @@ def test_winnowing_finds_every_shared_window(spark):
     _compare(spark, docs, items)
 
 
+def test_short_items_of_every_length_are_found_in_one_pass(spark):
+    r = random.Random(8)
+    items = [(n, " ".join(f"s{r.randint(0, 3)}" for _ in range(n))) for n in range(1, 12)] + [(50, "s1 s2 s3"), (51, "s1 s2 s3"), (None, "s1 s1")]
+    docs = [(i, " ".join(f"s{r.randint(0, 3)}" for _ in range(r.randint(0, 40)))) for i in range(80)]
+    docs += [(300, items[9][1]), (301, items[10][1] + " s9"), (302, items[8][1])]
+    _compare(spark, docs, items)
+    d = spark.createDataFrame(docs, "doc_id long, text string").select("doc_id", D.word_hashes(F.col("text")).alias("h"))
+    i = spark.createDataFrame(items, "item_id long, text string").select("item_id", D.word_hashes(F.col("text")).alias("h"))
+    plan = D.shared_runs(d, i, ["doc_id"], lengths=[1, 2, 3])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and plan.count("Generate ") == 2
+
+
+def test_repetitive_texts_meet_in_rows_linear_in_their_length(spark):
+    texts = [(1, "same " * 2000), (2, "one two three " * 700), (3, ("same " * 400 + "end ") * 3)]
+    items = [(7, "same " * 2000), (8, "two three one " * 500), (9, "same " * 2000)]
+    _compare(spark, texts, items)
+    hashed = lambda rows, name: spark.createDataFrame(rows, f"{name} long, text string").select(
+        name, D.word_hashes(F.col("text")).alias("h"))
+    joined = D.shared_runs(hashed(texts, "doc_id"), hashed(items, "item_id"), ["doc_id"]).groupBy("doc_id", "item_id").count().collect()
+    assert joined and all(j["count"] <= 20 * 2100 for j in joined)
+
+
 def test_no_benchmark_and_no_documents(spark, edge_docs):
     none = _benchmark(spark, [])
     out = D.find_contamination(edge_docs, none)

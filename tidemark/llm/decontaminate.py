@@ -12,13 +12,11 @@ counted backwards, so that the smallest long is the rightmost smallest hash.
 Equal fingerprints of different runs only cost an extension that fails.
 
 Items with fewer words than a window are one window of their own; they are
-looked up among all runs of their length.
+looked up among all runs of their length, in the same pass over the documents.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,16 +53,23 @@ def _no_longs() -> Column:
     return F.array().cast("array<bigint>")
 
 
-def fingerprints(rows: DataFrame, keys: list[str], *, k: int = K, window: int = WINDOW) -> DataFrame:
-    """Selected fingerprints of rows of ``keys, h`` (word hashes): ``keys,
-    fp, place``, and the words around: ``before`` (up to window - k words that
-    end before the run) and ``after`` (up to ``window`` words from its start).
+def fingerprints(rows: DataFrame, keys: list[str], *, k: int = K, window: int = WINDOW,
+                 lengths: list[int] | None = None, whole: bool = False) -> DataFrame:
+    """Selected fingerprints of rows of ``keys, h`` (word hashes): ``keys, n``
+    (0), ``fp, place``, and the words around: ``before`` (up to window - k words
+    that end before the run) and ``after`` (up to ``window`` words from its
+    start). Runs of each length in ``lengths`` follow (``whole``: only those
+    that are the whole text), with ``n`` their length.
+
+    A text of more words than places can number is an error.
     """
     w = window - k + 1
     tagged = F.transform(
         F.sequence(F.lit(0), F.size("h") - F.lit(k)),
         lambda i: _run_hash(F.col("h"), i, k).bitwiseAND(F.lit(~_PLACE)).bitwiseOR(F.lit(_PLACE) - i.cast("long")))
-    runs = rows.select(*keys, "h", F.when(F.size("h") >= window, tagged).otherwise(_no_longs()).alias("v"))
+    too_long = F.raise_error(F.lit(f"a text has more than {_PLACE} words")).cast("array<bigint>")
+    v = F.when(F.size("h") > _PLACE, too_long).when(F.size("h") >= window, tagged).otherwise(_no_longs())
+    runs = rows.select(*keys, "h", v.alias("v"))
     smallest = F.transform(F.sequence(F.lit(0), F.size("v") - F.lit(w)),
                            lambda i: F.least(*[F.get(F.col("v"), i + F.lit(j)) for j in range(w)]))
     kept = runs.select(*keys, "h", F.when(F.size("v") >= w, F.array_distinct(smallest)).otherwise(_no_longs()).alias("m"))
@@ -72,11 +77,12 @@ def fingerprints(rows: DataFrame, keys: list[str], *, k: int = K, window: int =
     def described(x: Column) -> Column:
         place = (F.lit(_PLACE) - x.bitwiseAND(F.lit(_PLACE))).cast("int")
         side = F.least(place, F.lit(window - k))
-        return F.struct(F.shiftright(x, _PLACE_BITS).alias("fp"), place.alias("place"),
+        return F.struct(F.lit(0).alias("n"), F.shiftright(x, _PLACE_BITS).alias("fp"), place.alias("place"),
                         F.slice("h", place - side + F.lit(1), side).alias("before"),
                         F.slice("h", place + F.lit(1), F.lit(window)).alias("after"))
 
-    return kept.select(*keys, F.inline(F.when(F.size("h") >= window, F.transform("m", described))))
+    found = F.transform("m", described)
+    return kept.select(*keys, F.inline(F.concat(found, _short(lengths, whole)) if lengths else found))
 
 
 def _equal_prefix(same: list[Column]) -> Column:
@@ -87,30 +93,45 @@ def _equal_prefix(same: list[Column]) -> Column:
     return out
 
 
-def shared_runs(docs: DataFrame, items: DataFrame, keys: list[str], *, k: int = K, window: int = WINDOW) -> DataFrame:
+def _short(lengths: list[int], whole: bool) -> Column:
+    """Runs of the given lengths as an array of ``n, fp, place, before,
+    after``: all runs of a text, or the one that is the whole text."""
+    def runs(n: int) -> Column:
+        at = lambda i: F.struct(F.lit(n).alias("n"), _run_hash(F.col("h"), i, n).alias("fp"), i.cast("int").alias("place"),
+                                _no_longs().alias("before"), _no_longs().alias("after"))
+        if whole:
+            return F.when(F.size("h") == n, F.array(at(F.lit(0))))
+        return F.when(F.size("h") >= n, F.transform(F.sequence(F.lit(0), F.size("h") - F.lit(n)), at))
+
+    none = F.array().cast("array<struct<n:int,fp:bigint,place:int,before:array<bigint>,after:array<bigint>>>")
+    return F.concat(none, *[F.coalesce(runs(n), none) for n in lengths])
+
+
+def shared_runs(docs: DataFrame, items: DataFrame, keys: list[str], *, k: int = K, window: int = WINDOW,
+                lengths: list[int] | None = None) -> DataFrame:
     """``keys, first, last, item_id``: runs of at least ``window`` words of a
     document (words first to last - 1) that the item has as well. Together
-    they cover every word inside an occurrence of an item's window."""
+    they cover every word inside an occurrence of an item's window. Items of
+    fewer words, whose ``lengths`` are given, are looked up whole among all
+    runs of their length, in the same pass and join (``n`` is the length, 0 for
+    a fingerprint).
+
+    An item's fingerprints with equal words around them are joined once: the
+    join says how far a document's words agree, wherever the item has them. So
+    a text that repeats few words many times meets few rows of such an item.
+    """
+    lengths = lengths or []
     side = window - k
-    d = fingerprints(docs, keys, k=k, window=window)
-    i = fingerprints(items, ["item_id"], k=k, window=window).select(
-        "item_id", "fp", F.col("before").alias("item_before"), F.col("after").alias("item_after"))
+    d = fingerprints(docs, keys, k=k, window=window, lengths=lengths)
+    i = fingerprints(items, ["item_id"], k=k, window=window, lengths=lengths, whole=True).select(
+        "item_id", "n", "fp", F.col("before").alias("item_before"), F.col("after").alias("item_after")).distinct()
     left = _equal_prefix([F.get("before", F.size("before") - F.lit(j + 1)) ==
                           F.get("item_before", F.size("item_before") - F.lit(j + 1)) for j in range(side)])
     right = _equal_prefix([F.get("after", F.lit(j)) == F.get("item_after", F.lit(j)) for j in range(window)])
-    return (d.join(i, "fp").select(*keys, "item_id", "place", left.alias("l"), right.alias("r"))
-            .where((F.col("l") + F.col("r") >= window) & (F.col("r") >= k))
-            .select(*keys, (F.col("place") - F.col("l")).alias("first"), (F.col("place") + F.col("r")).alias("last"), "item_id"))
-
-
-def short_runs(docs: DataFrame, items: DataFrame, keys: list[str], n: int) -> DataFrame:
-    """The same for items of exactly ``n`` words: every run of n words of a
-    document is looked up."""
-    runs = F.transform(F.sequence(F.lit(0), F.size("h") - F.lit(n)),
-                       lambda i: F.struct(i.alias("first"), _run_hash(F.col("h"), i, n).alias("run")))
-    d = docs.select(*keys, F.inline(F.when(F.size("h") >= n, runs)))
-    i = items.where(F.size("h") == n).select("item_id", _run_hash(F.col("h"), F.lit(0), n).alias("run"))
-    return d.join(i, "run").select(*keys, "first", (F.col("first") + n).alias("last"), "item_id")
+    return (d.join(i, ["fp", "n"]).select(*keys, "item_id", "n", "place", left.alias("l"), right.alias("r"))
+            .where((F.col("n") > 0) | ((F.col("l") + F.col("r") >= window) & (F.col("r") >= k)))
+            .select(*keys, (F.col("place") - F.col("l")).alias("first"),
+                    (F.col("place") + F.when(F.col("n") > 0, F.col("n")).otherwise(F.col("r"))).alias("last"), "item_id"))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, *, k: int = K, window: int = WINDOW,
@@ -122,15 +143,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, k: int = K, win
     Null and empty texts have no words and no hits; an item without words
     occurs nowhere, an item without an id is not counted or listed. Rows that
     repeat an id are judged each by its own text. An empty benchmark leaves
-    every document clean.
+    every document clean, an empty table gives no rows. Long texts are read
+    whole; other columns, whatever their names, are not looked at.
     """
     d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
     items = benchmark.select(F.col(item_col).alias("item_id"), word_hashes(F.col(item_text_col)).alias("h"))
     hashed = d.select("doc_id", "version", word_hashes(F.col("text")).alias("h"))
     keys = ["doc_id", "version"]
     sizes = items.select(F.size("h").alias("n")).where(F.col("n").between(1, window - 1)).distinct().collect()
-    runs = reduce(DataFrame.unionByName, [short_runs(hashed, items, keys, r.n) for r in sizes],
-                  shared_runs(hashed, items, keys, k=k, window=window))
+    runs = shared_runs(hashed, items, keys, k=k, window=window, lengths=sorted(r.n for r in sizes))
     # Hits are few; items of a run are gathered first, then runs of a document.
     per_run = runs.groupBy(*keys, "first", "last").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
     spans = F.array_sort(F.collect_list(F.struct("first", "last")))
