@@ -261,3 +261,118 @@ def lm(rows, order):
         out.append((d, d is not None and not learned(d), len(words), sum(c > 0 for c in counts), total,
                     sum(math.log10((c + 0.1) / (total + 0.1 * (v + 1))) for c in counts), model.score(t)))
     return out
+
+
+# -- plain forms of the trained models' predictions ----------------------------
+
+_MASK = (1 << 64) - 1
+_MIX = 0x9E3779B97F4A7C15
+
+
+def _bucket(h, shift, bits):
+    h ^= h >> shift
+    return (h * _MIX & _MASK) >> (64 - bits)
+
+
+def _gram_buckets(data, n, bits):
+    """One bucket for each run of n bytes, one run at a time."""
+    out = []
+    for i in range(len(data) - n + 1):
+        h = n
+        for c in data[i:i + n]:
+            h = (h << 8 | c) & _MASK
+        out.append(_bucket(h, 29, bits))
+    return out
+
+
+def _letters(text):
+    spaced = [c if 97 <= c <= 122 or c >= 128 else 32 for c in b" " + text.lower().encode() + b" "]
+    return [c for i, c in enumerate(spaced) if c != 32 or i == 0 or spaced[i - 1] != 32]
+
+
+def language(text, model, bits):
+    """The predicted language and score: n-grams counted one by one, every
+    machine asked in turn, votes told to both sides."""
+    if not text or not any(c.isalpha() for c in text):
+        return "und", 0.0
+    counts = [0.0] * (1 << bits)
+    for n in (1, 2, 3):
+        for b in _gram_buckets(_letters(text), n, bits):
+            counts[b] += 1
+    norm = math.sqrt(sum(counts)) or 1.0
+    x = [math.sqrt(c) / norm for c in counts] + [0.3]
+
+    def winner(group, members):
+        votes, sums, worst = dict.fromkeys(members, 0), dict.fromkeys(members, 0.0), dict.fromkeys(members, 1.0)
+        for (g, a, b), w, s in zip(model.pairs, model.weights, model.slopes):
+            if g == group:
+                p = 1 / (1 + math.exp(-max(-40.0, min(40.0, s * sum(u * float(v) for u, v in zip(x, w) if u)))))
+                for name, q, won in ((a, p, p >= 0.5), (b, 1 - p, p < 0.5)):
+                    votes[name] += won
+                    sums[name] += q
+                    worst[name] = min(worst[name], q)
+        best = min(members, key=lambda m: (-votes[m], -sums[m], members.index(m)))
+        return best, worst[best]
+
+    family, outer = winner("", model.families)
+    name, inner = winner(family, model.languages[family])
+    return name, outer * inner
+
+
+def _shape(text):
+    out, low = [], text.lower()
+    for i, c in enumerate(text):
+        if len(low) == len(text) and low[i] != c:
+            k = 65
+        elif ord(c) >= 128 or "a" <= c <= "z":
+            k = 97
+        elif "A" <= c <= "Z":
+            k = 65
+        else:
+            k = 57 if c in "0123456789" else 32 if c in "\t\n\x0b\x0c\r" else ord(c)
+        if not out or out[-1] != k:
+            out.append(k)
+    return out
+
+
+def _word_buckets(data, bits):
+    out = []
+    for w in re.split(rb"[\x09-\x0D\x20]+", data):
+        if w:
+            h = 0
+            for c in reversed(w):
+                h = (h * 0x100000001B3 + c + 1) & _MASK
+            out.append(_bucket(h, 31, bits))
+    return out
+
+
+def quality_score(text, model, bits):
+    """The score by a plain forward pass: every word's and n-gram's vector is
+    looked up and averaged, then the softmax layer."""
+    dim = len(model.bias) and model.embeddings.shape[1]
+    size = 1 << bits
+    total = [{}, {}, {}]
+
+    def add(kind, b, n=1):
+        total[kind][b] = total[kind].get(b, 0) + n
+
+    if text:
+        data = b" " + text.encode() + b" "
+        words = _word_buckets(data, bits)
+        for b in words:
+            add(0, b)
+        for n in (2, 3, 4):
+            for b in _gram_buckets(data, n, bits):
+                add(1, b)
+        for n in (3, 4, 6):
+            for b in _gram_buckets(_shape(f" {text} "), n, bits):
+                add(2, b)
+        add(2, 0, 3 * sum(a == b for a, b in zip(words, words[1:])))
+    v = [0.0] * dim
+    for kind, counts in enumerate(total):
+        n = max(1, sum(counts.values()))
+        for b, c in counts.items():
+            for j in range(dim):
+                v[j] += c / n / 3 * float(model.embeddings[kind * size + b, j])
+    z = [sum(v[j] * float(model.layer[j, c]) for j in range(dim)) + float(model.bias[c]) for c in (0, 1)]
+    return 1 / (1 + math.exp(z[0] - z[1]))

@@ -4,7 +4,7 @@ import math
 import random
 
 import pytest
-from brute import contamination, id_remainder, luhn, pii, quality, sha
+from brute import contamination, id_remainder, language, luhn, pii, quality, quality_score, sha
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate as D
@@ -13,6 +13,7 @@ from tidemark.llm import pii as P
 from tidemark.llm import quality_classifier as C
 from tidemark.llm import quality_rules as Q
 from tidemark.llm.boosting import calibrate, fit
+from tidemark.llm.sampling import id_remainder as id_remainder_column, sample_per_class
 from tidemark.tables import load
 
 SF = "/root/testdata/sf0.01"
@@ -213,6 +214,33 @@ def test_language_edge_cases(spark, edge_docs, edge_rows, no_docs):
     assert one == {("en", 1.0), ("und", 0.0)}
 
 
+ODD = [None, "", " \n", "12 34 !!", "the", "É", "ÀÉ ñ  ü\tö", "漢字 かな", "İstanbul İ", "a\x0bb\x1cc \x85 d", "THE THE the the 99,9 %%%",
+       "x" * 3000, "it's \r\n fine -- fine fine", "der Hund und die Katze sind im Haus", "le chat est dans la maison"]
+
+
+def test_languages_equal_a_plain_prediction(spark):
+    docs = load(spark, SF, "documents").select("doc_id", "text", "lang")
+    extra = spark.createDataFrame([(10**9 + i, t, None) for i, t in enumerate(ODD)], "doc_id long, text string, lang string")
+    model = L.fit_languages(docs)
+    got = L.identify_languages(docs.union(extra)).join(docs.union(extra).select("doc_id", "text"), "doc_id")
+    rows = got.where((F.col("doc_id") >= 10**9) | (F.col("doc_id") % 20 == 0)).collect()
+    assert len(rows) >= len(ODD) + 40
+    for r in rows:
+        name, score = language(r.text, model, L.BITS)
+        assert r.lang_pred == name and r.score == pytest.approx(score, abs=1e-4)
+
+
+def test_a_language_sample_is_bounded(spark):
+    seen = [i for i in range(100, 200) if id_remainder(i, 4) != 2][:41]
+    rows = [(seen[0], f"repeated id, text number {i % 3}", "en") for i in range(3000)] + [(i, f"der Satz {i} ist kurz", "de") for i in seen[1:]]
+    rows += [(1000 + i, f"mot {i}", f"l{i}") for i in range(30)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.fit_languages(d, max_languages=2)
+    assert sorted(x for v in model.languages.values() for x in v) == ["de", "en"]
+    picked = sample_per_class(d, "lang", ["doc_id", "text"], {"en": 3000, "de": 40}, 3000, "s")
+    assert {r.lang: r["count"] for r in picked.groupBy("lang").count().collect()} == {"en": 3, "de": 40}
+
+
 # -- personal data -------------------------------------------------------------
 
 PARTS = ["a", "B", "9", "1", "12", "255", "256", "0", "00", "4111111111111111", "+1 (555) 555-1234", "+", " ", "-", ".", "(", ")", "@",
@@ -283,6 +311,24 @@ def test_quality_on_held_out_documents(spark):
     assert sum(r.predicted == 0 for r in held if r.quality == 0) >= 0.9 * sum(r.quality == 0 for r in held)
 
 
+def test_quality_equals_a_plain_forward_pass(spark):
+    docs, labels = load(spark, SF, "documents").select("doc_id", "text"), load(spark, SF, "labels")
+    model = C.fit_quality(docs, labels)
+    extra = docs.union(spark.createDataFrame([(10**9 + i, t) for i, t in enumerate(ODD)], "doc_id long, text string"))
+    rows = C.score_quality(extra, labels).join(extra, "doc_id").where((F.col("doc_id") >= 10**9) | (F.col("doc_id") % 40 == 0)).collect()
+    assert len(rows) >= len(ODD) + 20
+    for r in rows:
+        assert r.score == pytest.approx(quality_score(r.text, model, C.BITS), abs=1e-4)
+
+
+def test_a_repeated_labelled_id_is_one_example(spark):
+    docs, labels = load(spark, SF, "documents").select("doc_id", "text"), load(spark, SF, "labels")
+    one = docs.join(labels.where(F.col("quality").isNotNull() & (id_remainder_column("doc_id", 3) != 1)).select("doc_id").limit(1), "doc_id")
+    many = docs.unionByName(one.crossJoin(spark.range(2000).select("id")).select("doc_id", F.concat("text", F.lit(" "), "id").alias("text")))
+    a, b = C.fit_quality(docs, labels), C.fit_quality(many, labels)
+    assert (a.embeddings == b.embeddings).all() and (a.layer == b.layer).all()
+
+
 def test_quality_edge_cases(spark, edge_docs, edge_rows, no_docs):
     labels = spark.createDataFrame([(d, i % 2, 0) for i, (d, *_) in enumerate(edge_rows)] + [(5, None, None), (None, 1, 0)],
                                    "doc_id long, quality int, toxic int")

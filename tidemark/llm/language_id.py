@@ -25,6 +25,7 @@ from .workers import send_code
 
 PER_LANGUAGE = 400
 SAMPLE = 4000
+MAX_LANGUAGES = 256
 BITS = 12
 UNDETERMINED = "und"
 MIN_SCORE = 0.25
@@ -157,17 +158,22 @@ def train_model(samples: list[tuple[str, np.ndarray]]) -> LanguageModel | None:
 
 
 def fit_languages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                  per_language: int = PER_LANGUAGE, sample: int = SAMPLE) -> LanguageModel | None:
+                  per_language: int = PER_LANGUAGE, sample: int = SAMPLE,
+                  max_languages: int = MAX_LANGUAGES) -> LanguageModel | None:
     """Learns from documents with a language whose id is not held out
     (crc32 of the id as text, modulo 4, is not 2): about ``per_language`` of
-    each language, at most about ``sample`` in all."""
+    each language, at most about ``sample`` in all. Languages are the
+    ``max_languages`` with most documents (of equally many the first by name).
+    Documents are picked by id and text, and rows equal in both are one
+    example, so a repeated id does not enlarge the sample."""
     send_code(docs.sparkSession)
     known = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
         F.col("lang").isNotNull() & (id_remainder("doc_id", 4) != 2) & F.col("text").rlike(r"\p{L}"))
-    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().orderBy("lang").collect()}
+    most = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    counts = {r.lang: r["count"] for r in sorted(most, key=lambda r: r.lang)}
     if not counts:
         return None
-    picked = sample_per_class(known, "lang", "doc_id", counts, min(per_language, max(1, sample // len(counts))), "language")
+    picked = sample_per_class(known, "lang", ["doc_id", "text"], counts, min(per_language, max(1, sample // len(counts))), "language")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -219,7 +225,9 @@ def identify_languages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     A null text, or one without a letter, is ``und`` with score 0; so is every
     text if no document has a language to learn from. With one known language
     every text with letters has it, with score 1. A null id is never held out
-    nor learned from.
+    nor learned from. Every row is judged by its own text, which is read whole;
+    rows that repeat are all returned, an empty table gives no rows, and other
+    columns, whatever their names, are not looked at.
     """
     model = fit_languages(docs, id_col=id_col, text_col=text_col, lang_col=lang_col, per_language=per_language, sample=sample)
     d = docs.select(F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"),

@@ -99,7 +99,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
                 label_col: str = "quality", per_class: int = PER_CLASS) -> QualityModel | None:
     """Learns from labelled documents whose id is not held out (crc32 of the
     id as text, modulo 3, is not 1): about ``per_class`` of each class, weighed
-    by the classes' true shares. None unless both classes have examples."""
+    by the classes' true shares. Of several texts of one id the smallest is the
+    example. None unless both classes have examples."""
     send_code(docs.sparkSession)
     marks = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(
         F.col("label").isin(0, 1) & (id_remainder("doc_id", 3) != 1))
@@ -107,9 +108,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
     counts = {r.label: r["count"] for r in marks.groupBy("label").count().collect()}
     if len(counts) < 2:
         return None
-    picked = sample_per_class(marks, "label", "doc_id", counts, per_class, "quality")
+    picked = sample_per_class(marks, "label", ["doc_id"], counts, per_class, "quality")
     # The sample is bounded by per_class, so it may be sent to every task.
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "doc_id")
+    # One text stands for an id, however often the id is repeated.
+    texts = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -135,6 +138,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     Null and empty texts have no features and get the score of the bias alone.
     Without labels of both classes every score is 0.5. A null id is never held
     out nor learned from; of several labels of a document the largest counts.
+    Every row is scored by its own text, which is read whole; rows that repeat
+    are all returned, an empty table gives no rows, and other columns, whatever
+    their names, are not looked at.
     """
     model = fit_quality(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, per_class=per_class)
     shared = docs.sparkSession.sparkContext.broadcast(model)

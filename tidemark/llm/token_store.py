@@ -79,14 +79,14 @@ def _slices(ids: bytes, most: int, n: int = 4) -> bytes:
 
 def train_dictionary(docs: DataFrame, spec, rule: str, *, sample: int = TRAIN_DOCS,
                      sample_bytes: int = TRAIN_BYTES, dict_bytes: int = DICT_BYTES) -> bytes:
-    """Shared dictionary from about ``sample`` documents picked by id hash,
-    at most ``sample_bytes`` of serialized ids from each, spread over the whole
-    document. Too few or too small
-    samples to train on give their bytes as a raw dictionary, no text at all
-    an empty one."""
+    """Shared dictionary from about ``sample`` documents picked by a hash of
+    id and text (rows equal in both are one), at most ``sample_bytes`` of
+    serialized ids from each, spread over the whole document. Too few or too
+    small samples to train on give their bytes as a raw dictionary, no text at
+    all an empty one."""
     n = docs.count()
     share = max(1, -(-n // sample))
-    picked = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("dictionary")), F.lit(share)) == 0)
+    picked = docs.where(F.pmod(F.xxhash64("doc_id", "text", F.lit("dictionary")), F.lit(share)) == 0).distinct()
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _id_encoder(spec.value, rule)
