@@ -1,6 +1,7 @@
 """Operators 2, 4 and 8 against the tokenizers library."""
 
 import random
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -19,8 +20,11 @@ ODD = ["a", "b", "The", " ", "  ", "\n", "\t", "\xa0", "\x85", "\x1c", " ", "
        "é", "漢", "<|endoftext|>", "<|startoftext|>", "😀", "\r\n", "\x0b", "﻿", "x" * 60, "¼", "٣", "ſ"]
 
 
+library = lru_cache(Tokenizer.from_file)
+
+
 def ids(path, text):
-    return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids
+    return library(path).encode(text or "", add_special_tokens=False).ids
 
 
 def odd_texts(n, seed):
