@@ -6,6 +6,7 @@ from tidemark.operators import aggregates as A
 from tidemark.operators import joins as J
 from tidemark.fixed import SYSTEM_SCHEMA_NAMES, SYSTEM_SCHEMA_PREFIX
 from tidemark.operators.filters import in_schemas, mark_range, non_empty, non_system_schemas, since, with_any_tag
+from tidemark.operators.ordering import placed
 from tidemark.operators.project import conform, envelope, normalise_columns
 from tidemark.tables import load
 
@@ -331,3 +332,30 @@ def test_names_with_slashes(spark):
     ordered, keys = change_order(rows, "/1FB/CURKEY_GC")
     r = ordered.orderBy(*keys).first()
     assert (r["__rowMarker__"], r["/1FB/CURKEY_GC"], r["/1FB/CS_UNIT"]) == (4, 1, 7)
+
+
+def test_places_in_groups_of_many_files(spark, workdir):
+    """Groups that span files, equal rows and nulls are numbered without gaps."""
+    rows = spark.range(3000).select(F.when(F.col("id") % 7 > 0, F.concat(F.lit("g"), F.col("id") % 3)).alias("g"),
+                                    F.when(F.col("id") % 5 > 0, F.col("id") % 11).alias("k"), (F.col("id") % 2).cast("int").alias("v"))
+    keep = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = placed(rows, "g", ["k", "v"], f"{workdir}/placed")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", keep)
+    files = spark.read.parquet(f"{workdir}/placed").select("g", F.input_file_name().alias("f")).distinct()
+    assert files.groupBy("g").count().agg(F.min("count")).first()[0] > 1
+    rows.createOrReplaceTempView("to_place")
+    want = spark.sql("SELECT *, row_number() OVER (PARTITION BY g ORDER BY k NULLS LAST, v NULLS LAST) AS place FROM to_place")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert placed(rows.limit(0), "g", ["k"], f"{workdir}/none").collect() == []
+
+
+def test_schema_scope_gives_places(spark):
+    from tidemark.registry import schema_scope
+    rows = schema_scope(spark, SF001).collect()
+    for scope in ("all", "all_by_scope", "listed", "default"):
+        own = sorted((r.place, r.SCHEMA_NAME, r.c_nationkey) for r in rows if r.scope == scope)
+        assert own and [r[0] for r in own] == list(range(1, len(own) + 1))
+        assert [r[1:] for r in own] == sorted(r[1:] for r in own)

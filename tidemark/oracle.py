@@ -278,10 +278,11 @@ SCHEMA_SCOPE = f"""
 WITH s AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN concat('{SYSTEM_SCHEMA_PREFIX.lower()}_', c_name) ELSE c_name END AS "SCHEMA_NAME",
                   c_nationkey FROM customer),
 own AS (SELECT * FROM s WHERE NOT starts_with(upper("SCHEMA_NAME"), '{SYSTEM_SCHEMA_PREFIX}')
-          AND upper("SCHEMA_NAME") NOT IN ({_in(SYSTEM_SCHEMA_NAMES)}))
-SELECT 'all' AS scope, * FROM own UNION ALL SELECT 'all_by_scope', * FROM own
-UNION ALL SELECT 'listed', * FROM s WHERE "SCHEMA_NAME" IN ('Customer#000000001', 'Customer#000000002', 'Customer#000000004')
-UNION ALL SELECT 'default', * FROM s WHERE "SCHEMA_NAME" = 'Customer#000000005'
+          AND upper("SCHEMA_NAME") NOT IN ({_in(SYSTEM_SCHEMA_NAMES)})),
+u AS (SELECT 'all' AS scope, * FROM own UNION ALL SELECT 'all_by_scope', * FROM own
+      UNION ALL SELECT 'listed', * FROM s WHERE "SCHEMA_NAME" IN ('Customer#000000001', 'Customer#000000002', 'Customer#000000004')
+      UNION ALL SELECT 'default', * FROM s WHERE "SCHEMA_NAME" = 'Customer#000000005')
+SELECT *, CAST(row_number() OVER (PARTITION BY scope ORDER BY "SCHEMA_NAME", c_nationkey) AS INTEGER) AS place FROM u
 """
 
 COPY_PLAN_NAMED = f"""
