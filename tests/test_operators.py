@@ -359,3 +359,26 @@ def test_schema_scope_gives_places(spark):
         own = sorted((r.place, r.SCHEMA_NAME, r.c_nationkey) for r in rows if r.scope == scope)
         assert own and [r[0] for r in own] == list(range(1, len(own) + 1))
         assert [r[1:] for r in own] == sorted(r[1:] for r in own)
+
+
+def test_gone_keys_are_not_packed_into_few_tasks(spark, workdir):
+    """Rows of a key alone compress so well that packing by bytes would put
+    most of them into a few tasks."""
+    delta = spark.range(300_000).select(F.col("id").alias("key"), F.col("id").alias("mark"))
+    snap = spark.range(0, 900_000).select((F.col("id") - F.col("id") % 6).alias("key"), F.col("id").alias("v"))
+    kw = dict(delta_key="key", snap_key="key", mark="mark")
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        lazy = J.change_rows(delta, snap, **kw)
+        staged = J.change_rows(delta, snap, stage=f"{workdir}/stage", **kw)
+        sizes = lazy.where("__rowMarker__ = 2").rdd.glom().map(len).collect()
+        files = spark.read.parquet(f"{workdir}/stage/gone").groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+        outer = J.change_rows(delta, snap, strategy="outer", **kw)
+        for got in (lazy, staged):
+            assert got.count() == outer.count() == 550_000 and got.exceptAll(outer).count() == 0
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 250_000 and max(sizes) < 250_000 / 32 and files < 250_000 / 32

@@ -19,6 +19,9 @@ from ..functions.text import is_guid
 from .filters import mark_range, typed_lit, with_any_tag
 
 MARK = "__mark"
+# Keys that one task compares when it looks for keys that are gone (32 bytes
+# each and as much again where they are sorted).
+KEYS_PER_TASK = 500_000
 
 
 def delta_key_bounds(delta: DataFrame, *, delta_key: str, mark: str, low=None, high=None):
@@ -42,7 +45,7 @@ def change_rows(delta: DataFrame, snapshot: DataFrame, *, delta_key: str, snap_k
     delta rows repeats (`latest_only=True` keeps its highest mark only).
 
     `strategy="split"` (default) computes present rows with an inner join
-    and gone rows with an anti join against the snapshot keys that were hit:
+    and gone rows as those that join none of the snapshot keys that were hit:
     the inner join can broadcast a small delta (the snapshot then streams
     without a shuffle) and can have skewed partitions split by AQE, which a
     left outer join cannot do for its right side. `strategy="outer"` is the
@@ -55,7 +58,8 @@ def change_rows(delta: DataFrame, snapshot: DataFrame, *, delta_key: str, snap_k
     returned reads the staged rows alone: sampling it for a sort costs no
     join, and a lost executor repeats none. The caller deletes the folder
     when done. Without `stage` the result is lazy and scans the snapshot's
-    key column a second time.
+    key column a second time; only the rows are counted at once, as their
+    number says how many tasks compare keys.
 
     `snap_bounds=(smallest, largest)` delta key (see `delta_key_bounds`)
     limits the snapshot to that key range with literal predicates, which
@@ -100,14 +104,17 @@ def change_rows(delta: DataFrame, snapshot: DataFrame, *, delta_key: str, snap_k
         present = joined.select(F.col("__dkey").alias(snap_key), *[F.col(f"`{c}`") for c in others], F.col(MARK))
         if stage is not None:
             present = _staged(present, f"{stage}/present")
+            asked = _by_key(d, "__dkey", 2 * d.count())
             hit = present.select(F.col(snap_key).alias("__skey")).distinct()
         else:
-            wanted = d.select(F.col("__dkey").alias("__wkey")).distinct()
+            asked = _by_key(d, "__dkey", 2 * d.count() + s.count())
+            wanted = asked.select(F.col("__dkey").alias("__wkey")).distinct()
             hit = (s.select("__skey").join(wanted, F.col("__skey") == F.col("__wkey"), "left_semi")
                    .distinct())
         present = present.select(F.lit(MARKER_PRESENT).alias(ROW_MARKER_COL), "*")
         types = dict(snapshot.dtypes)
-        absent = d.join(hit, F.col("__dkey") == F.col("__skey"), "left_anti")
+        # Not an anti join: Spark would move it in front of the dealing by key.
+        absent = asked.join(hit, F.col("__dkey") == F.col("__skey"), "left").where(F.col("__skey").isNull()).drop("__skey")
         if stage is not None:
             absent = _staged(absent, f"{stage}/gone")
         gone = absent.select(
@@ -119,6 +126,18 @@ def change_rows(delta: DataFrame, snapshot: DataFrame, *, delta_key: str, snap_k
     return out if keep_mark else out.drop(MARK)
 
 
+def _by_key(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """The frame dealt by key where its join compares more rows than a task
+    should. AQE packs shuffled partitions by their bytes, and rows of a key
+    alone compress to so few that one task would get tens of millions; a
+    number of partitions that is given is left as it is, on both sides."""
+    if rows <= KEYS_PER_TASK:
+        return df
+    conf = df.sparkSession.conf
+    width = int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(width, -(-rows // KEYS_PER_TASK)), key)
+
+
 def _staged(df: DataFrame, path: str) -> DataFrame:
     """The rows, written as a table and read back."""
     df.write.parquet(path)
