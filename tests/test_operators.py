@@ -346,8 +346,7 @@ def test_places_in_groups_of_many_files(spark, workdir):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", keep)
     files = spark.read.parquet(f"{workdir}/placed").select("g", F.input_file_name().alias("f")).distinct()
     assert files.groupBy("g").count().agg(F.min("count")).first()[0] > 1
-    rows.createOrReplaceTempView("to_place")
-    want = spark.sql("SELECT *, row_number() OVER (PARTITION BY g ORDER BY k NULLS LAST, v NULLS LAST) AS place FROM to_place")
+    want = spark.sql("SELECT *, row_number() OVER (PARTITION BY g ORDER BY k NULLS LAST, v NULLS LAST) AS place FROM {rows}", rows=rows)
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     assert placed(rows.limit(0), "g", ["k"], f"{workdir}/none").collect() == []
 
